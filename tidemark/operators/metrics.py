@@ -36,14 +36,14 @@ def accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame:
 
 
 def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """One row: n, mae, mse, rmse, r2. R2 = 1 - SSE/SST with SST about the
-    label mean; null when the label is constant. Two aggregates: the mean is
-    needed before the centred sum, as a scalar subquery."""
+    """One row: n, mae, mse, rmse, r2. R2 = 1 - SSE/SST, with SST = n times
+    the population variance of the label (Spark's variance aggregate merges
+    partial moments stably, so this stays one pass); null when the label is
+    constant."""
     y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
     clean = df.where(y.isNotNull() & p.isNotNull())
-    mean_y = clean.agg(F.avg(y)).scalar()
     base = clean.agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(y - p)).alias("mae"),
                      F.avg(F.pow(y - p, 2)).alias("mse"), F.sum(F.pow(y - p, 2)).alias("_sse"),
-                     F.sum(F.pow(y - mean_y, 2)).alias("_sst"))
+                     (F.var_pop(y) * F.count(F.lit(1))).alias("_sst"))
     return base.select("n", "mae", "mse", F.sqrt("mse").alias("rmse"),
                        F.when(F.col("_sst") > 0, F.lit(1.0) - F.col("_sse") / F.col("_sst")).alias("r2"))

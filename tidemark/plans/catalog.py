@@ -13,10 +13,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as T
+
 from tidemark.functions import columns as C
+from tidemark.functions import payloads
 from tidemark.operators import drift, features, impute, metrics, runs, splits, stats
 from tidemark.functions.pvalues import ks_pvalue
+from tidemark.plans import ml, scoring
 from tidemark.plans import sqlgen as S
+from tidemark.session import scratch_path
+from tidemark.streaming import streams
 from tidemark.sources import io
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -715,3 +721,160 @@ def q_regression_metrics(spark, sf_dir):
         F.col("l_extendedprice").alias("y"), (F.col("l_quantity") * F.col("p_retailprice")).alias("yhat"))
     m = metrics.regression_metrics(pred, "y", "yhat")
     return m.select("n", *[r4(F.col(c)).alias(c) for c in ("mae", "mse", "rmse", "r2")])
+
+
+# ------------------------------------------------------------------ sinks that round-trip through files
+
+@query("read_csv", "select * from orders")
+def q_read_csv(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    path = scratch_path(spark, "orders-csv")
+    io.write_csv(o, path)
+    return io.read_csv(spark, path, schema=o.schema)
+
+
+@query("append_period", f"""
+select period, count(*) as n_rows, round(sum(o_totalprice), 4) as total_price from (
+  select *, 'y1996' as period from ({O_REF_SQL}) union all select *, 'y1997' from ({O_NEW_SQL}))
+group by period""")
+def q_append_period(spark, sf_dir):
+    ref, new = o_periods(spark, sf_dir)
+    path = scratch_path(spark, "orders-periods")
+    io.append_period(ref, path, "period", "y1996", version=1)
+    io.append_period(new, path, "period", "y1997", version=2)
+    io.append_period(new, path, "period", "y1997", version=2)  # re-run: replaces, does not duplicate
+    t = spark.read.parquet(path)
+    return t.groupBy("period").agg(F.count(F.lit(1)).alias("n_rows"), r4(F.sum("o_totalprice")).alias("total_price"))
+
+
+@query("save_table", "select c_mktsegment, count(*) as n_rows from customer group by c_mktsegment")
+def q_save_table(spark, sf_dir):
+    db = "tidemark_features"
+    location = scratch_path(spark, "warehouse")
+    spark.sql(f"create database if not exists {db} location '{location}'")
+    name = f"{db}.customer_features"
+    io.drop_feature_table(spark, name)
+    io.save_table(table(spark, sf_dir, "customer"), name, comment="customer features keyed by c_custkey")
+    return io.read_table(spark, name).groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("load_stats", f"select * from {S.numeric_profile('lineitem', LI_NUM)}")
+def q_load_stats(spark, sf_dir):
+    path = scratch_path(spark, "run-stats")
+    io.save_stats(stats.summary_stats(table(spark, sf_dir, "lineitem"), LI_NUM), path, "run-1")
+    s = io.load_stats(spark, path, "run-1")
+    return s.select("feature", "statistic", r4(F.col("value")).alias("value"))
+
+
+# ------------------------------------------------------------------ payloads
+
+@query("records_payload")
+def q_records_payload(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").withColumn("batch", (F.col("o_orderkey") / 1000).cast("long"))
+    return payloads.records_payload(o, "batch", ["o_orderkey", "o_totalprice", "o_orderpriority"], "o_orderkey")
+
+
+@query("split_payload")
+def q_split_payload(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").withColumn("batch", (F.col("o_orderkey") / 1000).cast("long"))
+    return payloads.split_payload(o, "batch", ["o_orderkey", "o_totalprice", "o_orderpriority"], "o_orderkey")
+
+
+# ------------------------------------------------------------------ training, scoring, streaming (rows-only)
+
+ORDER_CAT = ["c_mktsegment", "o_orderpriority"]
+ORDER_NUM = ["c_acctbal", "o_totalprice"]
+LI_TARGET = "l_extendedprice"
+LI_FEATS_CAT = ["l_returnflag", "l_linestatus"]
+LI_FEATS_NUM = ["l_quantity", "l_discount", "l_tax"]
+
+
+def order_features(spark, sf_dir):
+    spine = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority",
+                                                  "o_orderstatus")
+    cust = features.FeatureLookup(table(spark, sf_dir, "customer"), ["c_custkey"], ["o_custkey"],
+                                  ["c_acctbal", "c_mktsegment"])
+    return features.training_set(spine, [cust], label="o_orderstatus")
+
+
+def _classifier(spark, sf_dir, num_trees=100):
+    return ml.train_classifier(order_features(spark, sf_dir), "o_orderstatus", ORDER_CAT, ORDER_NUM,
+                               estimator=ml.rf_classifier("label_idx", num_trees=num_trees), keys=["o_orderkey"])
+
+
+@query("train_classifier")
+def q_train_classifier(spark, sf_dir):
+    return _classifier(spark, sf_dir)[3]
+
+
+@query("feature_importances")
+def q_feature_importances(spark, sf_dir):
+    model = _classifier(spark, sf_dir)[0]
+    return ml.feature_importances(model, order_features(spark, sf_dir))
+
+
+@query("search_classifier")
+def q_search_classifier(spark, sf_dir):
+    data, _ = ml.index_label(order_features(spark, sf_dir), "o_orderstatus")
+    cv = ml.search_classifier(data, "label_idx", ORDER_CAT, ORDER_NUM, max_trials=4, folds=2)
+    best = max(cv.avgMetrics)
+    rows = [(i, float(m)) for i, m in enumerate(cv.avgMetrics)]
+    return spark.createDataFrame(rows, "trial int, f1 double").withColumn("best", F.col("f1") == F.lit(best))
+
+
+@query("score_proba")
+def q_score_proba(spark, sf_dir):
+    data, indexer = ml.index_label(order_features(spark, sf_dir), "o_orderstatus")
+    model = ml.build_pipeline(ORDER_CAT, ORDER_NUM, ml.tree_classifier("label_idx")).fit(data)
+    return scoring.score_proba(data, model, indexer.labels, keep=["o_orderkey", "o_orderstatus"])
+
+
+@query("score_batch")
+def q_score_batch(spark, sf_dir):
+    model = _classifier(spark, sf_dir, num_trees=20)[0]
+    spine = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    cust = features.FeatureLookup(table(spark, sf_dir, "customer"), ["c_custkey"], ["o_custkey"],
+                                  ["c_acctbal", "c_mktsegment"])
+    return scoring.score_batch(spine, [cust], model, keep=["o_orderkey"])
+
+
+def _regressor(spark, sf_dir, num_trees=500):
+    li = table(spark, sf_dir, "lineitem")
+    return ml.train_run(li, LI_TARGET, LI_FEATS_CAT, LI_FEATS_NUM, ["l_orderkey", "l_linenumber"], "lineitem-run",
+                        num_trees=num_trees, max_depth=5)
+
+
+@query("train_run")
+def q_train_run(spark, sf_dir):
+    return _regressor(spark, sf_dir)[2]
+
+
+@query("validate_model")
+def q_validate_model(spark, sf_dir):
+    model = _regressor(spark, sf_dir, num_trees=20)[0]
+    inputs = table(spark, sf_dir, "lineitem").select(*LI_FEATS_CAT, *LI_FEATS_NUM)
+    return scoring.validate_model(inputs, _RoundedModel(model), inputs.schema)
+
+
+class _RoundedModel:
+    """Model whose predictions are rounded to whole units (the served
+    signature declares an integer output)."""
+
+    def __init__(self, model):
+        self.model = model
+
+    def transform(self, df):
+        return self.model.transform(df).withColumn("prediction", F.bround("prediction", 0))
+
+
+@query("stream_score")
+def q_stream_score(spark, sf_dir):
+    model = _regressor(spark, sf_dir, num_trees=20)[0]
+    li = table(spark, sf_dir, "lineitem")
+    src = streams.read_stream(spark, f"{sf_dir}/lineitem*.parquet", li.schema, max_files_per_trigger=1,
+                              drop=["l_partkey", "l_suppkey"])
+    scored = scoring.score(src, model, keep=["l_orderkey", "l_linenumber", LI_TARGET])
+    out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
+    q = streams.write_stream(scored, out, ckpt, name=None)
+    q.awaitTermination()
+    return spark.read.parquet(out)
