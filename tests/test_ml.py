@@ -61,9 +61,8 @@ def test_train_run_records(spark):
 
 
 def test_payloads_parse_back(spark):
-    df = spark.createDataFrame([(1, 2.5, "a", 0), (2, None, 'q"x', 0), (3, 1.0, "b", 1)],
-                               "k long, v double, s string, batch int")
-    rec = {r["batch"]: json.loads(r["payload"]) for r in payloads.records_payload(df, "batch", ["k", "v", "s"], "k").collect()}
+    df = spark.createDataFrame([(1, 2.5, "a"), (2, None, 'q"x'), (3, 1.0, "b")], "k long, v double, s string")
+    rec = {r["batch"]: json.loads(r["payload"]) for r in payloads.records_payload(df, "k", ["k", "v", "s"], 2).collect()}
     assert rec[0]["dataframe_records"][0] == {"k": 1, "v": 2.5, "s": "a"}
-    spl = {r["batch"]: json.loads(r["payload"]) for r in payloads.split_payload(df, "batch", ["k", "v", "s"], "k").collect()}
+    spl = {r["batch"]: json.loads(r["payload"]) for r in payloads.split_payload(df, "k", ["k", "v", "s"], 2).collect()}
     assert spl[0]["dataframe_split"] == {"columns": ["k", "v", "s"], "index": [1, 2], "data": [[1, 2.5, "a"], [2, None, 'q"x']]}

@@ -99,6 +99,25 @@ def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
             .where(F.col("reason").isNotNull()))
 
 
+def write_features(df: DataFrame, path: str, keys: Sequence[str], mode: str = "overwrite",
+                   current_path: str | None = None) -> None:
+    """Write a feature table after checking its primary key (no duplicate or
+    null keys). ``mode="merge"`` upserts ``df`` into the snapshot at
+    ``current_path`` and writes the result as a new snapshot at ``path``
+    (a job never overwrites the files it is reading)."""
+    if key_violations(df, keys).limit(1).count() > 0:
+        raise ValueError(f"primary key {list(keys)} is not unique or has nulls")
+    if mode == "merge":
+        if not current_path or current_path.rstrip("/") == path.rstrip("/"):
+            raise ValueError("merge needs the current snapshot path and a different new path")
+        current = df.sparkSession.read.parquet(current_path)
+        merge_features(current, df, keys).write.mode("errorifexists").parquet(path)
+    elif mode in ("overwrite", "errorifexists"):
+        df.write.mode(mode).parquet(path)
+    else:
+        raise ValueError(f"unsupported mode {mode}")
+
+
 def discover_levels(df: DataFrame, column: str, max_levels: int = 1000) -> list:
     """Sorted distinct non-null levels; fails above ``max_levels`` so a
     high-cardinality column cannot explode the schema."""

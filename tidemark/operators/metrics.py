@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.ranking import running_totals
+
 
 def _confusion(df: DataFrame, label: str, prediction: str, positive=1) -> list:
     y = F.col(label) == F.lit(positive)
@@ -47,3 +49,19 @@ def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
                      (F.var_pop(y) * F.count(F.lit(1))).alias("_sst"))
     return base.select("n", "mae", "mse", F.sqrt("mse").alias("rmse"),
                        F.when(F.col("_sst") > 0, F.lit(1.0) - F.col("_sse") / F.col("_sst")).alias("r2"))
+
+
+def roc_auc(df: DataFrame, label: str, score: str, positive=1) -> DataFrame:
+    """Exact ROC AUC of a continuous score (Mann-Whitney U, ties count one
+    half): sum over positives of the negatives scored below them, divided
+    by P * N. Counts per distinct score, then running totals by score range,
+    so no task sees more than one range of scores."""
+    y = F.col(label) == F.lit(positive)
+    counts = (df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
+              .groupBy(F.col(score).cast("double").alias("_s"))
+              .agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg")))
+    cum = running_totals(counts, [], "_s", ["neg", "pos"])
+    below = F.col("cum_neg") - F.col("neg")
+    u = F.col("pos") * (below + F.col("neg") / F.lit(2.0))
+    agg = cum.agg(F.sum(u).alias("_u"), F.first("total_pos").alias("n_pos"), F.first("total_neg").alias("n_neg"))
+    return agg.select("n_pos", "n_neg", F.try_divide(F.col("_u"), F.col("n_pos") * F.col("n_neg")).alias("auc"))

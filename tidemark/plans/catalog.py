@@ -770,14 +770,14 @@ def q_load_stats(spark, sf_dir):
 
 @query("records_payload")
 def q_records_payload(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").withColumn("batch", (F.col("o_orderkey") / 1000).cast("long"))
-    return payloads.records_payload(o, "batch", ["o_orderkey", "o_totalprice", "o_orderpriority"], "o_orderkey")
+    o = table(spark, sf_dir, "orders")
+    return payloads.records_payload(o, "o_orderkey", ["o_orderkey", "o_totalprice", "o_orderpriority"], 1000)
 
 
 @query("split_payload")
 def q_split_payload(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").withColumn("batch", (F.col("o_orderkey") / 1000).cast("long"))
-    return payloads.split_payload(o, "batch", ["o_orderkey", "o_totalprice", "o_orderpriority"], "o_orderkey")
+    o = table(spark, sf_dir, "orders")
+    return payloads.split_payload(o, "o_orderkey", ["o_orderkey", "o_totalprice", "o_orderpriority"], 1000)
 
 
 # ------------------------------------------------------------------ training, scoring, streaming (rows-only)
@@ -878,3 +878,59 @@ def q_stream_score(spark, sf_dir):
     q = streams.write_stream(scored, out, ckpt, name=None)
     q.awaitTermination()
     return spark.read.parquet(out)
+
+
+# ------------------------------------------------------------------ more operators
+
+_AUTO_NUM = ["o_orderkey", "o_custkey", "o_totalprice"]
+
+
+@query("profile_auto", f"""
+select feature, statistic, value, null::varchar as text from {S.numeric_profile('orders', _AUTO_NUM)}
+union all select * from {_cat_profile_sql('orders', O_CAT)}""")
+def q_profile_auto(spark, sf_dir):
+    p = stats.profile(table(spark, sf_dir, "orders"))  # column roles from the schema
+    return p.withColumn("value", r4(F.col("value")))
+
+
+@query("write_features", """
+select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer where c_mktsegment <> 'BUILDING'
+union all select c_custkey, c_name, c_nationkey, c_acctbal + 100, c_mktsegment from customer
+where c_mktsegment = 'BUILDING'""")
+def q_write_features(spark, sf_dir):
+    cur = table(spark, sf_dir, "customer")
+    v1, v2 = scratch_path(spark, "customer-features-v1"), scratch_path(spark, "customer-features-v2")
+    features.write_features(cur, v1, ["c_custkey"])
+    upd = cur.where(F.col("c_mktsegment") == "BUILDING").withColumn("c_acctbal", F.col("c_acctbal") + 100)
+    features.write_features(upd, v2, ["c_custkey"], mode="merge", current_path=v1)
+    return spark.read.parquet(v2)
+
+
+@query("ks_one_sided", _KS_CORE_SQL + """,
+h as (select *, sqrt(n_ref * n_new / (n_ref + n_new)::double) as se, greatest(n_ref, n_new)::double as mm,
+        least(n_ref, n_new)::double as nn from dd)
+select feature, round(d_plus, 6) as d_plus, round(d_minus, 6) as d_minus,
+  round(least(1.0, exp(-2 * (se * d_plus) ^ 2 - 2 * (se * d_plus) * (mm + 2 * nn) / sqrt(mm * nn * (mm + nn)) / 3)), 6) as p_greater,
+  round(least(1.0, exp(-2 * (se * d_minus) ^ 2 - 2 * (se * d_minus) * (mm + 2 * nn) / sqrt(mm * nn * (mm + nn)) / 3)), 6) as p_less
+from h""")
+def q_ks_one_sided(spark, sf_dir):
+    ref, new = li_periods(spark, sf_dir)
+    g = drift.ks_test(ref, new, LI_NUM, 0.05, "greater").select("feature", F.col("statistic").alias("d_plus"),
+                                                                 F.col("p_value").alias("p_greater"))
+    le = drift.ks_test(ref, new, LI_NUM, 0.05, "less").select("feature", F.col("statistic").alias("d_minus"),
+                                                             F.col("p_value").alias("p_less"))
+    j = g.join(le, "feature")
+    return j.select("feature", *[F.round(c, 6).alias(c) for c in ("d_plus", "d_minus", "p_greater", "p_less")])
+
+
+@query("roc_auc", """
+with d as (select l.quality as y, d.n_chars::double as s from labels l join documents d on l.doc_id = d.doc_id),
+r as (select y, rank() over (order by s) + (count(*) over (partition by s) - 1) / 2.0 as rk from d),
+c as (select count(*) filter (where y = 1) as p, count(*) filter (where y <> 1) as n,
+        sum(case when y = 1 then rk else 0 end) as sr from r)
+select p as n_pos, n as n_neg, round((sr - p * (p + 1) / 2.0) / (p * n), 6) as auc from c""")
+def q_roc_auc(spark, sf_dir):
+    lab = table(spark, sf_dir, "labels")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    m = metrics.roc_auc(lab.join(docs, "doc_id"), "quality", "n_chars")
+    return m.withColumn("auc", F.round("auc", 6))
