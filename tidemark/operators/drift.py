@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.pvalues import chi2_sf_udf, f_sf_udf, ks_pvalue
-from tidemark.operators.ranking import exact_quantiles, row_numbers, running_totals
+from tidemark.operators.ranking import materialize, quantile_aggs, row_numbers, running_totals
 from tidemark.operators.stats import categorical_stats, melt
 
 REF, NEW = 0, 1
@@ -74,37 +74,71 @@ def drifted_features(summary: DataFrame) -> DataFrame:
     return summary.select("feature").distinct().orderBy("feature")
 
 
+# ---------------------------------------------------------------- shared numeric pass
+
+def side_counts(reference: DataFrame, new: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(feature, value, c_ref, c_new): one scan of each input grouped by
+    distinct value (null kept as a value so drops can be counted), written
+    once. Levene, KS and the medians are all computed from this table."""
+    long = stack_datasets(reference, new, columns)
+    return materialize(long.groupBy("feature", "value").agg(
+        F.count_if(F.col("ds") == REF).alias("c_ref"), F.count_if(F.col("ds") == NEW).alias("c_new")))
+
+
+def side_summary(counts: DataFrame) -> DataFrame:
+    """Per feature from ``side_counts``: n_ref, n_new, dropped, D+ and D-
+    of the two empirical CDFs (ties grouped), and the exact median of each
+    side. One ranking pass (range offsets) and one aggregate; the one-row-
+    per-feature result is written once because several tests read it."""
+    vals = counts.where(F.col("value").isNotNull())
+    ranked = running_totals(vals, ["feature"], "value", ["c_ref", "c_new"], materialized=True)
+    diff = F.try_divide(F.col("cum_c_ref"), F.col("total_c_ref")) - F.try_divide(F.col("cum_c_new"), F.col("total_c_new"))
+    med_r, fin_r = quantile_aggs("value", "c_ref", {"med": 0.5}, "ref_")
+    med_n, fin_n = quantile_aggs("value", "c_new", {"med": 0.5}, "new_")
+    g = ranked.groupBy("feature").agg(
+        F.max("total_c_ref").alias("n_ref"), F.max("total_c_new").alias("n_new"),
+        F.greatest(F.max(diff), F.lit(0.0)).alias("d_plus"), F.greatest(-F.min(diff), F.lit(0.0)).alias("d_minus"),
+        *med_r, *med_n)
+    g = g.select("feature", "n_ref", "n_new", "d_plus", "d_minus", F.greatest("d_plus", "d_minus").alias("d"),
+                 fin_r["ref_med"].alias("med_ref"), fin_n["new_med"].alias("med_new"))
+    dropped = counts.groupBy("feature").agg(
+        F.sum(F.when(F.col("value").isNull(), F.col("c_ref") + F.col("c_new")).otherwise(0)).alias("dropped"))
+    return materialize(dropped.join(g, "feature", "left"))
+
+
 # ---------------------------------------------------------------- Levene
 
-def levene(reference: DataFrame, new: DataFrame, columns: Sequence[str], p_threshold: float = 0.05) -> DataFrame:
-    """Brown-Forsythe / Levene test (center = median) per feature.
+def levene_from(counts: DataFrame, summary: DataFrame, p_threshold: float = 0.05) -> DataFrame:
+    """Levene's W from the shared counts and medians: with z = |x - median|,
+    one aggregate of sum z and sum z^2 per side (weighted by the counts)
+    gives W = (N-k)/(k-1) * sum n_i (zbar_i - zbar)^2 / sum_i (S2_i - S1_i^2/n_i);
+    p = P(F(k-1, N-k) >= W)."""
+    meds = summary.select("feature", "med_ref", "med_new")
+    # One row per feature: bounded by the number of columns.
+    j = counts.where(F.col("value").isNotNull()).join(F.broadcast(meds), "feature")
+    zr, zn = F.abs(F.col("value") - F.col("med_ref")), F.abs(F.col("value") - F.col("med_new"))
+    sums = j.groupBy("feature").agg(
+        F.sum(F.col("c_ref") * zr).alias("s1r"), F.sum(F.col("c_ref") * zr * zr).alias("s2r"),
+        F.sum(F.col("c_new") * zn).alias("s1n"), F.sum(F.col("c_new") * zn * zn).alias("s2n"))
+    t = summary.join(sums, "feature", "left")
+    nr, nn = F.col("n_ref").cast("double"), F.col("n_new").cast("double")
+    N = nr + nn
+    k = (nr > 0).cast("double") + (nn > 0).cast("double")
+    zbar = (F.col("s1r") + F.col("s1n")) / N
+    num = nr * F.pow(F.try_divide(F.col("s1r"), nr) - zbar, 2) + nn * F.pow(F.try_divide(F.col("s1n"), nn) - zbar, 2)
+    den = (F.col("s2r") - F.try_divide(F.col("s1r") * F.col("s1r"), nr)) + (F.col("s2n") - F.try_divide(F.col("s1n") * F.col("s1n"), nn))
+    w = F.when(k == 2, F.try_divide((N - k) * num, (k - F.lit(1.0)) * den))
+    out = t.select("feature", "n_ref", "n_new", "dropped", w.alias("statistic"), k.alias("k"), N.alias("N"))
+    out = out.withColumn("p_value", f_sf_udf(F.col("statistic"), F.col("k") - F.lit(1.0), F.col("N") - F.col("k")))
+    return _finish(out, "levene", p_threshold)
 
-    Exact medians per (feature, dataset) by range offsets; then a single
-    aggregate of n, sum z and sum z^2 with z = |x - median| gives
-    W = (N-k)/(k-1) * sum n_i (zbar_i - zbar)^2 / sum_i (S2_i - S1_i^2/n_i);
-    p = P(F(k-1, N-k) >= W). Flags p <= p_threshold."""
+
+def levene(reference: DataFrame, new: DataFrame, columns: Sequence[str], p_threshold: float = 0.05) -> DataFrame:
+    """Brown-Forsythe / Levene test (center = median) per feature, flagged
+    when p <= p_threshold."""
     _check_p(p_threshold)
-    long = stack_datasets(reference, new, columns)
-    dropped = _dropped(long)
-    vals = long.where(F.col("value").isNotNull())
-    med = exact_quantiles(vals, ["feature", "ds"], {"med": 0.5}).select("feature", "ds", "med")
-    # At most 2 rows per feature: bounded by the number of columns.
-    z = vals.join(F.broadcast(med), ["feature", "ds"]).withColumn("z", F.abs(F.col("value") - F.col("med")))
-    g = z.groupBy("feature", "ds").agg(F.count(F.lit(1)).alias("n"), F.sum("z").alias("s1"),
-                                       F.sum(F.col("z") * F.col("z")).alias("s2"))
-    per = g.groupBy("feature").agg(
-        F.sum(F.when(F.col("ds") == REF, F.col("n"))).alias("n_ref"),
-        F.sum(F.when(F.col("ds") == NEW, F.col("n"))).alias("n_new"),
-        F.sum("n").alias("N"), F.count(F.lit(1)).alias("k"), F.sum("s1").alias("S1"),
-        F.collect_list(F.struct("n", "s1", "s2")).alias("_g"))  # k <= 2 entries
-    zbar = F.col("S1") / F.col("N")
-    num = F.aggregate("_g", F.lit(0.0), lambda acc, s: acc + s["n"] * F.pow(s["s1"] / s["n"] - zbar, 2))
-    den = F.aggregate("_g", F.lit(0.0), lambda acc, s: acc + (s["s2"] - s["s1"] * s["s1"] / s["n"]))
-    k, N = F.col("k").cast("double"), F.col("N").cast("double")
-    w = F.try_divide((N - k) * num, (k - F.lit(1.0)) * den)
-    out = per.select("feature", "n_ref", "n_new", "k", "N", w.alias("statistic"))
-    out = out.withColumn("p_value", f_sf_udf(F.col("statistic"), F.col("k") - F.lit(1.0), F.col("N") - F.col("k")))
-    return _finish(out.join(dropped, "feature", "left"), "levene", p_threshold)
+    counts = side_counts(reference, new, columns)
+    return levene_from(counts, side_summary(counts), p_threshold)
 
 
 def _finish(df: DataFrame, test: str, alpha: float | Column) -> DataFrame:
@@ -123,16 +157,19 @@ def ks_statistics(reference: DataFrame, new: DataFrame, columns: Sequence[str])
     """(feature, n_ref, n_new, d_plus, d_minus, d) of the two-sample KS test,
     ties grouped. Cumulative counts come from range offsets over the distinct
     values, so a feature with billions of values is split over many tasks."""
-    long = stack_datasets(reference, new, columns).where(F.col("value").isNotNull())
-    counts = long.groupBy("feature", "value").agg(
-        F.count_if(F.col("ds") == REF).alias("c_ref"), F.count_if(F.col("ds") == NEW).alias("c_new"))
-    cum = running_totals(counts, ["feature"], "value", ["c_ref", "c_new"])
-    diff = (F.col("cum_c_ref") / F.col("total_c_ref")) - (F.col("cum_c_new") / F.col("total_c_new"))
-    return cum.groupBy("feature").agg(
-        F.first("total_c_ref").alias("n_ref"), F.first("total_c_new").alias("n_new"),
-        F.greatest(F.max(diff), F.lit(0.0)).alias("d_plus"),
-        F.greatest(-F.min(diff), F.lit(0.0)).alias("d_minus")
-    ).withColumn("d", F.greatest("d_plus", "d_minus"))
+    s = side_summary(side_counts(reference, new, columns))
+    return s.select("feature", "n_ref", "n_new", "d_plus", "d_minus", "d")
+
+
+def ks_from(summary: DataFrame, columns: Sequence[str], p_threshold: float = 0.05,
+            alternative: str = "two-sided", bonferroni: bool = True) -> DataFrame:
+    if alternative not in KS_ALTERNATIVES:
+        raise ValueError(f"alternative must be one of {KS_ALTERNATIVES}")
+    d = {"two-sided": F.col("d"), "greater": F.col("d_plus"), "less": F.col("d_minus")}[alternative]
+    out = summary.withColumn("statistic", d).withColumn(
+        "p_value", ks_pvalue(F.col("statistic"), F.col("n_ref"), F.col("n_new"), alternative))
+    alpha = p_threshold / len(list(columns)) if bonferroni else p_threshold
+    return _finish(out, f"ks_{alternative}", alpha)
 
 
 def ks_test(reference: DataFrame, new: DataFrame, columns: Sequence[str], p_threshold: float = 0.05,
@@ -141,16 +178,8 @@ def ks_test(reference: DataFrame, new: DataFrame, columns: Sequence[str], p_thre
     (Bonferroni). ``greater`` uses D+ = max(F_ref - F_new), ``less`` D-.
     The two-sided p-value is the Kolmogorov limit law (not the finite-n law)."""
     _check_p(p_threshold)
-    if alternative not in KS_ALTERNATIVES:
-        raise ValueError(f"alternative must be one of {KS_ALTERNATIVES}")
     columns = list(columns)
-    stats = ks_statistics(reference, new, columns)
-    d = {"two-sided": F.col("d"), "greater": F.col("d_plus"), "less": F.col("d_minus")}[alternative]
-    out = stats.withColumn("statistic", d).withColumn(
-        "p_value", ks_pvalue(F.col("statistic"), F.col("n_ref"), F.col("n_new"), alternative))
-    dropped = _dropped(stack_datasets(reference, new, columns))
-    alpha = p_threshold / len(columns) if bonferroni else p_threshold
-    return _finish(out.join(dropped, "feature", "left"), f"ks_{alternative}", alpha)
+    return ks_from(side_summary(side_counts(reference, new, columns)), columns, p_threshold, alternative, bonferroni)
 
 
 # ---------------------------------------------------------------- chi-square
@@ -164,6 +193,9 @@ def contingency_chi2(cells: DataFrame, by: Sequence[str], row: str, col: str, co
     min(0.5, |O-E|) towards E, as scipy's ``chi2_contingency`` does.
     Returns (by..., statistic, dof, N, p_value)."""
     by = list(by)
+    # Non-zero cells only (at most levels x levels per feature); written once
+    # because the margins and the cell pass all read them.
+    cells = materialize(cells)
     rowm = cells.groupBy(*by, row).agg(F.sum(count).alias("_rsum"))
     colm = cells.groupBy(*by, col).agg(F.sum(count).alias("_csum"))
     tr = rowm.groupBy(*by).agg(F.sum("_rsum").alias("_ntot"), F.count(F.lit(1)).alias("_nrows"),
@@ -293,11 +325,14 @@ def promotion_gate(df: DataFrame, staging: str, prod: str, min_gain: float) -> D
 
 def drift_report(reference: DataFrame, new: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
                  p_threshold: float = 0.05, ks_alternative: str = "two-sided") -> DataFrame:
-    """Levene, KS (Bonferroni) and chi-square homogeneity in one long table."""
+    """Levene, KS (Bonferroni) and chi-square homogeneity in one long table.
+    The numeric tests share one scan of each input and one ranking pass."""
+    _check_p(p_threshold)
     parts = []
     if numeric:
-        parts += [levene(reference, new, numeric, p_threshold),
-                  ks_test(reference, new, numeric, p_threshold, ks_alternative)]
+        counts = side_counts(reference, new, numeric)
+        summary = side_summary(counts)
+        parts += [levene_from(counts, summary, p_threshold), ks_from(summary, numeric, p_threshold, ks_alternative)]
     if categorical:
         parts.append(chi2_homogeneity(reference, new, categorical, p_threshold))
     out = parts[0]

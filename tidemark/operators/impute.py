@@ -11,13 +11,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.ranking import exact_quantiles
-from tidemark.operators.stats import melt
+from tidemark.operators.stats import melt, numeric_counts, profile_from_counts
 
 
 def fit_median(train: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature, fill) exact medians per numeric column."""
-    q = exact_quantiles(melt(train, columns), ["feature"], {"fill": 0.5})
+    q = profile_from_counts(numeric_counts(train, columns), ["feature"], {"fill": 0.5})
     return q.select("feature", "fill")
 
 

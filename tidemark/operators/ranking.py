@@ -6,6 +6,11 @@ into ranges at approximate quantile boundaries; the running total inside a
 range comes from a window over (group, range) and the range offsets from a
 small table with one row per (group, range). The result is exact; only the
 range sizes are approximate, which bounds the work of any single task.
+
+Inputs used by several branches of a plan are materialised once with a
+reliable ``checkpoint()`` in the shared checkpoint folder: the branches read
+the compact checkpoint instead of recomputing the source, and a lost
+executor does not send the job back to the source scan.
 """
 
 from __future__ import annotations
@@ -15,19 +20,25 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import shuffle_partitions
+from tidemark.session import shared_dir, shuffle_partitions
 
 _BUCKET = "_tm_bucket"
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and cut its lineage."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _n_buckets(df: DataFrame, buckets: int | None) -> int:
     if buckets:
         return max(1, int(buckets))
-    return min(1024, max(16, 2 * shuffle_partitions(df.sparkSession)))
+    return min(4096, max(16, 2 * shuffle_partitions(df.sparkSession)))
 
 
 def range_buckets(df: DataFrame, by: Sequence[str], order: str, buckets: int | None = None,
-                  accuracy: int = 10000) -> DataFrame:
+                  accuracy: int | None = None) -> DataFrame:
     """Add ``_tm_bucket`` in [0, buckets): the range of ``order`` within ``by``.
 
     Boundaries are approximate quantiles per group (one mergeable sketch per
@@ -37,12 +48,13 @@ def range_buckets(df: DataFrame, by: Sequence[str], order: str, buckets: int | N
     by = list(by)
     if n == 1:
         return df.withColumn(_BUCKET, F.lit(0))
+    acc = int(accuracy or max(10000, 20 * n))
     probs = [i / n for i in range(1, n)]
-    bounds_agg = F.percentile_approx(F.col(order), probs, accuracy).alias("_tm_bounds")
+    bounds_agg = F.percentile_approx(F.col(order), probs, acc).alias("_tm_bounds")
     if by:
-        bounds = df.groupBy(*by).agg(bounds_agg)
-        # One row per group and only `buckets` values each; the groups are
-        # features or strata, so AQE broadcasts this side when it is small.
+        # One row per group; written once so the sketch is not recomputed by
+        # every branch that reads the buckets. AQE broadcasts it when small.
+        bounds = materialize(df.groupBy(*by).agg(bounds_agg))
         joined = df.join(bounds, by, "left")
     else:
         # A single sketch: attach it as a scalar subquery (run once, no join).
@@ -51,21 +63,25 @@ def range_buckets(df: DataFrame, by: Sequence[str], order: str, buckets: int | N
     return joined.withColumn(_BUCKET, F.coalesce(bucket, F.lit(0))).drop("_tm_bounds")
 
 
-def running_totals(df: DataFrame, by: Sequence[str], order: str, weights: Sequence[str],
-                   buckets: int | None = None, accuracy: int = 10000,
-                   bucket_col: Column | None = None) -> DataFrame:
+def running_totals(df: DataFrame, by: Sequence[str], order: str | Sequence[str], weights: Sequence[str],
+                   buckets: int | None = None, accuracy: int | None = None,
+                   bucket_col: Column | None = None, materialized: bool = False) -> DataFrame:
     """For every row add ``cum_<w>`` (sum of ``w`` over rows of the same group
-    whose ``order`` is <= this row's) and ``total_<w>`` (sum over the group).
+    that sort at or before this row) and ``total_<w>`` (sum over the group).
 
-    ``order`` must be unique within each group (group values first when it is
-    not). ``bucket_col`` may give an order-preserving range id directly (for
-    uniformly spread keys such as hashes) and skips the boundary sketch."""
+    ``order`` (a column, or several with the first one ranged) should be
+    unique within each group; group values first when it is not.
+    ``bucket_col`` may give an order-preserving range id directly (for
+    uniformly spread keys such as hashes) and skips the boundary sketch.
+    ``materialized=True`` says ``df`` is already a checkpoint."""
     by = list(by)
     weights = list(weights)
+    order_cols = [order] if isinstance(order, str) else list(order)
+    base = df if materialized else materialize(df)
     if bucket_col is None:
-        staged = range_buckets(df, by, order, buckets, accuracy)
+        staged = range_buckets(base, by, order_cols[0], buckets, accuracy)
     else:
-        staged = df.withColumn(_BUCKET, bucket_col)
+        staged = base.withColumn(_BUCKET, bucket_col)
     keys = by + [_BUCKET]
 
     # Small side: one row per (group, range) with the sum of all earlier ranges.
@@ -79,7 +95,7 @@ def running_totals(df: DataFrame, by: Sequence[str], order: str, weights: Sequen
     )
 
     # Large side: running sum inside each range, one window task per range.
-    inside = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
     local = staged.select("*", *[F.sum(w).over(inside).alias(f"_tm_loc_{w}") for w in weights])
 
     out = local.join(offsets, keys, "inner")
@@ -95,39 +111,45 @@ def value_counts(long_df: DataFrame, by: Sequence[str], value: str = "value") ->
             .groupBy(*by, value).agg(F.count(F.lit(1)).alias("_cnt")))
 
 
+def quantile_aggs(value: str, weight: str, probs: dict[str, float], prefix: str = "") -> tuple[list, dict]:
+    """Aggregate expressions over a ``running_totals`` result (weights
+    ``weight``) that pick the two neighbouring order statistics of each
+    quantile, and the finishing expressions that interpolate between them
+    (numpy "linear", SQL ``percentile_cont``). Returns (aggs, finals)."""
+    first = F.col(f"cum_{weight}") - F.col(weight)  # 0-based rank of the first copy
+    last = F.col(f"cum_{weight}") - F.lit(1)
+    n = F.col(f"total_{weight}")
+    aggs, finals = [], {}
+    for name, p in probs.items():
+        h = (n - F.lit(1)) * F.lit(float(p))
+        lo, hi = F.floor(h), F.ceil(h)
+        tag = f"_{prefix}{name}"
+        aggs.append(F.max(F.when((F.col(weight) > 0) & (first <= lo) & (lo <= last), F.col(value))).alias(f"_lo{tag}"))
+        aggs.append(F.max(F.when((F.col(weight) > 0) & (first <= hi) & (hi <= last), F.col(value))).alias(f"_hi{tag}"))
+        aggs.append(F.max(h - lo).alias(f"_fr{tag}"))
+        lo_v, hi_v = F.col(f"_lo{tag}").cast("double"), F.col(f"_hi{tag}").cast("double")
+        finals[f"{prefix}{name}"] = lo_v + (hi_v - lo_v) * F.col(f"_fr{tag}")
+    return aggs, finals
+
+
 def exact_quantiles(long_df: DataFrame, by: Sequence[str], probs: dict[str, float],
                     value: str = "value", buckets: int | None = None) -> DataFrame:
-    """Exact quantiles with linear interpolation (numpy "linear", pandas
-    ``quantile``, SQL ``percentile_cont``) per group of ``by``.
+    """Exact quantiles with linear interpolation per group of ``by``.
 
     Returns one row per group with one double column per entry of ``probs``
     plus ``n`` (non-null count). Work is one shuffle of the distinct
-    (group, value) pairs; no group is gathered into one task."""
+    (group, value) pairs, written once; no group is gathered into one task."""
     by = list(by)
-    counts = value_counts(long_df, by, value)
-    ranked = running_totals(counts, by, value, ["_cnt"], buckets=buckets)
-    first = F.col("cum__cnt") - F.col("_cnt")  # 0-based rank of the first copy
-    last = F.col("cum__cnt") - F.lit(1)
-    n = F.col("total__cnt")
-    aggs = [F.first(n).alias("n")]
-    for name, p in probs.items():
-        h = (n - F.lit(1)) * F.lit(float(p))
-        lo, hi = F.floor(h), F.ceil(h)
-        aggs.append(F.max(F.when((first <= lo) & (lo <= last), F.col(value))).alias(f"_lo_{name}"))
-        aggs.append(F.max(F.when((first <= hi) & (hi <= last), F.col(value))).alias(f"_hi_{name}"))
-        aggs.append(F.first(h - lo).alias(f"_fr_{name}"))
-    grouped = ranked.groupBy(*by).agg(*aggs)
-    cols = [F.col(c) for c in by] + [F.col("n")]
-    for name in probs:
-        lo_v = F.col(f"_lo_{name}").cast("double")
-        hi_v = F.col(f"_hi_{name}").cast("double")
-        cols.append((lo_v + (hi_v - lo_v) * F.col(f"_fr_{name}")).alias(name))
-    return grouped.select(*cols)
-
-
-def row_numbers(df: DataFrame, by: Sequence[str], order: str, buckets: int | None = None,
+    counts = materialize(value_counts(long_df, by, value))
+    ranked = running_totals(counts, by, value, ["_cnt"], buckets=buckets, materialized=True)
+    aggs, finals = quantile_aggs(value, "_cnt", probs)
+    grouped = ranked.groupBy(*by).agg(F.max("total__cnt").alias("n"), *aggs)
+    return grouped.select(*by, "n", *[expr.alias(name) for name, expr in finals.items()])
+
+
+def row_numbers(df: DataFrame, by: Sequence[str], order: str | Sequence[str], buckets: int | None = None,
                 name: str = "row_number") -> DataFrame:
-    """1-based row number per group by a unique ``order`` column, computed
-    with range offsets instead of one window over the group."""
+    """1-based row number per group by a unique ``order``, computed with
+    range offsets instead of one window over the group."""
     out = running_totals(df.withColumn("_tm_one", F.lit(1)), by, order, ["_tm_one"], buckets=buckets)
     return out.withColumnRenamed("cum__tm_one", name).drop("_tm_one", "total__tm_one")

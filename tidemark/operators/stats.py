@@ -1,9 +1,11 @@
 """Profiles and summary statistics, in long form (feature, statistic, value).
 
-Moments come from one aggregate over all columns (map-side partial
-aggregation, one small row to merge). Quantiles come from the exact
-range-offset method in ``ranking``; categorical counts from one grouped count
-of (feature, value). Nothing row-level reaches the driver."""
+A numeric profile scans its source once: all columns are melted and grouped
+into (feature, value, count) rows (map-side partial aggregation), written
+once to the shared checkpoint folder, and every statistic - moments,
+min/max, nulls and exact quantiles by range offsets - is read from that
+compact table. Categorical profiles are one grouped count of
+(feature, value). Nothing row-level reaches the driver."""
 
 from __future__ import annotations
 
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import column_roles
-from tidemark.operators.ranking import exact_quantiles
+from tidemark.operators.ranking import materialize, quantile_aggs, running_totals
 
 # Statistic labels of a numeric profile, in pandas ``describe``
 # order followed by the two extra rows the reference adds.
@@ -46,48 +48,57 @@ def melt(df: DataFrame, columns: Sequence[str], value_type: str = "double",
     return exploded.select(*keep, f"_tm_kv.{feature}", f"_tm_kv.{value}")
 
 
-def _long(wide: DataFrame, columns: Sequence[str], stats: Sequence[str], prefix: str) -> DataFrame:
-    """One-row wide aggregate -> (feature, statistic, value)."""
-    items = [F.struct(F.lit(c).alias("feature"), F.lit(s).alias("statistic"),
-                      F.col(f"{prefix}{s}__{c}").cast("double").alias("value"))
-             for c in columns for s in stats]
-    return wide.select(F.explode(F.array(*items)).alias("_r")).select("_r.*")
-
-
-def numeric_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, mean, std (n-1), min, max, null_count for every column, from a
-    single aggregate. Long form."""
-    aggs = []
-    for c in columns:
-        x = _clean(df, c)
-        aggs += [F.count(x).alias(f"m_count__{c}"), F.avg(x).alias(f"m_mean__{c}"),
-                 F.stddev_samp(x).alias(f"m_std__{c}"), F.min(x).alias(f"m_min__{c}"),
-                 F.max(x).alias(f"m_max__{c}"),
-                 F.count_if(x.isNull()).alias(f"m_null_count__{c}")]
-    wide = df.agg(*aggs)
-    return _long(wide, columns, ["count", "mean", "std", "min", "max", "null_count"], "m_")
+def numeric_counts(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """(keep..., feature, value, _cnt) for every numeric column, null values
+    included as their own row; grouped map-side, then written once so the
+    statistics below read this compact table instead of the source."""
+    long = melt(df, columns, keep=keep)
+    return materialize(long.groupBy(*keep, "feature", "value").agg(F.count(F.lit(1)).alias("_cnt")))
+
+
+def profile_from_counts(counts: DataFrame, by: Sequence[str] = ("feature",),
+                        probs: dict[str, float] | None = None) -> DataFrame:
+    """Wide numeric profile per group from a ``numeric_counts`` table:
+    by..., count, mean, std, min, max, null_count and one column per
+    quantile. Two passes over the counts (the second centres the squares on
+    the mean for a stable std) plus the range-offset ranking."""
+    by = list(by)
+    probs = dict(_QUANTILES if probs is None else probs)
+    vals = counts.where(F.col("value").isNotNull())
+    ranked = running_totals(vals, by, "value", ["_cnt"], materialized=True)
+    q_aggs, q_final = quantile_aggs("value", "_cnt", probs)
+    v, c = F.col("value"), F.col("_cnt")
+    first = ranked.groupBy(*by).agg(
+        F.max("total__cnt").alias("count"), F.sum(v * c).alias("_sum"), F.min(v).alias("min"),
+        F.max(v).alias("max"), *q_aggs)
+    # One row per group; written once because two branches below read it.
+    means = materialize(first.select(*by, "count", (F.col("_sum") / F.col("count")).alias("mean"), "min", "max",
+                                     *[expr.alias(name) for name, expr in q_final.items()]))
+    # One row per group (features x datasets): bounded by the column count.
+    dev = vals.join(F.broadcast(means.select(*by, "mean")), by).groupBy(*by).agg(
+        F.sum(c * F.pow(v - F.col("mean"), 2)).alias("_m2"))
+    nulls = counts.groupBy(*by).agg(F.sum(F.when(F.col("value").isNull(), c).otherwise(0)).alias("null_count"))
+    out = nulls.join(means, by, "left").join(dev, by, "left")
+    std = F.when(F.col("count") > 1, F.sqrt(F.col("_m2") / (F.col("count") - F.lit(1))))
+    return out.select(*by, F.coalesce(F.col("count"), F.lit(0)).alias("count"), "mean", std.alias("std"),
+                      "min", "max", "null_count", *list(probs))
 
 
 def summary_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Numeric profile: (feature, statistic, value) with the statistics in
-    ``NUMERIC_STATISTICS``. ``median`` equals ``50%`` (both exact)."""
+    ``NUMERIC_STATISTICS``. ``median`` equals ``50%`` (both exact). The
+    source is scanned once: every statistic comes from the grouped counts."""
     if columns is None:
         columns = column_roles(df)["numeric"]
     columns = list(columns)
     if not columns:
         raise ValueError("no numeric columns to profile")
-    moments = numeric_moments(df, columns)
-    q = exact_quantiles(melt(df, columns), ["feature"], _QUANTILES)
-    q_long = q.select("feature", F.explode(F.array(
-        *[F.struct(F.lit(s).alias("statistic"), F.col(f"`{s}`").alias("value")) for s in _QUANTILES],
-        F.struct(F.lit("median").alias("statistic"), F.col("`50%`").alias("value")),
-    )).alias("_r")).select("feature", "_r.statistic", "_r.value")
-    # Columns with no non-null value have no quantile row: emit nulls for them.
-    feats = moments.select("feature").distinct()
-    qs = F.array(*[F.lit(s) for s in list(_QUANTILES) + ["median"]])
-    grid = feats.select("feature", F.explode(qs).alias("statistic"))
-    q_full = grid.join(q_long, ["feature", "statistic"], "left")
-    return moments.unionByName(q_full)
+    wide = profile_from_counts(numeric_counts(df, columns))
+    src = {"count": "count", "mean": "mean", "std": "std", "min": "min", "25%": "25%", "50%": "50%",
+           "75%": "75%", "max": "max", "median": "50%", "null_count": "null_count"}
+    items = [F.struct(F.lit(stat).alias("statistic"), F.col(f"`{col}`").cast("double").alias("value"))
+             for stat, col in src.items()]
+    return wide.select("feature", F.explode(F.array(*items)).alias("_r")).select("feature", "_r.statistic", "_r.value")
 
 
 def categorical_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -164,24 +175,26 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def box_stats(datasets: dict[str, DataFrame], columns: Sequence[str], whis: float = 1.5) -> DataFrame:
     """Box-plot numbers per (feature, dataset): quartiles, the furthest values
-    inside [q1 - whis*IQR, q3 + whis*IQR] and the count of values outside."""
-    longs = None
+    inside [q1 - whis*IQR, q3 + whis*IQR] and the count of values outside.
+    Each dataset is scanned once into grouped counts."""
+    parts = None
     for name, df in datasets.items():
-        part = melt(df, columns).withColumn("dataset", F.lit(name))
-        longs = part if longs is None else longs.unionByName(part)
-    longs = longs.where(F.col("value").isNotNull())
-    q = exact_quantiles(longs, ["feature", "dataset"], {"q1": 0.25, "median": 0.5, "q3": 0.75})
-    # One row per (feature, dataset): the number of columns bounds it.
+        part = melt(df.select(*columns).withColumn("dataset", F.lit(name)), columns, keep=["dataset"])
+        parts = part if parts is None else parts.unionByName(part)
+    counts = materialize(parts.where(F.col("value").isNotNull())
+                         .groupBy("feature", "dataset", "value").agg(F.count(F.lit(1)).alias("_cnt")))
+    q = profile_from_counts(counts, ["feature", "dataset"], {"q1": 0.25, "median": 0.5, "q3": 0.75})
     fences = q.select("feature", "dataset", "q1", "median", "q3",
                       (F.col("q1") - F.lit(whis) * (F.col("q3") - F.col("q1"))).alias("_lo"),
                       (F.col("q3") + F.lit(whis) * (F.col("q3") - F.col("q1"))).alias("_hi"))
-    j = longs.join(F.broadcast(fences), ["feature", "dataset"])
+    # One row per (feature, dataset): bounded by the number of columns.
+    j = counts.join(F.broadcast(fences), ["feature", "dataset"])
     inside = (F.col("value") >= F.col("_lo")) & (F.col("value") <= F.col("_hi"))
     return j.groupBy("feature", "dataset").agg(
         F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"),
         F.min(F.when(inside, F.col("value"))).alias("whisker_lo"),
         F.max(F.when(inside, F.col("value"))).alias("whisker_hi"),
-        F.count_if(~inside).alias("n_outliers"))
+        F.sum(F.when(~inside, F.col("_cnt")).otherwise(0)).alias("n_outliers"))
 
 
 def head_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:

@@ -915,10 +915,11 @@ select feature, round(d_plus, 6) as d_plus, round(d_minus, 6) as d_minus,
 from h""")
 def q_ks_one_sided(spark, sf_dir):
     ref, new = li_periods(spark, sf_dir)
-    g = drift.ks_test(ref, new, LI_NUM, 0.05, "greater").select("feature", F.col("statistic").alias("d_plus"),
-                                                                 F.col("p_value").alias("p_greater"))
-    le = drift.ks_test(ref, new, LI_NUM, 0.05, "less").select("feature", F.col("statistic").alias("d_minus"),
-                                                             F.col("p_value").alias("p_less"))
+    summary = drift.side_summary(drift.side_counts(ref, new, LI_NUM))  # shared by both alternatives
+    g = drift.ks_from(summary, LI_NUM, 0.05, "greater").select("feature", F.col("statistic").alias("d_plus"),
+                                                                F.col("p_value").alias("p_greater"))
+    le = drift.ks_from(summary, LI_NUM, 0.05, "less").select("feature", F.col("statistic").alias("d_minus"),
+                                                            F.col("p_value").alias("p_less"))
     j = g.join(le, "feature")
     return j.select("feature", *[F.round(c, 6).alias(c) for c in ("d_plus", "d_minus", "p_greater", "p_less")])
 
