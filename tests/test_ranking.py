@@ -45,3 +45,17 @@ def test_row_numbers_global(spark):
     out = row_numbers(df, [], "k", buckets=5).collect()
     assert sorted(r["row_number"] for r in out) == list(range(1, 501))
     assert all(r["row_number"] == r["k"] + 1 for r in out)
+
+
+def test_range_count_sized_from_rows(spark, monkeypatch):
+    """With a small per-range bound the profile runs through many ranges and
+    still matches numpy exactly."""
+    from tidemark.operators import ranking, stats
+    monkeypatch.setattr(ranking, "TARGET_ROWS_PER_RANGE", 97)
+    v = _values(2000, seed=5)
+    df = spark.createDataFrame([(float(x),) for x in v], "x double")
+    got = {r["statistic"]: r["value"] for r in stats.summary_stats(df, ["x"]).collect()}
+    for name, p in (("25%", 0.25), ("50%", 0.5), ("75%", 0.75)):
+        assert got[name] == pytest.approx(np.quantile(v, p), abs=1e-9)
+    assert got["std"] == pytest.approx(np.std(v, ddof=1), rel=1e-9)
+    assert ranking._n_buckets(df, None) == 21  # 2000 rows / 97 per range

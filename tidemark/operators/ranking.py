@@ -15,12 +15,12 @@ executor does not send the job back to the source scan.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import shared_dir, shuffle_partitions
+from tidemark.session import shared_dir
 
 _BUCKET = "_tm_bucket"
 
@@ -31,20 +31,45 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _n_buckets(df: DataFrame, buckets: int | None) -> int:
+# Rows one range (one window task) may hold; ranges are added as data grows.
+TARGET_ROWS_PER_RANGE = 2_000_000
+# Ranges are not cut smaller than this just to use more tasks.
+MIN_ROWS_PER_RANGE = 20_000
+MAX_RANGES = 4096
+
+
+def _n_buckets(df: DataFrame, buckets: int | None, target_rows: int | None = None,
+               by: Sequence[str] = ()) -> int:
+    """Number of ranges per group: given, or sized from ``df`` (a checkpoint,
+    so this is one cheap aggregate returning one row): enough ranges that the
+    largest group's ranges hold about ``target_rows`` rows, and, for small
+    groups, enough to give every shuffle partition work (never below
+    ``MIN_ROWS_PER_RANGE`` rows per range)."""
     if buckets:
         return max(1, int(buckets))
-    return min(4096, max(16, 2 * shuffle_partitions(df.sparkSession)))
+    target = int(target_rows or TARGET_ROWS_PER_RANGE)
+    by = list(by)
+    if by:
+        row = df.groupBy(*by).count().agg(F.count(F.lit(1)).alias("g"), F.max("count").alias("m")).first()
+        groups, largest = int(row["g"] or 0), int(row["m"] or 0)
+    else:
+        groups, largest = 1, df.count()
+    if largest == 0:
+        return 1
+    for_size = -(-largest // target)
+    parallelism = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    for_tasks = min(-(-parallelism // max(1, groups)), largest // MIN_ROWS_PER_RANGE)
+    return int(min(MAX_RANGES, max(1, for_size, for_tasks)))
 
 
 def range_buckets(df: DataFrame, by: Sequence[str], order: str, buckets: int | None = None,
-                  accuracy: int | None = None) -> DataFrame:
+                  accuracy: int | None = None, target_rows: int | None = None) -> DataFrame:
     """Add ``_tm_bucket`` in [0, buckets): the range of ``order`` within ``by``.
 
     Boundaries are approximate quantiles per group (one mergeable sketch per
     group), so ranges hold about the same number of rows whatever the value
     distribution. ``order`` must be numeric, date or timestamp."""
-    n = _n_buckets(df, buckets)
+    n = _n_buckets(df, buckets, target_rows, by)
     by = list(by)
     if n == 1:
         return df.withColumn(_BUCKET, F.lit(0))
@@ -65,23 +90,26 @@ def range_buckets(df: DataFrame, by: Sequence[str], order: str, buckets: int | N
 
 def running_totals(df: DataFrame, by: Sequence[str], order: str | Sequence[str], weights: Sequence[str],
                    buckets: int | None = None, accuracy: int | None = None,
-                   bucket_col: Column | None = None, materialized: bool = False) -> DataFrame:
+                   bucket_col: Callable[[int], Column] | None = None, materialized: bool = False,
+                   target_rows: int | None = None) -> DataFrame:
     """For every row add ``cum_<w>`` (sum of ``w`` over rows of the same group
     that sort at or before this row) and ``total_<w>`` (sum over the group).
 
     ``order`` (a column, or several with the first one ranged) should be
     unique within each group; group values first when it is not.
-    ``bucket_col`` may give an order-preserving range id directly (for
-    uniformly spread keys such as hashes) and skips the boundary sketch.
-    ``materialized=True`` says ``df`` is already a checkpoint."""
+    ``bucket_col(n)`` may give an order-preserving range id in [0, n)
+    directly (for uniformly spread keys such as hashes) and skips the
+    boundary sketch. ``materialized=True`` says ``df`` is already a
+    checkpoint. The number of ranges is ``buckets`` or sized from the data
+    (see ``TARGET_ROWS_PER_RANGE``)."""
     by = list(by)
     weights = list(weights)
     order_cols = [order] if isinstance(order, str) else list(order)
     base = df if materialized else materialize(df)
     if bucket_col is None:
-        staged = range_buckets(base, by, order_cols[0], buckets, accuracy)
+        staged = range_buckets(base, by, order_cols[0], buckets, accuracy, target_rows)
     else:
-        staged = base.withColumn(_BUCKET, bucket_col)
+        staged = base.withColumn(_BUCKET, bucket_col(_n_buckets(base, buckets, target_rows, by)))
     keys = by + [_BUCKET]
 
     # Small side: one row per (group, range) with the sum of all earlier ranges.

@@ -45,19 +45,24 @@ def sample_rows(df: DataFrame, keys: Sequence[str], fraction: float, seed: int =
 
 
 def stratified_split(df: DataFrame, keys: Sequence[str], stratum: str, test_fraction: float = 0.2,
-                     seed: int = 42, name: str = "split", buckets: int = 1024) -> DataFrame:
+                     seed: int = 42, name: str = "split", buckets: int | None = None) -> DataFrame:
     """Exact per-stratum test counts: rows are ranked by key hash inside each
     stratum and the first round-half-even(n * test_fraction) go to test.
 
     The rank is a running count by hash range (the hash is uniform, so equal
     ranges are balanced without sampling); a stratum holding a third of the
-    table still spreads over ``buckets`` tasks."""
+    table still spreads over many tasks (``buckets``, or sized from the row
+    count)."""
     if not 0 < test_fraction < 1:
         raise ValueError("test_fraction must be in (0, 1)")
-    shift = _BITS - max(1, (buckets - 1).bit_length())
     h = hash_bits(keys, seed)
     staged = df.withColumn("_tm_h", h).withColumn("_tm_one", F.lit(1))
-    ranked = running_totals(staged, [stratum], "_tm_h", ["_tm_one"], bucket_col=F.shiftright(F.col("_tm_h"), shift))
+
+    def by_hash_range(n: int) -> Column:  # top bits of the hash: n equal ranges
+        shift = _BITS - max(0, (n - 1).bit_length())
+        return F.shiftright(F.col("_tm_h"), shift)
+
+    ranked = running_totals(staged, [stratum], "_tm_h", ["_tm_one"], buckets=buckets, bucket_col=by_hash_range)
     n_test = F.bround(F.col("total__tm_one") * F.lit(float(test_fraction)), 0)
     return (ranked.withColumn(name, F.when(F.col("cum__tm_one") <= n_test, F.lit("test")).otherwise(F.lit("train")))
             .drop("_tm_h", "_tm_one", "cum__tm_one", "total__tm_one"))
