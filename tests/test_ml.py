@@ -66,3 +66,14 @@ def test_payloads_parse_back(spark):
     assert rec[0]["dataframe_records"][0] == {"k": 1, "v": 2.5, "s": "a"}
     spl = {r["batch"]: json.loads(r["payload"]) for r in payloads.split_payload(df, "k", ["k", "v", "s"], 2).collect()}
     assert spl[0]["dataframe_split"] == {"columns": ["k", "v", "s"], "index": [1, 2], "data": [[1, 2.5, "a"], [2, None, 'q"x']]}
+
+
+def test_search_respects_budget_and_logs_runs(spark):
+    data, _ = ml.index_label(_data(spark, 200), "y")
+    best, trials = ml.search_classifier(data, "label_idx", ["c"], ["x", "z"], max_trials=6, folds=2,
+                                        parallelism=2, time_limit=0)
+    assert trials.count() == 2  # one round only: the budget was spent
+    assert best is not None
+    rec = spark.createDataFrame([("r1", 1.0, 2.0, 1.4, 0.9)], "run_id string, mae double, mse double, rmse double, r2_test double")
+    rows = {r["metric"]: r["value"] for r in ml.run_metrics(rec, "exp").collect()}
+    assert rows == {"mae": 1.0, "mse": 2.0, "rmse": 1.4, "r2_test": 0.9}

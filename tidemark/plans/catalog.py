@@ -21,6 +21,7 @@ from tidemark.operators import drift, features, impute, metrics, runs, splits, s
 from tidemark.functions.pvalues import ks_pvalue
 from tidemark.plans import ml, scoring
 from tidemark.plans import sqlgen as S
+from tidemark.operators.ranking import materialize as ranking_materialize
 from tidemark.session import scratch_path
 from tidemark.streaming import streams
 from tidemark.sources import io
@@ -816,10 +817,8 @@ def q_feature_importances(spark, sf_dir):
 @query("search_classifier")
 def q_search_classifier(spark, sf_dir):
     data, _ = ml.index_label(order_features(spark, sf_dir), "o_orderstatus")
-    cv = ml.search_classifier(data, "label_idx", ORDER_CAT, ORDER_NUM, max_trials=4, folds=2)
-    best = max(cv.avgMetrics)
-    rows = [(i, float(m)) for i, m in enumerate(cv.avgMetrics)]
-    return spark.createDataFrame(rows, "trial int, f1 double").withColumn("best", F.col("f1") == F.lit(best))
+    _, trials = ml.search_classifier(data, "label_idx", ORDER_CAT, ORDER_NUM, max_trials=4, folds=2, time_limit=300)
+    return trials
 
 
 @query("score_proba")
@@ -846,7 +845,14 @@ def _regressor(spark, sf_dir, num_trees=500):
 
 @query("train_run")
 def q_train_run(spark, sf_dir):
-    return _regressor(spark, sf_dir)[2]
+    """The monthly training job; its record is also written to a runs table
+    and the best run read back from there."""
+    model, profile, record = _regressor(spark, sf_dir)
+    record = ranking_materialize(record)
+    runs_path = scratch_path(spark, "runs")
+    ml.run_metrics(record, "lineitem-price").write.mode("append").parquet(runs_path)
+    best = runs.best_run(spark.read.parquet(runs_path), "r2_test")
+    return record.join(best.select("run_id", F.col("value").alias("best_r2")), "run_id", "left")
 
 
 @query("validate_model")

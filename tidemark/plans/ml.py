@@ -163,17 +163,37 @@ def feature_importances(model: PipelineModel, frame: DataFrame) -> DataFrame:
 
 
 def search_classifier(train: DataFrame, label: str, categorical: Sequence[str], numeric: Sequence[str],
-                      max_trials: int = 30, folds: int = 3, parallelism: int = 4, seed: int = 42):
+                      max_trials: int = 30, folds: int = 3, parallelism: int = 4, seed: int = 42,
+                      time_limit: float | None = None):
     """Model search by F1 over a bounded grid (<= max_trials settings),
-    k-fold cross validation, models fitted in parallel."""
+    k-fold cross validation with ``parallelism`` fits at a time. With
+    ``time_limit`` (seconds) the grid is tried in rounds of ``parallelism``
+    settings and no new round starts once the budget is spent; the best
+    model found so far is returned. Returns (best PipelineModel, table of
+    trial, numTrees, maxDepth, featureSubsetStrategy, f1)."""
+    import time
+
     rf = rf_classifier(label, seed=seed)
     grid = (ParamGridBuilder().addGrid(rf.numTrees, [20, 50, 100]).addGrid(rf.maxDepth, [3, 5, 7])
             .addGrid(rf.featureSubsetStrategy, ["sqrt", "log2"]).build())[:max_trials]
     ev = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction", metricName="f1")
     pipe = build_pipeline(categorical, numeric, rf)
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, numFolds=folds,
-                        parallelism=parallelism, seed=seed)
-    return cv.fit(train)
+    data = stable_input(train)
+    start = time.monotonic()
+    results, best_model, best_f1 = [], None, float("-inf")
+    for i in range(0, len(grid), max(1, parallelism)):
+        if time_limit is not None and results and time.monotonic() - start >= time_limit:
+            break
+        chunk = grid[i:i + max(1, parallelism)]
+        cv = CrossValidator(estimator=pipe, estimatorParamMaps=chunk, evaluator=ev, numFolds=folds,
+                            parallelism=parallelism, seed=seed).fit(data)
+        for j, (pm, metric) in enumerate(zip(chunk, cv.avgMetrics)):
+            results.append((i + j, int(pm[rf.numTrees]), int(pm[rf.maxDepth]), str(pm[rf.featureSubsetStrategy]),
+                            float(metric)))
+        if max(cv.avgMetrics) > best_f1:
+            best_f1, best_model = max(cv.avgMetrics), cv.bestModel
+    schema = "trial int, numTrees int, maxDepth int, featureSubsetStrategy string, f1 double"
+    return best_model, train.sparkSession.createDataFrame(results, schema)
 
 
 def train_run(df: DataFrame, target: str, categorical: Sequence[str], numeric: Sequence[str], keys: Sequence[str],
@@ -201,6 +221,15 @@ def train_run(df: DataFrame, target: str, categorical: Sequence[str], numeric: S
     return model, profile, record
 
 
+def run_metrics(record: DataFrame, experiment: str, metrics: Sequence[str] = ("mae", "mse", "rmse", "r2_test")) -> DataFrame:
+    """A training record as rows of the ``runs`` table:
+    experiment, run_id, start_time, metric, value."""
+    items = [F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics]
+    return record.select(F.lit(experiment).alias("experiment"), "run_id",
+                         F.current_timestamp().cast("timestamp_ntz").alias("start_time"),
+                         F.explode(F.array(*items)).alias("_m")).select("experiment", "run_id", "start_time", "_m.*")
+
+
 def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
     """Join two one-row frames side by side (equi-join on a constant key)."""
     return a.withColumn("_one", F.lit(1)).join(b.withColumn("_one", F.lit(1)), "_one").drop("_one")
