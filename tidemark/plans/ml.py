@@ -215,9 +215,10 @@ def train_run(df: DataFrame, target: str, categorical: Sequence[str], numeric: S
     pred = model.transform(test)
     reg = metrics.regression_metrics(pred, target, "prediction")
     counts = splits.split_counts(s)
-    record = _one_row_join(counts, reg.drop("n"))
-    record = record.select(F.lit(run_id).alias("run_id"), "n_rows", "n_train", "n_test", "mae", "mse", "rmse",
-                           F.col("r2").alias("r2_test"))
+    # Split counts ride along as scalar subqueries of the one-row metrics.
+    record = reg.select(F.lit(run_id).alias("run_id"),
+                        *[counts.select(c).scalar().alias(c) for c in ("n_rows", "n_train", "n_test")],
+                        "mae", "mse", "rmse", F.col("r2").alias("r2_test"))
     return model, profile, record
 
 
@@ -230,11 +231,6 @@ def run_metrics(record: DataFrame, experiment: str, metrics: Sequence[str] = ("m
                          F.explode(F.array(*items)).alias("_m")).select("experiment", "run_id", "start_time", "_m.*")
 
 
-def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Join two one-row frames side by side (equi-join on a constant key)."""
-    return a.withColumn("_one", F.lit(1)).join(b.withColumn("_one", F.lit(1)), "_one").drop("_one")
-
-
 def signature(df: DataFrame, inputs: Sequence[str], output: T.DataType) -> dict:
     """Model signature: input schema and output type as JSON-ready dicts."""
     return {"inputs": json.loads(T.StructType([df.schema[c] for c in inputs]).json()),
