@@ -941,3 +941,11 @@ def q_roc_auc(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
     m = metrics.roc_auc(lab.join(docs, "doc_id"), "quality", "n_chars")
     return m.withColumn("auc", F.round("auc", 6))
+
+
+@query("drift_report")
+def q_drift_report(spark, sf_dir):
+    """The monthly check end to end on two years of lineitem: Levene and KS
+    share one scan of each period; chi-square on the flags."""
+    ref, new = li_periods(spark, sf_dir)
+    return drift.drift_report(ref, new, LI_NUM, LI_CAT, 0.05)
