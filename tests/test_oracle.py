@@ -17,7 +17,7 @@ SLOW = {"train_run", "search_classifier", "feature_importances", "train_classifi
 
 def _norm(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else float(f"{v:.6g}")
+        return "nan" if math.isnan(v) else float(f"{v:.15g}")
     if isinstance(v, bool) or v is None or isinstance(v, str):
         return v
     if isinstance(v, int):
