@@ -198,3 +198,16 @@ def test_box_stats(spark):
     r = stats.box_stats({"a": _frame(spark, vals)}, ["x"]).collect()[0]
     q1, q3 = np.quantile(vals, [0.25, 0.75])
     assert r["q1"] == q1 and r["q3"] == q3 and r["whisker_hi"] == 20 and r["n_outliers"] == 1
+
+
+def test_roc_auc_matches_pairwise_count(spark):
+    from tidemark.operators import metrics
+    rng = np.random.default_rng(11)
+    y = rng.integers(0, 2, 300)
+    s = np.round(rng.normal(0, 1, 300) + y * 0.7, 1)  # rounded: many ties
+    df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(y, s)], "y int, s double")
+    got = metrics.roc_auc(df, "y", "s").collect()[0]
+    pos, neg = s[y == 1], s[y == 0]
+    pairs = (pos[:, None] > neg[None, :]).sum() + 0.5 * (pos[:, None] == neg[None, :]).sum()
+    assert got["auc"] == pytest.approx(pairs / (len(pos) * len(neg)), rel=1e-12)
+    assert got["n_pos"] == len(pos) and got["n_neg"] == len(neg)

@@ -102,3 +102,17 @@ def test_imputation_fit_on_train_only(spark):
     mode = impute.impute_mode(train, other, ["c"]).collect()
     assert [r["x"] for r in med] == [3.0, 5.0]
     assert [r["c"] for r in mode] == ["b", "z"]
+
+
+def test_write_features_checks_key_and_merges(spark, tmp_path):
+    cur = spark.createDataFrame([(1, 1.0), (2, 2.0)], "k long, v double")
+    v1, v2 = str(tmp_path / "v1"), str(tmp_path / "v2")
+    features.write_features(cur, v1, ["k"])
+    upd = spark.createDataFrame([(2, 20.0), (3, 30.0)], "k long, v double")
+    features.write_features(upd, v2, ["k"], mode="merge", current_path=v1)
+    assert sorted(tuple(r) for r in spark.read.parquet(v2).collect()) == [(1, 1.0), (2, 20.0), (3, 30.0)]
+    dup = spark.createDataFrame([(1, 1.0), (1, 2.0)], "k long, v double")
+    with pytest.raises(ValueError):
+        features.write_features(dup, str(tmp_path / "bad"), ["k"])
+    with pytest.raises(ValueError):
+        features.write_features(upd, v1, ["k"], mode="merge", current_path=v1)

@@ -211,11 +211,11 @@ def contingency_chi2(cells: DataFrame, by: Sequence[str], row: str, col: str, co
     dev = F.abs(O - E)
     dev_c = F.when(corr, dev - F.least(F.lit(0.5), dev)).otherwise(dev)
 
-    def h(e: Column) -> Column:  # contribution of a zero cell with expectation e
-        return F.when(corr, F.pow(e - F.least(F.lit(0.5), e), 2) / e).otherwise(e)
+    def zero_cell(e: Column) -> Column:  # contribution of a zero cell with expectation e
+        return F.when(corr, h_e(e)).otherwise(e)
 
     per = j.groupBy(*by).agg(
-        F.sum(F.pow(dev_c, 2) / E).alias("_nz"), F.sum(E).alias("_sumE"), F.sum(h(E)).alias("_sumH"),
+        F.sum(F.pow(dev_c, 2) / E).alias("_nz"), F.sum(E).alias("_sumE"), F.sum(zero_cell(E)).alias("_sumH"),
         F.first("_ntot").alias("N"), F.first("_nrows").alias("_nrows"), F.first("_ncols").alias("_ncols"),
         F.first("_rmin").alias("_rmin"), F.first("_rmax").alias("_rmax"),
         F.first("_cmin").alias("_cmin"), F.first("_cmax").alias("_cmax"))

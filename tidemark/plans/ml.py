@@ -29,6 +29,9 @@ from pyspark.sql import types as T
 from tidemark.operators import impute, metrics, splits, stats
 
 FEATURES = "features"
+# Tree training: per-pass node statistics budget (MB) and node-id caching,
+# so many trees grow per pass over the data instead of a few.
+TREE_MEMORY_MB = 512
 
 
 class _HasFills(Params):
@@ -98,16 +101,18 @@ def build_pipeline(categorical: Sequence[str], numeric: Sequence[str], estimator
 def rf_regressor(label: str, num_trees: int = 500, max_depth: int = 5, seed: int = 42,
                  feature_subset: str = "log2") -> RandomForestRegressor:
     return RandomForestRegressor(labelCol=label, featuresCol=FEATURES, numTrees=num_trees, maxDepth=max_depth,
-                                 featureSubsetStrategy=feature_subset, seed=seed)
+                                 featureSubsetStrategy=feature_subset, seed=seed,
+                                 maxMemoryInMB=TREE_MEMORY_MB, cacheNodeIds=True)
 
 
 def rf_classifier(label: str, num_trees: int = 100, max_depth: int = 5, seed: int = 42) -> RandomForestClassifier:
     return RandomForestClassifier(labelCol=label, featuresCol=FEATURES, numTrees=num_trees, maxDepth=max_depth,
-                                  seed=seed)
+                                  seed=seed, maxMemoryInMB=TREE_MEMORY_MB, cacheNodeIds=True)
 
 
 def tree_classifier(label: str, max_depth: int = 5, seed: int = 42) -> DecisionTreeClassifier:
-    return DecisionTreeClassifier(labelCol=label, featuresCol=FEATURES, maxDepth=max_depth, seed=seed)
+    return DecisionTreeClassifier(labelCol=label, featuresCol=FEATURES, maxDepth=max_depth, seed=seed,
+                                  maxMemoryInMB=TREE_MEMORY_MB, cacheNodeIds=True)
 
 
 def index_label(df: DataFrame, label: str, out: str = "label_idx"):
