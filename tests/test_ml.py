@@ -77,3 +77,21 @@ def test_search_respects_budget_and_logs_runs(spark):
     rec = spark.createDataFrame([("r1", 1.0, 2.0, 1.4, 0.9)], "run_id string, mae double, mse double, rmse double, r2_test double")
     rows = {r["metric"]: r["value"] for r in ml.run_metrics(rec, "exp").collect()}
     assert rows == {"mae": 1.0, "mse": 2.0, "rmse": 1.4, "r2_test": 0.9}
+
+
+class _Doubler:
+    """A plain Python model with a pandas predict (stand-in for any library)."""
+
+    def predict(self, frame):
+        return frame["x"] * 2 + frame["z"].fillna(0)
+
+
+def test_score_with_python_model(spark):
+    import sys
+
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers cannot import the tests
+    df = _data(spark, 50)
+    out = scoring.score_with_python(df, _Doubler, ["x", "z"]).collect()
+    for r in out:
+        assert r["prediction"] == r["x"] * 2 + (r["z"] or 0)

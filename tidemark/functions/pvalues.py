@@ -9,12 +9,18 @@ JVM."""
 from __future__ import annotations
 
 import math
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The UDFs below (and the special functions they call) travel to the Python
+# workers by value, so executors need no copy of this package for them.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _EPS = 1e-15
 _TINY = 1e-300
 _MAX_IT = 10000
