@@ -46,3 +46,22 @@ def test_clean_month_passes_faulty_month_flags(spark):
 def test_date_period_filter_is_inclusive(spark):
     m = month(spark, "2023-02-01", 28)
     assert C.period_filter(m, "Date", "2023-02-01", "2023-02-28").count() == 28
+
+
+def test_period_report_and_promotion(spark, tmp_path):
+    from tidemark.operators import runs
+    from tidemark.plans import monitoring
+    ref = month(spark, "2023-01-01", 28)
+    faulty = month(spark, "2023-02-01", 28, shift=5).withColumn(
+        "Website_Traffic", C.null_where("Website_Traffic", F.col("Promotion_Type").isin("bundle_deal", "free_gift")))
+    rep = monitoring.period_report(ref, faulty, NUM, CAT)
+    flagged = {(r["check"], r["feature"]) for r in rep.where("flagged").collect()}
+    assert ("nulls", "Website_Traffic") in flagged
+    assert set(rep.columns) == set(monitoring.REPORT_COLUMNS)
+    path = str(tmp_path / "events")
+    ok = spark.createDataFrame([(0.9, 0.8)], "staging double, prod double")
+    bad = spark.createDataFrame([(0.7, 0.8)], "staging double, prod double")
+    assert monitoring.promote_if(drift.promotion_gate(ok, "staging", "prod", 0.05), path, "sales", 2)
+    assert not monitoring.promote_if(drift.promotion_gate(bad, "staging", "prod", 0.05), path, "sales", 3)
+    cur = runs.model_in_stage(spark.read.parquet(path), "Production").collect()
+    assert [(r["model"], r["version"]) for r in cur] == [("sales", 2)]

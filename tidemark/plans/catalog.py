@@ -962,3 +962,12 @@ def q_drift_report(spark, sf_dir):
     share one scan of each period; chi-square on the flags."""
     ref, new = li_periods(spark, sf_dir)
     return drift.drift_report(ref, new, LI_NUM, LI_CAT, 0.05)
+
+
+@query("period_report")
+def q_period_report(spark, sf_dir):
+    """Every check of a monthly run (nulls, summary statistics, Levene, KS,
+    chi-square) on two years of lineitem, as one long report."""
+    from tidemark.plans import monitoring
+    ref, new = li_periods(spark, sf_dir)
+    return monitoring.period_report(ref, new, LI_NUM, LI_CAT, null_threshold=0.5, stats_limit=_DRIFT_LIMIT)
