@@ -3,8 +3,9 @@ driver tables and has, where SQL can express it, an equivalent DuckDB query.
 
 Every query reads whole tables (or tables Spark derives from them); the
 periods compared by the drift tests are adjacent years of the same table.
-Computed doubles are rounded to 4 places in both engines, since float sums
-differ in the last digits between engines."""
+Computed doubles are rounded in both engines (4 places, or the data's own
+precision for sums of prices, or significant digits for large sums), since
+float sums differ in the last digits between engines."""
 
 from __future__ import annotations
 
@@ -13,18 +14,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pyspark.sql import types as T
-
 from tidemark.functions import columns as C
 from tidemark.functions import payloads
-from tidemark.operators import drift, features, impute, metrics, runs, splits, stats
 from tidemark.functions.pvalues import ks_pvalue
-from tidemark.plans import ml, scoring
-from tidemark.plans import sqlgen as S
+from tidemark.operators import drift, features, impute, metrics, runs, splits, stats
 from tidemark.operators.ranking import materialize as ranking_materialize
+from tidemark.plans import ml, monitoring, scoring
+from tidemark.plans import sqlgen as S
 from tidemark.session import scratch_path
-from tidemark.streaming import streams
 from tidemark.sources import io
+from tidemark.streaming import streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -968,6 +967,5 @@ def q_drift_report(spark, sf_dir):
 def q_period_report(spark, sf_dir):
     """Every check of a monthly run (nulls, summary statistics, Levene, KS,
     chi-square) on two years of lineitem, as one long report."""
-    from tidemark.plans import monitoring
     ref, new = li_periods(spark, sf_dir)
     return monitoring.period_report(ref, new, LI_NUM, LI_CAT, null_threshold=0.5, stats_limit=_DRIFT_LIMIT)
