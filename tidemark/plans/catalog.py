@@ -781,13 +781,26 @@ def q_load_stats(spark, sf_dir):
 
 # ------------------------------------------------------------------ payloads
 
-@query("records_payload")
+@query("records_payload", """
+with b as (select (row_number() over (order by o_orderkey) - 1) // 1000 as batch, o_orderkey, o_totalprice, o_orderpriority
+           from orders)
+select batch, count(*) as n_rows,
+  to_json({'dataframe_records': list({'o_orderkey': o_orderkey, 'o_totalprice': o_totalprice,
+                                      'o_orderpriority': o_orderpriority} order by o_orderkey)})::varchar as payload
+from b group by batch""")
 def q_records_payload(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     return payloads.records_payload(o, "o_orderkey", ["o_orderkey", "o_totalprice", "o_orderpriority"], 1000)
 
 
-@query("split_payload")
+@query("split_payload", """
+with b as (select (row_number() over (order by o_orderkey) - 1) // 1000 as batch, * from orders)
+select batch, count(*) as n_rows,
+  '{"dataframe_split":{"columns":["o_orderkey","o_totalprice","o_orderpriority"],"index":'
+  || to_json(list(o_orderkey order by o_orderkey))::varchar || ',"data":['
+  || string_agg('[' || to_json(o_orderkey)::varchar || ',' || to_json(o_totalprice)::varchar || ','
+                || to_json(o_orderpriority)::varchar || ']', ',' order by o_orderkey) || ']}}' as payload
+from b group by batch""")
 def q_split_payload(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     return payloads.split_payload(o, "o_orderkey", ["o_orderkey", "o_totalprice", "o_orderpriority"], 1000)
@@ -969,3 +982,17 @@ def q_period_report(spark, sf_dir):
     chi-square) on two years of lineitem, as one long report."""
     ref, new = li_periods(spark, sf_dir)
     return monitoring.period_report(ref, new, LI_NUM, LI_CAT, null_threshold=0.5, stats_limit=_DRIFT_LIMIT)
+
+
+@query("stream_events", """
+select event_id, user_id, event_type, value, cast(json_extract_string(props, '$.k') as bigint) as k from events""")
+def q_stream_events(spark, sf_dir):
+    """The event table as a stream: fixed schema, rate-limited file source,
+    JSON fields parsed per micro-batch, Parquet sink with a checkpoint; the
+    sink is read back as a table."""
+    ev = table(spark, sf_dir, "events")
+    src = streams.read_stream(spark, f"{sf_dir}/events*.parquet", ev.schema, max_files_per_trigger=1, drop=["ts"])
+    parsed = C.parse_json_fields(src, "props", {"k": "bigint"}).drop("props")
+    out, ckpt = scratch_path(spark, "events-out"), scratch_path(spark, "events-ckpt")
+    streams.write_stream(parsed, out, ckpt, name=None).awaitTermination()
+    return spark.read.parquet(out)
