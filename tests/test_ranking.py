@@ -59,3 +59,24 @@ def test_range_count_sized_from_rows(spark, monkeypatch):
         assert got[name] == pytest.approx(np.quantile(v, p), abs=1e-9)
     assert got["std"] == pytest.approx(np.std(v, ddof=1), rel=1e-9)
     assert ranking._n_buckets(df, None) == 21  # 2000 rows / 97 per range
+
+
+def test_row_numbers_by_string_key(spark):
+    keys = [f"k{(i * 37) % 500:05d}" for i in range(500)] + ["été", "a", "ab", "abcdefghij", "abcdefghik"]
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    out = {r["k"]: r["row_number"] for r in row_numbers(df, [], "k", buckets=6).collect()}
+    expected = {k: i + 1 for i, k in enumerate(sorted(keys, key=lambda s: s.encode("utf-8")))}
+    assert out == expected
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(st.integers(-50, 50), min_size=1, max_size=200), buckets=st.integers(1, 9),
+       p=st.floats(0, 1))
+def test_quantiles_property(spark, values, buckets, p):
+    df = spark.createDataFrame([("f", float(v)) for v in values], "feature string, value double")
+    got = exact_quantiles(df, ["feature"], {"q": p}, buckets=buckets).collect()[0]["q"]
+    assert got == pytest.approx(float(np.quantile(np.array(values, dtype=float), p)), abs=1e-9)

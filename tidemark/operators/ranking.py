@@ -19,6 +19,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.session import shared_dir
 
@@ -71,14 +72,21 @@ def range_buckets(df: DataFrame, by: Sequence[str], order: str, buckets: int | N
 
     Boundaries are approximate quantiles per group (one mergeable sketch per
     group), so ranges hold about the same number of rows whatever the value
-    distribution. ``order`` must be numeric, date or timestamp."""
+    distribution. ``order`` may be numeric, date, timestamp or string."""
     n = _n_buckets(df, buckets, target_rows, by)
     by = list(by)
     if n == 1:
         return df.withColumn(_BUCKET, F.lit(0))
     acc = int(accuracy or max(10000, 20 * n))
     probs = [i / n for i in range(1, n)]
-    bounds_agg = F.percentile_approx(F.col(order), probs, acc).alias("_tm_bounds")
+    key = order
+    if isinstance(df.schema[order].dataType, (T.StringType, T.BinaryType)):
+        # Strings sort by bytes; their first 7 bytes as a number keep that
+        # order (longer common prefixes share a range, which stays exact).
+        key = "_tm_order_key"
+        df = df.withColumn(key, F.conv(F.hex(F.substring(F.rpad(F.col(order).cast("binary"), 7, b"\x00"), 1, 7)),
+                                       16, 10).cast("long"))
+    bounds_agg = F.percentile_approx(F.col(key), probs, acc).alias("_tm_bounds")
     if by:
         # One row per group; written once so the sketch is not recomputed by
         # every branch that reads the buckets. AQE broadcasts it when small.
@@ -87,8 +95,9 @@ def range_buckets(df: DataFrame, by: Sequence[str], order: str, buckets: int | N
     else:
         # A single sketch: attach it as a scalar subquery (run once, no join).
         joined = df.withColumn("_tm_bounds", df.agg(bounds_agg).scalar())
-    bucket = F.expr(f"size(filter(_tm_bounds, b -> b < `{order}`))")
-    return joined.withColumn(_BUCKET, F.coalesce(bucket, F.lit(0))).drop("_tm_bounds")
+    bucket = F.expr(f"size(filter(_tm_bounds, b -> b < `{key}`))")
+    out = joined.withColumn(_BUCKET, F.coalesce(bucket, F.lit(0))).drop("_tm_bounds")
+    return out.drop(key) if key != order else out
 
 
 def running_totals(df: DataFrame, by: Sequence[str], order: str | Sequence[str], weights: Sequence[str],
