@@ -125,10 +125,15 @@ def index_label(df: DataFrame, label: str, out: str = "label_idx"):
 
 def stable_input(df: DataFrame) -> DataFrame:
     """Cut the lineage before an iterative fit: a reliable checkpoint into
-    the shared checkpoint folder, so lost executors recompute from it."""
-    from tidemark.session import shared_dir
+    the shared checkpoint folder, so lost executors recompute from it.
+
+    Iterative fits scan their input once per tree level; an input with
+    fewer partitions than the cluster has cores (a small file is one scan
+    task) is spread over all cores first. Larger inputs keep their
+    partitioning (no extra shuffle)."""
+    from tidemark.session import shared_dir, spread
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return spread(df).checkpoint(eager=True)
 
 
 def train_classifier(df: DataFrame, label: str, categorical: Sequence[str], numeric: Sequence[str],

@@ -63,3 +63,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def spread(df):
+    """``df`` spread over all cores when it has fewer partitions than the
+    cluster has cores (a small file is one scan task); larger inputs keep
+    their partitioning, so this adds no shuffle at scale."""
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # Spark Connect: leave partitioning to the server
+        return df
+    return df.repartition(cores) if parts < cores else df
