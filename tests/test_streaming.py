@@ -12,13 +12,13 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, sf_small):
     out, ckpt = os.path.join(base, "out"), os.path.join(base, "ckpt")
     s = streams.read_stream(spark, f"{sf_small}/events*.parquet", src.schema, max_files_per_trigger=1, drop=["props"])
     s = s.withColumn("value_f", F.col("value") * 9 / 5 + 32)
-    streams.write_stream(s, out, ckpt, name="tm_events").awaitTermination()
+    streams.run_to_end(streams.write_stream(s, out, ckpt, name="tm_events"), timeout=600)
     first = spark.read.parquet(out)
     batch = src.drop("props").withColumn("value_f", F.col("value") * 9 / 5 + 32)
     assert first.count() == batch.count()
     assert first.subtract(batch).count() == 0
     # Restart from the same checkpoint: the file was already processed.
-    streams.write_stream(s, out, ckpt, name="tm_events").awaitTermination()
+    streams.run_to_end(streams.write_stream(s, out, ckpt, name="tm_events"), timeout=600)
     assert spark.read.parquet(out).count() == batch.count()
 
 

@@ -906,8 +906,7 @@ def q_stream_score(spark, sf_dir):
                               drop=["l_partkey", "l_suppkey"])
     scored = scoring.score(src, model, keep=["l_orderkey", "l_linenumber", LI_TARGET])
     out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
-    q = streams.write_stream(scored, out, ckpt, name=None)
-    q.awaitTermination()
+    streams.run_to_end(streams.write_stream(scored, out, ckpt, name=None))
     return spark.read.parquet(out)
 
 
@@ -994,5 +993,5 @@ def q_stream_events(spark, sf_dir):
     src = streams.read_stream(spark, f"{sf_dir}/events*.parquet", ev.schema, max_files_per_trigger=1, drop=["ts"])
     parsed = C.parse_json_fields(src, "props", {"k": "bigint"}).drop("props")
     out, ckpt = scratch_path(spark, "events-out"), scratch_path(spark, "events-ckpt")
-    streams.write_stream(parsed, out, ckpt, name=None).awaitTermination()
+    streams.run_to_end(streams.write_stream(parsed, out, ckpt, name=None))
     return spark.read.parquet(out)

@@ -43,6 +43,17 @@ def write_stream(df: DataFrame, path: str, checkpoint: str, name: str | None = N
     return w.start(path)
 
 
+def run_to_end(query: StreamingQuery, timeout: float = 3600.0) -> StreamingQuery:
+    """Wait for an ``availableNow`` query to finish; stop it and raise if it
+    has not finished within ``timeout`` seconds (never wait unbounded)."""
+    if not query.awaitTermination(timeout):
+        query.stop()
+        raise TimeoutError(f"stream {query.name or query.id} did not finish within {timeout} s")
+    if query.exception() is not None:
+        raise RuntimeError(f"stream failed: {query.exception()}")
+    return query
+
+
 def preview_stream(df: DataFrame, name: str) -> StreamingQuery:
     """In-memory sink queryable as table ``name`` (tests and notebooks only:
     the memory sink keeps everything on the driver)."""
