@@ -67,3 +67,17 @@ def test_entry_runs(spark):
     df = entry.entry(spark)
     assert set(df.columns) == {"feature", "statistic", "prod_value", "new_value", "lower", "upper", "direction"}
     df.collect()
+
+
+RANGED = ["summary_stats", "summary_drift", "box_stats", "levene_stat", "ks_stat", "chi2_paired_stat",
+          "stratified_split", "impute_median", "roc_auc", "records_payload", "split_payload"]
+
+
+@pytest.mark.parametrize("name", RANGED)
+def test_many_ranges_match_oracle(spark, con, monkeypatch, name):
+    """The same answers when every group is cut into many ranges (the path
+    large inputs take)."""
+    from tidemark.operators import ranking
+    monkeypatch.setattr(ranking, "TARGET_ROWS_PER_RANGE", 300)
+    monkeypatch.setattr(ranking, "MIN_ROWS_PER_RANGE", 50)
+    test_query_matches_oracle(spark, con, name)

@@ -97,7 +97,11 @@ def range_buckets(df: DataFrame, by: Sequence[str], order: str, buckets: int | N
         joined = df.withColumn("_tm_bounds", df.agg(bounds_agg).scalar())
     bucket = F.expr(f"size(filter(_tm_bounds, b -> b < `{key}`))")
     out = joined.withColumn(_BUCKET, F.coalesce(bucket, F.lit(0))).drop("_tm_bounds")
-    return out.drop(key) if key != order else out
+    out = out.drop(key) if key != order else out
+    # Written once: both branches of the running totals read the range id as
+    # a stored column (and the optimizer never pushes predicates derived
+    # from the boundary expression into the aggregated branch).
+    return materialize(out)
 
 
 def running_totals(df: DataFrame, by: Sequence[str], order: str | Sequence[str], weights: Sequence[str],
