@@ -211,3 +211,21 @@ def test_roc_auc_matches_pairwise_count(spark):
     pairs = (pos[:, None] > neg[None, :]).sum() + 0.5 * (pos[:, None] == neg[None, :]).sum()
     assert got["auc"] == pytest.approx(pairs / (len(pos) * len(neg)), rel=1e-12)
     assert got["n_pos"] == len(pos) and got["n_neg"] == len(neg)
+
+
+def test_hot_value_with_many_ranges(spark, monkeypatch):
+    """A value holding a third of all rows, groups cut into many ranges:
+    KS and Levene still equal the brute-force answers."""
+    from tidemark.operators import ranking
+    monkeypatch.setattr(ranking, "TARGET_ROWS_PER_RANGE", 40)
+    monkeypatch.setattr(ranking, "MIN_ROWS_PER_RANGE", 10)
+    rng = np.random.default_rng(7)
+    a = np.round(rng.normal(5, 2, 600), 1)
+    b = np.round(rng.normal(5.3, 2.5, 450), 1)
+    a[:200] = 5.0
+    b[:150] = 5.0
+    ref, new = _frame(spark, a), _frame(spark, b)
+    ks = drift.ks_statistics(ref, new, ["x"]).collect()[0]
+    dp, dm = _ks(a, b)
+    assert ks["d_plus"] == pytest.approx(dp) and ks["d_minus"] == pytest.approx(dm)
+    assert drift.levene(ref, new, ["x"]).collect()[0]["statistic"] == pytest.approx(_levene(a, b), rel=1e-9)
