@@ -229,3 +229,13 @@ def test_hot_value_with_many_ranges(spark, monkeypatch):
     dp, dm = _ks(a, b)
     assert ks["d_plus"] == pytest.approx(dp) and ks["d_minus"] == pytest.approx(dm)
     assert drift.levene(ref, new, ["x"]).collect()[0]["statistic"] == pytest.approx(_levene(a, b), rel=1e-9)
+
+
+def test_paired_summary_equals_separate_profiles(spark):
+    a = _frame(spark, [1.0, 2.0, 2.0, None, 9.0])
+    b = _frame(spark, [4.0, 4.0, 5.0, 7.5])
+    pa, pb = stats.paired_summary_stats(a, b, ["x"])
+    for paired, single in ((pa, stats.summary_stats(a, ["x"])), (pb, stats.summary_stats(b, ["x"]))):
+        got = {r["statistic"]: r["value"] for r in paired.collect()}
+        want = {r["statistic"]: r["value"] for r in single.collect()}
+        assert got == pytest.approx(want)

@@ -84,6 +84,16 @@ def profile_from_counts(counts: DataFrame, by: Sequence[str] = ("feature",),
                       "min", "max", "null_count", *list(probs))
 
 
+_STAT_SOURCE = {"count": "count", "mean": "mean", "std": "std", "min": "min", "25%": "25%", "50%": "50%",
+                "75%": "75%", "max": "max", "median": "50%", "null_count": "null_count"}
+
+
+def _stats_long(wide: DataFrame, keys: Sequence[str]) -> DataFrame:
+    items = [F.struct(F.lit(stat).alias("statistic"), F.col(f"`{col}`").cast("double").alias("value"))
+             for stat, col in _STAT_SOURCE.items()]
+    return wide.select(*keys, F.explode(F.array(*items)).alias("_r")).select(*keys, "_r.statistic", "_r.value")
+
+
 def summary_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Numeric profile: (feature, statistic, value) with the statistics in
     ``NUMERIC_STATISTICS``. ``median`` equals ``50%`` (both exact). The
@@ -93,12 +103,20 @@ def summary_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     columns = list(columns)
     if not columns:
         raise ValueError("no numeric columns to profile")
-    wide = profile_from_counts(numeric_counts(df, columns))
-    src = {"count": "count", "mean": "mean", "std": "std", "min": "min", "25%": "25%", "50%": "50%",
-           "75%": "75%", "max": "max", "median": "50%", "null_count": "null_count"}
-    items = [F.struct(F.lit(stat).alias("statistic"), F.col(f"`{col}`").cast("double").alias("value"))
-             for stat, col in src.items()]
-    return wide.select("feature", F.explode(F.array(*items)).alias("_r")).select("feature", "_r.statistic", "_r.value")
+    return _stats_long(profile_from_counts(numeric_counts(df, columns)), ["feature"])
+
+
+def paired_summary_stats(reference: DataFrame, new: DataFrame,
+                         columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """``summary_stats`` of two periods from one grouped pass over both
+    (one counts table keyed by period, one ranking job), as two long tables."""
+    columns = list(columns)
+    both = (reference.select(*columns).withColumn("_period", F.lit(0))
+            .unionByName(new.select(*columns).withColumn("_period", F.lit(1))))
+    wide = profile_from_counts(numeric_counts(both, columns, keep=["_period"]), ["_period", "feature"])
+    long = materialize(_stats_long(wide, ["_period", "feature"]))  # small: periods x features x 10
+    return (long.where(F.col("_period") == 0).drop("_period"),
+            long.where(F.col("_period") == 1).drop("_period"))
 
 
 def categorical_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -377,8 +377,7 @@ _DRIFT_LIMIT = 0.01
 
 def summary_drift_job(spark, sf_dir, limit=_DRIFT_LIMIT):
     ref, new = li_periods(spark, sf_dir)
-    prod_stats = stats.summary_stats(ref, LI_NUM)
-    new_stats = stats.summary_stats(new, LI_NUM)
+    prod_stats, new_stats = stats.paired_summary_stats(ref, new, LI_NUM)
     out = drift.summary_drift(new_stats, prod_stats, LI_NUM, limit)
     return out.select("feature", "statistic", *[r4(F.col(c)).alias(c) for c in ("prod_value", "new_value", "lower", "upper")],
                       "direction")

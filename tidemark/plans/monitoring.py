@@ -30,8 +30,8 @@ def period_report(production: DataFrame, new: DataFrame, numeric: Sequence[str],
         F.lit(float(null_threshold)).alias("threshold"), F.col("flagged"))
     parts = [nulls]
     if numeric:
-        moved = drift.summary_drift(stats.summary_stats(new, numeric), stats.summary_stats(production, numeric),
-                                    numeric, stats_limit, statistics)
+        prod_stats, new_stats = stats.paired_summary_stats(production, new, numeric)
+        moved = drift.summary_drift(new_stats, prod_stats, numeric, stats_limit, statistics)
         parts.append(moved.select(
             F.lit("summary").alias("check"), "feature", "statistic", F.col("new_value").alias("value"),
             F.lit(None).cast("double").alias("p_value"), F.lit(float(stats_limit)).alias("threshold"),
