@@ -201,7 +201,10 @@ def box_stats(datasets: dict[str, DataFrame], columns: Sequence[str], whis: floa
         parts = part if parts is None else parts.unionByName(part)
     counts = materialize(parts.where(F.col("value").isNotNull())
                          .groupBy("feature", "dataset", "value").agg(F.count(F.lit(1)).alias("_cnt")))
-    q = profile_from_counts(counts, ["feature", "dataset"], {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    ranked = running_totals(counts, ["feature", "dataset"], "value", ["_cnt"], materialized=True)
+    q_aggs, q_final = quantile_aggs("value", "_cnt", {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    q = ranked.groupBy("feature", "dataset").agg(*q_aggs).select(
+        "feature", "dataset", *[expr.alias(name) for name, expr in q_final.items()])
     fences = q.select("feature", "dataset", "q1", "median", "q3",
                       (F.col("q1") - F.lit(whis) * (F.col("q3") - F.col("q1"))).alias("_lo"),
                       (F.col("q3") + F.lit(whis) * (F.col("q3") - F.col("q1"))).alias("_hi"))
