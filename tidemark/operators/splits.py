@@ -17,7 +17,9 @@ _BITS = 60  # first 15 hex digits of the digest
 
 
 def hash_bits(keys: Sequence[str], seed: int) -> Column:
-    """First 60 bits of md5("k1:k2:...:seed") as a non-negative bigint."""
+    """First 60 bits of md5("k1:k2:...:seed") as a non-negative bigint.
+    Null key parts are skipped, so rows whose keys are all null hash alike
+    (they land on one side together); split on a non-null key."""
     text = F.concat_ws(":", *[F.col(k).cast("string") for k in keys], F.lit(str(seed)))
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
