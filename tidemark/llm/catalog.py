@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import oracles, pii
+from tidemark.llm import minhash, oracles, pii
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -35,4 +35,11 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pii.digest(of(*pii.BASE)), 256).alias("base_sha256"), pii.digest(F.col("pii")).alias("spans"))
 
 
+@query
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near copies of every document, on shingles of four words."""
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
+    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
 ORACLE: dict[str, str] = oracles.SQL

@@ -57,4 +57,18 @@ select doc_id, {', '.join(f"coalesce(n_{k}, 0) as n_{k}" for k in list(_PLAIN)[:
 from d left join g using (rn)"""
 
 
-SQL: dict[str, str] = {"op1_pii": _pii()}
+_NEAR = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from documents),
+s as (
+  select distinct doc_id, unnest(case when len(ws) = 0 then [] when len(ws) < 4 then [ws]
+    else list_transform(range(1, len(ws) - 2), lambda i: ws[i:i + 3]) end) as sh from w),
+n as (select doc_id, count(*) as n from s group by doc_id),
+c as (select a.doc_id as x, b.doc_id as y, count(*) as inter from s a join s b on a.sh = b.sh and a.doc_id <> b.doc_id group by all),
+l as (select x, y from c join n p on x = p.doc_id join n q on y = q.doc_id where 100 * inter >= 80 * (p.n + q.n - inter)),
+r as (select doc_id as x, doc_id as y from documents union select r.x, l.y from r join l on r.y = l.x)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, m.c as component_id, d.doc_id = m.c as kept
+from documents d left join n using (doc_id) join (select x, min(y) as c from r group by x) m on m.x = d.doc_id"""
+
+
+SQL: dict[str, str] = {"op1_pii": _pii(), "op10_minhash": _NEAR}
