@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import minhash, oracles, pii
+from tidemark.llm import minhash, oracles, pii, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -35,6 +35,13 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pii.digest(of(*pii.BASE)), 256).alias("base_sha256"), pii.digest(F.col("pii")).alias("spans"))
 
 
+@query
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that no earlier document's string of 50 bytes covers."""
+    found = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of near copies of every document, on shingles of four words."""

@@ -70,5 +70,21 @@ r as (select doc_id as x, doc_id as y from documents union select r.x, l.y from
 select d.doc_id, coalesce(n.n, 0) as n_shingles, m.c as component_id, d.doc_id = m.c as kept
 from documents d left join n using (doc_id) join (select x, min(y) as c from r group by x) m on m.x = d.doc_id"""
 
+_REPEATS = """
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+w as (select doc_id, i, substr(h, 2 * i + 1, 100) as s from d, unnest(range(0, length(h) // 2 - 49)) as u(i)),
+f as (select w.doc_id, w.i from w join (select s, min(doc_id) as m from w group by s) using (s) where m < w.doc_id),
+g as (select *, sum(new) over (partition by doc_id order by i) as g
+      from (select *, case when i <= lag(i) over (partition by doc_id order by i) + 50 then 0 else 1 end as new from f)),
+p as (select doc_id, g, min(i) as a, max(i) + 50 as b from g group by doc_id, g),
+q as (select doc_id, sum(b - a) as n_removed, count(*) as n_spans from p group by doc_id),
+k as (select doc_id, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' order by a) as h from (
+        select p.doc_id, d.h, coalesce(lag(p.b) over (partition by p.doc_id order by p.a), 0) as a, p.a as b from p join d using (doc_id)
+        union all select doc_id, any_value(d.h), max(b), length(any_value(d.h)) // 2 from p join d using (doc_id) group by doc_id)
+      group by doc_id)
+select doc_id, length(d.h) // 2 as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed, coalesce(n_spans, 0) as n_spans,
+       sha256(unhex(coalesce(k.h, d.h))) as kept_sha256
+from d left join q using (doc_id) left join k using (doc_id)"""
 
-SQL: dict[str, str] = {"op1_pii": _pii(), "op10_minhash": _NEAR}
+
+SQL: dict[str, str] = {"op1_pii": _pii(), "op9_suffix_dedup": _REPEATS, "op10_minhash": _NEAR}
