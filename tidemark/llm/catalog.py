@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import minhash, oracles, pii, suffixes
+from tidemark.llm import kneser, minhash, oracles, pii, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -35,6 +35,13 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pii.digest(of(*pii.BASE)), 256).alias("base_sha256"), pii.digest(F.col("pii")).alias("spans"))
 
 
+@query
+def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every document under a model of four fifths of them."""
+    found = kneser.score_held_out(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that no earlier document's string of 50 bytes covers."""
