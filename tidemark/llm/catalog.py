@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import kneser, minhash, oracles, pii, suffixes
+from tidemark.llm import kneser, minhash, oracles, packing, pii, suffixes, tokencounts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -35,6 +35,27 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pii.digest(of(*pii.BASE)), 256).alias("base_sha256"), pii.digest(F.col("pii")).alias("spans"))
 
 
+@query
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in sequences of 1024 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document before and after three edits: the first line goes, the
+    source is put in the middle, and a stretch at the first quarter turns to capitals."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "source")
+    quarter = F.floor(F.length("text") / 4).cast("int")
+    edits = F.array(*[F.struct(pos.alias("pos"), remove.alias("remove"), insert.alias("insert")) for pos, remove, insert in (
+        (quarter, F.lit(20), F.upper(F.substring("text", quarter + 1, F.lit(20)))),
+        (F.floor(F.length("text") / 2).cast("int"), F.lit(0), F.concat(F.lit(" "), F.coalesce("source", F.lit("")))),
+        (F.lit(0), F.instr("text", "\n"), F.lit("")))])
+    state = tokencounts.build(docs.select("doc_id", "text", edits.alias("edits"))).withColumnRenamed("n_tokens", "n_tokens_before")
+    done = tokencounts.apply_edits(state)
+    return done.select("doc_id", "n_tokens_before", F.col("n_tokens").alias("n_tokens_after"), F.size("leaves").alias("n_leaves"), "n_encoded")
+
+
 @query
 def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     """log10 probability of every document under a model of four fifths of them."""
