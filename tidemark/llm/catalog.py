@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import kneser, minhash, oracles, packing, pii, suffixes, tokencounts
+from tidemark.llm import decontaminate, kneser, minhash, oracles, packing, pii, suffixes, tokencounts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -35,6 +35,12 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pii.digest(of(*pii.BASE)), 256).alias("base_sha256"), pii.digest(F.col("pii")).alias("spans"))
 
 
+@query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Occurrences of benchmark items in documents, with up to a twentieth of edits."""
+    return decontaminate.occurrences(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every piece of every document in sequences of 1024 tokens."""
