@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, kneser, minhash, oracles, packing, pii, suffixes, tokencounts
+from tidemark.llm import decontaminate, kneser, minhash, oracles, packing, pii, quality, suffixes, tokencounts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -41,6 +41,16 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.occurrences(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from two thirds of the labels."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    model = quality.train(docs, table(spark, sf_dir, "labels"), seen=~held)
+    scored = quality.score(docs, model).select("doc_id", held.alias("held_out"), "score")
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 @query
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every piece of every document in sequences of 1024 tokens."""
