@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, kneser, minhash, oracles, packing, pii, quality, suffixes, tokencounts
+from tidemark.llm import decontaminate, kneser, minhash, neighbours, oracles, packing, pii, quality, suffixes, tokencounts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -35,6 +35,12 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pii.digest(of(*pii.BASE)), 256).alias("base_sha256"), pii.digest(F.col("pii")).alias("spans"))
 
 
+@query
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest vectors of every vector whose id is divisible by 100."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 @query
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Occurrences of benchmark items in documents, with up to a twentieth of edits."""
