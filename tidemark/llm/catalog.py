@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, kneser, minhash, neighbours, oracles, packing, pii, quality, suffixes, tokencounts
+from tidemark.llm import decontaminate, kneser, minhash, neighbours, oracles, packing, paragraphs, pii, quality, suffixes, tokencounts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -41,6 +41,15 @@ def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+@query
+def op3_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class, matches and repeated spans of every document."""
+    found = paragraphs.repeats(table(spark, sf_dir, "documents"))
+    spans = F.concat_ws(",", F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))))
+    size = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"])
+    return found.select("doc_id", "component_id", "n_links", F.size("spans").cast("long").alias("n_spans"), size.alias("n_removed"), spans.alias("spans"))
+
+
 @query
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Occurrences of benchmark items in documents, with up to a twentieth of edits."""
