@@ -8,9 +8,12 @@
    all with all. The signature's equal bits, corrected for chance collisions,
    estimate the similarity inside the join (``bit_count``); pairs far below the
    threshold stop there, and the rest are confirmed on the full sets.
-4. Where a bucket still holds several components, its members of different
-   components are compared (again estimate first), so that no link that could
-   join two components is lost. Components follow by star rounds.
+4. Where a bucket still holds several components, links between them may be
+   missing. The documents of such buckets are dealt to groups, connected sets of
+   buckets of at most ``GROUP`` documents; larger sets go bucket by bucket, a larger
+   bucket by pairs of its blocks. A task holds the full sets of one group, counts
+   common shingles where components differ and the estimate allows it, and hands
+   on only links that join components. No pairs are emitted or shuffled.
 
 A pair at the threshold 0.8 shares no bucket with probability below 1e-7, and
 the estimate cuts ``SLACK`` standard deviations below the threshold.
@@ -36,6 +39,9 @@ PERMUTATIONS = 128
 BANDS = 32
 BITS = 2
 SLACK = 5.0
+#: Documents whose sets one task compares, and candidate pairs up to which it takes them one by one.
+GROUP = 4096
+SINGLE_PAIRS = 20_000
 U64 = np.uint64
 
 _PER_LONG = 64 // BITS
@@ -136,30 +142,104 @@ def _close(percent: int) -> Column:
     return sizes & (equal_minima("x", "y") >= least_equal(percent))
 
 
+def _joins(table: pa.Table, k: int, percent: int) -> list[tuple[int, int]]:
+    """Links that join components of a group: rows with id, component, text and sketch."""
+    table = table.sort_by([("id", "ascending"), ("n", "ascending"), ("d1", "ascending"), ("d2", "ascending")])
+    ids = table.column("id").to_numpy()
+    names, label = np.unique(table.column("component").to_numpy(), return_inverse=True)
+    data, off = textbuf.buffers(table.column("text"))
+    _, _, row, word = textbuf.words(data, off)
+    hashes, first = textbuf.shingles(row, word, len(ids), k)
+    sets = [np.unique(hashes[first[i]:first[i + 1]]) for i in range(len(ids))]
+    n = np.array([len(x) for x in sets], np.int64)
+    del data, row, word, hashes
+    packed = np.stack([table.column(s).to_numpy().view(U64) for s in SIGNATURE], axis=1)
+    least, odd = least_equal(percent), U64((1 << 64) // 3)
+    candidates = []
+    for i in range(len(ids) - 1):
+        x = packed[i + 1:] ^ packed[i]
+        equal = PERMUTATIONS - np.bitwise_count((x | (x >> U64(1))) & odd).sum(axis=1, dtype=np.int64)
+        size = 100 * np.minimum(n[i + 1:], n[i]) >= percent * np.maximum(n[i + 1:], n[i])
+        j = np.flatnonzero((equal >= least) & size & (label[i + 1:] != label[i])) + i + 1
+        candidates.append(np.stack([np.full(len(j), i), j]))
+    one, two = np.concatenate(candidates, axis=1) if candidates else np.zeros((2, 0), np.int64)
+    if len(one) <= SINGLE_PAIRS:
+        common = np.array([len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for i, j in zip(one, two)], np.int64)
+    else:  # many alike: products of the incidence matrix, some columns at a time
+        own = np.unique(np.concatenate([one, two]))
+        value = np.concatenate([sets[i] for i in own])
+        holder = np.repeat(np.arange(len(own)), [len(sets[i]) for i in own])
+        _, column, times = np.unique(value, return_inverse=True, return_counts=True)
+        shared = times[column] > 1
+        holder, column = holder[shared], np.unique(column[shared], return_inverse=True)[1]
+        order = np.argsort(column, kind="stable")
+        holder, column = holder[order], column[order]
+        total = np.zeros((len(own), len(own)), np.float32)
+        for c in range(0, int(column.max(initial=-1)) + 1, 2048):
+            a, b = np.searchsorted(column, [c, c + 2048])
+            part = np.zeros((len(own), 2048), np.float32)
+            part[holder[a:b], column[a:b] - c] = 1
+            total += part @ part.T
+        common = total[np.searchsorted(own, one), np.searchsorted(own, two)].astype(np.int64)
+    good = 100 * common >= percent * (n[one] + n[two] - common)
+    root = np.arange(len(names))
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    out = []
+    for i, j in zip(one[good], two[good]):
+        a, b = find(label[i]), find(label[j])
+        if a != b:
+            root[a] = b
+            out.append((int(ids[i]), int(ids[j])))
+    return out
+
+
+def _groups(mixed: DataFrame) -> DataFrame:
+    """(g, i, j, id): groups in which the documents of the buckets (key, id, lead) meet."""
+    sets = cut(components(mixed.select(F.col("id").alias("a"), F.col("lead").alias("b"))))
+    large = sets.groupBy("component").agg(F.count("*").alias("size")).filter(F.col("size") > GROUP).select("component")
+    none = F.lit(0).cast("long")
+    small = sets.join(large, "component", "left_anti").select(F.col("component").alias("g"), none.alias("i"), none.alias("j"), "id")
+    rest = mixed.join(sets.join(large, "component").select("id"), "id").select("key", "id").distinct()
+    blocks = rest.groupBy("key").agg(F.ceil(F.count("*") / (GROUP // 2)).alias("blocks")).withColumn("blocks", F.when(F.col("blocks") <= 2, 1).otherwise(F.col("blocks")))
+    own = F.pmod(F.xxhash64("id"), F.col("blocks"))
+    dealt = (rest.join(blocks, "key").select("key", "id", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")))
+    return small.unionAll(dealt.select(F.col("key").alias("g"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id").distinct())
+
+
 def links(docs: DataFrame, sketched: DataFrame, k: int, percent: int) -> DataFrame:
     """(a, b) links whose components are those of all pairs with the similarity."""
     own = sketched.filter("id is not null and n > 0")
     classes = own.groupBy("n", "d1", "d2").agg(F.min("id").alias("rep"))
     copies = cut(own.join(classes, ["n", "d1", "d2"]).filter("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct())
     reps = own.join(copies.select(F.col("a").alias("id")).distinct(), "id", "left_anti").dropDuplicates(["id", "n", "d1", "d2"])
-    slim = ["id", "n", *SIGNATURE]
-    rows = cut(reps.select(*slim, F.explode("bands").alias("key")))
-    shared = cut(rows.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("far")).filter("far > lead").select("key", "lead"))
-    members = rows.join(shared, "key")
-    leads = reps.select(*slim).alias("y")
-    tried = cut(members.filter("id <> lead").select(*slim, "lead").distinct().alias("x")
-                .join(leads, F.col("x.lead") == F.col("y.id")).filter(_close(percent))
-                .select(F.col("y.id").alias("a"), F.col("x.id").alias("b")).distinct())
-    found = cut(copies.unionAll(confirm(tried, docs, k, percent)).distinct())
+    slim = cut(reps.select("id", "n", "d1", "d2", *SIGNATURE))
+    rows = reps.select("id", F.explode("bands").alias("key"))
+    shared = rows.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("far")).filter("far > lead").select("key", "lead")
+    members = cut(rows.join(shared, "key"))
+    body = cut(docs.join(members.select("id").distinct(), "id", "left_semi"))
+    pairs = members.filter("id <> lead").select("id", "lead").distinct()
+    tried = (pairs.join(slim, "id").alias("x").join(slim.alias("y"), F.col("x.lead") == F.col("y.id")).filter(_close(percent))
+             .select(F.col("y.id").alias("a"), F.col("x.id").alias("b")).distinct())
+    found = cut(copies.unionAll(confirm(tried, body, k, percent)).distinct())
     parts = components(found)
-    split = cut(members.select("key", *slim).join(parts, "id", "left").withColumn("component", F.coalesce("component", "id")))
-    mixed = split.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
-    open_ = cut(split.join(mixed, "key"))
-    x, y = open_.alias("x"), open_.alias("y")
-    late = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")) & _close(percent))
-            .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
-            .join(tried, ["a", "b"], "left_anti"))
-    return found.unionAll(confirm(cut(late), docs, k, percent))
+    split = cut(members.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id")))
+    keys = split.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
+    groups = _groups(cut(split.join(keys, "key").select("key", "id", "lead")))
+    labels = parts.withColumnRenamed("id", "of")
+    full = (groups.join(body, "id").join(slim, "id").join(labels, F.col("id") == F.col("of"), "left").drop("of")
+            .withColumn("component", F.coalesce("component", "id")))
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        out = _joins(table, k, percent)
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+    return found.unionAll(full.groupBy("g", "i", "j").applyInArrow(run, "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 
 U64 = np.uint64
 #: Bytes of text handled at once; a longer single text is handled alone.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _BYTES = np.arange(256, dtype=np.uint8)
 LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
