@@ -12,7 +12,7 @@ merged by binary search on sorted keys:
    smallest document, to the shard of the key. Equal strings have equal keys, so
    they meet in one shard.
 4. A shard builds the suffix array of its runs by Larsson-Sadakane refinement:
-   ranks of 8, 16, 32 bytes by doubling, then LENGTH; only positions that still
+   ranks of 5, 10, 20, 40 bytes by doubling, then LENGTH; only positions that still
    share a rank are sorted again. Neighbours with a common prefix of LENGTH
    bytes form a group, whose smallest document goes back to the blocks.
 5. Blocks mark the strings with a smaller document and cut the bytes they cover.
@@ -41,6 +41,8 @@ LENGTH = 50
 GRAM = 20
 #: Text bytes that one block should hold.
 BLOCK_BYTES = 12 << 20
+#: Shards per block, so that the arrays of a shard stay within some 100 MB.
+SHARDS = 16
 U64 = np.uint64
 
 
@@ -154,7 +156,7 @@ def _block_runs(n: int):
             bodies.append(data[np.repeat(begin - place, size) + np.arange(size.sum())])
             parts.append((name, low, high, keys[use][first], size, place + at))
             at += int(size.sum())
-        out = {"shard": [], "names": [], "sizes": [], "low": [], "two": [], "body": []}
+        out = {"shard": [], "sizes": [], "low": [], "two": [], "body": []}
         if parts:
             name, low, high, keys, size, place = (np.concatenate([p[j] for p in parts]) for j in range(6))
             body = np.concatenate(bodies)
@@ -167,8 +169,7 @@ def _block_runs(n: int):
                 own = size[group]
                 shift = np.cumsum(own) - own
                 out["shard"].append(int(to[group[0]]))
-                out["names"].append(name[group].tobytes())
-                out["sizes"].append(own.astype(np.int64).tobytes())
+                out["sizes"].append(own.astype(np.int32).tobytes())
                 out["low"].append(low[group].astype(np.int64).tobytes())
                 out["two"].append((high[group] > low[group]).astype(np.uint8).tobytes())
                 out["body"].append(body[np.repeat(place[group] - shift, own) + np.arange(own.sum())].tobytes())
@@ -178,19 +179,33 @@ def _block_runs(n: int):
     return run
 
 
+def _sorted(key: np.ndarray, bits: int) -> np.ndarray:
+    """Places of the keys (of at most ``bits`` bits) in order; key and place sort as one number if they fit."""
+    place = len(key).bit_length()
+    if bits + place > 64:
+        return np.argsort(key)
+    packed = np.sort((key << U64(place)) | np.arange(len(key), dtype=U64))
+    return (packed & U64((1 << place) - 1)).astype(np.int64)
+
+
 def refine(data: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions with LENGTH bytes left in their run that share them with another, in suffix order,
     and where a new group of equal strings begins."""
     end = np.cumsum(size)
-    left = np.repeat(end, size) - np.arange(len(data))  # bytes to the end of the run
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    left = (np.repeat(end, size) - np.arange(len(data))).astype(np.int32)  # bytes to the end of the run
+    have = 5  # bytes that one sort takes at first: 40 bits leave room for the place
+    padded = np.concatenate([data, np.zeros(have, np.uint8)])
     word = np.zeros(len(data), U64)
-    for j in range(8):
-        word = (word << U64(8)) | padded[j:j + len(data)].astype(U64)
-    live = np.flatnonzero(left >= 8)
-    order = live[np.argsort(word[live], kind="stable")]
-    new = np.append(True, word[order][1:] != word[order][:-1]) if len(order) else np.zeros(0, bool)
-    rank = np.zeros(len(data), np.int64)
+    for j in range(have):
+        word = (word << U64(8)) | padded[j:j + len(data)]
+    order = np.flatnonzero(left >= have)
+    word = word[order]
+    sort = _sorted(word, 8 * have)
+    order, word = order[sort], word[sort]
+    new = np.append(True, word[1:] != word[:-1]) if len(order) else np.zeros(0, bool)
+    del word, sort
+    rank = np.zeros(len(data), np.int32)
+    bits = len(data).bit_length()
 
     def settle(order, new, base):
         """Ranks are places of groups in the whole order; members of groups of one leave."""
@@ -199,17 +214,15 @@ def refine(data: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         alone = new & np.append(new[1:], True)
         return order[~alone], new[~alone], base[~alone]
 
-    have = 8
-    order, new, base = settle(order, new, np.arange(len(order)))
+    order, new, base = settle(order, new, np.arange(len(order), dtype=np.int32))
     while have < LENGTH and len(order):
         step = min(have, LENGTH - have)  # the last step overlaps
         longer = left[order] >= have + step
         order, base = order[longer], base[longer]
-        one, two = rank[order], rank[order + step]
-        sort = np.lexsort((two, one))
-        order, one, two = order[sort], one[sort], two[sort]
-        base = np.sort(base)
-        new = np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])) if len(order) else np.zeros(0, bool)
+        key = (rank[order].astype(U64) << U64(bits)) | rank[order + step].astype(U64)
+        sort = _sorted(key, 2 * bits)
+        order, key = order[sort], key[sort]  # groups stay where they are, so their places do
+        new = np.append(True, key[1:] != key[:-1]) if len(order) else np.zeros(0, bool)
         have += step
         order, new, base = settle(order, new, base)
     if have < LENGTH:
@@ -219,14 +232,13 @@ def refine(data: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _shard(table: pa.Table) -> pa.Table:
     """Step 4: smallest document of each string, as stretches of each run that needs them."""
-    sizes = [np.frombuffer(x, np.int64) for x in table.column("sizes").to_pylist()]
-    size = np.concatenate(sizes)
-    name = _u64(table.column("names"))
+    sizes = [np.frombuffer(x, np.int32) for x in table.column("sizes").to_pylist()]
+    size = np.concatenate(sizes).astype(np.int64)
     low = np.frombuffer(b"".join(table.column("low").to_pylist()), np.int64)
     two = np.frombuffer(b"".join(table.column("two").to_pylist()), np.uint8).astype(bool)
     data = np.frombuffer(b"".join(table.column("body").to_pylist()), np.uint8)
     block = np.repeat(np.array(table.column("block").to_pylist(), np.int64), [len(x) for x in sizes])
-    run_of = np.repeat(np.arange(len(size)), size)
+    run_of = np.repeat(np.arange(len(size), dtype=np.int32), size)
     least = low[run_of]
     order, new = refine(data, size)
     if len(order):
@@ -234,7 +246,7 @@ def _shard(table: pa.Table) -> pa.Table:
         group = np.minimum.reduceat(least[order], first)
         least[order] = np.repeat(group, np.diff(np.append(first, len(order))))
     begin = np.cumsum(size) - size
-    inside = np.arange(len(data)) - begin[run_of]
+    inside = (np.arange(len(data)) - begin[run_of]).astype(np.int32)
     string = inside <= size[run_of] - LENGTH
     need = string & (two[run_of] | (least < low[run_of]))
     edge = need.copy()
@@ -247,7 +259,7 @@ def _shard(table: pa.Table) -> pa.Table:
     sort = np.argsort(block[of], kind="stable")
     at, until, of = at[sort], until[sort], of[sort]
     cut = np.flatnonzero(np.append(True, block[of][1:] != block[of][:-1])) if len(of) else np.zeros(0, np.int64)
-    columns = {"names": name[of], "first": inside[at].astype(np.int64), "many": (until - at).astype(np.int64), "low": least[at].astype(np.int64)}
+    columns = {"names": textbuf.span_hash(data, begin[of], begin[of] + size[of]), "first": inside[at].astype(np.int64), "many": (until - at).astype(np.int64), "low": least[at].astype(np.int64)}
     ends = np.append(cut[1:], len(of))
     return pa.table({"block": pa.array(block[of][cut])} | {
         k: pa.array([v[a:b].tobytes() for a, b in zip(cut, ends)], pa.binary()) for k, v in columns.items()})
@@ -305,7 +317,7 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
     keys = blocks.applyInArrow(_block_keys(n), "part long, block long, keys binary, two binary")
     shared = keys.groupBy("part").applyInArrow(_merge_keys, "block long, keys binary")
     sent = blocks.cogroup(shared.groupBy("block")).applyInArrow(
-        _block_runs(n), "shard long, names binary, sizes binary, low binary, two binary, body binary, block long")
+        _block_runs(n * SHARDS), "shard long, sizes binary, low binary, two binary, body binary, block long")
     found = sent.groupBy("shard").applyInArrow(_shard, "block long, names binary, first binary, many binary, low binary")
     clean = blocks.cogroup(found.groupBy("block")).applyInArrow(_clean, _RESULT)
     whole = slim.filter("doc_id is null").select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),

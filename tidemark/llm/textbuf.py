@@ -10,8 +10,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-#: Bytes of text handled at once; a longer single text is handled alone.
-CHUNK_BYTES = 1 << 20
+#: Bytes of text handled at once (arrays of them fit a core's cache); a longer single text is handled alone.
+CHUNK_BYTES = 1 << 18
 
 _BYTES = np.arange(256, dtype=np.uint8)
 LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
