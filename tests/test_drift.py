@@ -239,3 +239,48 @@ def test_paired_summary_equals_separate_profiles(spark):
         got = {r["statistic"]: r["value"] for r in paired.collect()}
         want = {r["statistic"]: r["value"] for r in single.collect()}
         assert got == pytest.approx(want)
+
+
+def test_kolmogorov_near_zero_is_one(spark):
+    df = spark.createDataFrame([(v,) for v in (0.0, 0.001, 0.005, 0.01, 0.2, 0.999999, 1.0, 1.36, 5.0)], "lam double")
+    got = [r[0] for r in df.select(pvalues.kolmogorov_sf(F.col("lam"))).collect()]
+    assert got[:4] == [1.0] * 4 and abs(got[4] - 1.0) < 1e-9 and abs(got[5] - got[6]) < 1e-5
+    assert abs(got[7] - 0.0494858) < 1e-6 and got[8] < 1e-20
+
+
+def test_one_changed_value_in_many_is_no_drift(spark):
+    ref = spark.range(0, 200_000).select(F.col("id").cast("double").alias("x"))
+    new = ref.withColumn("x", F.when(F.col("x") == 7, -1.0).otherwise(F.col("x")))
+    row = drift.ks_test(ref, new, ["x"]).first()
+    assert row["p_value"] == 1.0 and not row["drifted"]
+
+
+@pytest.mark.parametrize("stat,dof,want", [(3.841458820694124, 1, 0.05), (10, 10, 0.440493285), (0.5, 2, 0.778800783), (1e9, 1e9, 0.5), (1e10, 1e10, 0.5), (200, 3, 0)])
+def test_chi2_tail(stat, dof, want):
+    assert abs(pvalues.chi2_sf(stat, dof) - want) < 1e-5
+
+
+@pytest.mark.parametrize("stat,d1,d2,want", [(4, 1, 10, 0.0733880), (2, 1, 1e14, 0.1572992), (161.4476, 1, 1, 0.05), (1, 1e8, 1e8, 0.5), (0.5, 3, 7, 0.6940364)])
+def test_f_tail(stat, d1, d2, want):
+    assert abs(pvalues.f_sf(stat, d1, d2) - want) < 1e-6
+
+
+def test_feature_without_values_stays(spark):
+    df = spark.createDataFrame([("a", None), ("b", None)], "g string, e string")
+    out = {r["feature"]: r for r in drift.chi2_homogeneity(df, df, ["g", "e"]).collect()}
+    assert out["e"]["p_value"] is None and out["e"]["dropped"] == 4 and not out["e"]["drifted"]
+    prof = {(r["feature"], r["statistic"]): r["value"] for r in stats.categorical_stats(df, ["g", "e"]).collect()}
+    assert prof["e", "count"] == 0 and prof["e", "null_count"] == 2 and prof["g", "unique"] == 2
+
+
+def test_paired_test_counts_dropped_pairs(spark):
+    ref = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(10)] + [(10, None)], "k int, g string")
+    new = spark.createDataFrame([(i, "ab"[i // 5]) for i in range(10)] + [(10, "a")], "k int, g string")
+    row = drift.chi2_paired(ref, new, ["g"], "k").first()
+    assert row["dropped"] == 1 and row["n_ref"] == 10
+
+
+def test_whisker_never_lies_inside_the_box(spark):
+    df = spark.createDataFrame([(float(v),) for v in (1, 2, 3, 100)], "x double")
+    row = stats.box_stats({"d": df}, ["x"]).first()
+    assert row["q3"] == 27.25 and row["whisker_hi"] == 27.25 and row["whisker_lo"] == 1

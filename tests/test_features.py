@@ -40,7 +40,7 @@ def test_key_violations(spark):
 
 def test_one_hot_drops_first_and_null_is_zero(spark):
     df = spark.createDataFrame([("b",), ("a",), (None,), ("c",)], "g string")
-    out = features.one_hot(df, ["g"])
+    out = features.one_hot(df, ["g"], max_levels=10)
     assert out.columns == ["g_b", "g_c"]
     assert [tuple(r) for r in out.collect()] == [(1, 0), (0, 0), (0, 0), (0, 1)]
     with pytest.raises(ValueError):
@@ -79,10 +79,10 @@ def test_column_roles(spark):
 
 def test_stratified_split_exact_counts(spark):
     df = spark.range(0, 1003).select("id", F.when(F.col("id") < 700, "big").otherwise("small").alias("s"))
-    out = splits.stratified_split(df, ["id"], "s", 0.2, 7, buckets=8)
+    out = splits.stratified_split(df, ["id"], "s", 0.2, 7, bits=4)
     got = {(r["s"], r["split"]): r["count"] for r in out.groupBy("s", "split").count().collect()}
     assert got[("big", "test")] == 140 and got[("small", "test")] == round(303 * 0.2)
-    again = splits.stratified_split(df.repartition(5), ["id"], "s", 0.2, 7, buckets=8)
+    again = splits.stratified_split(df.repartition(5), ["id"], "s", 0.2, 7, bits=9)
     assert out.where("split = 'test'").select("id").subtract(again.where("split = 'test'").select("id")).count() == 0
 
 
@@ -116,3 +116,31 @@ def test_write_features_checks_key_and_merges(spark, tmp_path):
         features.write_features(dup, str(tmp_path / "bad"), ["k"])
     with pytest.raises(ValueError):
         features.write_features(upd, v1, ["k"], mode="merge", current_path=v1)
+
+
+def test_stratified_split_keeps_null_stratum(spark):
+    df = spark.range(0, 1000).select("id", F.when(F.col("id") % 4 > 0, "x").alias("s"))
+    got = {(r["s"], r["split"]): r["count"] for r in splits.stratified_split(df, ["id"], "s", 0.2, 7).groupBy("s", "split").count().collect()}
+    assert got == {("x", "test"): 150, ("x", "train"): 600, (None, "test"): 50, (None, "train"): 200}
+
+
+def test_stratified_split_leaves_the_table_in_place(spark, sf_small):
+    o = spark.read.parquet(f"{sf_small}/orders.parquet").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    plan = splits.stratified_split(o, ["o_orderkey"], "o_orderstatus")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("o_totalprice") and "Window" in plan
+    assert all("o_totalprice" not in line for line in plan.split("\n") if "Window" in line or "Aggregate" in line)
+
+
+def test_merge_rejects_what_it_would_lose(spark):
+    cur = spark.createDataFrame([(1, "a")], "k int, v string")
+    for bad in (spark.createDataFrame([(1, "b", 2)], "k int, v string, w int"), spark.createDataFrame([(1, "b"), (1, "c")], "k int, v string"),
+                spark.createDataFrame([(None, "b")], "k int, v string")):
+        with pytest.raises(ValueError):
+            features.merge_features(cur, bad, ["k"])
+
+
+def test_levels_of_all_columns_in_one_job(spark):
+    df = spark.createDataFrame([("b", 2), ("a", 1), (None, None)], "g string, n int")
+    assert features.discover_levels(df, ["g", "n"], 5) == {"g": ["a", "b"], "n": ["1", "2"]}
+    with pytest.raises(ValueError):
+        features.one_hot(df, ["g"])

@@ -70,7 +70,7 @@ def test_payloads_parse_back(spark):
 
 def test_search_respects_budget_and_logs_runs(spark):
     data, _ = ml.index_label(_data(spark, 200), "y")
-    best, trials = ml.search_classifier(data, "label_idx", ["c"], ["x", "z"], max_trials=6, folds=2,
+    best, trials = ml.search_classifier(data, "label_idx", ["c"], ["x", "z"], ["id"], max_trials=6, folds=2,
                                         parallelism=2, time_limit=0)
     assert trials.count() == 2  # one round only: the budget was spent
     assert best is not None
@@ -95,3 +95,34 @@ def test_score_with_python_model(spark):
     out = scoring.score_with_python(df, _Doubler, ["x", "z"]).collect()
     for r in out:
         assert r["prediction"] == r["x"] * 2 + (r["z"] or 0)
+
+
+def test_unknown_level_is_all_zeros(spark):
+    train = spark.createDataFrame([(v,) for v in "aabbc"], "g string")
+    model = ml.Pipeline(stages=ml.preprocessing_stages(["g"], [])).fit(train)
+    out = {r["g"]: r["features"].toArray().tolist() for r in model.transform(spark.createDataFrame([("a",), ("c",), ("new",)], "g string")).collect()}
+    assert out == {"a": [1, 0, 0], "c": [0, 0, 1], "new": [0, 0, 0]}
+
+
+def test_pipeline_median_is_exact(spark):
+    train = spark.createDataFrame([(float(v),) for v in range(1, 1002)] + [(None,)], "x double")
+    model = ml.Pipeline(stages=ml.preprocessing_stages([], ["x"])).fit(train)
+    row = model.transform(spark.createDataFrame([(None,), (float("nan"),), (3.0,)], "x double")).collect()
+    assert [r["features"][0] for r in row] == [501.0, 501.0, 3.0]
+
+
+def test_model_does_not_depend_on_partitions(spark):
+    df = _data(spark, 300)
+    cols = [c for c in df.columns if c != "id"]
+    seen = {tuple(map(tuple, ml.stable_input(df.repartition(n), ["id"], 4).select("id", *cols, F.spark_partition_id()).sort("id").collect())) for n in (1, 3, 7)}
+    assert len(seen) == 1
+
+
+def test_validate_model_reports_a_bad_schema(spark):
+    df = spark.createDataFrame([(1.0, 2.0)], "x double, z double")
+    model = ml.build_pipeline([], ["x"], ml.rf_regressor("z", 2, 2)).fit(df)
+    want = T.StructType([T.StructField("x", T.DoubleType())])
+    for bad in (df, df.select("z")):
+        row = scoring.validate_model(bad, model, want, T.DoubleType()).first()
+        assert row["schema_ok"] is False and row["passed"] is False and row["n_rows"] is None
+    assert scoring.validate_model(df.select("x"), model, want, T.DoubleType()).first()["passed"] is True

@@ -11,8 +11,6 @@ from tests.conftest import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
-SLOW = {"train_run", "search_classifier", "feature_importances", "train_classifier", "score_batch",
-        "validate_model", "stream_score", "score_proba"}
 
 
 def _norm(v):
@@ -57,10 +55,13 @@ def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
 def test_rows_only_queries_run(spark, name):
+    """Queries without SQL give rows of their declared columns; their own tests hold the values."""
     df = entry.queries()[name](spark, SF_SMALL)
-    assert df.count() >= 0
+    rows = df.collect()
+    assert rows and all(any(v is not None for v in r) for r in rows)
+    assert len(set(df.columns)) == len(df.columns)
 
 
 def test_entry_runs(spark):

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import ranking
 from tidemark.operators.ranking import exact_quantiles, row_numbers, running_totals
 
 
@@ -80,3 +81,16 @@ def test_quantiles_property(spark, values, buckets, p):
     df = spark.createDataFrame([("f", float(v)) for v in values], "feature string, value double")
     got = exact_quantiles(df, ["feature"], {"q": p}, buckets=buckets).collect()[0]["q"]
     assert got == pytest.approx(float(np.quantile(np.array(values, dtype=float), p)), abs=1e-9)
+
+
+def test_string_keys_with_a_long_common_prefix_spread_over_ranges(spark):
+    df = spark.range(0, 20_000).select(F.format_string("Customer#%09d", "id").alias("k"))
+    ranged = ranking.range_buckets(ranking.materialize(df), [], "k", buckets=8)
+    sizes = [r["count"] for r in ranged.groupBy("_tm_bucket").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 20_000 / 8
+
+
+def test_null_group_keeps_its_rows(spark):
+    df = spark.createDataFrame([(None, i, 1) for i in range(50)] + [("a", i, 1) for i in range(50)], "g string, v int, w int")
+    out = ranking.running_totals(df, ["g"], "v", ["w"], buckets=4)
+    assert out.count() == 100 and {r["total_w"] for r in out.collect()} == {50}

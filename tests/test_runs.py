@@ -1,3 +1,5 @@
+import pytest
+
 import datetime as dt
 
 from tidemark.operators import runs
@@ -30,3 +32,13 @@ def test_best_and_latest_run(spark):
     assert {x["experiment"]: x["run_id"] for x in runs.best_run(r, "f1").collect()} == {"e1": "r1", "e2": "r9"}
     assert {x["experiment"]: x["run_id"] for x in runs.latest_run(r).collect()} == {"e1": "r3", "e2": "r9"}
     assert runs.latest_experiment(r).collect()[0]["experiment"] == "e2"
+
+
+def test_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from tidemark.session import shared_dir
+    conf = SimpleNamespace(get=lambda key, default=None: default, set=lambda *a: None)
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError):
+        shared_dir(SimpleNamespace(conf=conf, sparkContext=context))

@@ -28,7 +28,7 @@ def batches(df: DataFrame, order: str, batch_size: int) -> DataFrame:
     ``_pos``, the row's number. ``order`` must be unique."""
     if batch_size < 1:
         raise ValueError("batch_size must be >= 1")
-    rn = row_numbers(df, [], order, name="_pos")
+    rn = row_numbers(df, [], order, name="_pos")  # callers pass only the columns they need
     return rn.withColumn("batch", F.floor((F.col("_pos") - 1) / F.lit(int(batch_size))).cast("long"))
 
 
@@ -36,12 +36,12 @@ def records_payload(df: DataFrame, order: str, columns: Sequence[str], batch_siz
     """(batch, n_rows, payload) with payload = {"dataframe_records": [{...}, ...]}
     in ``order`` within the batch."""
     cols = list(columns)
-    b = batches(df, order, batch_size)
+    b = batches(df.select(*dict.fromkeys([order, *cols])), order, batch_size)
     g = b.groupBy("batch").agg(
         F.array_sort(F.collect_list(F.struct(F.col("_pos").alias("_o"), F.struct(*cols).alias("_r")))).alias("_rows"))
     recs = F.transform("_rows", lambda x: x["_r"])
     return g.select("batch", F.size("_rows").alias("n_rows"),
-                    F.to_json(F.struct(recs.alias("dataframe_records"))).alias("payload"))
+                    F.to_json(F.struct(recs.alias("dataframe_records")), {"ignoreNullFields": "false"}).alias("payload"))
 
 
 def split_payload(df: DataFrame, order: str, columns: Sequence[str], batch_size: int = 1000) -> DataFrame:
@@ -50,7 +50,7 @@ def split_payload(df: DataFrame, order: str, columns: Sequence[str], batch_size:
     the index is the ``order`` value; mixed-type rows are written as JSON
     arrays of each value's own JSON."""
     cols = list(columns)
-    b = batches(df, order, batch_size)
+    b = batches(df.select(*dict.fromkeys([order, *cols])), order, batch_size)
     row_json = F.concat(F.lit("["), F.concat_ws(",", *[_value_json(c) for c in cols]), F.lit("]"))
     g = b.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct(
         F.col("_pos").alias("_p"), F.col(order).alias("_o"), row_json.alias("_j")))).alias("_rows"))

@@ -24,9 +24,13 @@ REF, NEW = 0, 1
 KS_ALTERNATIVES = ("two-sided", "less", "greater")
 
 
+# Numeric statistics that summary drift compares.
+DRIFT_STATISTICS = ("mean", "median", "std", "min", "max")
+
+
 def _check_p(p: float, name: str = "p_threshold") -> None:
     if p < 0 or p > 1:
-        raise ValueError(f"The {name} must be between 0 and 1. Received: {p}")
+        raise ValueError(f"{name} is a fraction from 0 to 1, not {p}")
 
 
 def stack_datasets(reference: DataFrame, new: DataFrame, columns: Sequence[str],
@@ -38,14 +42,10 @@ def stack_datasets(reference: DataFrame, new: DataFrame, columns: Sequence[str],
     return a.unionByName(b)
 
 
-def _dropped(long: DataFrame) -> DataFrame:
-    return long.groupBy("feature").agg(F.count_if(F.col("value").isNull()).alias("dropped"))
-
-
 # ---------------------------------------------------------------- summary drift
 
 def summary_drift(new_stats: DataFrame, prod_stats: DataFrame, columns: Sequence[str],
-                  limit: float, statistics: Sequence[str] = ("mean", "median", "std", "min", "max"),
+                  limit: float, statistics: Sequence[str] = DRIFT_STATISTICS,
                   strict_reference: bool = False) -> DataFrame:
     """Statistics of the new data outside prod * (1 -/+ limit).
 
@@ -54,7 +54,7 @@ def summary_drift(new_stats: DataFrame, prod_stats: DataFrame, columns: Sequence
     flagged pairs only. With a negative prod value the two bounds cross; by
     default the band is [min, max] of them. ``strict_reference=True`` keeps
     the literal comparisons (new < prod*(1-t) is low, new > prod*(1+t) high)."""
-    _check_p(limit, "stats_threshold_limit")
+    _check_p(limit, "limit")
     p = prod_stats.select("feature", "statistic", F.col("value").alias("prod_value"))
     n = new_stats.select("feature", "statistic", F.col("value").alias("new_value"))
     j = (p.join(n, ["feature", "statistic"])
@@ -69,11 +69,6 @@ def summary_drift(new_stats: DataFrame, prod_stats: DataFrame, columns: Sequence
             .where(F.col("direction").isNotNull()))
 
 
-def drifted_features(summary: DataFrame) -> DataFrame:
-    """Sorted distinct features of a ``summary_drift`` result."""
-    return summary.select("feature").distinct().orderBy("feature")
-
-
 # ---------------------------------------------------------------- shared numeric pass
 
 def side_counts(reference: DataFrame, new: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -238,15 +233,20 @@ def h_e(e: Column) -> Column:
 def chi2_homogeneity_table(reference: DataFrame, new: DataFrame, columns: Sequence[str],
                            yates: bool = True) -> DataFrame:
     """(feature, statistic, dof, N, p_value, n_ref, n_new, dropped) of the
-    homogeneity test: table levels x {reference, new}."""
-    long = stack_datasets(reference, new, columns, value_type="string")
-    dropped = _dropped(long)
-    cells = (long.where(F.col("value").isNotNull())
-             .groupBy("feature", "value", "ds").agg(F.count(F.lit(1)).alias("O")))
-    res = contingency_chi2(cells, ["feature"], "value", "ds", "O", yates)
-    sides = cells.groupBy("feature").agg(F.sum(F.when(F.col("ds") == REF, F.col("O"))).alias("n_ref"),
-                                         F.sum(F.when(F.col("ds") == NEW, F.col("O"))).alias("n_new"))
-    return res.join(sides, "feature").join(dropped, "feature", "left")
+    homogeneity test: table levels x {reference, new}. The inputs are read once, into
+    one small table of cells with null as a level; a feature without any value in
+    either period stays, with null statistic and p-value."""
+    cells = materialize(stack_datasets(reference, new, columns, value_type="string")
+                        .groupBy("feature", "value", "ds").agg(F.count(F.lit(1)).alias("O")))
+    held = F.col("value").isNotNull()
+    res = contingency_chi2(cells.where(held), ["feature"], "value", "ds", "O", yates)
+
+    def total(condition):
+        return F.sum(F.when(condition, F.col("O")).otherwise(0))
+
+    sides = cells.groupBy("feature").agg(total(held & (F.col("ds") == REF)).alias("n_ref"), total(held & (F.col("ds") == NEW)).alias("n_new"),
+                                         total(~held).alias("dropped"))
+    return sides.join(res, "feature", "left")
 
 
 def chi2_homogeneity(reference: DataFrame, new: DataFrame, columns: Sequence[str],
@@ -259,7 +259,8 @@ def chi2_homogeneity(reference: DataFrame, new: DataFrame, columns: Sequence[str
 
 def chi2_paired_table(reference: DataFrame, new: DataFrame, columns: Sequence[str], order: str,
                       yates: bool = True) -> DataFrame:
-    """(feature, statistic, dof, N, p_value) of the paired crosstab test."""
+    """(feature, statistic, dof, N, p_value, dropped) of the paired crosstab test;
+    ``dropped`` counts pairs with a null on either side."""
     columns = list(columns)
     a = row_numbers(reference.select(order, *columns), [], order, name="_rn")
     b = row_numbers(new.select(order, *columns), [], order, name="_rn")
@@ -269,9 +270,11 @@ def chi2_paired_table(reference: DataFrame, new: DataFrame, columns: Sequence[st
     long = pairs.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(f"_a.{c}").alias("ref_level"), F.col(f"_b.{c}").alias("new_level"))
         for c in columns])).alias("_p")).select("_p.*")
-    cells = (long.where(F.col("ref_level").isNotNull() & F.col("new_level").isNotNull())
-             .groupBy("feature", "ref_level", "new_level").agg(F.count(F.lit(1)).alias("O")))
-    return contingency_chi2(cells, ["feature"], "ref_level", "new_level", "O", yates)
+    cells = materialize(long.groupBy("feature", "ref_level", "new_level").agg(F.count(F.lit(1)).alias("O")))
+    held = F.col("ref_level").isNotNull() & F.col("new_level").isNotNull()
+    res = contingency_chi2(cells.where(held), ["feature"], "ref_level", "new_level", "O", yates)
+    lost = cells.groupBy("feature").agg(F.sum(F.when(~held, F.col("O")).otherwise(0)).alias("dropped"))
+    return lost.join(res, "feature", "left")
 
 
 def chi2_paired(reference: DataFrame, new: DataFrame, columns: Sequence[str], order: str,
@@ -283,7 +286,7 @@ def chi2_paired(reference: DataFrame, new: DataFrame, columns: Sequence[str], or
     index. Row numbers come from range offsets, not one global window."""
     _check_p(p_threshold)
     res = chi2_paired_table(reference, new, columns, order, yates)
-    res = res.withColumn("n_ref", F.col("N")).withColumn("n_new", F.col("N")).withColumn("dropped", F.lit(0))
+    res = res.withColumn("n_ref", F.col("N")).withColumn("n_new", F.col("N"))
     return _finish(res, "chi2_paired", p_threshold)
 
 
@@ -311,7 +314,7 @@ def promotion_gate(df: DataFrame, staging: str, prod: str, min_gain: float) -> D
     only percent >= 0, ALERT otherwise. A prod metric <= 0 or null makes the
     ratio meaningless: INVALID."""
     if min_gain < 0:
-        raise ValueError(f"The min_model_perf_threshold must be positive. Received: {min_gain}")
+        raise ValueError(f"min_gain can't be negative ({min_gain})")
     s, p = F.col(staging).cast("double"), F.col(prod).cast("double")
     frac = s / p
     pct = F.bround((frac - F.lit(1.0)) * F.lit(100.0), 2)

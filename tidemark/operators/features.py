@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -80,8 +80,14 @@ def concat_periods(frames: Sequence[DataFrame], allow_missing: bool = False) ->
 def merge_features(current: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Upsert: rows of ``updates`` replace rows of ``current`` with the same
     key, other rows are kept. Write the result to a new snapshot, never over
-    the path ``current`` is read from."""
+    the path ``current`` is read from. Columns must agree, and the update's keys
+    must be unique and not null; anything else is an error, not a silent loss."""
     keys = list(keys)
+    extra, absent = set(updates.columns) - set(current.columns), set(current.columns) - set(updates.columns)
+    if extra or absent:
+        raise ValueError(f"columns differ: only in the update {sorted(extra)}, missing there {sorted(absent)}")
+    if key_violations(updates, keys).limit(1).count() > 0:
+        raise ValueError(f"update keys {keys} repeat or are null")
     kept = current.join(updates.select(*keys).distinct(), keys, "left_anti")
     return kept.unionByName(updates.select(*current.columns))
 
@@ -118,27 +124,40 @@ def write_features(df: DataFrame, path: str, keys: Sequence[str], mode: str = "o
         raise ValueError(f"unsupported mode {mode}")
 
 
-def discover_levels(df: DataFrame, column: str, max_levels: int = 1000) -> list:
-    """Sorted distinct non-null levels; fails above ``max_levels`` so a
-    high-cardinality column cannot explode the schema."""
-    rows = (df.select(column).where(F.col(column).isNotNull()).distinct()
-            .orderBy(column).limit(max_levels + 1).collect())
-    if len(rows) > max_levels:
-        raise ValueError(f"{column} has more than {max_levels} levels")
-    return [r[0] for r in rows]
+def discover_levels(df: DataFrame, columns: Sequence[str], max_levels: int) -> dict[str, list]:
+    """Sorted distinct non-null levels of each column, found in one grouped job.
+    A column with more than ``max_levels`` is an error, so that it can't explode
+    the schema; at most that many per column (and one) reach the driver."""
+    sets = None
+    for c in columns:
+        own = df.select(F.lit(c).alias("feature"), F.col(c).cast("string").alias("level")).where(F.col(c).isNotNull())
+        sets = own if sets is None else sets.unionAll(own)
+    ranked = F.row_number().over(Window.partitionBy("feature").orderBy("level"))
+    rows = (sets.distinct().withColumn("_tm_r", ranked).where(F.col("_tm_r") <= max_levels + 1)
+            .orderBy("feature", "_tm_r").collect())
+    found: dict[str, list] = {c: [] for c in columns}
+    for r in rows:
+        found[r["feature"]].append(r["level"])
+    wide = [c for c, v in found.items() if len(v) > max_levels]
+    if wide:
+        raise ValueError(f"{wide} have more than {max_levels} levels")
+    return found
 
 
 def one_hot(df: DataFrame, columns: Sequence[str], levels: dict[str, Sequence] | None = None,
-            drop_first: bool = True, max_levels: int = 1000, keep_original: bool = False) -> DataFrame:
+            drop_first: bool = True, max_levels: int | None = None, keep_original: bool = False) -> DataFrame:
     """Indicator columns ``<col>_<level>`` (int 0/1), first sorted level
-    dropped; null gives all zeros. Levels are fixed at fit time (passed in, or
-    discovered once from ``df``)."""
+    dropped; null gives all zeros. Levels are fixed at fit time: passed in, or
+    discovered once from ``df`` within the caller's ``max_levels``."""
     levels = dict(levels or {})
+    unknown = [c for c in columns if c not in levels]
+    if unknown:
+        if max_levels is None:
+            raise ValueError(f"pass the levels of {unknown}, or max_levels to discover them")
+        levels |= discover_levels(df, unknown, max_levels)
     out = df
     for c in columns:
-        lv = list(levels.get(c) or discover_levels(df, c, max_levels))
-        if drop_first:
-            lv = lv[1:]
+        lv = list(levels[c])[1:] if drop_first else list(levels[c])
         out = out.select("*", *[F.coalesce((F.col(c) == F.lit(v)).cast("int"), F.lit(0)).alias(f"{c}_{v}")
                                 for v in lv])
         if not keep_original:

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.ranking import exact_quantiles
+from tidemark.operators.ranking import exact_quantiles, materialize
 from tidemark.operators.stats import melt
 
 
@@ -29,8 +29,10 @@ def fit_mode(train: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def apply_fill(df: DataFrame, fills: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """coalesce(col, fitted value) for each column; the fitted table has one
-    row per column, so it is pivoted to one row and read as scalars."""
+    """coalesce(col, fitted value) for each column; the fitted table has one row
+    per column and is written once, so the training table is read once however
+    many columns are filled."""
+    fills = materialize(fills)
     wide = fills.agg(*[F.max(F.when(F.col("feature") == c, F.col("fill"))).alias(c) for c in columns])
     out = df
     for c in columns:

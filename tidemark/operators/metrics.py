@@ -32,6 +32,24 @@ def classification_metrics(df: DataFrame, label: str, prediction: str, positive=
                     ((recall + tnr) / F.lit(2.0)).alias("auc_hard"))
 
 
+def multiclass_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
+    """One row: n, accuracy, auc_hard (mean over the classes of (TPR + TNR) / 2, one
+    class against the rest) and f1_weighted (by class size). One grouped count
+    of (label, prediction); everything else reads its few rows."""
+    cells = (df.where(F.col(label).isNotNull() & F.col(prediction).isNotNull())
+             .groupBy(F.col(label).cast("double").alias("y"), F.col(prediction).cast("double").alias("p")).agg(F.count(F.lit(1)).alias("c")))
+    sides = cells.select(F.explode(F.array(
+        F.struct(F.col("y").alias("k"), F.col("c").alias("own"), F.lit(0).cast("long").alias("said"), F.when(F.col("y") == F.col("p"), F.col("c")).otherwise(0).alias("tp")),
+        F.struct(F.col("p").alias("k"), F.lit(0).cast("long").alias("own"), F.col("c").alias("said"), F.lit(0).cast("long").alias("tp")))).alias("s")).select("s.*")
+    per = sides.groupBy("k").agg(*[F.sum(c).cast("double").alias(c) for c in ("own", "said", "tp")])
+    whole = per.agg(F.sum("own").alias("n")).select("n")
+    j = per.crossJoin(F.broadcast(whole)).where("own > 0")  # one row beside one row per class
+    tnr = F.coalesce(F.try_divide(F.col("n") - F.col("own") - F.col("said") + F.col("tp"), F.col("n") - F.col("own")), F.lit(0.0))
+    return j.agg(F.max("n").cast("long").alias("n"), (F.sum("tp") / F.max("n")).alias("accuracy"),
+                 F.avg((F.col("tp") / F.col("own") + tnr) / 2).alias("auc_hard"),
+                 (F.sum(F.col("own") * 2 * F.col("tp") / (F.col("own") + F.col("said"))) / F.max("n")).alias("f1_weighted"))
+
+
 def accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """Share of rows where prediction equals label (any label type)."""
     return df.agg(F.avg((F.col(label) == F.col(prediction)).cast("double")).alias("accuracy"))

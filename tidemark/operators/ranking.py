@@ -2,7 +2,7 @@
 
 ``Window.partitionBy(feature).orderBy(value)`` sends a whole feature (or, with
 no partition key, the whole table) to one task. Here each group is first cut
-into ranges at approximate quantile boundaries; the running total inside a
+into ranges at sampled boundaries (a range partitioning); the running total inside a
 range comes from a window over (group, range) and the range offsets from a
 small table with one row per (group, range). The result is exact; only the
 range sizes are approximate, which bounds the work of any single task.
@@ -19,7 +19,6 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.session import shared_dir
 
@@ -39,7 +38,6 @@ def materialize(df: DataFrame) -> DataFrame:
 TARGET_ROWS_PER_RANGE = 2_000_000
 # Ranges are not cut smaller than this just to use more tasks.
 MIN_ROWS_PER_RANGE = 20_000
-MAX_RANGES = 4096
 
 
 def _n_buckets(df: DataFrame, buckets: int | None, target_rows: int | None = None,
@@ -63,49 +61,31 @@ def _n_buckets(df: DataFrame, buckets: int | None, target_rows: int | None = Non
     for_size = -(-largest // target)
     parallelism = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     for_tasks = min(-(-parallelism // max(1, groups)), largest // MIN_ROWS_PER_RANGE)
-    return int(min(MAX_RANGES, max(1, for_size, for_tasks)))
+    return int(max(1, for_size, for_tasks))
 
 
 def range_buckets(df: DataFrame, by: Sequence[str], order: str, buckets: int | None = None,
-                  accuracy: int | None = None, target_rows: int | None = None) -> DataFrame:
-    """Add ``_tm_bucket`` in [0, buckets): the range of ``order`` within ``by``.
-
-    Boundaries are approximate quantiles per group (one mergeable sketch per
-    group), so ranges hold about the same number of rows whatever the value
-    distribution. ``order`` may be numeric, date, timestamp or string."""
-    n = _n_buckets(df, buckets, target_rows, by)
+                  target_rows: int | None = None) -> DataFrame:
+    """Add ``_tm_bucket``: the range of ``order`` within ``by`` that a row lies in.
+
+    Ranges are the partitions of a range partitioning by (by, order), whose
+    boundaries Spark samples from the values themselves, so they hold about the
+    same number of rows for any type and distribution, long common prefixes of
+    strings included, and no row is compared with all boundaries. Equal values
+    share a range. Written once: everything that reads the ranges later sees the
+    stored ids."""
     by = list(by)
+    n = _n_buckets(df, buckets, target_rows, by)
     if n == 1:
         return df.withColumn(_BUCKET, F.lit(0))
-    acc = int(accuracy or max(10000, 20 * n))
-    probs = [i / n for i in range(1, n)]
-    key = order
-    if isinstance(df.schema[order].dataType, (T.StringType, T.BinaryType)):
-        # Strings sort by bytes; their first 7 bytes as a number keep that
-        # order (longer common prefixes share a range, which stays exact).
-        key = "_tm_order_key"
-        df = df.withColumn(key, F.conv(F.hex(F.substring(F.rpad(F.col(order).cast("binary"), 7, b"\x00"), 1, 7)),
-                                       16, 10).cast("long"))
-    bounds_agg = F.percentile_approx(F.col(key), probs, acc).alias("_tm_bounds")
-    if by:
-        # One row per group; written once so the sketch is not recomputed by
-        # every branch that reads the buckets. AQE broadcasts it when small.
-        bounds = materialize(df.groupBy(*by).agg(bounds_agg))
-        joined = df.join(bounds, by, "left")
-    else:
-        # A single sketch: attach it as a scalar subquery (run once, no join).
-        joined = df.withColumn("_tm_bounds", df.agg(bounds_agg).scalar())
-    bucket = F.expr(f"size(filter(_tm_bounds, b -> b < `{key}`))")
-    out = joined.withColumn(_BUCKET, F.coalesce(bucket, F.lit(0))).drop("_tm_bounds")
-    out = out.drop(key) if key != order else out
-    # Written once: both branches of the running totals read the range id as
-    # a stored column (and the optimizer never pushes predicates derived
-    # from the boundary expression into the aggregated branch).
-    return materialize(out)
+    if by:  # n is for the largest group; all groups together take as many of that size
+        sizes = df.groupBy(*by).count().agg(F.sum("count").alias("t"), F.max("count").alias("m")).first()
+        n = -(-n * int(sizes["t"]) // int(sizes["m"]))
+    return materialize(df.repartitionByRange(n, *by, order).withColumn(_BUCKET, F.spark_partition_id()))
 
 
 def running_totals(df: DataFrame, by: Sequence[str], order: str | Sequence[str], weights: Sequence[str],
-                   buckets: int | None = None, accuracy: int | None = None,
+                   buckets: int | None = None,
                    bucket_col: Callable[[int], Column] | None = None, materialized: bool = False,
                    target_rows: int | None = None) -> DataFrame:
     """For every row add ``cum_<w>`` (sum of ``w`` over rows of the same group
@@ -123,7 +103,7 @@ def running_totals(df: DataFrame, by: Sequence[str], order: str | Sequence[str],
     order_cols = [order] if isinstance(order, str) else list(order)
     base = df if materialized else materialize(df)
     if bucket_col is None:
-        staged = range_buckets(base, by, order_cols[0], buckets, accuracy, target_rows)
+        staged = range_buckets(base, by, order_cols[0], buckets, target_rows)
     else:
         staged = base.withColumn(_BUCKET, bucket_col(_n_buckets(base, buckets, target_rows, by)))
     keys = by + [_BUCKET]
@@ -142,7 +122,10 @@ def running_totals(df: DataFrame, by: Sequence[str], order: str | Sequence[str],
     inside = Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
     local = staged.select("*", *[F.sum(w).over(inside).alias(f"_tm_loc_{w}") for w in weights])
 
-    out = local.join(offsets, keys, "inner")
+    # null groups are groups like others, so keys are compared null-safely
+    right = offsets.select(*[F.col(k).alias(f"_tm_r_{k}") for k in keys], *[c for c in offsets.columns if c not in keys])
+    same = [local[k].eqNullSafe(right[f"_tm_r_{k}"]) for k in keys]
+    out = local.join(right, same, "inner").drop(*[f"_tm_r_{k}" for k in keys])
     for w in weights:
         out = out.withColumn(f"cum_{w}", F.col(f"_tm_loc_{w}") + F.col(f"_tm_off_{w}"))
     drop = [_BUCKET] + [f"_tm_loc_{w}" for w in weights] + [f"_tm_off_{w}" for w in weights]

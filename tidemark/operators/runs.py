@@ -69,10 +69,3 @@ def model_in_stage(events: DataFrame, stage: str) -> DataFrame:
 def latest_model_version(events: DataFrame) -> DataFrame:
     """Highest version per model regardless of stage."""
     return events.groupBy("model").agg(F.max("version").alias("latest_version"))
-
-
-def rank_runs(runs: DataFrame, metric: str) -> DataFrame:
-    """All runs of each experiment ranked by ``metric`` (descending). The
-    window is per experiment; an experiment's runs are few."""
-    w = Window.partitionBy("experiment").orderBy(F.col("value").desc(), F.col("run_id"))
-    return runs.where(F.col("metric") == metric).withColumn("rank", F.row_number().over(w))

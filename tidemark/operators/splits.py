@@ -8,11 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ranking import running_totals
-
 _BITS = 60  # first 15 hex digits of the digest
 
 
@@ -47,27 +45,36 @@ def sample_rows(df: DataFrame, keys: Sequence[str], fraction: float, seed: int =
 
 
 def stratified_split(df: DataFrame, keys: Sequence[str], stratum: str, test_fraction: float = 0.2,
-                     seed: int = 42, name: str = "split", buckets: int | None = None) -> DataFrame:
-    """Exact per-stratum test counts: rows are ranked by key hash inside each
-    stratum and the first round-half-even(n * test_fraction) go to test.
-
-    The rank is a running count by hash range (the hash is uniform, so equal
-    ranges are balanced without sampling); a stratum holding a third of the
-    table still spreads over many tasks (``buckets``, or sized from the row
-    count)."""
+                     seed: int = 42, name: str = "split", bits: int = 16) -> DataFrame:
+    """Exact per-stratum test counts: the round-half-even(n * test_fraction) rows
+    with the smallest key hashes of each stratum go to test. Null is a stratum
+    like any other. Rows with one key share a side, so counts are exact for
+    unique keys.
+
+    The table itself is not moved: rows are counted per (stratum, first ``bits``
+    bits of the hash), which finds the bucket that holds the cut; only that
+    bucket's hashes (one in 2**bits) are ranked; then every row compares its hash
+    with its stratum's cut."""
     if not 0 < test_fraction < 1:
         raise ValueError("test_fraction must be in (0, 1)")
     h = hash_bits(keys, seed)
-    staged = df.withColumn("_tm_h", h).withColumn("_tm_one", F.lit(1))
-
-    def by_hash_range(n: int) -> Column:  # top bits of the hash: n equal ranges
-        shift = _BITS - max(0, (n - 1).bit_length())
-        return F.shiftright(F.col("_tm_h"), shift)
-
-    ranked = running_totals(staged, [stratum], "_tm_h", ["_tm_one"], buckets=buckets, bucket_col=by_hash_range)
-    n_test = F.bround(F.col("total__tm_one") * F.lit(float(test_fraction)), 0)
-    return (ranked.withColumn(name, F.when(F.col("cum__tm_one") <= n_test, F.lit("test")).otherwise(F.lit("train")))
-            .drop("_tm_h", "_tm_one", "cum__tm_one", "total__tm_one"))
+    slim = df.select(F.col(stratum).alias("_tm_s"), h.alias("_tm_h"))
+    top = F.shiftright("_tm_h", _BITS - bits)
+    counts = slim.groupBy("_tm_s", top.alias("_tm_b")).agg(F.count(F.lit(1)).alias("_tm_c"))
+    upto = Window.partitionBy("_tm_s").orderBy("_tm_b").rowsBetween(Window.unboundedPreceding, 0)
+    run = counts.select("_tm_s", "_tm_b", "_tm_c", F.sum("_tm_c").over(upto).alias("_tm_u"),
+                        F.sum("_tm_c").over(Window.partitionBy("_tm_s")).alias("_tm_n"))
+    goal = F.bround(F.col("_tm_n") * F.lit(float(test_fraction)), 0)
+    cut = (run.where((F.col("_tm_u") >= goal) & (F.col("_tm_u") - F.col("_tm_c") < goal))
+           .select(F.col("_tm_s").alias("_tm_cs"), F.col("_tm_b").alias("_tm_cb"), (goal - F.col("_tm_u") + F.col("_tm_c")).alias("_tm_need")))
+    inside = slim.join(cut, slim["_tm_s"].eqNullSafe(F.col("_tm_cs")) & (top == F.col("_tm_cb")))
+    rank = F.row_number().over(Window.partitionBy("_tm_cs").orderBy("_tm_h"))
+    last = (inside.withColumn("_tm_r", rank).where(F.col("_tm_r") == F.col("_tm_need"))
+            .select("_tm_cs", F.col("_tm_h").alias("_tm_last")))
+    staged = df.withColumn("_tm_h", h)
+    out = staged.join(last, staged[stratum].eqNullSafe(F.col("_tm_cs")), "left")  # one row per stratum
+    test = F.coalesce(F.col("_tm_h") <= F.col("_tm_last"), F.lit(False))
+    return out.withColumn(name, F.when(test, F.lit("test")).otherwise(F.lit("train"))).drop("_tm_h", "_tm_cs", "_tm_last")
 
 
 def split_counts(df: DataFrame, split: str = "split") -> DataFrame:

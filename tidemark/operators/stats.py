@@ -21,8 +21,6 @@ from tidemark.operators.ranking import materialize, quantile_aggs, running_total
 # Statistic labels of a numeric profile, in pandas ``describe``
 # order followed by the two extra rows the reference adds.
 NUMERIC_STATISTICS = ["count", "mean", "std", "min", "25%", "50%", "75%", "max", "median", "null_count"]
-# Statistic labels of a categorical profile (pandas ``describe``).
-CATEGORICAL_STATISTICS = ["count", "unique", "top", "freq"]
 
 _QUANTILES = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
 
@@ -120,21 +118,23 @@ def paired_summary_stats(reference: DataFrame, new: DataFrame,
 
 
 def categorical_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Categorical profile: (feature, statistic, value, text); ``top`` is the
-    most frequent value with the smallest value winning ties, in ``text``."""
+    """Categorical profile: (feature, statistic, value, text) with count, unique,
+    top, freq and null_count; ``top`` is the most frequent value with the smallest
+    value winning ties, in ``text``. A column without any value keeps its rows:
+    count and unique 0, top and freq null."""
     if columns is None:
         columns = column_roles(df)["categorical"]
     columns = list(columns)
-    long = melt(df, columns, value_type="string").where(F.col("value").isNotNull())
-    counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt"))
+    counts = melt(df, columns, value_type="string").groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt"))
+    held, cnt = F.col("value").isNotNull(), F.col("cnt")
     per = counts.groupBy("feature").agg(
-        F.sum("cnt").alias("count"), F.count(F.lit(1)).alias("unique"),
-        F.min_by("value", F.struct(-F.col("cnt"), F.col("value"))).alias("top"),
-        F.max("cnt").alias("freq"))
-    items = [F.struct(F.lit("count").alias("statistic"), F.col("count").cast("double").alias("value"), F.lit(None).cast("string").alias("text")),
-             F.struct(F.lit("unique").alias("statistic"), F.col("unique").cast("double").alias("value"), F.lit(None).cast("string").alias("text")),
-             F.struct(F.lit("top").alias("statistic"), F.lit(None).cast("double").alias("value"), F.col("top").alias("text")),
-             F.struct(F.lit("freq").alias("statistic"), F.col("freq").cast("double").alias("value"), F.lit(None).cast("string").alias("text"))]
+        F.sum(F.when(held, cnt).otherwise(0)).alias("count"), F.count_if(held).alias("unique"),
+        F.min_by("value", F.when(held, F.struct(-cnt, F.col("value")))).alias("top"),
+        F.max(F.when(held, cnt)).alias("freq"), F.sum(F.when(~held, cnt).otherwise(0)).alias("null_count"))
+    no_text, no_value = F.lit(None).cast("string").alias("text"), F.lit(None).cast("double").alias("value")
+    items = [F.struct(F.lit(name).alias("statistic"), *((no_value, F.col(name).alias("text")) if name == "top"
+                                                       else (F.col(name).cast("double").alias("value"), no_text)))
+             for name in ("count", "unique", "top", "freq", "null_count")]
     return per.select("feature", F.explode(F.array(*items)).alias("_r")).select("feature", "_r.*")
 
 
@@ -161,7 +161,7 @@ def null_proportions(df: DataFrame, threshold: float, columns: Sequence[str] | N
     """(feature, null_fraction, flagged): fraction of nulls (NaN counts as
     null) per column, flagged when >= threshold. Empty input flags nothing."""
     if threshold < 0 or threshold > 1:
-        raise ValueError(f"The null proportion threshold must be between 0 and 1. Received: {threshold}")
+        raise ValueError(f"threshold is a fraction of rows, from 0 to 1, not {threshold}")
     columns = list(df.columns if columns is None else columns)
     aggs = []
     for c in columns:
@@ -193,7 +193,8 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def box_stats(datasets: dict[str, DataFrame], columns: Sequence[str], whis: float = 1.5) -> DataFrame:
     """Box-plot numbers per (feature, dataset): quartiles, the furthest values
-    inside [q1 - whis*IQR, q3 + whis*IQR] and the count of values outside.
+    inside [q1 - whis*IQR, q3 + whis*IQR] (never inside the box) and the count of
+    values outside.
     Each dataset is scanned once into grouped counts."""
     parts = None
     for name, df in datasets.items():
@@ -213,8 +214,8 @@ def box_stats(datasets: dict[str, DataFrame], columns: Sequence[str], whis: floa
     inside = (F.col("value") >= F.col("_lo")) & (F.col("value") <= F.col("_hi"))
     return j.groupBy("feature", "dataset").agg(
         F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"),
-        F.min(F.when(inside, F.col("value"))).alias("whisker_lo"),
-        F.max(F.when(inside, F.col("value"))).alias("whisker_hi"),
+        F.least(F.min(F.when(inside, F.col("value"))), F.first("q1")).alias("whisker_lo"),
+        F.greatest(F.max(F.when(inside, F.col("value"))), F.first("q3")).alias("whisker_hi"),
         F.sum(F.when(~inside, F.col("_cnt")).otherwise(0)).alias("n_outliers"))
 
 

@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import columns as C
 from tidemark.functions import payloads
@@ -90,9 +91,9 @@ def q_read_table(spark, sf_dir):
     return io.read_table(spark, f"{sf_dir}/orders.parquet")
 
 
-@query("sql_on_path", "select * from customer where c_acctbal > 0")
+@query("sql_on_path", "select * from customer")
 def q_sql_on_path(spark, sf_dir):
-    return io.sql_on_path(spark, f"{sf_dir}/customer.parquet", where="c_acctbal > 0")
+    return io.sql_on_path(spark, f"{sf_dir}/customer.parquet")
 
 
 _VERSIONED_SQL = "(select *, (year(o_orderdate) - 1994)::int as ingest_version from orders)"
@@ -130,14 +131,24 @@ def q_period_filter(spark, sf_dir):
     return li_periods(spark, sf_dir)[0]
 
 
-@query("concat_periods", f"""
-select o_orderkey, o_totalprice, o_orderstatus, 'ref' as period from ({O_REF_SQL})
-union all select o_orderkey, o_totalprice, o_orderstatus, 'new' as period from ({O_NEW_SQL})""")
+YEARS = range(1995, 2002)  # the first and the last one open
+
+
+def order_years(spark, sf_dir):
+    """The orders of each year, all rows in one of them."""
+    o, year = table(spark, sf_dir, "orders"), F.year("o_orderdate")
+    return {f"y{y}": o.where((year <= y) if y == YEARS[0] else (year >= y) if y == YEARS[-1] else year == y) for y in YEARS}
+
+
+_YEAR_SQL = f"'y' || least(greatest(year(o_orderdate), {YEARS[0]}), {YEARS[-1]})"
+
+
+@query("concat_periods", f"select o_orderkey, o_totalprice, o_orderstatus, {_YEAR_SQL} as period from orders")
 def q_concat_periods(spark, sf_dir):
-    ref, new = o_periods(spark, sf_dir)
-    a = C.tag(ref.select("o_orderkey", "o_totalprice", "o_orderstatus"), "period", "ref")
-    b = C.tag(new.select("o_orderstatus", "o_totalprice", "o_orderkey"), "period", "new")
-    return features.concat_periods([a, b])
+    columns = ["o_orderkey", "o_totalprice", "o_orderstatus"]
+    frames = [C.tag(df.select(*(columns if i % 2 else columns[::-1])), "period", p)
+              for i, (p, df) in enumerate(order_years(spark, sf_dir).items())]
+    return features.concat_periods(frames)
 
 
 @query("clean_names", """
@@ -305,12 +316,14 @@ def _cat_profile_sql(source: str, columns: list[str]) -> str:
     m = S.melt(source, columns, cast="varchar")
     return f"""(with long_ as ({m}),
  c as (select feature, v, count(*) as cnt from long_ where v is not null group by feature, v),
- t as (select feature, v, cnt, row_number() over (partition by feature order by cnt desc, v) as rn from c),
- per as (select feature, sum(cnt) as n, count(*) as u, max(cnt) as f from c group by feature)
+ per as (select feature, count(v) as n, count(distinct v) as u, count(*) - count(v) as z from long_ group by feature),
+ t as (select per.feature, (select v from c where c.feature = per.feature order by cnt desc, v limit 1) as top,
+         (select max(cnt) from c where c.feature = per.feature) as f from per)
  select feature, 'count' as statistic, n::double as value, null::varchar as text from per
  union all select feature, 'unique', u::double, null from per
- union all select feature, 'top', null::double, v from t where rn = 1
- union all select feature, 'freq', f::double, null from per)"""
+ union all select feature, 'null_count', z::double, null from per
+ union all select feature, 'top', null::double, top from t
+ union all select feature, 'freq', f::double, null from t)"""
 
 
 @query("categorical_stats", f"select * from {_cat_profile_sql('orders', O_CAT)}")
@@ -318,6 +331,16 @@ def q_categorical_stats(spark, sf_dir):
     return stats.categorical_stats(table(spark, sf_dir, "orders"), O_CAT)
 
 
+_HOLES_SQL = f"(select *, null::varchar as empty_col from {_MASKED_ORDERS_SQL})"
+
+
+@query("categorical_nulls", f"select * from {_cat_profile_sql(_HOLES_SQL, ['o_orderpriority', 'empty_col'])}")
+def q_categorical_nulls(spark, sf_dir):
+    """Profile of a column with nulls and of one without any value."""
+    holes = masked_orders(spark, sf_dir).withColumn("empty_col", F.lit(None).cast("string"))
+    return stats.categorical_stats(holes, ["o_orderpriority", "empty_col"])
+
+
 @query("profile", f"""
 select feature, statistic, value, null::varchar as text from {S.numeric_profile(_MASKED_ORDERS_SQL, ['o_totalprice'])}
 union all select * from {_cat_profile_sql(_MASKED_ORDERS_SQL, O_CAT)}""")
@@ -348,8 +371,8 @@ q as (select feature, dataset, quantile_cont(v, 0.25) as q1, quantile_cont(v, 0.
         quantile_cont(v, 0.75) as q3 from long_ where v is not null group by all),
 f as (select *, q1 - 1.5 * (q3 - q1) as lo, q3 + 1.5 * (q3 - q1) as hi from q)
 select f.feature, f.dataset, round(q1, 4) as q1, round(med, 4) as median, round(q3, 4) as q3,
-  round(min(case when v >= lo and v <= hi then v end), 4) as whisker_lo,
-  round(max(case when v >= lo and v <= hi then v end), 4) as whisker_hi,
+  round(least(min(case when v >= lo and v <= hi then v end), q1), 4) as whisker_lo,
+  round(greatest(max(case when v >= lo and v <= hi then v end), q3), 4) as whisker_hi,
   count(*) filter (where not (v >= lo and v <= hi)) as n_outliers
 from long_ l join f using (feature, dataset) where v is not null
 group by f.feature, f.dataset, q1, med, q3""")
@@ -421,10 +444,25 @@ def q_levene_stat(spark, sf_dir):
     return lv.select("feature", r4(F.col("statistic")).alias("statistic"), "n_ref", "n_new")
 
 
-@query("levene_drift")
+def exact_stat_sql(name: str) -> str:
+    """The statistic's SQL without its rounding, for p-values."""
+    import re
+    return re.sub(r"round\((.*), 4\) as statistic", r"(\1) as statistic", ORACLE[name], flags=re.S)
+
+
+@query("levene_drift", f"""
+with r as ({exact_stat_sql('levene_stat')}),
+d as (select *, (n_ref + n_new - 2)::double as n from r),
+p as (select *, (select sum(case when i = 0 or i = 20000 then 1 when i % 2 = 1 then 4 else 2 end
+        * exp(-(n + 1) / 2 * ln(1 + (sqrt(statistic) + i * 0.002) ^ 2 / n))) * 0.002 / 3 * 2
+        * exp(lgamma((n + 1) / 2) - lgamma(n / 2)) / sqrt(n * pi()) from range(0, 20001) q(i)) as p from d)
+select feature, 'levene' as test, round(statistic, 4) as statistic, round(p, 4) as p_value, 0.05::double as alpha, n_ref, n_new,
+  0::bigint as dropped, p <= 0.05 as drifted from p""")
 def q_levene_drift(spark, sf_dir):
+    """With two periods F(1, n) is the square of Student's t, whose tail the SQL integrates."""
     ref, new = li_periods(spark, sf_dir)
-    return drift.levene(ref, new, LI_NUM, 0.05)
+    lv = drift.levene(ref, new, LI_NUM, 0.05)
+    return lv.withColumn("statistic", r4(F.col("statistic"))).withColumn("p_value", r4(F.col("p_value")))
 
 
 _KS_CORE_SQL = f"""
@@ -438,9 +476,10 @@ cum as (select feature, v,
 d as (select feature, max(n0)::bigint as n_ref, max(n1)::bigint as n_new,
         greatest(max(f0 - f1), 0) as d_plus, greatest(-min(f0 - f1), 0) as d_minus from cum group by feature),
 dd as (select *, greatest(d_plus, d_minus) as d, greatest(d_plus, d_minus) * sqrt(n_ref * n_new / (n_ref + n_new)) as lam from d),
-p as (select feature, case when lam <= 0 then 1.0 else least(1.0, greatest(0.0,
-        2 * sum(power(-1.0, k - 1) * exp(-2.0 * k * k * lam * lam)))) end as p_value
-      from dd, range(1, 101) r(k) group by feature, lam)"""
+p as (select feature, case when lam <= 0 then 1.0 when lam < 1 then
+        1 - sqrt(2 * pi()) / lam * sum(exp(-((2 * k - 1) ^ 2) * pi() ^ 2 / (8 * lam * lam)))
+        else least(1.0, greatest(0.0, 2 * sum(power(-1.0, k - 1) * exp(-2.0 * k * k * lam * lam)))) end as p_value
+      from dd, range(1, 21) r(k) group by feature, lam)"""
 
 
 @query("ks_stat", _KS_CORE_SQL + """
@@ -467,6 +506,14 @@ _LI_CAT_LONG_SQL = f"""long_ as (select *, 0 as ds from ({S.melt('(' + LI_REF_SQ
   union all select *, 1 from ({S.melt('(' + LI_NEW_SQL + ')', LI_CAT, 'varchar')}))"""
 
 
+
+def chi_tail_sql(stat: str, dof: str) -> str:
+    """P(chi-square(dof) >= stat) by Simpson's rule over the density of its square root."""
+    return f"""(select case when {dof} = 0 then 1.0 else sum(case when i = 0 or i = 20000 then 1 when i % 2 = 1 then 4 else 2 end
+      * exp(({dof} - 1) * ln(greatest(sqrt({stat}) + i * 0.002, 1e-300)) - (sqrt({stat}) + i * 0.002) ^ 2 / 2)) * 0.002 / 3
+      * exp((1 - {dof} / 2.0) * ln(2) - lgamma({dof} / 2.0)) end from range(0, 20001) r(i))"""
+
+
 @query("chi2_homogeneity_stat", f"""
 with {_LI_CAT_LONG_SQL},
 g as (select feature, v, count(*) filter (where ds = 0) as o0, count(*) filter (where ds = 1) as o1
@@ -483,10 +530,17 @@ def q_chi2_homogeneity_stat(spark, sf_dir):
     return res.select("feature", r4(F.col("statistic")).alias("statistic"), "dof")
 
 
-@query("chi2_homogeneity")
+@query("chi2_homogeneity", f"""
+with r as ({exact_stat_sql('chi2_homogeneity_stat')}),
+n as (select feature, count(*) filter (where ds = 0) as n_ref, count(*) filter (where ds = 1) as n_new
+      from (with {_LI_CAT_LONG_SQL} select * from long_) where v is not null group by feature),
+p as (select *, {chi_tail_sql('statistic', 'dof')} as p from r)
+select feature, 'chi2_homogeneity' as test, round(statistic, 4) as statistic, round(p, 4) as p_value, 0.05::double as alpha, n_ref, n_new,
+  0::bigint as dropped, p <= 0.05 as drifted from p join n using (feature)""")
 def q_chi2_homogeneity(spark, sf_dir):
     ref, new = li_periods(spark, sf_dir)
-    return drift.chi2_homogeneity(ref, new, LI_CAT, 0.05)
+    res = drift.chi2_homogeneity(ref, new, LI_CAT, 0.05)
+    return res.withColumn("statistic", r4(F.col("statistic"))).withColumn("p_value", r4(F.col("p_value")))
 
 
 @query("chi2_paired_stat", f"""
@@ -510,10 +564,16 @@ def q_chi2_paired_stat(spark, sf_dir):
     return res.select("feature", r4(F.col("statistic")).alias("statistic"), "dof")
 
 
-@query("chi2_paired")
+@query("chi2_paired", f"""
+with r as ({exact_stat_sql('chi2_paired_stat')}),
+n as (select least((select count(*) from ({O_REF_SQL})), (select count(*) from ({O_NEW_SQL}))) as n),
+p as (select *, {chi_tail_sql('statistic', 'dof')} as p from r)
+select feature, 'chi2_paired' as test, round(statistic, 4) as statistic, round(p, 4) as p_value, 0.05::double as alpha, n as n_ref, n as n_new,
+  0::bigint as dropped, p <= 0.05 as drifted from p, n""")
 def q_chi2_paired(spark, sf_dir):
     ref, new = o_periods(spark, sf_dir)
-    return drift.chi2_paired(ref, new, O_CAT, "o_orderkey", 0.05)
+    res = drift.chi2_paired(ref, new, O_CAT, "o_orderkey", 0.05)
+    return res.withColumn("statistic", r4(F.col("statistic"))).withColumn("p_value", r4(F.col("p_value")))
 
 
 def _mode_sql(source: str) -> str:
@@ -645,7 +705,7 @@ select o_orderkey,
 from orders""")
 def q_one_hot(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
-    return features.one_hot(o, ["o_orderpriority", "o_orderstatus"])
+    return features.one_hot(o, ["o_orderpriority", "o_orderstatus"], max_levels=1000)
 
 
 @query("key_violations", """
@@ -665,6 +725,17 @@ def q_stratified_split(spark, sf_dir):
     return splits.stratified_split(o, ["o_orderkey"], "o_orderstatus", 0.2, 42)
 
 
+@query("stratified_split_nulls", f"""
+select o_orderkey, o_orderpriority,
+  case when rn <= round_even(n * 0.2, 0) then 'test' else 'train' end as split
+from (select o_orderkey, o_orderpriority,
+        row_number() over (partition by o_orderpriority order by ('0x' || substr(md5(concat_ws(':', cast(o_orderkey as varchar), '42')), 1, 15))::BIGINT) as rn,
+        count(*) over (partition by o_orderpriority) as n from {_MASKED_ORDERS_SQL})""")
+def q_stratified_split_nulls(spark, sf_dir):
+    m = masked_orders(spark, sf_dir).select("o_orderkey", "o_orderpriority")
+    return splits.stratified_split(m, ["o_orderkey"], "o_orderpriority", 0.2, 42)
+
+
 @query("hash_split", f"""
 select l_orderkey, l_linenumber, case when {hash_sql(['l_orderkey', 'l_linenumber'])} < 0.2 then 'test' else 'train' end as split
 from lineitem""")
@@ -746,24 +817,39 @@ def q_read_csv(spark, sf_dir):
 
 
 @query("append_period", f"""
-select period, count(*) as n_rows, round(sum(o_totalprice), 2) as total_price from (
-  select *, 'y1996' as period from ({O_REF_SQL}) union all select *, 'y1997' from ({O_NEW_SQL}))
-group by period""")
+select {_YEAR_SQL} as period, count(*) as n_rows, round(sum(o_totalprice), 2) as total_price from orders group by 1""")
 def q_append_period(spark, sf_dir):
-    ref, new = o_periods(spark, sf_dir)
     path = scratch_path(spark, "orders-periods")
-    io.append_period(ref, path, "period", "y1996", version=1)
-    io.append_period(new, path, "period", "y1997", version=2)
-    io.append_period(new, path, "period", "y1997", version=2)  # re-run: replaces, does not duplicate
+    for v, (period, df) in enumerate(order_years(spark, sf_dir).items(), 1):
+        io.append_period(df, path, "period", period, version=v)
+    io.append_period(df, path, "period", period, version=v)  # re-run: replaces, does not duplicate
     t = spark.read.parquet(path)
     return t.groupBy("period").agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("o_totalprice"), 2).alias("total_price"))
 
 
+@query("period_history", f"""
+select v.version, {_YEAR_SQL} as period, count(*) as n_rows,
+  round(sum(case when v.version = 8 and year(o_orderdate) <= {YEARS[0]} then o_totalprice + 1 else o_totalprice end), 2) as total_price
+from orders, (values (7), (8)) v(version) group by all""")
+def q_period_history(spark, sf_dir):
+    """A period written again as a new version: the table as of the version before shows the old rows."""
+    path = scratch_path(spark, "orders-history")
+    years = order_years(spark, sf_dir)
+    for v, (period, df) in enumerate(years.items(), 1):
+        io.append_period(df, path, "period", period, version=v)
+    first = next(iter(years))
+    io.append_period(years[first].withColumn("o_totalprice", F.col("o_totalprice") + 1), path, "period", first, version=8)
+    t = spark.read.parquet(path)
+    seen = [io.read_as_of(t, v, "period").withColumn("version", F.lit(v)) for v in (7, 8)]
+    return seen[0].unionByName(seen[1]).groupBy("version", "period").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("o_totalprice"), 2).alias("total_price"))
+
+
 @query("save_table", "select c_mktsegment, count(*) as n_rows from customer group by c_mktsegment")
 def q_save_table(spark, sf_dir):
     db = "tidemark_features"
     location = scratch_path(spark, "warehouse")
-    spark.sql(f"create database if not exists {db} location '{location}'")
+    io.ensure_database(spark, db, comment="feature tables", location=location)
     name = f"{db}.customer_features"
     io.drop_feature_table(spark, name)
     io.save_table(table(spark, sf_dir, "customer"), name, comment="customer features keyed by c_custkey")
@@ -792,6 +878,18 @@ def q_records_payload(spark, sf_dir):
     return payloads.records_payload(o, "o_orderkey", ["o_orderkey", "o_totalprice", "o_orderpriority"], 1000)
 
 
+@query("records_payload_nulls", f"""
+with b as (select (row_number() over (order by o_orderkey) - 1) // 500 as batch, o_orderkey, o_totalprice, o_orderpriority
+           from {_MASKED_ORDERS_SQL})
+select batch, count(*) as n_rows,
+  to_json({{'dataframe_records': list({{'o_orderkey': o_orderkey, 'o_totalprice': o_totalprice,
+                                      'o_orderpriority': o_orderpriority}} order by o_orderkey)}})::varchar as payload
+from b group by batch""")
+def q_records_payload_nulls(spark, sf_dir):
+    m = masked_orders(spark, sf_dir)
+    return payloads.records_payload(m, "o_orderkey", ["o_orderkey", "o_totalprice", "o_orderpriority"], 500)
+
+
 @query("split_payload", """
 with b as (select (row_number() over (order by o_orderkey) - 1) // 1000 as batch, * from orders)
 select batch, count(*) as n_rows,
@@ -822,52 +920,86 @@ def order_features(spark, sf_dir):
     return features.training_set(spine, [cust], label="o_orderstatus")
 
 
-def _classifier(spark, sf_dir, num_trees=100):
-    return ml.train_classifier(order_features(spark, sf_dir), "o_orderstatus", ORDER_CAT, ORDER_NUM,
-                               estimator=ml.rf_classifier("label_idx", num_trees=num_trees), keys=["o_orderkey"])
+_FITTED: dict = {}
+
+
+def _once(spark, sf_dir, kind, fit):
+    """A model that several queries of one session share, fitted once per input."""
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    if key not in _FITTED:
+        _FITTED[key] = fit()
+    return _FITTED[key]
+
+
+def _classifier(spark, sf_dir):
+    return _once(spark, sf_dir, "classifier", lambda: ml.train_classifier(
+        order_features(spark, sf_dir), "o_orderstatus", ORDER_CAT, ORDER_NUM,
+        estimator=ml.rf_classifier("label_idx", num_trees=100), keys=["o_orderkey"]))
 
 
-@query("train_classifier")
+def _share(c: str):
+    return F.col(c).between(0, 1).alias(f"{c}_is_share")
+
+
+@query("train_classifier", """
+select cast(sum(t) as bigint) as n, true as accuracy_is_share, true as auc_hard_is_share, true as f1_weighted_is_share
+from (select round_even(count(*) * 0.2, 0) as t from orders group by o_orderstatus)""")
 def q_train_classifier(spark, sf_dir):
-    return _classifier(spark, sf_dir)[3]
+    """Size of the stratified test side, and that the metrics are shares (their values are the model's)."""
+    return _classifier(spark, sf_dir)[3].select("n", _share("accuracy"), _share("auc_hard"), _share("f1_weighted"))
 
 
-@query("feature_importances")
+@query("feature_importances", """
+select feature, true as importance_is_share, true as sum_is_one from (
+  select 'c_mktsegment__ohe_' || c_mktsegment as feature from (select distinct c_mktsegment from customer)
+  union all select 'o_orderpriority__ohe_' || o_orderpriority from (select distinct o_orderpriority from orders)
+  union all select unnest(['c_acctbal__imp', 'o_totalprice__imp']))""")
 def q_feature_importances(spark, sf_dir):
-    model = _classifier(spark, sf_dir)[0]
-    return ml.feature_importances(model, order_features(spark, sf_dir))
+    """One row per slot of the vector: the numbers and the known levels, none for unknown ones."""
+    imp = ml.feature_importances(_classifier(spark, sf_dir)[0], order_features(spark, sf_dir))
+    whole = imp.agg(F.round(F.sum("importance"), 6).alias("s")).select("s").scalar()
+    return imp.select("feature", F.col("importance").between(0, 1).alias("importance_is_share"), (whole == 1).alias("sum_is_one"))
 
 
-@query("search_classifier")
+@query("search_classifier", """
+select t as "numTrees", d as "maxDepth", f as "featureSubsetStrategy", true as f1_is_share
+from (values (20), (50), (100)) a(t), (values (3), (5), (7)) b(d), (values ('sqrt'), ('log2')) c(f)""")
 def q_search_classifier(spark, sf_dir):
     data, _ = ml.index_label(order_features(spark, sf_dir), "o_orderstatus")
-    _, trials = ml.search_classifier(data, "label_idx", ORDER_CAT, ORDER_NUM, max_trials=4, folds=2, time_limit=300)
-    return trials
+    _, trials = ml.search_classifier(data, "label_idx", ORDER_CAT, ORDER_NUM, ["o_orderkey"], folds=2)
+    return trials.select("numTrees", "maxDepth", "featureSubsetStrategy", _share("f1"))
 
 
-@query("score_proba")
+@query("score_proba", """
+select o_orderkey, o_orderstatus, true as label_known, true as sum_is_one from orders""")
 def q_score_proba(spark, sf_dir):
     data, indexer = ml.index_label(order_features(spark, sf_dir), "o_orderstatus")
-    model = ml.build_pipeline(ORDER_CAT, ORDER_NUM, ml.tree_classifier("label_idx")).fit(data)
-    return scoring.score_proba(data, model, indexer.labels, keep=["o_orderkey", "o_orderstatus"])
+    model = ml.build_pipeline(ORDER_CAT, ORDER_NUM, ml.tree_classifier("label_idx")).fit(ml.stable_input(data, ["o_orderkey"]))
+    out = scoring.score_proba(data, model, indexer.labels, keep=["o_orderkey", "o_orderstatus"])
+    total = sum((F.col(f"prob_{lab}") for lab in indexer.labels), F.lit(0.0))
+    return out.select("o_orderkey", "o_orderstatus", F.col("prediction").isin(*indexer.labels).alias("label_known"),
+                      (F.round(total, 6) == 1).alias("sum_is_one"))
 
 
-@query("score_batch")
+@query("score_batch", "select o_orderkey, true as label_known from orders")
 def q_score_batch(spark, sf_dir):
-    model = _classifier(spark, sf_dir, num_trees=20)[0]
+    model, indexer = _classifier(spark, sf_dir)[:2]
     spine = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
     cust = features.FeatureLookup(table(spark, sf_dir, "customer"), ["c_custkey"], ["o_custkey"],
                                   ["c_acctbal", "c_mktsegment"])
-    return scoring.score_batch(spine, [cust], model, keep=["o_orderkey"])
+    out = scoring.score_batch(spine, [cust], model, keep=["o_orderkey"])
+    return out.select("o_orderkey", F.col("prediction").isin(*range(len(indexer.labels))).alias("label_known"))
 
 
-def _regressor(spark, sf_dir, num_trees=500):
+def _regressor(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
-    return ml.train_run(li, LI_TARGET, LI_FEATS_CAT, LI_FEATS_NUM, ["l_orderkey", "l_linenumber"], "lineitem-run",
-                        num_trees=num_trees, max_depth=5)
+    return _once(spark, sf_dir, "regressor", lambda: ml.train_run(
+        li, LI_TARGET, LI_FEATS_CAT, LI_FEATS_NUM, ["l_orderkey", "l_linenumber"], "lineitem-run", num_trees=500, max_depth=5))
 
 
-@query("train_run")
+@query("train_run", f"""
+select 'lineitem-run' as run_id, count(*) as n_rows, count(*) filter (where {hash_sql(['l_orderkey', 'l_linenumber'])} >= 0.2) as n_train,
+  count(*) filter (where {hash_sql(['l_orderkey', 'l_linenumber'])} < 0.2) as n_test, true as r2_is_bounded, true as best_is_this from lineitem""")
 def q_train_run(spark, sf_dir):
     """The monthly training job; its record is also written to a runs table
     and the best run read back from there."""
@@ -876,37 +1008,54 @@ def q_train_run(spark, sf_dir):
     runs_path = scratch_path(spark, "runs")
     ml.run_metrics(record, "lineitem-price").write.mode("append").parquet(runs_path)
     best = runs.best_run(spark.read.parquet(runs_path), "r2_test")
-    return record.join(best.select("run_id", F.col("value").alias("best_r2")), "run_id", "left")
+    both = record.join(best.select("run_id", F.col("value").alias("best_r2")), "run_id", "left")
+    return both.select("run_id", "n_rows", "n_train", "n_test", (F.col("r2_test") <= 1).alias("r2_is_bounded"),
+                       (F.col("best_r2") == F.col("r2_test")).alias("best_is_this"))
 
 
-@query("validate_model")
-def q_validate_model(spark, sf_dir):
-    model = _regressor(spark, sf_dir, num_trees=20)[0]
-    inputs = table(spark, sf_dir, "lineitem").select(*LI_FEATS_CAT, *LI_FEATS_NUM)
-    return scoring.validate_model(inputs, _RoundedModel(model), inputs.schema)
+# The schema that the regressor was registered with, written out: a test against
+# the table's own schema could not fail.
+_SERVED = T.StructType([T.StructField("l_returnflag", T.StringType()), T.StructField("l_linestatus", T.StringType()),
+                        T.StructField("l_quantity", T.DoubleType()), T.StructField("l_discount", T.DoubleType()), T.StructField("l_tax", T.DoubleType())])
 
 
-class _RoundedModel:
-    """Model whose predictions are rounded to whole units (the served
-    signature declares an integer output)."""
+@query("validate_model", """
+select true as schema_ok, count(*) as n_rows, 0::bigint as n_null, 0::bigint as n_not_castable, true as passed from lineitem""")
+def q_validate_model(spark, sf_dir):
+    """The model's test as it should pass: the served inputs, a double prediction."""
+    model = _regressor(spark, sf_dir)[0]
+    inputs = table(spark, sf_dir, "lineitem").select(*LI_FEATS_CAT, *LI_FEATS_NUM)
+    return scoring.validate_model(inputs, model, _SERVED, T.DoubleType())
 
-    def __init__(self, model):
-        self.model = model
 
-    def transform(self, df):
-        return self.model.transform(df).withColumn("prediction", F.bround("prediction", 0))
+@query("validate_model_fails", """
+select 'extra column' as case_name, false as schema_ok, null::bigint as n_rows, false as passed
+union all select 'missing column', false, null, false
+union all select 'not whole numbers', true, count(*), false from lineitem""")
+def q_validate_model_fails(spark, sf_dir):
+    """The same test on a table with one column more, on one with one less, and for an integer signature."""
+    model = _regressor(spark, sf_dir)[0]
+    li = table(spark, sf_dir, "lineitem")
+    good = li.select(*LI_FEATS_CAT, *LI_FEATS_NUM)
+    cases = {"extra column": (li.select(*LI_FEATS_CAT, *LI_FEATS_NUM, "l_linenumber"), T.DoubleType()),
+             "missing column": (good.drop("l_tax"), T.DoubleType()), "not whole numbers": (good, T.IntegerType())}
+    out = None
+    for name, (df, kind) in cases.items():
+        row = scoring.validate_model(df, model, _SERVED, kind).select(F.lit(name).alias("case_name"), "schema_ok", "n_rows", "passed")
+        out = row if out is None else out.unionAll(row)
+    return out
 
 
-@query("stream_score")
+@query("stream_score", "select l_orderkey, l_linenumber, l_extendedprice, true as scored from lineitem")
 def q_stream_score(spark, sf_dir):
-    model = _regressor(spark, sf_dir, num_trees=20)[0]
+    model = _regressor(spark, sf_dir)[0]
     li = table(spark, sf_dir, "lineitem")
     src = streams.read_stream(spark, f"{sf_dir}/lineitem*.parquet", li.schema, max_files_per_trigger=1,
                               drop=["l_partkey", "l_suppkey"])
     scored = scoring.score(src, model, keep=["l_orderkey", "l_linenumber", LI_TARGET])
     out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
     streams.run_to_end(streams.write_stream(scored, out, ckpt, name=None))
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).select("l_orderkey", "l_linenumber", LI_TARGET, F.col("prediction").isNotNull().alias("scored"))
 
 
 # ------------------------------------------------------------------ more operators
@@ -966,12 +1115,17 @@ def q_roc_auc(spark, sf_dir):
     return m.withColumn("auc", F.round("auc", 6))
 
 
-@query("drift_report")
+_REPORT_SQL = f"""select * from ({ORACLE['levene_drift']}) union all select * replace (round(statistic, 4) as statistic, round(p_value, 4) as p_value) from ({ORACLE['ks_drift']})
+union all select * from ({ORACLE['chi2_homogeneity']})"""
+
+
+@query("drift_report", _REPORT_SQL)
 def q_drift_report(spark, sf_dir):
     """The monthly check end to end on two years of lineitem: Levene and KS
     share one scan of each period; chi-square on the flags."""
     ref, new = li_periods(spark, sf_dir)
-    return drift.drift_report(ref, new, LI_NUM, LI_CAT, 0.05)
+    res = drift.drift_report(ref, new, LI_NUM, LI_CAT, 0.05)
+    return res.withColumn("statistic", r4(F.col("statistic"))).withColumn("p_value", r4(F.col("p_value")))
 
 
 @query("period_report")

@@ -16,7 +16,7 @@ from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols
 from pyspark.ml.regression import RandomForestRegressor
@@ -72,23 +72,51 @@ class ModeImputer(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsW
         return ModeImputerModel(inputCols=cols, fills=json.dumps({r["feature"]: r["fill"] for r in rows}))
 
 
-def preprocessing_stages(categorical: Sequence[str], numeric: Sequence[str], median_error: float = 0.001) -> list:
-    """Imputation + one-hot + assembly. Numeric median imputation uses
-    Spark's ``Imputer`` (quantile sketch with ``median_error`` relative error)."""
+class MedianImputerModel(Model, HasInputCols, _HasFills, DefaultParamsReadable, DefaultParamsWritable):
+    """Fills nulls and NaN of numeric columns, as ``<col>__imp``, with the medians seen in training."""
+
+    @keyword_only
+    def __init__(self, inputCols=None, fills=None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        fills = json.loads(self.getOrDefault(self.fills))
+        for c in self.getInputCols():
+            x = F.col(c).cast("double")
+            dataset = dataset.withColumn(f"{c}__imp", F.coalesce(F.when(~F.isnan(x), x), F.lit(fills.get(c)).cast("double")))
+        return dataset
+
+
+class MedianImputer(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
+    """Exact median imputation (``impute.fit_median``) as a pipeline stage."""
+
+    @keyword_only
+    def __init__(self, inputCols=None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset: DataFrame) -> MedianImputerModel:
+        cols = self.getInputCols()
+        rows = impute.fit_median(dataset, cols).collect()  # one row per column
+        return MedianImputerModel(inputCols=cols, fills=json.dumps({r["feature"]: r["fill"] for r in rows}))
+
+
+def preprocessing_stages(categorical: Sequence[str], numeric: Sequence[str]) -> list:
+    """Imputation + one-hot + assembly. A level that training did not see gets
+    the index after the last level, which the encoder drops: all zeros."""
     stages: list = []
     categorical, numeric = list(categorical), list(numeric)
-    num_out = [f"{c}__imp" for c in numeric]
     if numeric:
-        stages.append(Imputer(inputCols=numeric, outputCols=num_out, strategy="median",
-                              relativeError=median_error))
-    vec_in = list(num_out)
+        stages.append(MedianImputer(inputCols=numeric))
+    vec_in = [f"{c}__imp" for c in numeric]
     if categorical:
         stages.append(ModeImputer(inputCols=categorical))
         idx = [f"{c}__idx" for c in categorical]
         ohe = [f"{c}__ohe" for c in categorical]
         stages.append(StringIndexer(inputCols=categorical, outputCols=idx, handleInvalid="keep",
                                     stringOrderType="alphabetAsc"))
-        stages.append(OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True, handleInvalid="keep"))
+        stages.append(OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True))
         vec_in += ohe
     stages.append(VectorAssembler(inputCols=vec_in, outputCol=FEATURES, handleInvalid="keep"))
     return stages
@@ -105,7 +133,7 @@ def rf_regressor(label: str, num_trees: int = 500, max_depth: int = 5, seed: int
                                  maxMemoryInMB=TREE_MEMORY_MB, cacheNodeIds=True)
 
 
-def rf_classifier(label: str, num_trees: int = 100, max_depth: int = 5, seed: int = 42) -> RandomForestClassifier:
+def rf_classifier(label: str, num_trees: int = 100, max_depth: int = 10, seed: int = 42) -> RandomForestClassifier:
     return RandomForestClassifier(labelCol=label, featuresCol=FEATURES, numTrees=num_trees, maxDepth=max_depth,
                                   seed=seed, maxMemoryInMB=TREE_MEMORY_MB, cacheNodeIds=True)
 
@@ -123,37 +151,32 @@ def index_label(df: DataFrame, label: str, out: str = "label_idx"):
     return model.transform(df), model
 
 
-def stable_input(df: DataFrame) -> DataFrame:
-    """Cut the lineage before an iterative fit: a reliable checkpoint into
-    the shared checkpoint folder, so lost executors recompute from it.
+def stable_input(df: DataFrame, keys: Sequence[str], partitions: int = 64) -> DataFrame:
+    """``df`` as tree fits should read it: dealt by key to a fixed number of
+    partitions, sorted in each, and written to the shared folder.
 
-    Iterative fits scan their input once per tree level; an input with
-    fewer partitions than the cluster has cores (a small file is one scan
-    task) is spread over all cores first. Larger inputs keep their
-    partitioning (no extra shuffle)."""
-    from tidemark.session import shared_dir, spread
+    Spark's forests draw their samples per partition and in row order, so the
+    model depends on both; fixed like this it does not depend on the cluster."""
+    from tidemark.session import shared_dir
     shared_dir(df.sparkSession)
-    return spread(df).checkpoint(eager=True)
+    return df.repartition(partitions, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
 
 
 def train_classifier(df: DataFrame, label: str, categorical: Sequence[str], numeric: Sequence[str],
-                     estimator=None, test_fraction: float = 0.2, seed: int = 42, keys: Sequence[str] | None = None):
-    """Fit a classification pipeline on the hash-split train side and
-    evaluate on the test side. Returns (model, label indexer, test predictions,
-    metrics row)."""
+                     estimator=None, test_fraction: float = 0.2, seed: int = 42, keys: Sequence[str] | None = None,
+                     partitions: int = 64):
+    """Fit a classification pipeline on the train side of a stratified split and
+    evaluate on the test side, with the split written once. Returns (model, label
+    indexer, test predictions, metrics row: n, accuracy, auc_hard (one level
+    against the rest, averaged), f1_weighted)."""
     keys = list(keys or df.columns)
     indexed, indexer = index_label(df, label)
-    s = splits.hash_split(indexed, keys, test_fraction, seed)
-    train = stable_input(s.where(F.col("split") == "train"))
-    test = s.where(F.col("split") == "test")
+    s = stable_input(splits.stratified_split(indexed, keys, label, test_fraction, seed), keys, partitions)
     est = estimator or rf_classifier("label_idx", seed=seed)
     est.setLabelCol("label_idx")
-    model = build_pipeline(categorical, numeric, est).fit(train)
-    pred = model.transform(test)
-    f1 = MulticlassClassificationEvaluator(labelCol="label_idx", predictionCol="prediction", metricName="f1")
-    summary = metrics.accuracy(pred, "label_idx", "prediction").withColumn(
-        "f1_weighted", F.lit(float(f1.evaluate(pred))))
-    return model, indexer, pred, summary
+    model = build_pipeline(categorical, numeric, est).fit(s.where(F.col("split") == "train"))
+    pred = model.transform(s.where(F.col("split") == "test"))
+    return model, indexer, pred, metrics.multiclass_metrics(pred, "label_idx", "prediction")
 
 
 def feature_importances(model: PipelineModel, frame: DataFrame) -> DataFrame:
@@ -173,22 +196,29 @@ def feature_importances(model: PipelineModel, frame: DataFrame) -> DataFrame:
 
 
 def search_classifier(train: DataFrame, label: str, categorical: Sequence[str], numeric: Sequence[str],
-                      max_trials: int = 30, folds: int = 3, parallelism: int = 4, seed: int = 42,
-                      time_limit: float | None = None):
-    """Model search by F1 over a bounded grid (<= max_trials settings),
-    k-fold cross validation with ``parallelism`` fits at a time. With
-    ``time_limit`` (seconds) the grid is tried in rounds of ``parallelism``
-    settings and no new round starts once the budget is spent; the best
-    model found so far is returned. Returns (best PipelineModel, table of
-    trial, numTrees, maxDepth, featureSubsetStrategy, f1)."""
+                      keys: Sequence[str], max_trials: int = 30, folds: int = 3, parallelism: int = 4, seed: int = 42,
+                      time_limit: float | None = None, partitions: int = 64):
+    """Model search by F1 over a grid, k-fold cross validation with ``parallelism``
+    fits at a time. The whole grid is tried if ``max_trials`` allows; otherwise
+    the settings with the smallest hashes, which spread over all its dimensions.
+    With ``time_limit`` (seconds) settings are tried in that order, in rounds of
+    ``parallelism``, and no round starts once the time is spent; the best model
+    so far is returned. Returns (best PipelineModel, table of trial, numTrees,
+    maxDepth, featureSubsetStrategy, f1)."""
+    import hashlib
     import time
 
     rf = rf_classifier(label, seed=seed)
     grid = (ParamGridBuilder().addGrid(rf.numTrees, [20, 50, 100]).addGrid(rf.maxDepth, [3, 5, 7])
-            .addGrid(rf.featureSubsetStrategy, ["sqrt", "log2"]).build())[:max_trials]
+            .addGrid(rf.featureSubsetStrategy, ["sqrt", "log2"]).build())
+
+    def setting(pm):
+        return int(pm[rf.numTrees]), int(pm[rf.maxDepth]), str(pm[rf.featureSubsetStrategy])
+
+    grid = sorted(grid, key=lambda pm: hashlib.md5(repr((setting(pm), seed)).encode()).digest())[:max_trials]
     ev = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction", metricName="f1")
     pipe = build_pipeline(categorical, numeric, rf)
-    data = stable_input(train)
+    data = stable_input(train, keys, partitions)
     start = time.monotonic()
     results, best_model, best_f1 = [], None, float("-inf")
     for i in range(0, len(grid), max(1, parallelism)):
@@ -197,9 +227,7 @@ def search_classifier(train: DataFrame, label: str, categorical: Sequence[str],
         chunk = grid[i:i + max(1, parallelism)]
         cv = CrossValidator(estimator=pipe, estimatorParamMaps=chunk, evaluator=ev, numFolds=folds,
                             parallelism=parallelism, seed=seed).fit(data)
-        for j, (pm, metric) in enumerate(zip(chunk, cv.avgMetrics)):
-            results.append((i + j, int(pm[rf.numTrees]), int(pm[rf.maxDepth]), str(pm[rf.featureSubsetStrategy]),
-                            float(metric)))
+        results += [(i + j, *setting(pm), float(metric)) for j, (pm, metric) in enumerate(zip(chunk, cv.avgMetrics))]
         if max(cv.avgMetrics) > best_f1:
             best_f1, best_model = max(cv.avgMetrics), cv.bestModel
     schema = "trial int, numTrees int, maxDepth int, featureSubsetStrategy string, f1 double"
@@ -207,7 +235,8 @@ def search_classifier(train: DataFrame, label: str, categorical: Sequence[str],
 
 
 def train_run(df: DataFrame, target: str, categorical: Sequence[str], numeric: Sequence[str], keys: Sequence[str],
-              run_id: str, num_trees: int = 500, max_depth: int = 5, test_fraction: float = 0.2, seed: int = 42):
+              run_id: str, num_trees: int = 500, max_depth: int = 5, test_fraction: float = 0.2, seed: int = 42,
+              partitions: int = 64):
     """The monthly training job: profile the input, split by key hash, fit
     the random-forest regression pipeline, evaluate on the test side.
 
@@ -218,11 +247,9 @@ def train_run(df: DataFrame, target: str, categorical: Sequence[str], numeric: S
     data = df.select(*cols)
     profile = stats.profile(data.drop(*[k for k in keys if k not in (target, *categorical, *numeric)]),
                             [target, *numeric], categorical)
-    s = splits.hash_split(data, keys, test_fraction, seed)
-    train = stable_input(s.where(F.col("split") == "train"))
-    test = s.where(F.col("split") == "test")
-    model = build_pipeline(categorical, numeric, rf_regressor(target, num_trees, max_depth, seed)).fit(train)
-    pred = model.transform(test)
+    s = stable_input(splits.hash_split(data, keys, test_fraction, seed), keys, partitions)
+    model = build_pipeline(categorical, numeric, rf_regressor(target, num_trees, max_depth, seed)).fit(s.where(F.col("split") == "train"))
+    pred = model.transform(s.where(F.col("split") == "test"))
     reg = metrics.regression_metrics(pred, target, "prediction")
     counts = splits.split_counts(s)
     # Split counts ride along as scalar subqueries of the one-row metrics.

@@ -21,7 +21,7 @@ REPORT_COLUMNS = ["check", "feature", "statistic", "value", "p_value", "threshol
 
 def period_report(production: DataFrame, new: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
                   null_threshold: float = 0.5, stats_limit: float = 0.1, p_threshold: float = 0.05,
-                  statistics: Sequence[str] = ("mean", "median", "std", "min", "max")) -> DataFrame:
+                  statistics: Sequence[str] = drift.DRIFT_STATISTICS) -> DataFrame:
     """All checks of one monthly run in one long table."""
     numeric, categorical = list(numeric), list(categorical)
     nulls = stats.null_proportions(new, null_threshold, numeric + categorical, flagged_only=False).select(

@@ -38,8 +38,9 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    It is read from the session; only when it is unset (local tests) is a
-    fresh folder created and set, so ``Dataset.checkpoint()`` works."""
+    It is read from the session. Unset, it is an error on a cluster, where
+    executors do not see the driver's disk; a local master gets a fresh folder,
+    so ``Dataset.checkpoint()`` works in tests."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
@@ -48,6 +49,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not path and sc is not None:
         path = sc.getCheckpointDir()
     if not path:
+        if sc is None or not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if sc is not None and not sc.getCheckpointDir():
@@ -59,19 +62,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared folder for one job output."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def spread(df):
-    """``df`` spread over all cores when it has fewer partitions than the
-    cluster has cores (a small file is one scan task); larger inputs keep
-    their partitioning, so this adds no shuffle at scale."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # Spark Connect: leave partitioning to the server
-        return df
-    return df.repartition(cores) if parts < cores else df

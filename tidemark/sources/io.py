@@ -61,10 +61,14 @@ def sql_on_path(spark: SparkSession, path: str, fmt: str = "parquet", where: str
     return spark.sql(q)
 
 
-def ensure_database(spark: SparkSession, name: str, comment: str | None = None) -> None:
+def ensure_database(spark: SparkSession, name: str, comment: str | None = None, location: str | None = None) -> None:
     ddl = f"create database if not exists {_ident(name)}"
     if comment:
         ddl += " comment '" + comment.replace("'", "") + "'"
+    if location:
+        if "'" in location:
+            raise ValueError("location may not contain a quote")
+        ddl += f" location '{location}'"
     spark.sql(ddl)
 
 
@@ -83,22 +87,15 @@ def drop_feature_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"drop table if exists {_ident(name)}")
 
 
-def append_period(df: DataFrame, path: str, period_col: str, period: str, version: int | None = None,
-                  overwrite_period: bool = True) -> None:
-    """Write one period into a table partitioned by ``period_col``.
+def append_period(df: DataFrame, path: str, period_col: str, period: str, version: int) -> None:
+    """Write one period as ``version`` into a table partitioned by period and version.
 
-    Default is a dynamic partition overwrite: re-running the same period
-    replaces it instead of duplicating rows (plain append would double them).
-    ``version`` stamps the rows with ``ingest_version``."""
-    out = df.withColumn(period_col, F.lit(period))
-    if version is not None:
-        out = out.withColumn(VERSION_COL, F.lit(int(version)))
-    w = out.write.partitionBy(period_col)
-    if overwrite_period:
-        w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    else:
-        w = w.mode("append")
-    w.parquet(path)
+    Earlier versions of the period stay, so the table can be read as it was;
+    running the same (period, version) again replaces its own rows only (dynamic
+    partition overwrite) instead of doubling them."""
+    out = df.withColumn(period_col, F.lit(period)).withColumn(VERSION_COL, F.lit(int(version)))
+    (out.write.partitionBy(period_col, VERSION_COL).mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").parquet(path))
 
 
 def latest_version(df: DataFrame) -> DataFrame:
@@ -106,9 +103,17 @@ def latest_version(df: DataFrame) -> DataFrame:
     return df.agg(F.max(VERSION_COL).alias("latest_version"))
 
 
-def read_as_of(df: DataFrame, version: int) -> DataFrame:
-    """The table as it was after ``version`` was appended."""
-    return df.where(F.col(VERSION_COL) <= F.lit(int(version)))
+def read_as_of(df: DataFrame, version: int, period_col: str | None = None) -> DataFrame:
+    """The table as it was after ``version`` was written. With ``period_col`` each
+    period shows its newest version up to then (a period written again replaces
+    its older rows); without, rows of all versions up to then. Both filters prune
+    partitions; the newest versions are one small row per period."""
+    upto = df.where(F.col(VERSION_COL) <= F.lit(int(version)))
+    if period_col is None:
+        return upto
+    newest = upto.groupBy(F.col(period_col).alias("_tm_p")).agg(F.max(VERSION_COL).alias("_tm_v"))
+    same = upto[period_col].eqNullSafe(newest["_tm_p"]) & (upto[VERSION_COL] == newest["_tm_v"])
+    return upto.join(newest, same, "left_semi")
 
 
 def with_versions(df: DataFrame, version: "F.Column") -> DataFrame:

@@ -43,10 +43,13 @@ def write_stream(df: DataFrame, path: str, checkpoint: str, name: str | None = N
     return w.start(path)
 
 
-def run_to_end(query: StreamingQuery, timeout: float = 3600.0) -> StreamingQuery:
-    """Wait for an ``availableNow`` query to finish; stop it and raise if it
-    has not finished within ``timeout`` seconds (never wait unbounded)."""
-    if not query.awaitTermination(timeout):
+def run_to_end(query: StreamingQuery, timeout: float | None = None) -> StreamingQuery:
+    """Wait for an ``availableNow`` query to finish. With ``timeout`` (seconds) it
+    is stopped and an error raised if it takes longer; without, a healthy query
+    may take as long as it needs (a failed one raises at once)."""
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"stream {query.name or query.id} did not finish within {timeout} s")
     if query.exception() is not None:
