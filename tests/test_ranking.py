@@ -94,3 +94,26 @@ def test_null_group_keeps_its_rows(spark):
     df = spark.createDataFrame([(None, i, 1) for i in range(50)] + [("a", i, 1) for i in range(50)], "g string, v int, w int")
     out = ranking.running_totals(df, ["g"], "v", ["w"], buckets=4)
     assert out.count() == 100 and {r["total_w"] for r in out.collect()} == {50}
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(values=st.lists(st.one_of(st.none(), st.integers(-30, 30), st.floats(-5, 5)), min_size=1, max_size=300), accuracy=st.sampled_from([5, 20, 10_000]))
+def test_bracketed_quantiles_equal_numpy(spark, values, accuracy):
+    from tidemark.operators import stats
+    stats_accuracy, stats.SKETCH_ACCURACY = stats.SKETCH_ACCURACY, accuracy
+    try:
+        df = spark.createDataFrame([(None if v is None else float(v),) for v in values], "x double")
+        row = stats.quantiles(df, ["x"], {"a": 0.25, "b": 0.5, "c": 0.97}).first()
+    finally:
+        stats.SKETCH_ACCURACY = stats_accuracy
+    own = [float(v) for v in values if v is not None]
+    assert row["count"] == len(own) and row["null_count"] == len(values) - len(own)
+    for name, p in (("a", 25), ("b", 50), ("c", 97)):
+        assert row[name] == (pytest.approx(np.percentile(own, p), abs=1e-12) if own else None)
+
+
+def test_profile_shuffles_no_table(spark, sf_small):
+    from tidemark.operators import stats
+    li = spark.read.parquet(f"{sf_small}/lineitem.parquet")
+    moments, counts = stats.bracketed(li, ["l_extendedprice", "l_quantity"], {"m": 0.5})
+    assert moments.count() == 2 and counts.groupBy("feature").count().where("count > 50").count() == 0

@@ -11,14 +11,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.ranking import exact_quantiles, materialize
-from tidemark.operators.stats import melt
+from tidemark.operators.ranking import materialize
+from tidemark.operators.stats import melt, quantiles
 
 
 def fit_median(train: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature, fill) exact medians per numeric column."""
-    q = exact_quantiles(melt(train, columns), ["feature"], {"fill": 0.5})
-    return q.select("feature", "fill")
+    return quantiles(train, columns, {"fill": 0.5}).select("feature", "fill")
 
 
 def fit_mode(train: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -1,10 +1,8 @@
 """Profiles and summary statistics, in long form (feature, statistic, value).
 
-A numeric profile scans its source once: all columns are melted and grouped
-into (feature, value, count) rows (map-side partial aggregation), written
-once to the shared checkpoint folder, and every statistic - moments,
-min/max, nulls and exact quantiles by range offsets - is read from that
-compact table. Categorical profiles are one grouped count of
+A numeric profile is two aggregates over its source that combine map-side: the
+moments with a sketch, then counts that give the exact quantiles inside the
+sketch's brackets. Categorical profiles are one grouped count of
 (feature, value). Nothing row-level reaches the driver."""
 
 from __future__ import annotations
@@ -46,40 +44,61 @@ def melt(df: DataFrame, columns: Sequence[str], value_type: str = "double",
     return exploded.select(*keep, f"_tm_kv.{feature}", f"_tm_kv.{value}")
 
 
-def numeric_counts(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """(keep..., feature, value, _cnt) for every numeric column, null values
-    included as their own row; grouped map-side, then written once so the
-    statistics below read this compact table instead of the source."""
+# Rank error of the quantile sketch is below 1 / SKETCH_ACCURACY of the rows.
+SKETCH_ACCURACY = 10_000
+
+
+def bracketed(df: DataFrame, columns: Sequence[str], probs: dict[str, float], keep: Sequence[str] = (),
+              accuracy: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(moments, counts) per (keep..., feature) of numeric columns, from two scans
+    that combine map-side and shuffle no table.
+
+    The first scan gives count, mean, std, min, max, null_count and, from a
+    mergeable sketch, a bracket of two values around each quantile that holds it for
+    certain (twice the sketch's rank error to both sides). The second counts rows by
+    place: every value inside a bracket for itself, all values between two brackets
+    together, with the smallest and the largest of them (a quantile may need the
+    neighbour of its bracket). The counts therefore have the exact ranks of the
+    few values that the quantiles need. Groups are few: one row each is broadcast."""
+    by = [*keep, "feature"]
+    accuracy = int(accuracy or SKETCH_ACCURACY)
     long = melt(df, columns, keep=keep)
-    return materialize(long.groupBy(*keep, "feature", "value").agg(F.count(F.lit(1)).alias("_cnt")))
-
-
-def profile_from_counts(counts: DataFrame, by: Sequence[str] = ("feature",),
-                        probs: dict[str, float] | None = None) -> DataFrame:
-    """Wide numeric profile per group from a ``numeric_counts`` table:
-    by..., count, mean, std, min, max, null_count and one column per
-    quantile. Two passes over the counts (the second centres the squares on
-    the mean for a stable std) plus the range-offset ranking."""
-    by = list(by)
-    probs = dict(_QUANTILES if probs is None else probs)
-    vals = counts.where(F.col("value").isNotNull())
-    ranked = running_totals(vals, by, "value", ["_cnt"], materialized=True)
-    q_aggs, q_final = quantile_aggs("value", "_cnt", probs)
-    v, c = F.col("value"), F.col("_cnt")
-    first = ranked.groupBy(*by).agg(
-        F.max("total__cnt").alias("count"), F.sum(v * c).alias("_sum"), F.min(v).alias("min"),
-        F.max(v).alias("max"), *q_aggs)
-    # One row per group; written once because two branches below read it.
-    means = materialize(first.select(*by, "count", (F.col("_sum") / F.col("count")).alias("mean"), "min", "max",
-                                     *[expr.alias(name) for name, expr in q_final.items()]))
-    # One row per group (features x datasets): bounded by the column count.
-    dev = vals.join(F.broadcast(means.select(*by, "mean")), by).groupBy(*by).agg(
-        F.sum(c * F.pow(v - F.col("mean"), 2)).alias("_m2"))
-    nulls = counts.groupBy(*by).agg(F.sum(F.when(F.col("value").isNull(), c).otherwise(0)).alias("null_count"))
-    out = nulls.join(means, by, "left").join(dev, by, "left")
-    std = F.when(F.col("count") > 1, F.sqrt(F.col("_m2") / (F.col("count") - F.lit(1))))
-    return out.select(*by, F.coalesce(F.col("count"), F.lit(0)).alias("count"), "mean", std.alias("std"),
-                      "min", "max", "null_count", *list(probs))
+    v = F.col("value")
+    ends = [min(max(p + side * 2.0 / accuracy, 0.0), 1.0) for p in probs.values() for side in (-1, 1)]
+    moments = materialize(long.groupBy(*by).agg(
+        F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"),
+        F.count_if(v.isNull()).alias("null_count"), F.percentile_approx(v, ends, accuracy).alias("_cuts")))
+    cuts = moments.select(*[F.col(c).alias(f"_tm_{c}") for c in by], "_cuts")
+    same = None
+    for c in by:
+        same = long[c].eqNullSafe(cuts[f"_tm_{c}"]) if same is None else same & long[c].eqNullSafe(cuts[f"_tm_{c}"])
+    placed = long.where(v.isNotNull()).join(F.broadcast(cuts), same)
+    inside = None
+    for i in range(0, len(ends), 2):
+        one = v.between(F.col("_cuts")[i], F.col("_cuts")[i + 1])
+        inside = one if inside is None else inside | one
+    below = sum(((F.col("_cuts")[i] < v).cast("int") for i in range(len(ends))), F.lit(0))
+    counts = (placed.groupBy(*by, below.alias("_place"), F.when(inside, v).alias("_at"))
+              .agg(F.count(F.lit(1)).alias("_n"), F.min(v).alias("_low"), F.max(v).alias("_top")))
+    one, rest = F.lit(1).cast("long"), F.col("_n") - 1
+    ends_of = F.array(F.struct(F.col("_low").alias("value"), one.alias("_cnt")), F.struct(F.col("_top").alias("value"), rest.alias("_cnt")))
+    whole = F.array(F.struct(F.col("_top").alias("value"), F.col("_n").alias("_cnt")))
+    counts = counts.select(*by, F.explode(F.when(F.col("_at").isNull() & (F.col("_n") > 1), ends_of).otherwise(whole)).alias("_e")).select(*by, "_e.*")
+    return moments.drop("_cuts"), materialize(counts)
+
+
+def quantiles(df: DataFrame, columns: Sequence[str], probs: dict[str, float], keep: Sequence[str] = ()) -> DataFrame:
+    """keep..., feature, the moments and one column per exact quantile (linear interpolation)."""
+    by = [*keep, "feature"]
+    moments, counts = bracketed(df, columns, probs, keep)
+    aggs, finals = quantile_aggs("value", "_cnt", probs)
+    found = running_totals(counts, by, "value", ["_cnt"], materialized=True).groupBy(*by).agg(*aggs)
+    found = found.select(*[F.col(c).alias(f"_tm_{c}") for c in by], *[e.alias(n) for n, e in finals.items()])
+    same = None
+    for c in by:
+        one = moments[c].eqNullSafe(found[f"_tm_{c}"])
+        same = one if same is None else same & one
+    return moments.join(found, same, "left").drop(*[f"_tm_{c}" for c in by])
 
 
 _STAT_SOURCE = {"count": "count", "mean": "mean", "std": "std", "min": "min", "25%": "25%", "50%": "50%",
@@ -94,14 +113,13 @@ def _stats_long(wide: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def summary_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Numeric profile: (feature, statistic, value) with the statistics in
-    ``NUMERIC_STATISTICS``. ``median`` equals ``50%`` (both exact). The
-    source is scanned once: every statistic comes from the grouped counts."""
+    ``NUMERIC_STATISTICS``. ``median`` equals ``50%`` (both exact)."""
     if columns is None:
         columns = column_roles(df)["numeric"]
     columns = list(columns)
     if not columns:
         raise ValueError("no numeric columns to profile")
-    return _stats_long(profile_from_counts(numeric_counts(df, columns)), ["feature"])
+    return _stats_long(quantiles(df, columns, _QUANTILES), ["feature"])
 
 
 def paired_summary_stats(reference: DataFrame, new: DataFrame,
@@ -111,7 +129,7 @@ def paired_summary_stats(reference: DataFrame, new: DataFrame,
     columns = list(columns)
     both = (reference.select(*columns).withColumn("_period", F.lit(0))
             .unionByName(new.select(*columns).withColumn("_period", F.lit(1))))
-    wide = profile_from_counts(numeric_counts(both, columns, keep=["_period"]), ["_period", "feature"])
+    wide = quantiles(both, columns, _QUANTILES, keep=["_period"])
     long = materialize(_stats_long(wide, ["_period", "feature"]))  # small: periods x features x 10
     return (long.where(F.col("_period") == 0).drop("_period"),
             long.where(F.col("_period") == 1).drop("_period"))
@@ -195,20 +213,16 @@ def box_stats(datasets: dict[str, DataFrame], columns: Sequence[str], whis: floa
     """Box-plot numbers per (feature, dataset): quartiles, the furthest values
     inside [q1 - whis*IQR, q3 + whis*IQR] (never inside the box) and the count of
     values outside.
-    Each dataset is scanned once into grouped counts."""
+    Quartiles by brackets, then one aggregate against the fences; no table is shuffled."""
     parts = None
     for name, df in datasets.items():
-        part = melt(df.select(*columns).withColumn("dataset", F.lit(name)), columns, keep=["dataset"])
+        part = df.select(*columns).withColumn("dataset", F.lit(name))
         parts = part if parts is None else parts.unionByName(part)
-    counts = materialize(parts.where(F.col("value").isNotNull())
-                         .groupBy("feature", "dataset", "value").agg(F.count(F.lit(1)).alias("_cnt")))
-    ranked = running_totals(counts, ["feature", "dataset"], "value", ["_cnt"], materialized=True)
-    q_aggs, q_final = quantile_aggs("value", "_cnt", {"q1": 0.25, "median": 0.5, "q3": 0.75})
-    q = ranked.groupBy("feature", "dataset").agg(*q_aggs).select(
-        "feature", "dataset", *[expr.alias(name) for name, expr in q_final.items()])
-    fences = q.select("feature", "dataset", "q1", "median", "q3",
-                      (F.col("q1") - F.lit(whis) * (F.col("q3") - F.col("q1"))).alias("_lo"),
-                      (F.col("q3") + F.lit(whis) * (F.col("q3") - F.col("q1"))).alias("_hi"))
+    q = quantiles(parts, columns, {"q1": 0.25, "median": 0.5, "q3": 0.75}, keep=["dataset"]).where(F.col("count") > 0)
+    counts = melt(parts, columns, keep=["dataset"]).where(F.col("value").isNotNull())
+    fences = materialize(q.select("feature", "dataset", "q1", "median", "q3",
+                                  (F.col("q1") - F.lit(whis) * (F.col("q3") - F.col("q1"))).alias("_lo"),
+                                  (F.col("q3") + F.lit(whis) * (F.col("q3") - F.col("q1"))).alias("_hi")))
     # One row per (feature, dataset): bounded by the number of columns.
     j = counts.join(F.broadcast(fences), ["feature", "dataset"])
     inside = (F.col("value") >= F.col("_lo")) & (F.col("value") <= F.col("_hi"))
@@ -216,7 +230,7 @@ def box_stats(datasets: dict[str, DataFrame], columns: Sequence[str], whis: floa
         F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"),
         F.least(F.min(F.when(inside, F.col("value"))), F.first("q1")).alias("whisker_lo"),
         F.greatest(F.max(F.when(inside, F.col("value"))), F.first("q3")).alias("whisker_hi"),
-        F.sum(F.when(~inside, F.col("_cnt")).otherwise(0)).alias("n_outliers"))
+        F.count_if(~inside).alias("n_outliers"))
 
 
 def head_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
