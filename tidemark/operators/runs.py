@@ -2,7 +2,8 @@
 bookkeeping kept as plain tables).
 
 runs:         experiment, run_id, start_time, metric, value
-stage_events: model, version, stage, archive_existing, at
+stage_events: model, version, stage, archive_existing, at, run_id
+run_details:  run_id, data_path, data_version, period, n_rows, n_train, n_test, parameters, signature
 """
 
 from __future__ import annotations
@@ -69,3 +70,24 @@ def model_in_stage(events: DataFrame, stage: str) -> DataFrame:
 def latest_model_version(events: DataFrame) -> DataFrame:
     """Highest version per model regardless of stage."""
     return events.groupBy("model").agg(F.max("version").alias("latest_version"))
+
+
+def version_runs(events: DataFrame) -> DataFrame:
+    """(model, version, run_id): the run each model version was registered from, that of its first event."""
+    first = F.min_by("run_id", F.struct("at", "run_id"))
+    return events.where(F.col("run_id").isNotNull()).groupBy("model", "version").agg(first.alias("run_id"))
+
+
+def runs_in_stage(events: DataFrame, stage: str) -> DataFrame:
+    """(model, version, run_id) of the latest version of each model in ``stage``."""
+    return model_in_stage(events, stage).join(version_runs(events), ["model", "version"], "left")
+
+
+def log_details(record: DataFrame, path: str, data_path: str, data_version: int, period: str, parameters: dict,
+                signature: dict) -> None:
+    """Append what a training run used to the run_details table at ``path``; ``record``
+    is the one-row result of ``ml.train_run`` (run_id and row counts)."""
+    import json
+    record.select("run_id", F.lit(data_path).alias("data_path"), F.lit(int(data_version)).alias("data_version"), F.lit(period).alias("period"),
+                  "n_rows", "n_train", "n_test", F.lit(json.dumps(parameters, sort_keys=True)).alias("parameters"),
+                  F.lit(json.dumps(signature, sort_keys=True)).alias("signature")).write.mode("append").parquet(path)

@@ -615,7 +615,8 @@ def runs_table(spark, sf_dir):
 _STAGE_SQL = """(select event_type as model, cast(user_id as integer) as version,
    case when value < 100 then 'Staging' when value < 250 then 'Production' when value < 400 then 'None'
         else 'Archived' end as stage,
-   cast(json_extract_string(props, '$.k') as integer) >= 50 as archive_existing, ts as "at" from events)"""
+   cast(json_extract_string(props, '$.k') as integer) >= 50 as archive_existing, ts as "at",
+   cast(event_id as varchar) as run_id from events)"""
 
 
 def stage_events(spark, sf_dir):
@@ -626,7 +627,7 @@ def stage_events(spark, sf_dir):
     return ev.select(F.col("event_type").alias("model"), F.col("user_id").cast("int").alias("version"),
                      stage.alias("stage"),
                      (F.get_json_object("props", "$.k").cast("int") >= 50).alias("archive_existing"),
-                     F.col("ts").alias("at"))
+                     F.col("ts").alias("at"), F.col("event_id").cast("string").alias("run_id"))
 
 
 @query("latest_run", f"""
@@ -671,6 +672,17 @@ def q_model_in_stage(spark, sf_dir):
     return runs.model_in_stage(stage_events(spark, sf_dir), "Production")
 
 
+@query("runs_in_stage", f"""
+with p as (select model, max(version) as version from {_CURRENT_SQL} where stage = 'Production' group by model),
+f as (select model, version, arg_min(run_id, ("at", run_id)) as run_id from {_STAGE_SQL} group by model, version)
+select model, version, run_id, r.value from p join f using (model, version)
+join (select run_id, value from {_RUNS_SQL} where metric = 'value') r using (run_id)""")
+def q_runs_in_stage(spark, sf_dir):
+    """The run and its metric behind each production version."""
+    metric = runs_table(spark, sf_dir).where(F.col("metric") == "value").select("run_id", "value")
+    return runs.runs_in_stage(stage_events(spark, sf_dir), "Production").join(metric, "run_id").select("model", "version", "run_id", "value")
+
+
 @query("latest_model_version", f"select model, max(version) as latest_version from {_STAGE_SQL} group by model")
 def q_latest_model_version(spark, sf_dir):
     return runs.latest_model_version(stage_events(spark, sf_dir))
@@ -1136,6 +1148,50 @@ def q_period_report(spark, sf_dir):
     return monitoring.period_report(ref, new, LI_NUM, LI_CAT, null_threshold=0.5, stats_limit=_DRIFT_LIMIT)
 
 
+_LOOP_SQL = {side: S.numeric_profile_raw(f"(select * from orders where year(o_orderdate) {cond})", ["o_totalprice"])
+             for side, cond in (("sr", f"< {YEARS[-1]}"), ("sn", f">= {YEARS[-1]}"))}
+
+
+@query("monthly_loop", f"""
+with sr as {_LOOP_SQL['sr']}, sn as {_LOOP_SQL['sn']},
+n as (select count(*) as n_data from orders where year(o_orderdate) < {YEARS[-1]}),
+j as (select sr.statistic, round(sr.value, 4) as prod_value, round(sn.value, 4) as new_value,
+        sn.value < sr.value * 0.999 or sn.value > sr.value * 1.001 as moved from sr join sn using (statistic)),
+v as (select case when count(*) filter (where moved) > 0 then 2 else 1 end as version from j)
+select 'run-6' as run_id, 6 as data_version, n_data, statistic, prod_value, new_value, moved, version as in_production from j, n, v""")
+def q_monthly_loop(spark, sf_dir):
+    """One month: the production version leads to its run, the run to the data as of
+    its version and to its stored statistics; the new period is compared with them,
+    and a new version is registered from a new run if anything moved."""
+    data, details = scratch_path(spark, "loop-data"), scratch_path(spark, "loop-details")
+    saved, events = scratch_path(spark, "loop-stats"), scratch_path(spark, "loop-events")
+    columns, years = ["o_totalprice"], order_years(spark, sf_dir)
+    for v, (period, df) in enumerate(years.items(), 1):
+        io.append_period(df, data, "period", period, version=v)
+        if v == len(years) - 1:  # the run in production was trained on what was there then
+            then = io.read_as_of(spark.read.parquet(data), v, "period")
+            record = then.agg(F.count(F.lit(1)).alias("n_rows")).select(
+                F.lit(f"run-{v}").alias("run_id"), "n_rows", F.col("n_rows").alias("n_train"), F.lit(0).cast("long").alias("n_test"))
+            runs.log_details(record, details, data, v, period, {"statistics": list(drift.DRIFT_STATISTICS)}, ml.signature(then, columns, T.DoubleType()))
+            io.save_stats(stats.summary_stats(then, columns), saved, f"run-{v}")
+    log = spark.createDataFrame([("orders", 1, "Production", True, f"run-{len(years) - 1}")],
+                                "model string, version int, stage string, archive_existing boolean, run_id string")
+    log.withColumn("at", F.to_timestamp_ntz(F.lit("2001-01-01 00:00:00"))).write.parquet(events)
+    run_id, before, stored = monitoring.production_baseline(spark.read.parquet(events), details, saved, "orders", "period")
+    new = stats.summary_stats(spark.read.parquet(data).where(F.col("period") == period), columns)
+    moved = drift.summary_drift(new, stored, columns, 0.001)
+    gate = moved.agg(F.when(F.count(F.lit(1)) > 0, 1.1).otherwise(0.9).alias("staging"), F.lit(1.0).alias("prod"))
+    monitoring.promote_if(drift.promotion_gate(gate, "staging", "prod", 0.05), events, "orders", 2, run_id=f"run-{len(years)}")
+    held = runs.model_in_stage(spark.read.parquet(events), "Production").select("version").scalar()
+    version = spark.read.parquet(details).where(F.col("run_id") == run_id).select("data_version").scalar()
+    flags = moved.select("statistic", F.lit(True).alias("moved"))
+    both = stored.select("statistic", F.col("value").alias("prod_value")).join(new.select("statistic", F.col("value").alias("new_value")), "statistic")
+    return (both.where(F.col("statistic").isin(*drift.DRIFT_STATISTICS)).join(flags, "statistic", "left")
+            .select(F.lit(run_id).alias("run_id"), version.alias("data_version"), before.agg(F.count(F.lit(1)).alias("n")).select("n").scalar().alias("n_data"),
+                    "statistic", r4(F.col("prod_value")).alias("prod_value"), r4(F.col("new_value")).alias("new_value"),
+                    F.coalesce("moved", F.lit(False)).alias("moved"), held.alias("in_production")))
+
+
 @query("stream_events", """
 select event_id, user_id, event_type, value, cast(json_extract_string(props, '$.k') as bigint) as k from events""")
 def q_stream_events(spark, sf_dir):

@@ -14,7 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import drift, stats
+from tidemark.operators import drift, runs, stats
+from tidemark.sources import io
 
 REPORT_COLUMNS = ["check", "feature", "statistic", "value", "p_value", "threshold", "flagged"]
 
@@ -47,8 +48,24 @@ def period_report(production: DataFrame, new: DataFrame, numeric: Sequence[str],
     return out.select(*REPORT_COLUMNS)
 
 
+def production_baseline(events: DataFrame, details_path: str, stats_path: str, model: str,
+                        period_col: str | None = None) -> tuple[str, DataFrame, DataFrame]:
+    """Where a monthly comparison starts: the run behind the version of ``model`` in
+    production, the data as it was at the version that run was trained on, and the
+    statistics stored with the run. Returns (run_id, data, stats)."""
+    spark = events.sparkSession
+    prod = runs.runs_in_stage(events, "Production").where(F.col("model") == model).first()  # one row per model
+    if prod is None or prod["run_id"] is None:
+        raise ValueError(f"{model} has no version in production with a run")
+    run = spark.read.parquet(details_path).where(F.col("run_id") == prod["run_id"]).first()  # one row per run
+    if run is None:
+        raise ValueError(f"run {prod['run_id']} left no details")
+    data = io.read_as_of(spark.read.parquet(run["data_path"]), run["data_version"], period_col)
+    return run["run_id"], data, io.load_stats(spark, stats_path, run["run_id"])
+
+
 def promote_if(gate: DataFrame, events_path: str, model: str, version: int,
-               stage: str = "Production", allow=("PROCEED",)) -> bool:
+               stage: str = "Production", allow=("PROCEED",), run_id: str | None = None) -> bool:
     """Append (model, version, stage, archive_existing=True, now) to the
     stage event log when the gate's verdict is allowed. ``gate`` is the
     one-row result of ``drift.promotion_gate``; only that row is read."""
@@ -56,7 +73,7 @@ def promote_if(gate: DataFrame, events_path: str, model: str, version: int,
     if row is None or row["verdict"] not in set(allow):
         return False
     spark = gate.sparkSession
-    event = spark.createDataFrame([(model, int(version), stage, True)],
-                                  "model string, version int, stage string, archive_existing boolean")
+    event = spark.createDataFrame([(model, int(version), stage, True, run_id)],
+                                  "model string, version int, stage string, archive_existing boolean, run_id string")
     event.withColumn("at", F.current_timestamp().cast("timestamp_ntz")).write.mode("append").parquet(events_path)
     return True
