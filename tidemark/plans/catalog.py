@@ -22,7 +22,7 @@ from tidemark.operators import drift, features, impute, metrics, runs, splits, s
 from tidemark.operators.ranking import materialize as ranking_materialize
 from tidemark.plans import ml, monitoring, scoring
 from tidemark.plans import sqlgen as S
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, written_out
 from tidemark.sources import io
 from tidemark.streaming import streams
 
@@ -825,7 +825,7 @@ def q_read_csv(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     path = scratch_path(spark, "orders-csv")
     io.write_csv(o, path)
-    return io.read_csv(spark, path, schema=o.schema)
+    return written_out(io.read_csv(spark, path, schema=o.schema), path)
 
 
 @query("append_period", f"""
@@ -836,7 +836,7 @@ def q_append_period(spark, sf_dir):
         io.append_period(df, path, "period", period, version=v)
     io.append_period(df, path, "period", period, version=v)  # re-run: replaces, does not duplicate
     t = spark.read.parquet(path)
-    return t.groupBy("period").agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("o_totalprice"), 2).alias("total_price"))
+    return written_out(t.groupBy("period").agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("o_totalprice"), 2).alias("total_price")), path)
 
 
 @query("period_history", f"""
@@ -853,8 +853,8 @@ def q_period_history(spark, sf_dir):
     io.append_period(years[first].withColumn("o_totalprice", F.col("o_totalprice") + 1), path, "period", first, version=8)
     t = spark.read.parquet(path)
     seen = [io.read_as_of(t, v, "period").withColumn("version", F.lit(v)) for v in (7, 8)]
-    return seen[0].unionByName(seen[1]).groupBy("version", "period").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("o_totalprice"), 2).alias("total_price"))
+    return written_out(seen[0].unionByName(seen[1]).groupBy("version", "period").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("o_totalprice"), 2).alias("total_price")), path)
 
 
 @query("save_table", "select c_mktsegment, count(*) as n_rows from customer group by c_mktsegment")
@@ -865,7 +865,11 @@ def q_save_table(spark, sf_dir):
     name = f"{db}.customer_features"
     io.drop_feature_table(spark, name)
     io.save_table(table(spark, sf_dir, "customer"), name, comment="customer features keyed by c_custkey")
-    return io.read_table(spark, name).groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n_rows"))
+    out = written_out(io.read_table(spark, name).groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n_rows")))
+    io.drop_feature_table(spark, name)
+    if spark.catalog.tableExists(name):
+        raise RuntimeError(f"{name} was not dropped")
+    return out
 
 
 @query("load_stats", f"select * from {S.numeric_profile('lineitem', LI_NUM)}")
@@ -873,7 +877,7 @@ def q_load_stats(spark, sf_dir):
     path = scratch_path(spark, "run-stats")
     io.save_stats(stats.summary_stats(table(spark, sf_dir, "lineitem"), LI_NUM), path, "run-1")
     s = io.load_stats(spark, path, "run-1")
-    return s.select("feature", "statistic", r4(F.col("value")).alias("value"))
+    return written_out(s.select("feature", "statistic", r4(F.col("value")).alias("value")), path)
 
 
 # ------------------------------------------------------------------ payloads
@@ -1021,8 +1025,8 @@ def q_train_run(spark, sf_dir):
     ml.run_metrics(record, "lineitem-price").write.mode("append").parquet(runs_path)
     best = runs.best_run(spark.read.parquet(runs_path), "r2_test")
     both = record.join(best.select("run_id", F.col("value").alias("best_r2")), "run_id", "left")
-    return both.select("run_id", "n_rows", "n_train", "n_test", (F.col("r2_test") <= 1).alias("r2_is_bounded"),
-                       (F.col("best_r2") == F.col("r2_test")).alias("best_is_this"))
+    return written_out(both.select("run_id", "n_rows", "n_train", "n_test", (F.col("r2_test") <= 1).alias("r2_is_bounded"),
+                                   (F.col("best_r2") == F.col("r2_test")).alias("best_is_this")), runs_path)
 
 
 # The schema that the regressor was registered with, written out: a test against
@@ -1067,7 +1071,8 @@ def q_stream_score(spark, sf_dir):
     scored = scoring.score(src, model, keep=["l_orderkey", "l_linenumber", LI_TARGET])
     out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
     streams.run_to_end(streams.write_stream(scored, out, ckpt, name=None))
-    return spark.read.parquet(out).select("l_orderkey", "l_linenumber", LI_TARGET, F.col("prediction").isNotNull().alias("scored"))
+    scored = spark.read.parquet(out).select("l_orderkey", "l_linenumber", LI_TARGET, F.col("prediction").isNotNull().alias("scored"))
+    return written_out(scored, out, ckpt)
 
 
 # ------------------------------------------------------------------ more operators
@@ -1093,7 +1098,7 @@ def q_write_features(spark, sf_dir):
     features.write_features(cur, v1, ["c_custkey"])
     upd = cur.where(F.col("c_mktsegment") == "BUILDING").withColumn("c_acctbal", F.col("c_acctbal") + 100)
     features.write_features(upd, v2, ["c_custkey"], mode="merge", current_path=v1)
-    return spark.read.parquet(v2)
+    return written_out(spark.read.parquet(v2), v1, v2)
 
 
 @query("ks_one_sided", _KS_CORE_SQL + """,
@@ -1186,10 +1191,11 @@ def q_monthly_loop(spark, sf_dir):
     version = spark.read.parquet(details).where(F.col("run_id") == run_id).select("data_version").scalar()
     flags = moved.select("statistic", F.lit(True).alias("moved"))
     both = stored.select("statistic", F.col("value").alias("prod_value")).join(new.select("statistic", F.col("value").alias("new_value")), "statistic")
-    return (both.where(F.col("statistic").isin(*drift.DRIFT_STATISTICS)).join(flags, "statistic", "left")
-            .select(F.lit(run_id).alias("run_id"), version.alias("data_version"), before.agg(F.count(F.lit(1)).alias("n")).select("n").scalar().alias("n_data"),
-                    "statistic", r4(F.col("prod_value")).alias("prod_value"), r4(F.col("new_value")).alias("new_value"),
-                    F.coalesce("moved", F.lit(False)).alias("moved"), held.alias("in_production")))
+    result = (both.where(F.col("statistic").isin(*drift.DRIFT_STATISTICS)).join(flags, "statistic", "left")
+              .select(F.lit(run_id).alias("run_id"), version.alias("data_version"), before.agg(F.count(F.lit(1)).alias("n")).select("n").scalar().alias("n_data"),
+                      "statistic", r4(F.col("prod_value")).alias("prod_value"), r4(F.col("new_value")).alias("new_value"),
+                      F.coalesce("moved", F.lit(False)).alias("moved"), held.alias("in_production")))
+    return written_out(result, data, details, saved, events)
 
 
 @query("stream_events", """
@@ -1203,4 +1209,4 @@ def q_stream_events(spark, sf_dir):
     parsed = C.parse_json_fields(src, "props", {"k": "bigint"}).drop("props")
     out, ckpt = scratch_path(spark, "events-out"), scratch_path(spark, "events-ckpt")
     streams.run_to_end(streams.write_stream(parsed, out, ckpt, name=None))
-    return spark.read.parquet(out)
+    return written_out(spark.read.parquet(out), out, ckpt)

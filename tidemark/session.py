@@ -62,3 +62,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared folder for one job output."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written_out(df, *paths: str):
+    """``df`` checkpointed in the shared folder, and the scratch ``paths`` that it was
+    read from removed (on whatever file system they are)."""
+    spark = df.sparkSession
+    shared_dir(spark)
+    out = df.checkpoint(eager=True)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+    return out
