@@ -36,7 +36,7 @@ PROJECTIONS = 64
 THRESHOLD = 0.6
 START, GROWTH, RATIO = 0.6, 1.2, 1.0
 SHARD_ROWS = 20_000
-BLOCK_QUERIES = 1_000
+BLOCK_QUERIES = 10_000
 SEED = 5
 
 
