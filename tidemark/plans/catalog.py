@@ -1145,12 +1145,18 @@ def q_drift_report(spark, sf_dir):
     return res.withColumn("statistic", r4(F.col("statistic"))).withColumn("p_value", r4(F.col("p_value")))
 
 
-@query("period_report")
+@query("period_report", f"""
+select 'nulls' as "check", feature, 'null_fraction' as statistic, round(avg((v is null)::int), 4) as value,
+  null::double as p_value, 0.5::double as threshold, avg((v is null)::int) >= 0.5 as flagged
+from ({S.melt('(' + LI_NEW_SQL + ')', LI_NUM + LI_CAT, 'varchar')}) group by feature
+union all select 'summary', feature, statistic, new_value, null, {_DRIFT_LIMIT}, true from ({ORACLE['summary_drift']})
+union all select test, feature, 'statistic', statistic, p_value, alpha, drifted from ({_REPORT_SQL})""")
 def q_period_report(spark, sf_dir):
     """Every check of a monthly run (nulls, summary statistics, Levene, KS,
     chi-square) on two years of lineitem, as one long report."""
     ref, new = li_periods(spark, sf_dir)
-    return monitoring.period_report(ref, new, LI_NUM, LI_CAT, null_threshold=0.5, stats_limit=_DRIFT_LIMIT)
+    report = monitoring.period_report(ref, new, LI_NUM, LI_CAT, null_threshold=0.5, stats_limit=_DRIFT_LIMIT)
+    return report.withColumn("value", r4(F.col("value"))).withColumn("p_value", r4(F.col("p_value")))
 
 
 _LOOP_SQL = {side: S.numeric_profile_raw(f"(select * from orders where year(o_orderdate) {cond})", ["o_totalprice"])
