@@ -30,10 +30,6 @@ def exclude_columns(df: DataFrame, exclude: Iterable[str]) -> DataFrame:
     return df.drop(*exclude)
 
 
-def select_columns(df: DataFrame, keep: Iterable[str]) -> DataFrame:
-    return df.select(*keep)
-
-
 def _as_bound(value, dtype: T.DataType) -> Column:
     if isinstance(value, Column):
         return value
