@@ -936,6 +936,8 @@ def order_features(spark, sf_dir):
     return features.training_set(spine, [cust], label="o_orderstatus")
 
 
+#: Partitions of the inputs of fits, for tables of this size.
+ML_PARTITIONS = 8
 _FITTED: dict = {}
 
 
@@ -950,7 +952,7 @@ def _once(spark, sf_dir, kind, fit):
 def _classifier(spark, sf_dir):
     return _once(spark, sf_dir, "classifier", lambda: ml.train_classifier(
         order_features(spark, sf_dir), "o_orderstatus", ORDER_CAT, ORDER_NUM,
-        estimator=ml.rf_classifier("label_idx", num_trees=100), keys=["o_orderkey"]))
+        estimator=ml.rf_classifier("label_idx", num_trees=100), keys=["o_orderkey"], partitions=ML_PARTITIONS))
 
 
 def _share(c: str):
@@ -982,7 +984,7 @@ select t as "numTrees", d as "maxDepth", f as "featureSubsetStrategy", true as f
 from (values (20), (50), (100)) a(t), (values (3), (5), (7)) b(d), (values ('sqrt'), ('log2')) c(f)""")
 def q_search_classifier(spark, sf_dir):
     data, _ = ml.index_label(order_features(spark, sf_dir), "o_orderstatus")
-    _, trials = ml.search_classifier(data, "label_idx", ORDER_CAT, ORDER_NUM, ["o_orderkey"], folds=2)
+    _, trials = ml.search_classifier(data, "label_idx", ORDER_CAT, ORDER_NUM, ["o_orderkey"], folds=2, partitions=ML_PARTITIONS)
     return trials.select("numTrees", "maxDepth", "featureSubsetStrategy", _share("f1"))
 
 
@@ -990,7 +992,7 @@ def q_search_classifier(spark, sf_dir):
 select o_orderkey, o_orderstatus, true as label_known, true as sum_is_one from orders""")
 def q_score_proba(spark, sf_dir):
     data, indexer = ml.index_label(order_features(spark, sf_dir), "o_orderstatus")
-    model = ml.build_pipeline(ORDER_CAT, ORDER_NUM, ml.tree_classifier("label_idx")).fit(ml.stable_input(data, ["o_orderkey"]))
+    model = ml.build_pipeline(ORDER_CAT, ORDER_NUM, ml.tree_classifier("label_idx")).fit(ml.stable_input(data, ["o_orderkey"], ML_PARTITIONS))
     out = scoring.score_proba(data, model, indexer.labels, keep=["o_orderkey", "o_orderstatus"])
     total = sum((F.col(f"prob_{lab}") for lab in indexer.labels), F.lit(0.0))
     return out.select("o_orderkey", "o_orderstatus", F.col("prediction").isin(*indexer.labels).alias("label_known"),
@@ -1010,7 +1012,8 @@ def q_score_batch(spark, sf_dir):
 def _regressor(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     return _once(spark, sf_dir, "regressor", lambda: ml.train_run(
-        li, LI_TARGET, LI_FEATS_CAT, LI_FEATS_NUM, ["l_orderkey", "l_linenumber"], "lineitem-run", num_trees=500, max_depth=5))
+        li, LI_TARGET, LI_FEATS_CAT, LI_FEATS_NUM, ["l_orderkey", "l_linenumber"], "lineitem-run", num_trees=500, max_depth=5,
+        partitions=ML_PARTITIONS))
 
 
 @query("train_run", f"""

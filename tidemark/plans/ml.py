@@ -20,7 +20,7 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -198,8 +198,8 @@ def feature_importances(model: PipelineModel, frame: DataFrame) -> DataFrame:
 def search_classifier(train: DataFrame, label: str, categorical: Sequence[str], numeric: Sequence[str],
                       keys: Sequence[str], max_trials: int = 30, folds: int = 3, parallelism: int = 4, seed: int = 42,
                       time_limit: float | None = None, partitions: int = 64):
-    """Model search by F1 over a grid, k-fold cross validation with ``parallelism``
-    fits at a time. The whole grid is tried if ``max_trials`` allows; otherwise
+    """Model search by F1 over a grid, k-fold cross validation (folds by key hash)
+    with ``parallelism`` settings at a time. The whole grid is tried if ``max_trials`` allows; otherwise
     the settings with the smallest hashes, which spread over all its dimensions.
     With ``time_limit`` (seconds) settings are tried in that order, in rounds of
     ``parallelism``, and no round starts once the time is spent; the best model
@@ -207,6 +207,7 @@ def search_classifier(train: DataFrame, label: str, categorical: Sequence[str],
     maxDepth, featureSubsetStrategy, f1)."""
     import hashlib
     import time
+    from concurrent.futures import ThreadPoolExecutor
 
     rf = rf_classifier(label, seed=seed)
     grid = (ParamGridBuilder().addGrid(rf.numTrees, [20, 50, 100]).addGrid(rf.maxDepth, [3, 5, 7])
@@ -217,19 +218,29 @@ def search_classifier(train: DataFrame, label: str, categorical: Sequence[str],
 
     grid = sorted(grid, key=lambda pm: hashlib.md5(repr((setting(pm), seed)).encode()).digest())[:max_trials]
     ev = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction", metricName="f1")
-    pipe = build_pipeline(categorical, numeric, rf)
-    data = stable_input(train, keys, partitions)
+    data = stable_input(train.withColumn("_fold", F.floor(splits.hash_unit(keys, seed) * folds)), keys, partitions)
+    # Preprocessing does not depend on the setting: fitted and applied once per fold.
+    sides = []
+    for k in range(folds):
+        fitted = Pipeline(stages=preprocessing_stages(categorical, numeric)).fit(data.where(F.col("_fold") != k))
+        ready = fitted.transform(data).select(label, FEATURES, "_fold").checkpoint(eager=True)
+        sides.append((ready.where(F.col("_fold") != k), ready.where(F.col("_fold") == k)))
+
+    def mean_f1(pm):
+        return sum(ev.evaluate(rf.copy(pm).fit(fit).transform(test)) for fit, test in sides) / folds
+
     start = time.monotonic()
-    results, best_model, best_f1 = [], None, float("-inf")
-    for i in range(0, len(grid), max(1, parallelism)):
-        if time_limit is not None and results and time.monotonic() - start >= time_limit:
-            break
-        chunk = grid[i:i + max(1, parallelism)]
-        cv = CrossValidator(estimator=pipe, estimatorParamMaps=chunk, evaluator=ev, numFolds=folds,
-                            parallelism=parallelism, seed=seed).fit(data)
-        results += [(i + j, *setting(pm), float(metric)) for j, (pm, metric) in enumerate(zip(chunk, cv.avgMetrics))]
-        if max(cv.avgMetrics) > best_f1:
-            best_f1, best_model = max(cv.avgMetrics), cv.bestModel
+    results, best, best_f1 = [], None, float("-inf")
+    with ThreadPoolExecutor(max(1, parallelism)) as pool:  # each thread only submits Spark jobs
+        for i in range(0, len(grid), max(1, parallelism)):
+            if time_limit is not None and results and time.monotonic() - start >= time_limit:
+                break
+            chunk = grid[i:i + max(1, parallelism)]
+            for j, (pm, f1) in enumerate(zip(chunk, pool.map(mean_f1, chunk))):
+                results.append((i + j, *setting(pm), float(f1)))
+                if f1 > best_f1:
+                    best, best_f1 = pm, f1
+    best_model = build_pipeline(categorical, numeric, rf.copy(best)).fit(data) if best is not None else None
     schema = "trial int, numTrees int, maxDepth int, featureSubsetStrategy string, f1 double"
     return best_model, train.sparkSession.createDataFrame(results, schema)
 
