@@ -57,3 +57,20 @@ def test_odd_rows(documents, words):
     got = [(r.doc_id, bool(r.spans)) for r in paragraphs.repeats(documents([(5, line), (5, line), (None, line), (7, line + "\n" + line), (8, "word " * 3000)])).collect()]
     assert sorted(got, key=str) == sorted([(5, False), (5, False), (None, False), (7, True), (8, False)], key=str)
     assert paragraphs.repeats(documents([])).count() == 0
+
+
+def test_all_occurrences_are_repeats_for_any_partitions(documents, words, monkeypatch):
+    line, near = words.text(45), words.text(60)
+    other = near.rsplit(" ", 1)[0] + " other"
+    rows = [(1, line), (2, near), (5, line + "\n" + words.text(22) + "\n" + line), (6, "\n".join([other, words.text(21), other])), (7, line)]
+    rows = [rows[j] for j in (2, 3, 0, 1, 4)]  # the later documents in earlier partitions
+
+    def end(text, line):
+        return [(a, a + len(line)) for a in range(len(text)) if text.startswith(line, a)]
+
+    texts = dict(rows)
+    want = {1: [], 2: [], 5: end(texts[5], line), 6: end(texts[6], other), 7: end(texts[7], line)}
+    for held, n in ((1_000_000, 1), (1_000_000, 5), (1, 5)):
+        monkeypatch.setattr(paragraphs, "HELD", held)
+        got = {r.doc_id: [tuple(s) for s in r.spans] for r in paragraphs.repeats(documents(rows).repartitionByRange(n, "doc_id")).collect()}
+        assert got == want

@@ -8,8 +8,9 @@ share that many words in a row share an anchor and a window at it.
 
 1. Tasks give each paragraph a digest of its words. Occurrences of one digest are
    compared by document id: all but the smallest document's are repeats. A task
-   settles what it holds itself and hands on one occurrence per digest, so a line
-   that a third of all documents hold is one entry per task.
+   settles what it holds itself and hands on the occurrences in the smallest document
+   per digest, so a line that a third of all documents hold is one document's entries
+   per task.
 2. Lines also get MinHash bands, as many as ``tune`` says for the wanted recall.
    Lines of different words that share a band are candidates.
 3. Candidates are verified by exact Jaccard similarity of their five-word shingles
@@ -128,7 +129,7 @@ _LINE = np.dtype([("digest", "u8"), ("doc", "i8")])
 
 
 def _settle(seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(one occurrence per digest, that of the smallest document; repeats in later documents)."""
+    """(all occurrences in the smallest document of each digest; repeats in later documents)."""
     seen = seen[np.lexsort((seen["start"], seen["doc"], seen["digest"]))]
     first = np.append(True, seen["digest"][1:] != seen["digest"][:-1]) if len(seen) else np.zeros(0, bool)
     low = seen["doc"][first][np.cumsum(first) - 1] if len(seen) else seen["doc"]
@@ -137,7 +138,7 @@ def _settle(seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     for c in ("doc", "start", "end"):
         out[c] = seen[c][again]
     out["low"] = low[again]
-    return seen[first], out
+    return seen[~again], out
 
 
 def _meet(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -244,11 +245,10 @@ def _text(batches):
         digest = textbuf.span_hash(word, first, last)
         wanted = [np.array(x, np.int64).view(U64) for x in part.column("ids").to_pylist()]
         raw = data.tobytes()
-        out, known = [], set()
+        out = []
         for a, b, h in zip(first, last, digest):
             r = row[a]
-            if h in wanted[r] and (r, h) not in known:
-                known.add((r, h))
+            if h in wanted[r]:
                 out.append((int(h.view(np.int64)), part.column("doc_id")[r].as_py(), int(start[a] - off[r]), int(end[b - 1] - off[r]), raw[start[a]:end[b - 1]].decode()))
         if out:
             kinds = (pa.int64(),) * 4 + (pa.string(),)
@@ -291,8 +291,8 @@ def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: in
 
     wanted = (settled.filter(F.col("kind") == CANDIDATE).mapInArrow(unpack, "id long, doc_id long").groupBy("id").agg(F.min("doc_id").alias("doc_id"))
               .groupBy("doc_id").agg(F.collect_list("id").alias("ids")))  # lines of one document
-    lines = cut(slim.join(wanted, "doc_id").mapInArrow(_text, "id long, doc_id long, start long, end long, text string").dropDuplicates(["id"]))
-    body = lines.select("id", "text")
+    lines = cut(slim.join(wanted, "doc_id").mapInArrow(_text, "id long, doc_id long, start long, end long, text string").dropDuplicates(["id", "doc_id", "start", "end"]))
+    body = lines.select("id", "text").dropDuplicates(["id"])
     parts = components(minhash.links(body, cut(minhash.sketches(body, 5)), 5, percent))
     class_ = lines.join(parts, "id").select("component", "doc_id", "start", "end")
     low = class_.groupBy("component").agg(F.min("doc_id").alias("low"))
