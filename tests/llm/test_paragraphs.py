@@ -74,3 +74,16 @@ def test_all_occurrences_are_repeats_for_any_partitions(documents, words, monkey
         monkeypatch.setattr(paragraphs, "HELD", held)
         got = {r.doc_id: [tuple(s) for s in r.spans] for r in paragraphs.repeats(documents(rows).repartitionByRange(n, "doc_id")).collect()}
         assert got == want
+
+
+def test_whole_passages_inside_lines_are_covered(documents, words):
+    rows, want = [], {}
+    for j, n in enumerate((50, 53, 60, 75, 98, 120)):
+        p = words.text(n)
+        for c in range(2):
+            i = 10 * j + c
+            a = words.text(words.random.randint(25, 40)) + " %d " % i
+            rows.append((i, a + p + " %d " % i + words.text(words.random.randint(25, 40))))
+            want[i] = [(len(a), len(a) + len(p))] if c else []
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in paragraphs.repeats(documents(rows).repartition(3)).collect()}
+    assert got == want

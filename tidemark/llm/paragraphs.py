@@ -16,7 +16,10 @@ share that many words in a row share an anchor and a window at it.
 3. Candidates are verified by exact Jaccard similarity of their five-word shingles
    and clustered by components (minhash.links); of a cluster, the lines of the
    smallest document stay.
-4. A document's repeats are merged into spans (bytes of the UTF-8 text), and
+4. Inner windows grow, word by word to both sides, to the whole run of words that the
+   document shares with the window's smallest document. For this the smallest
+   documents' texts are sent once to each part of the documents that repeat them.
+5. A document's repeats are merged into spans (bytes of the UTF-8 text), and
    documents are classed by components over shared repeats.
 
 A paragraph that repeats only within one document stays. Cases: null and empty
@@ -119,11 +122,14 @@ def _part(key: np.ndarray, n: int) -> np.ndarray:
     return (((key >> U64(32)) * U64(n)) >> U64(32)).astype(np.int64)
 
 
-#: Record kinds: an occurrence to be settled, a repeat, a band entry, a candidate line.
-SEEN, REPEAT, BAND, CANDIDATE = range(4)
+#: Record kinds: an occurrence to be settled, a repeat, a band entry, a candidate line,
+#: or a digest's smallest document over all tasks.
+SEEN, REPEAT, BAND, CANDIDATE, LOW = range(5)
 _SCHEMA = "kind int, part long, body binary"
-_OCCURRENCE = np.dtype([("digest", "u8"), ("doc", "i8"), ("start", "i8"), ("end", "i8")])
-_REPEAT = np.dtype([("doc", "i8"), ("start", "i8"), ("end", "i8"), ("low", "i8")])
+_OCCURRENCE = np.dtype([("digest", "u8"), ("doc", "i8"), ("start", "i4"), ("end", "i4"), ("inner", "?")])
+#: digest is 0 for near lines, whose smallest document is known.
+_REPEAT = np.dtype([("digest", "u8"), ("doc", "i8"), ("start", "i4"), ("end", "i4"), ("inner", "?"), ("low", "i8")])
+_LOW = np.dtype([("digest", "u8"), ("low", "i8")])
 _ENTRY = np.dtype([("key", "u8"), ("digest", "u8"), ("doc", "i8"), ("met", "?")])
 _LINE = np.dtype([("digest", "u8"), ("doc", "i8")])
 
@@ -135,7 +141,7 @@ def _settle(seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     low = seen["doc"][first][np.cumsum(first) - 1] if len(seen) else seen["doc"]
     again = seen["doc"] > low
     out = np.empty(int(again.sum()), _REPEAT)
-    for c in ("doc", "start", "end"):
+    for c in _OCCURRENCE.names:
         out[c] = seen[c][again]
     out["low"] = low[again]
     return seen[~again], out
@@ -207,6 +213,7 @@ def _scan(n: int, bands: int):
             own = np.empty(len(first), _OCCURRENCE)
             own["digest"], own["doc"] = textbuf.span_hash(word, first, last), ids[row[first]]
             own["start"], own["end"] = start[first] - off[row[first]], end[last - 1] - off[row[first]]
+            own["inner"] = ~line
             seen.append(own)
             keys = _bands(row, word, first[line], last[line], bands) if line.any() else np.zeros((0, bands), U64)
             held = np.zeros(keys.size, _ENTRY)
@@ -255,9 +262,99 @@ def _text(batches):
             yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in out], t) for j, t in enumerate(kinds)], ["id", "doc_id", "start", "end", "text"])
 
 
-def _spans(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """Repeats of a range of documents, merged per document, with the documents they repeat."""
-    own = np.frombuffer(b"".join(table.column("body").to_pylist()), _REPEAT)
+def _ends(digest: np.ndarray, row: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which windows are the first or last of a chain of equal ones that overlap; sorted by digest, row and place.
+
+    Within a chain the text is periodic, so its inner windows meet no run that its ends do not."""
+    near = (digest[1:] == digest[:-1]) & (row[1:] == row[:-1]) & (at[1:] - at[:-1] < WINDOW_WORDS)
+    return ~(np.append(False, near) & np.append(near, False))
+
+
+def _grow(word: np.ndarray, p: np.ndarray, q: np.ndarray, most: np.ndarray, step: int) -> np.ndarray:
+    """Number of equal words, at most ``most``, from the places p and q on, in the direction of ``step``."""
+    size, k = np.zeros(len(p), np.int64), 0
+    alive = np.flatnonzero(most > 0)
+    while len(alive):
+        alive = alive[word[p[alive] + step * k] == word[q[alive] + step * k]]
+        k += 1
+        size[alive] = k
+        alive = alive[most[alive] > k]
+    return size
+
+
+def extend(inner: np.ndarray, low: np.ndarray, texts: pa.Table) -> np.ndarray:
+    """Repeats of whole runs of words around the ``inner`` repeats; ``low`` names the smallest
+    document of their digests (sorted), ``texts`` has the documents of both sides."""
+    asked, own = np.unique(inner["digest"]), np.unique(inner["doc"])
+    word, start, end, sizes, ids, digest, at = [], [], [], [], [], [], []
+    base = 0
+    for part in textbuf.chunks(texts.to_batches()):
+        data, off = textbuf.buffers(part.column("text"))
+        a, b, row, w = textbuf.words(data, off)
+        sizes.append(np.bincount(row, minlength=part.num_rows))
+        ids.append(part.column("doc_id").to_numpy(zero_copy_only=False))
+        word.append(w)
+        start.append((a - off[row]).astype(np.int32))
+        end.append((b - off[row]).astype(np.int32))
+        if len(w) >= WINDOW_WORDS:
+            first = np.flatnonzero(row[:len(row) - WINDOW_WORDS + 1] == row[WINDOW_WORDS - 1:])
+            h = textbuf.span_hash(w, first, first + WINDOW_WORDS)
+            hit = np.isin(h, asked)
+            digest.append(h[hit])
+            at.append(first[hit] + base)
+        base += len(w)
+    if not digest:
+        return np.empty(0, _REPEAT)
+    word, start, end, ids, digest, at = (np.concatenate(x) for x in (word, start, end, ids, digest, at))
+    edge = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+    row = np.searchsorted(edge, at, side="right") - 1
+    order = np.lexsort((at, row, digest))
+    digest, row, at = digest[order], row[order], at[order]
+    keep = _ends(digest, row, at)
+    digest, row, at = digest[keep], row[keep], at[keep]
+    least = low["low"][np.searchsorted(low["digest"], digest)]
+    ours, theirs = np.flatnonzero((ids[row] > least) & np.isin(ids[row], own)), np.flatnonzero(ids[row] == least)
+    ours = ours[np.argsort(row[ours], kind="stable")]
+    lo, hi = (np.searchsorted(digest[theirs], digest[ours], side=x) for x in ("left", "right"))
+    done, out = np.cumsum(hi - lo), []
+    cuts = np.flatnonzero(np.append(True, row[ours][1:] != row[ours][:-1])) if len(ours) else np.zeros(0, np.int64)
+    i = 0
+    while i < len(cuts):  # documents of about HELD pairs at once
+        have = done[cuts[i] - 1] if cuts[i] else 0
+        to = max(i + 1, int(np.searchsorted(done[np.append(cuts[i + 1:], len(ours)) - 1], have + HELD, side="right")) + i)
+        a, b = cuts[i], cuts[to] if to < len(cuts) else len(ours)
+        i = to
+        n = hi[a:b] - lo[a:b]
+        x = np.repeat(ours[a:b], n)
+        y = theirs[np.repeat(lo[a:b] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        order = np.lexsort((at[x], at[x] - at[y], row[y], row[x]))
+        x, y = x[order], y[order]
+        p, q, r, t = at[x], at[y], row[x], row[y]
+        # windows of one run need to grow only to the next of them
+        same = (r[1:] == r[:-1]) & (t[1:] == t[:-1]) & (p[1:] - q[1:] == p[:-1] - q[:-1])
+        gap = np.where(same, np.maximum(p[1:] - p[:-1] - WINDOW_WORDS, 0), len(word))
+        left = np.minimum(np.minimum(p - edge[r], q - edge[t]), np.append(len(word), gap)[:len(p)])
+        right = np.minimum(np.minimum(edge[r + 1] - p, edge[t + 1] - q) - WINDOW_WORDS, np.append(gap, len(word))[:len(p)])
+        left = _grow(word, p - 1, q - 1, left, -1)
+        right = _grow(word, p + WINDOW_WORDS, q + WINDOW_WORDS, right, 1)
+        grown = np.zeros(len(p), _REPEAT)
+        grown["doc"], grown["low"] = ids[r], ids[t]
+        grown["start"], grown["end"] = start[p - left], end[p + WINDOW_WORDS + right - 1]
+        out.append(grown)
+    return np.concatenate(out) if out else np.empty(0, _REPEAT)
+
+
+def _spans(key: tuple[pa.Scalar, ...], texts: pa.Table, table: pa.Table) -> pa.Table:
+    """Repeats of a range of documents, grown and merged per document, with the documents they repeat."""
+    kind = table.column("kind").to_numpy()
+    bodies = table.column("body").to_pylist()
+    own = np.frombuffer(b"".join(x for x, k in zip(bodies, kind) if k == REPEAT), _REPEAT).copy()
+    low = np.frombuffer(b"".join(x for x, k in zip(bodies, kind) if k == LOW), _LOW)
+    low = low[np.argsort(low["digest"])]
+    exact = own["digest"] != 0
+    own["low"][exact] = low["low"][np.searchsorted(low["digest"], own["digest"][exact])]
+    if own["inner"].any():
+        own = np.concatenate([own, extend(own[own["inner"]], low, texts)])
     own = own[np.lexsort((own["end"], own["start"], own["doc"]))]
     out = []
     edge = np.flatnonzero(np.append(True, own["doc"][1:] != own["doc"][:-1])) if len(own) else []
@@ -300,13 +397,46 @@ def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: in
 
     def pack(batches):
         for batch in batches:
-            own = np.empty(batch.num_rows, _REPEAT)
+            own = np.zeros(batch.num_rows, _REPEAT)
             for c, name in zip(("doc", "start", "end", "low"), ("doc_id", "start", "end", "low")):
                 own[c] = batch.column(name).to_numpy()
             yield _batch(_rows(REPEAT, _by_id(own["doc"].copy(), n), own))
 
     every = settled.filter(F.col("kind") == REPEAT).unionAll(near.mapInArrow(pack, _SCHEMA))
-    merged = cut(every.groupBy("part").applyInArrow(_spans, "doc long, spans array<struct<start:long,end:long>>, low array<long>"))
+
+    def ask(batches):
+        for batch in batches:
+            for part, body in zip(batch.column("part").to_pylist(), batch.column("body").to_pylist()):
+                own = np.frombuffer(body, _REPEAT)
+                own = own[np.lexsort((own["low"], ~own["inner"], own["digest"]))]
+                first = np.append(True, own["digest"][1:] != own["digest"][:-1])
+                inner = own["inner"][first]
+                least = np.minimum.reduceat(own["low"], np.flatnonzero(first))
+                yield pa.RecordBatch.from_arrays([pa.array(own["digest"][first].view(np.int64)), pa.array(np.full(len(inner), part)), pa.array(least), pa.array(inner)],
+                                                 ["id", "part", "low", "inner"])
+
+    def holders(batches):
+        for batch in batches:
+            for part, body in zip(batch.column("part").to_pylist(), batch.column("body").to_pylist()):
+                own = np.frombuffer(body, _REPEAT)
+                own = np.unique(own["doc"][own["inner"]])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), part)), pa.array(own)], ["part", "doc_id"])
+
+    def pack_low(batches):
+        for batch in batches:
+            own = np.empty(batch.num_rows, _LOW)
+            own["digest"], own["low"] = batch.column("id").to_numpy().view(U64), batch.column("low").to_numpy()
+            yield _batch(_rows(LOW, batch.column("part").to_numpy(), own))
+
+    exact = settled.filter(F.col("kind") == REPEAT)
+    asks = exact.mapInArrow(ask, "id long, part long, low long, inner boolean").groupBy("id", "part").agg(F.min("low").alias("low"), F.max("inner").alias("inner"))
+    asks = cut(asks)
+    least = asks.groupBy("id").agg(F.min("low").alias("low"))  # of all tasks
+    named = cut(asks.select("id", "part", "inner").join(least, "id"))
+    need = named.filter("inner").select("part", F.col("low").alias("doc_id")).unionAll(exact.mapInArrow(holders, "part long, doc_id long")).distinct()
+    texts = slim.join(need, "doc_id").select("part", "doc_id", "text")
+    every = every.unionAll(named.select("id", "part", "low").mapInArrow(pack_low, _SCHEMA))
+    merged = cut(texts.groupBy("part").cogroup(every.groupBy("part")).applyInArrow(_spans, "doc long, spans array<struct<start:long,end:long>>, low array<long>"))
     classes = components(merged.select(F.col("doc").alias("a"), F.explode("low").alias("b"))).withColumnRenamed("id", "of")
     none = F.array().cast("array<struct<start:long,end:long>>")
     return (slim.select("doc_id").join(merged, F.col("doc_id") == F.col("doc"), "left").join(classes, F.col("doc_id") == F.col("of"), "left")
