@@ -87,3 +87,26 @@ def test_whole_passages_inside_lines_are_covered(documents, words):
             want[i] = [(len(a), len(a) + len(p))] if c else []
     got = {r.doc_id: [tuple(s) for s in r.spans] for r in paragraphs.repeats(documents(rows).repartition(3)).collect()}
     assert got == want
+
+
+def test_short_lines_are_paragraphs(documents, words):
+    nine, near = words.text(9), words.text(16)
+    other = near.rsplit(" ", 1)[0] + " other"
+    rows = [(1, "\n".join([words.text(12), nine, near, "Terms apply"])), (2, "\n".join([words.text(11), nine.upper(), words.text(10), other])),
+            (3, "Terms apply\n" + words.text(8)), (4, words.text(7) + "\n\n" + words.text(9)), (5, words.text(6) + "\n" + nine)]
+    got = {r.doc_id: [rows[r.doc_id - 1][1][s.start:s.end] for s in r.spans] for r in paragraphs.repeats(documents(rows)).collect()}
+    assert got == {1: [], 2: [nine.upper(), other], 3: ["Terms apply"], 4: [], 5: [nine]}
+
+
+def test_keys_of_similar_short_lines_meet(words):
+    import numpy as np
+
+    for n in range(1, 60):
+        for gone in range(0, n // 5 + 2):
+            one, two = np.arange(n + 4, dtype=np.uint64) * np.uint64(2654435761) + np.uint64(n), None
+            two = one[gone:]
+            if len(two) < 5 or 100 * (len(two) - 4) < 80 * n or n > paragraphs.PREFIX and len(two) - 4 > paragraphs.PREFIX:
+                continue
+            word = np.concatenate([one, two])
+            line, key = paragraphs._keys(word, np.array([0, len(one)]), np.array([len(one), len(word)]), 18, 80)
+            assert set(key[line == 0]) & set(key[line == 1])

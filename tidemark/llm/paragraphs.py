@@ -1,7 +1,6 @@
 """Passages that repeat across documents, by paragraph MinHash banding.
 
-Paragraphs are the lines of a text with at least ``LINE_WORDS`` words. A passage
-may also stand inside longer lines, so texts have inner paragraphs too: windows of
+Paragraphs are the lines of a text that have words. A passage may also stand inside longer lines, so texts have inner paragraphs too: windows of
 ``WINDOW_WORDS`` words before and after each anchor. Anchors are the smallest hash
 of ``GRAM_WORDS`` words in every ``PASSAGE_WORDS`` words, so any two texts that
 share that many words in a row share an anchor and a window at it.
@@ -11,8 +10,11 @@ share that many words in a row share an anchor and a window at it.
    settles what it holds itself and hands on the occurrences in the smallest document
    per digest, so a line that a third of all documents hold is one document's entries
    per task.
-2. Lines also get MinHash bands, as many as ``tune`` says for the wanted recall.
-   Lines of different words that share a band are candidates.
+2. Lines with a shingle of five words also get keys. Up to ``PREFIX`` shingles these
+   are the smallest hashes of the set, as many as it takes for any two sets of the
+   similarity to share one (prefix filter, no misses). Longer lines get MinHash bands,
+   as many as ``tune`` says for the wanted recall; lines of sizes that can be similar
+   across the limit get both. Lines of different words that share a key are candidates.
 3. Candidates are verified by exact Jaccard similarity of their five-word shingles
    and clustered by components (minhash.links); of a cluster, the lines of the
    smallest document stay.
@@ -38,10 +40,12 @@ from pyspark.sql import functions as F
 from tidemark.llm import minhash, textbuf
 from tidemark.llm.shared import components, cut
 
-LINE_WORDS = 20
 PASSAGE_WORDS = 50
 GRAM_WORDS = 8
 WINDOW_WORDS = 24
+SHINGLE_WORDS = 5
+#: Shingles up to which a line's keys are its smallest hashes.
+PREFIX = 40
 ROWS = 4
 MISS = 1e-4
 #: Entries that a task holds before it settles them and hands on the rest.
@@ -77,13 +81,11 @@ def anchors(row: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 
 def _lines(data, off, start, row) -> tuple[np.ndarray, np.ndarray]:
-    """First word and one past the last of the lines with LINE_WORDS words."""
+    """First word and one past the last of the lines that have words."""
     breaks = np.append(0, np.cumsum(data == 10))
     line = breaks[start]
     new = np.flatnonzero(np.append(True, (line[1:] != line[:-1]) | (row[1:] != row[:-1]))) if len(start) else np.zeros(0, np.int64)
-    end = np.append(new[1:], len(start)) if len(new) else new
-    long = end - new >= LINE_WORDS
-    return new[long], end[long]
+    return new, np.append(new[1:], len(start)) if len(new) else new
 
 
 def units(data: np.ndarray, off: np.ndarray):
@@ -101,21 +103,38 @@ def units(data: np.ndarray, off: np.ndarray):
     return first, last, np.arange(len(first)) < len(a), (start, end, row, word)
 
 
-def _bands(row, word, first, last, bands: int) -> np.ndarray:
-    """Band keys of the lines, one row each, on shingles of five words."""
-    size = last - first
-    own = np.repeat(np.arange(len(first)), size)
-    at = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
-    hashes, edge = textbuf.shingles(own, word[at], len(first), 5)
-    weight = textbuf.mix(np.arange(1, ROWS + 1, dtype=U64)) | U64(1)
-    keys = np.empty((len(first), bands), U64)
-    for j in range(bands):
-        total = np.full(len(first), j, U64)
-        for r in range(ROWS):
-            factor = textbuf.mix(np.array([j * ROWS + r + 1], U64) * U64(textbuf.BASE))[0] | U64(1)
-            total += np.minimum.reduceat(hashes * factor, edge[:-1]) * weight[r]
-        keys[:, j] = textbuf.mix(total)
-    return keys
+def _keys(word, first, last, bands: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(line, key) of the keys of the lines, on shingles of SHINGLE_WORDS words; shorter lines have none."""
+    wide = np.flatnonzero(last - first >= SHINGLE_WORDS)
+    if not len(wide):
+        return np.zeros(0, np.int64), np.zeros(0, U64)
+    size = last[wide] - first[wide]
+    own = np.repeat(np.arange(len(wide)), size)
+    at = np.repeat(first[wide] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    hashes, edge = textbuf.shingles(own, word[at], len(wide), SHINGLE_WORDS)
+    line = np.repeat(np.arange(len(wide)), np.diff(edge))
+    order = np.lexsort((hashes, line))
+    hashes, line = hashes[order], line[order]
+    new = np.append(True, (hashes[1:] != hashes[:-1]) | (line[1:] != line[:-1]))
+    hashes, line = hashes[new], line[new]
+    n = np.bincount(line, minlength=len(wide))
+    begin = np.cumsum(n) - n
+    some = n - (n * percent + 99) // 100 + 1
+    short = (n * percent <= PREFIX * 100)[line] & (np.arange(len(line)) - begin[line] < some[line])
+    lines, keys = [line[short]], [textbuf.mix(hashes[short] ^ U64(textbuf.BASE))]
+    long = np.flatnonzero(n > PREFIX)
+    if len(long):
+        hashes = hashes[(n > PREFIX)[line]]
+        begin = np.cumsum(n[long]) - n[long]
+        weight = textbuf.mix(np.arange(1, ROWS + 1, dtype=U64)) | U64(1)
+        for j in range(bands):
+            total = np.full(len(long), j, U64)
+            for r in range(ROWS):
+                factor = textbuf.mix(np.array([j * ROWS + r + 1], U64) * U64(textbuf.BASE))[0] | U64(1)
+                total += np.minimum.reduceat(hashes * factor, begin) * weight[r]
+            lines.append(long)
+            keys.append(textbuf.mix(total))
+    return wide[np.concatenate(lines)], np.concatenate(keys)
 
 
 def _part(key: np.ndarray, n: int) -> np.ndarray:
@@ -188,7 +207,7 @@ def _by_id(ids: np.ndarray, n: int) -> np.ndarray:
     return _part(textbuf.mix(ids.view(U64) + U64(textbuf.BASE)), n)
 
 
-def _scan(n: int, bands: int):
+def _scan(n: int, bands: int, percent: int):
     """Steps 1 and 2 in a task."""
     def run(batches):
         seen, entries, size = [], [], 0
@@ -215,9 +234,9 @@ def _scan(n: int, bands: int):
             own["start"], own["end"] = start[first] - off[row[first]], end[last - 1] - off[row[first]]
             own["inner"] = ~line
             seen.append(own)
-            keys = _bands(row, word, first[line], last[line], bands) if line.any() else np.zeros((0, bands), U64)
-            held = np.zeros(keys.size, _ENTRY)
-            held["key"], held["digest"], held["doc"] = keys.reshape(-1), np.repeat(own["digest"][line], bands), np.repeat(own["doc"][line], bands)
+            of, keys = _keys(word, first[line], last[line], bands, percent)
+            held = np.zeros(len(keys), _ENTRY)
+            held["key"], held["digest"], held["doc"] = keys, own["digest"][line][of], own["doc"][line][of]
             held = held[np.lexsort((held["doc"], held["digest"], held["key"]))]  # one entry per key and line
             entries.append(held[np.append(True, (held["key"][1:] != held["key"][:-1]) | (held["digest"][1:] != held["digest"][:-1]))] if len(held) else held)
             size += len(own) + len(entries[-1])
@@ -377,7 +396,7 @@ def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: in
     slim = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     total = slim.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     n = max(1, math.ceil(total / PART_BYTES))
-    found = slim.mapInArrow(_scan(n, tune(percent)), _SCHEMA)
+    found = slim.mapInArrow(_scan(n, tune(percent), percent), _SCHEMA)
     keyed = found.filter(F.col("kind").isin(SEEN, BAND)).groupBy("kind", "part").applyInArrow(_merge(n), _SCHEMA)
     settled = cut(found.filter(~F.col("kind").isin(SEEN, BAND)).unionAll(keyed))
 
@@ -390,7 +409,7 @@ def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: in
               .groupBy("doc_id").agg(F.collect_list("id").alias("ids")))  # lines of one document
     lines = cut(slim.join(wanted, "doc_id").mapInArrow(_text, "id long, doc_id long, start long, end long, text string").dropDuplicates(["id", "doc_id", "start", "end"]))
     body = lines.select("id", "text").dropDuplicates(["id"])
-    parts = components(minhash.links(body, cut(minhash.sketches(body, 5)), 5, percent))
+    parts = components(minhash.links(body, cut(minhash.sketches(body, SHINGLE_WORDS)), SHINGLE_WORDS, percent))
     class_ = lines.join(parts, "id").select("component", "doc_id", "start", "end")
     low = class_.groupBy("component").agg(F.min("doc_id").alias("low"))
     near = class_.join(low, "component").filter("doc_id > low").select("doc_id", "start", "end", "low")
