@@ -60,3 +60,30 @@ def test_refinement_finds_equal_strings():
     assert {tuple(sorted(g)) for g in np.split(order, np.flatnonzero(new)[1:])} == shared
     firsts = [text[p:p + 50] for p in order]
     assert firsts == sorted(firsts)
+
+
+def test_a_heavy_key_spreads_over_shards(words, monkeypatch):
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    monkeypatch.setattr(suffixes, "HEAVY", 64, raising=False)
+    phrase = words.text(14)[:60]
+    rows = [(i, words.text(15) + phrase + words.text(15)) for i in range(300)] + [(300 + i, words.text(30)) for i in range(5)]
+    n = 3
+    docs = [pa.table({"doc_id": pa.array([i for i, _ in rows[b::n]], pa.int64()), "text": [t for _, t in rows[b::n]]}) for b in range(n)]
+
+    def of(table, name, value):
+        return table.filter(pc.equal(table.column(name), value))
+
+    keys = pa.concat_tables([suffixes._block_keys(n)((pa.scalar(b),), docs[b]) for b in range(n)])
+    shared = pa.concat_tables([suffixes._merge_keys(of(keys, "part", p)) for p in range(n) if of(keys, "part", p).num_rows])
+    sent = pa.concat_tables([suffixes._block_runs(n * suffixes.SHARDS)((pa.scalar(b),), docs[b], of(shared, "block", b)) for b in range(n)])
+    size = sent.append_column("n", pc.binary_length(sent.column("body"))).group_by("shard").aggregate([("n", "sum")]).column("n_sum").to_pylist()
+    assert max(size) < sum(size) / 10 and max(size) < 300 * 30
+    found = pa.concat_tables([suffixes._shard(of(sent, "shard", s)) for s in sent.column("shard").unique()])
+    found = found.append_column("heavy", pa.nulls(found.num_rows, pa.binary()))
+    marks = pa.concat_tables([found, shared.select(["block", "heavy"])], promote_options="default")
+    got = []
+    for b in range(n):
+        got += suffixes._clean(docs[b], of(marks, "block", b)).to_pylist()
+    assert sorted(tuple(r[c] for c in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept")) for r in got) == plain(rows)

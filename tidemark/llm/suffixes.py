@@ -10,7 +10,9 @@ merged by binary search on sorted keys:
    block, give those that occur in two documents (binary search per block).
 3. A block sends the runs of strings under such keys, each text once with its
    smallest document, to the shard of the key. Equal strings have equal keys, so
-   they meet in one shard.
+   they meet in one shard. Of a key with HEAVY runs (a frequent phrase among
+   differing neighbours), each string goes by its own hash, so the key spreads over
+   all shards.
 4. A shard builds the suffix array of its runs by Larsson-Sadakane refinement:
    ranks of 5, 10, 20, 40 bytes by doubling, then LENGTH; only positions that still
    share a rank are sorted again. Neighbours with a common prefix of LENGTH
@@ -43,6 +45,8 @@ GRAM = 20
 BLOCK_BYTES = 12 << 20
 #: Shards per block, so that the arrays of a shard stay within some 100 MB.
 SHARDS = 16
+#: Runs of one key from which its strings are dealt one by one.
+HEAVY = 1 << 15
 U64 = np.uint64
 
 
@@ -102,17 +106,22 @@ def _pieces(table: pa.Table):
 
 
 def _block_keys(n: int):
-    """Step 1: the keys of a block, sorted, per key range; 1 where two documents of the block hold it."""
+    """Step 1: the keys of a block, sorted, per key range; 0 where one document of the block holds it,
+    else 1 and the bits of the number of runs, less one."""
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         parts = []
         for ids, data, off in _pieces(table):
             _, _, keys, row = runs(data, off)
-            parts.append(_least(keys, ids[row], ids[row])[:3])
-        keys, low, high, _ = _least(*(np.concatenate([p[j] for p in parts]) for j in range(3)))
+            every = np.sort(keys)
+            edge = np.flatnonzero(np.append(True, every[1:] != every[:-1])) if len(every) else np.zeros(0, np.int64)
+            parts.append((*_least(keys, ids[row], ids[row])[:3], np.diff(np.append(edge, len(every)))))
+        every, low, high, times = (np.concatenate([p[j] for p in parts]) for j in range(4))
+        keys, low, high, _ = _least(every, low, high)
+        runs_of = np.bincount(np.searchsorted(keys, every), times, len(keys)).astype(np.int64)
         to = _route(keys, n)
         cut = np.flatnonzero(np.append(True, to[1:] != to[:-1])) if len(to) else np.zeros(0, np.int64)
         ends = np.append(cut[1:], len(to))
-        two = (high > low).astype(np.uint8)
+        two = np.where(high > low, np.floor(np.log2(np.maximum(runs_of, 2))), 0).astype(np.uint8)
         return pa.table({"part": pa.array(to[cut].astype(np.int64)), "block": pa.array(np.full(len(cut), key[0].as_py(), np.int64)),
                          "keys": pa.array([keys[a:b].tobytes() for a, b in zip(cut, ends)], pa.binary()),
                          "two": pa.array([two[a:b].tobytes() for a, b in zip(cut, ends)], pa.binary())})
@@ -120,41 +129,57 @@ def _block_keys(n: int):
 
 
 def _merge_keys(table: pa.Table) -> pa.Table:
-    """Step 2: of each block's keys in this range, those that two documents hold."""
+    """Step 2: of each block's keys in this range, those that two documents hold, and which of them are heavy."""
     lists = [np.frombuffer(x, U64) for x in table.column("keys").to_pylist()]
     every = np.concatenate(lists)
     two = np.frombuffer(b"".join(table.column("two").to_pylist()), np.uint8)
+    found = every.copy()
     every.sort()
     again = every[1:][every[1:] == every[:-1]]
-    again = np.unique(np.concatenate([again, np.concatenate(lists)[two == 1]]))
-    blocks, kept = [], []
+    again = np.unique(np.concatenate([again, found[two > 0]]))
+    at = np.searchsorted(again, found)
+    at[at == len(again)] = 0
+    held = again[at] == found if len(again) else np.zeros(len(found), bool)
+    heavy = np.bincount(at[held], 2.0 ** two[held], len(again)) >= HEAVY
+    blocks, kept, split = [], [], []
     for block, keys in zip(table.column("block").to_pylist(), lists):
         at = np.searchsorted(keys, again)
         at[at == len(keys)] = 0
-        mine = again[keys[at] == again] if len(keys) else again[:0]
+        own = keys[at] == again if len(keys) else np.zeros(len(again), bool)
+        mine = again[own]
         if len(mine):
             blocks.append(block)
             kept.append(mine.tobytes())
-    return pa.table({"block": pa.array(blocks, pa.int64()), "keys": pa.array(kept, pa.binary())})
+            split.append(again[own & heavy].tobytes())
+    return pa.table({"block": pa.array(blocks, pa.int64()), "keys": pa.array(kept, pa.binary()), "heavy": pa.array(split, pa.binary())})
 
 
 def _block_runs(n: int):
     """Step 3: texts of the runs under shared keys, each once per block, by shard."""
     def run(key: tuple[pa.Scalar, ...], docs: pa.Table, shared: pa.Table) -> pa.Table:
         wanted = np.sort(_u64(shared.column("keys"))) if shared.num_rows else np.zeros(0, U64)
+        heavy = np.sort(_u64(shared.column("heavy"))) if shared.num_rows else np.zeros(0, U64)
         parts, bodies, at = [], [], 0
         for ids, data, off in _pieces(docs) if len(wanted) else ():
             start, many, keys, row = runs(data, off)
             hit = np.searchsorted(wanted, keys)
             hit[hit == len(wanted)] = 0
             use = np.flatnonzero(wanted[hit] == keys)
-            size = many[use] + LENGTH - 1
-            name = textbuf.span_hash(data, start[use], start[use] + size)
-            name, low, high, first = _least(name, ids[row[use]], ids[row[use]])
-            size, begin = size[first], start[use][first]
+            start, many, keys, row = start[use], many[use], keys[use], row[use]
+            single = np.isin(keys, heavy)
+            if single.any():  # strings of heavy keys become runs of one string
+                each = np.where(single, many, 1)
+                one = np.repeat(np.arange(len(start)), each)
+                start = start[one] + np.arange(len(one)) - np.repeat(np.cumsum(each) - each, each)
+                many, keys, row, single = np.where(single, 1, many)[one], keys[one], row[one], single[one]
+            size = many + LENGTH - 1
+            name = textbuf.span_hash(data, start, start + size)
+            keys = np.where(single, textbuf.mix(name ^ U64(textbuf.BASE)), keys)
+            name, low, high, first = _least(name, ids[row], ids[row])
+            size, begin, keys = size[first], start[first], keys[first]
             place = np.cumsum(size) - size
             bodies.append(data[np.repeat(begin - place, size) + np.arange(size.sum())])
-            parts.append((name, low, high, keys[use][first], size, place + at))
+            parts.append((name, low, high, keys, size, place + at))
             at += int(size.sum())
         out = {"shard": [], "sizes": [], "low": [], "two": [], "body": []}
         if parts:
@@ -270,6 +295,8 @@ _RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 
 def _clean(docs: pa.Table, found: pa.Table) -> pa.Table:
     """Step 5: the bytes of each document of the block that no marked string covers."""
+    heavy = _u64(found.column("heavy").drop_null()) if found.num_rows else np.zeros(0, U64)
+    found = found.filter(found.column("names").is_valid())
     if found.num_rows:
         name = _u64(found.column("names"))
         first, many, low = (np.frombuffer(b"".join(found.column(c).to_pylist()), np.int64) for c in ("first", "many", "low"))
@@ -281,7 +308,7 @@ def _clean(docs: pa.Table, found: pa.Table) -> pa.Table:
     for ids, data, off in _pieces(docs):
         cover = np.zeros(len(data) + 1, np.int32)
         if len(name):
-            start, count, _, row = runs(data, off)
+            start, count, key, row = runs(data, off)
             own = textbuf.span_hash(data, start, start + count + LENGTH - 1)
             a, b = np.searchsorted(name, own, "left"), np.searchsorted(name, own, "right")
             hit = np.flatnonzero(b > a)
@@ -290,6 +317,16 @@ def _clean(docs: pa.Table, found: pa.Table) -> pa.Table:
             run = np.repeat(hit, each)
             mark = low[at] < ids[row[run]]
             at, run = at[mark], run[mark]
+            inner = np.flatnonzero((count > 1) & np.isin(key, heavy))
+            if len(inner):
+                each = count[inner]
+                place = np.repeat(start[inner] - (np.cumsum(each) - each), each) + np.arange(each.sum())
+                own = textbuf.span_hash(data, place, place + LENGTH)
+                hit = np.searchsorted(name, own)
+                hit[hit == len(name)] = 0
+                place = place[(name[hit] == own) & (low[hit] < ids[np.repeat(row[inner], each)])]
+                np.add.at(cover, place, 1)
+                np.add.at(cover, place + LENGTH, -1)
             np.add.at(cover, start[run] + first[at], 1)
             np.add.at(cover, start[run] + first[at] + many[at] + LENGTH - 1, -1)
         gone = np.cumsum(cover[:-1]) > 0
@@ -315,11 +352,14 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
     known = slim.filter("doc_id is not null").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(n)))
     blocks = known.groupBy("block")
     keys = blocks.applyInArrow(_block_keys(n), "part long, block long, keys binary, two binary")
-    shared = keys.groupBy("part").applyInArrow(_merge_keys, "block long, keys binary")
+    shared = keys.groupBy("part").applyInArrow(_merge_keys, "block long, keys binary, heavy binary")
     sent = blocks.cogroup(shared.groupBy("block")).applyInArrow(
         _block_runs(n * SHARDS), "shard long, sizes binary, low binary, two binary, body binary, block long")
     found = sent.groupBy("shard").applyInArrow(_shard, "block long, names binary, first binary, many binary, low binary")
-    clean = blocks.cogroup(found.groupBy("block")).applyInArrow(_clean, _RESULT)
+    none = F.lit(None).cast("binary")
+    marks = found.withColumn("heavy", none).unionAll(shared.filter(F.octet_length("heavy") > 0).select(
+        "block", *(none.alias(c) for c in ("names", "first", "many", "low")), "heavy"))
+    clean = blocks.cogroup(marks.groupBy("block")).applyInArrow(_clean, _RESULT)
     whole = slim.filter("doc_id is null").select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
                                                  F.lit(0).cast("long").alias("n_spans"), F.encode("text", "utf-8").alias("kept"))
     return clean.unionAll(whole).withColumnRenamed("doc_id", id)
