@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, kneser, minhash, neighbours, oracles, packing, paragraphs, pii, quality, suffixes, tokencounts
+from tidemark.llm import decontaminate, kneser, licences, minhash, neighbours, oracles, packing, paragraphs, pii, quality, suffixes, tokencounts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -108,4 +108,17 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
+@query
+def op11_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and template spans of every document. The score is the largest share of
+    a template that was found; a phrase alone counts a half."""
+    found = licences.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    base, more = F.array_distinct("places.label"), F.array_distinct("spans.label")
+    n = F.size("places").cast("long")
+    return found.select(
+        "doc_id", "n_words", n.alias("n_base"), F.array_min("places.word").alias("first_word"), F.array_max("places.word").alias("last_word"),
+        F.concat_ws(",", F.array_sort(base)).alias("base_labels"), F.concat_ws(",", F.array_sort(F.array_union(base, more))).alias("labels"),
+        F.greatest(F.when(n > 0, 0.5).otherwise(0.0), F.coalesce(F.array_max("spans.coverage"), F.lit(0.0))).alias("score"))
+
+
 ORACLE: dict[str, str] = oracles.SQL
