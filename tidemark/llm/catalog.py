@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, kneser, licences, minhash, neighbours, oracles, packing, paragraphs, pii, quality, suffixes, tokencounts
+from tidemark.llm import decontaminate, divergence, kneser, licences, minhash, neighbours, oracles, packing, paragraphs, pii, quality, suffixes, tokencounts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -121,4 +121,10 @@ def op11_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.greatest(F.when(n > 0, 0.5).otherwise(0.0), F.coalesce(F.array_max("spans.coverage"), F.lit(0.0))).alias("score"))
 
 
+@query
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every source from the others of its language, and its 200 most typical words."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 ORACLE: dict[str, str] = oracles.SQL

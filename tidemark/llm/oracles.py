@@ -87,4 +87,31 @@ select doc_id, length(d.h) // 2 as n_bytes, cast(coalesce(n_removed, 0) as bigin
 from d left join q using (doc_id) left join k using (doc_id)"""
 
 
-SQL: dict[str, str] = {"op1_pii": _pii(), "op9_suffix_dedup": _REPEATS, "op10_minhash": _NEAR}
+_DIVERGENCE = r"""
+with d as (
+  select row_number() over () as rn, coalesce(lang, '') as lang, coalesce(source, '') as source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as ws
+  from documents),
+t as (select rn, lang, source, unnest(ws) as term from d),
+k as (select lang, term, count(*) as whole from t group by all having count(distinct rn) >= 3),
+v as (select lang, count(*) as size, sum(whole) as lang_total from k group by lang),
+c as (select t.lang, t.source, t.term, count(*) as n from t join k using (lang, term) group by all),
+g as (select x.lang, x.source, coalesce(sum(c.n), 0) as total from (select distinct lang, source from d) x left join c using (lang, source) group by all),
+s as (select g.lang, g.source, k.term, coalesce(c.n, 0) as n,
+             1 + (1000000000::hugeint * (coalesce(c.n, 0) + 1)) // (g.total + v.size)::hugeint as p,
+             1 + (1000000000::hugeint * (k.whole + 1)) // (v.lang_total + v.size)::hugeint as q
+      from g join k using (lang) join v using (lang) left join c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+r as (
+  select lang, source, 'pair' as part, item, value from (
+    select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p) as value
+    from s a join s b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+    union all
+    select a.lang, a.source, b.source, 0 from g a join g b on a.lang = b.lang and a.source <> b.source where a.lang not in (select lang from v))
+  union all
+  select lang, source, 'term', term, (p - q) * (p - q) // q from s where n > 0 and p > q)
+select lang, source, part, item, cast(value as bigint) as value, cast(n as int) as rank
+from (select *, row_number() over (partition by lang, source, part order by value desc, item) as n from r)
+where part = 'pair' or n <= 200"""
+
+
+SQL: dict[str, str] = {"op1_pii": _pii(), "op9_suffix_dedup": _REPEATS, "op10_minhash": _NEAR, "op12_divergence": _DIVERGENCE}
