@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, divergence, kneser, licences, minhash, neighbours, oracles, packing, paragraphs, pii, quality, suffixes, tokencounts
+from tidemark.llm import decontaminate, divergence, kneser, licences, minhash, neighbours, oracles, packing, paragraphs, pii, quality, suffixes, tokencounts, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -127,4 +127,16 @@ def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first four whitened components of every vector."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(rows)
+    done = whitening.transform(rows, model).select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    explained = F.array(*[F.lit(v) for v in (model.explained if model else [])]).cast("array<double>")
+    return done.select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n if model else 0).cast("long").alias("n"), "deviation", "whitened",
+        F.get(explained, F.col("at")).alias("explained"), F.lit(model.identity_error if model else 0.0).alias("identity_error"))
+
+
 ORACLE: dict[str, str] = oracles.SQL
