@@ -53,9 +53,10 @@ def sample(words, n):
     return rows
 
 
-@pytest.mark.parametrize("entries,stripe,chunk", [(10**6, 256, 1 << 21), (40, 2, 300)])
-def test_equals_plain_version(spark, monkeypatch, words, entries, stripe, chunk):
+@pytest.mark.parametrize("entries,stripe,chunk,small", [(10**6, 256, 1 << 21, 20_000), (40, 2, 300, 0)])
+def test_equals_plain_version(spark, monkeypatch, words, entries, stripe, chunk, small):
     """One block and one stripe, or many small ones."""
+    monkeypatch.setattr(divergence, "SMALL", small)
     monkeypatch.setattr(divergence, "ENTRIES", entries)
     monkeypatch.setattr(divergence, "STRIPE", stripe)
     monkeypatch.setattr(divergence, "CHUNK_BYTES", chunk)

@@ -36,10 +36,12 @@ MIN_DOCS = 3
 SCALE = 10**9
 TOP = 200
 #: Bytes of text counted at once.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 22
 #: Counts in a block of the reordered vocabulary, and sources in a stripe.
-ENTRIES = 1_000_000
+ENTRIES = 250_000
 STRIPE = 256
+#: Tables of groups and of blocks are broadcast up to this number of rows, else joined by a shuffle.
+SMALL = 20_000
 #: Sources whose counts order a block.
 ORDERED = 16
 
@@ -104,6 +106,11 @@ def vocabulary(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     return cut(whole.filter(F.col("docs") >= min_docs).drop("docs"))
 
 
+def _beside(small: DataFrame) -> DataFrame:
+    """A written table, marked for broadcast if it has at most SMALL rows."""
+    return F.broadcast(small) if small.count() <= SMALL else small
+
+
 def group_totals(docs: DataFrame, words: DataFrame) -> DataFrame:
     """(lang, source, total, lang_total, size) of every group; size is the language's vocabulary."""
     groups = _clean(docs).select("lang", "source").distinct()
@@ -195,7 +202,8 @@ def pair_divergence(words: DataFrame, totals: DataFrame) -> DataFrame:
         alike = alike.withColumn("block", F.lit(0))
     stripes = totals.groupBy("lang").agg(F.explode(F.sequence(F.lit(0), F.floor((F.count("*") - 1) / STRIPE).cast("int"))).alias("stripe"))
     tasks = stripes.join(alike.select("lang", "block").distinct(), "lang", "left").fillna(-1, ["block"])
-    held = alike.join(tasks, ["lang", "block"])
+    tasks = cut(tasks)
+    held = alike.join(_beside(tasks), ["lang", "block"])
     groups = totals.join(tasks, "lang").select(*[F.col(c).alias(c) for c in ("lang", "block", "stripe", "source", "total", "size")])
     key = ["lang", "block", "stripe"]
     sums = held.groupBy(*key).cogroup(groups.groupBy(*key)).applyInArrow(_pair_sums, "lang string, source string, item string, value long")
@@ -205,7 +213,7 @@ def pair_divergence(words: DataFrame, totals: DataFrame) -> DataFrame:
 def term_divergence(words: DataFrame, totals: DataFrame) -> DataFrame:
     """(lang, source, item, value) of the words that a group holds more often than its language."""
     each = words.select("lang", "term", F.col("total").alias("whole"), F.explode("counts").alias("c"))
-    each = each.select("lang", "term", "whole", F.col("c.source").alias("source"), F.col("c.n").alias("n")).join(totals, ["lang", "source"])
+    each = each.select("lang", "term", "whole", F.col("c.source").alias("source"), F.col("c.n").alias("n")).join(_beside(totals), ["lang", "source"])
     each = each.select("lang", "source", F.col("term").alias("item"), share(F.col("n"), F.col("total"), F.col("size")).alias("p"),
                        share(F.col("whole"), F.col("lang_total"), F.col("size")).alias("q"))
     return each.filter("p > q").select("lang", "source", "item", F.expr("(p - q) * (p - q) div q").alias("value"))
