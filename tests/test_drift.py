@@ -284,3 +284,77 @@ def test_whisker_never_lies_inside_the_box(spark):
     df = spark.createDataFrame([(float(v),) for v in (1, 2, 3, 100)], "x double")
     row = stats.box_stats({"d": df}, ["x"]).first()
     assert row["q3"] == 27.25 and row["whisker_hi"] == 27.25 and row["whisker_lo"] == 1
+
+
+# ------------------------------------------------------------- KS laws at finite n
+
+def test_one_sample_law_known_values():
+    """A published value of the matrix method, and 5 % points of printed tables."""
+    assert 1 - pvalues.two_sided_sf(0.274, 10) == pytest.approx(0.6284796154565, abs=1e-12)
+    for n, d in ((5, 0.56328), (10, 0.40925), (20, 0.29408), (50, 0.18841)):
+        assert pvalues.two_sided_sf(d, n) == pytest.approx(0.05, abs=2e-5)
+
+
+def test_one_sample_law_against_uniform_order_statistics():
+    """n = 2 by hand: the area of 0 < u < v < 1 outside the band."""
+    def outside(d):
+        k = 1500
+        g = (np.arange(k) + 0.5) / k
+        u, v = np.meshgrid(g, g)
+        u, v = np.minimum(u, v), np.maximum(u, v)
+        stat = np.maximum.reduce([np.abs(u), np.abs(u - 0.5), np.abs(v - 0.5), np.abs(v - 1)])
+        return (stat >= d).mean()
+    for d in (0.3, 0.4, 0.55, 0.7):
+        assert pvalues.two_sided_sf(d, 2) == pytest.approx(outside(d), abs=3e-3)
+
+
+def test_one_sample_law_is_smooth_where_methods_meet(monkeypatch):
+    n = 2000
+    for d in (0.01, 0.015, 0.02, 0.03, 0.04, 0.0447):
+        assert pvalues._inside_series(d, n) == pytest.approx(pvalues._inside_matrix(d, n), abs=5e-7)
+    for n in (30, 500, 2000):
+        d = 2.0 / math.sqrt(n)
+        assert 2 * pvalues.one_sided_sf(d, n) == pytest.approx(1 - pvalues._inside_matrix(d, n), rel=1e-8)
+    n, d = 10**6, 0.0025
+    whole = pvalues.one_sided_sf(d, n)
+    monkeypatch.setattr(pvalues, "SUM_TERMS", 10)
+    assert pvalues.one_sided_sf(d, n) == pytest.approx(whole, rel=1e-4)
+    assert pvalues.two_sided_sf(1e-9, 50) == 1.0 and pvalues.two_sided_sf(1.0, 50) == 0.0 and math.isnan(pvalues.two_sided_sf(0.5, 0))
+
+
+def test_exact_two_sample_law_by_counting_orders():
+    from itertools import combinations
+    for m, n in ((1, 1), (2, 3), (4, 4), (3, 6), (5, 4)):
+        stats_ = []
+        for places in combinations(range(m + n), m):
+            i = j = top = 0
+            for s in range(m + n):
+                i, j = (i + 1, j) if s in places else (i, j + 1)
+                top = max(top, abs(i * n - j * m))
+            stats_.append(top)
+        for t in sorted(set(stats_)):
+            want = sum(x >= t for x in stats_) / len(stats_)
+            assert pvalues.exact_two_sample_sf(t / (m * n), m, n) == pytest.approx(want, rel=1e-12)
+    assert pvalues.exact_two_sample_sf(0.0, 4, 4) == 1.0
+    # both laws agree for larger samples
+    assert pvalues.ks_law(0.12, 300, 280, "exact") == pytest.approx(pvalues.ks_law(0.12, 300, 280, "finite"), rel=0.1)
+
+
+def test_ks_by_groups(spark):
+    rng = np.random.default_rng(8)
+    rows = [(str(g) if g else None, s, float(round(v, 1))) for g in range(3) for s in (0, 1) for v in rng.normal(g * s, 1, 25 + g)]
+    rows += [("only", 0, 1.0), ("1", 0, None)]
+    df = spark.createDataFrame(rows, "g string, s int, x double")
+    got = {r["g"]: r for r in drift.ks_by(df.where("s = 0"), df.where("s = 1"), "g", ["x"]).collect()}
+    assert set(got) == {None, "1", "2", "only"}
+    for g in (None, "1", "2"):
+        a, b = (np.array([v for h, t, v in rows if h == g and t == s and v is not None]) for s in (0, 1))
+        d = max(_ks(a, b))
+        assert got[g]["statistic"] == pytest.approx(d) and got[g]["p_value"] == pytest.approx(pvalues.exact_two_sample_sf(d, len(a), len(b)))
+    assert got["only"]["p_value"] is None and got["1"]["dropped"] == 1 and not got["only"]["drifted"]
+
+
+def test_law_names_are_checked(spark):
+    ref = _frame(spark, [1, 2, 3])
+    with pytest.raises(ValueError):
+        drift.ks_test(ref, ref, ["x"], law="other")

@@ -22,6 +22,7 @@ from tidemark.operators.stats import categorical_stats, melt
 REF, NEW = 0, 1
 # Accepted alternatives of the KS test.
 KS_ALTERNATIVES = ("two-sided", "less", "greater")
+KS_LAWS = ("finite", "exact", "limit")
 
 
 # Numeric statistics that summary drift compares.
@@ -75,7 +76,10 @@ def side_counts(reference: DataFrame, new: DataFrame, columns: Sequence[str]) ->
     """(feature, value, c_ref, c_new): one scan of each input grouped by
     distinct value (null kept as a value so drops can be counted), written
     once. Levene, KS and the medians are all computed from this table."""
-    long = stack_datasets(reference, new, columns)
+    return _side_counts(stack_datasets(reference, new, columns))
+
+
+def _side_counts(long: DataFrame) -> DataFrame:
     return materialize(long.groupBy("feature", "value").agg(
         F.count_if(F.col("ds") == REF).alias("c_ref"), F.count_if(F.col("ds") == NEW).alias("c_new")))
 
@@ -157,24 +161,45 @@ def ks_statistics(reference: DataFrame, new: DataFrame, columns: Sequence[str])
 
 
 def ks_from(summary: DataFrame, columns: Sequence[str], p_threshold: float = 0.05,
-            alternative: str = "two-sided", bonferroni: bool = True) -> DataFrame:
+            alternative: str = "two-sided", bonferroni: bool = True, law: str = "finite") -> DataFrame:
     if alternative not in KS_ALTERNATIVES:
         raise ValueError(f"alternative must be one of {KS_ALTERNATIVES}")
+    if law not in KS_LAWS:
+        raise ValueError(f"law must be one of {KS_LAWS}")
     d = {"two-sided": F.col("d"), "greater": F.col("d_plus"), "less": F.col("d_minus")}[alternative]
     out = summary.withColumn("statistic", d).withColumn(
-        "p_value", ks_pvalue(F.col("statistic"), F.col("n_ref"), F.col("n_new"), alternative))
+        "p_value", ks_pvalue(F.col("statistic"), F.col("n_ref"), F.col("n_new"), alternative, law))
     alpha = p_threshold / len(list(columns)) if bonferroni else p_threshold
     return _finish(out, f"ks_{alternative}", alpha)
 
 
 def ks_test(reference: DataFrame, new: DataFrame, columns: Sequence[str], p_threshold: float = 0.05,
-            alternative: str = "two-sided", bonferroni: bool = True) -> DataFrame:
+            alternative: str = "two-sided", bonferroni: bool = True, law: str = "finite") -> DataFrame:
     """Two-sample KS per feature, alpha = p_threshold / len(columns)
     (Bonferroni). ``greater`` uses D+ = max(F_ref - F_new), ``less`` D-.
-    The two-sided p-value is the Kolmogorov limit law (not the finite-n law)."""
+    ``law`` is that of the two-sided p-value: "finite" (one sample of the rounded effective
+    size), "exact" (all orders of the rows counted, for small samples) or "limit"."""
+    _check_p(p_threshold)
+    columns = list(columns)
+    return ks_from(side_summary(side_counts(reference, new, columns)), columns, p_threshold, alternative, bonferroni, law)
+
+
+def ks_by(reference: DataFrame, new: DataFrame, by: str, columns: Sequence[str], p_threshold: float = 0.05,
+          alternative: str = "two-sided", law: str = "exact") -> DataFrame:
+    """The test inside every group of ``by`` (a month, a store), all groups in one job: the
+    columns of ``ks_test`` with ``by`` first. Each group is tested at p_threshold / len(columns).
+    A group that only one period holds has no statistic; a null group is a group."""
     _check_p(p_threshold)
     columns = list(columns)
-    return ks_from(side_summary(side_counts(reference, new, columns)), columns, p_threshold, alternative, bonferroni)
+    long = None
+    for ds, df in ((REF, reference), (NEW, new)):
+        part = melt(df.select(by, *columns), columns, keep=[by]).withColumn("ds", F.lit(ds))
+        long = part if long is None else long.unionByName(part)
+    label = F.to_json(F.struct(F.col(by).cast("string").alias("g"), F.col("feature").alias("f")))
+    counts = _side_counts(long.select(label.alias("feature"), "ds", "value"))
+    done = ks_from(side_summary(counts), columns, p_threshold, alternative, True, law)
+    group = F.get_json_object("feature", "$.g").cast(reference.schema[by].dataType)
+    return done.select(group.alias(by), F.get_json_object("feature", "$.f").alias("feature"), *done.columns[1:])
 
 
 # ---------------------------------------------------------------- chi-square
@@ -327,7 +352,7 @@ def promotion_gate(df: DataFrame, staging: str, prod: str, min_gain: float) -> D
 
 
 def drift_report(reference: DataFrame, new: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
-                 p_threshold: float = 0.05, ks_alternative: str = "two-sided") -> DataFrame:
+                 p_threshold: float = 0.05, ks_alternative: str = "two-sided", ks_law: str = "finite") -> DataFrame:
     """Levene, KS (Bonferroni) and chi-square homogeneity in one long table.
     The numeric tests share one scan of each input and one ranking pass."""
     _check_p(p_threshold)
@@ -335,7 +360,7 @@ def drift_report(reference: DataFrame, new: DataFrame, numeric: Sequence[str], c
     if numeric:
         counts = side_counts(reference, new, numeric)
         summary = side_summary(counts)
-        parts += [levene_from(counts, summary, p_threshold), ks_from(summary, numeric, p_threshold, ks_alternative)]
+        parts += [levene_from(counts, summary, p_threshold), ks_from(summary, numeric, p_threshold, ks_alternative, law=ks_law)]
     if categorical:
         parts.append(chi2_homogeneity(reference, new, categorical, p_threshold))
     out = parts[0]

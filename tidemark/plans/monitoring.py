@@ -22,7 +22,7 @@ REPORT_COLUMNS = ["check", "feature", "statistic", "value", "p_value", "threshol
 
 def period_report(production: DataFrame, new: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
                   null_threshold: float = 0.5, stats_limit: float = 0.1, p_threshold: float = 0.05,
-                  statistics: Sequence[str] = drift.DRIFT_STATISTICS) -> DataFrame:
+                  statistics: Sequence[str] = drift.DRIFT_STATISTICS, ks_law: str = "finite") -> DataFrame:
     """All checks of one monthly run in one long table."""
     numeric, categorical = list(numeric), list(categorical)
     nulls = stats.null_proportions(new, null_threshold, numeric + categorical, flagged_only=False).select(
@@ -37,7 +37,7 @@ def period_report(production: DataFrame, new: DataFrame, numeric: Sequence[str],
             F.lit("summary").alias("check"), "feature", "statistic", F.col("new_value").alias("value"),
             F.lit(None).cast("double").alias("p_value"), F.lit(float(stats_limit)).alias("threshold"),
             F.lit(True).alias("flagged")))
-    tests = drift.drift_report(production, new, numeric, categorical, p_threshold)
+    tests = drift.drift_report(production, new, numeric, categorical, p_threshold, ks_law=ks_law)
     parts.append(tests.select(
         F.col("test").alias("check"), "feature", F.lit("statistic").alias("statistic"),
         F.col("statistic").alias("value"), "p_value", F.col("alpha").alias("threshold"),
