@@ -62,7 +62,7 @@ def current_stages(events: DataFrame) -> DataFrame:
 def model_in_stage(events: DataFrame, stage: str) -> DataFrame:
     """Latest version per model currently in ``stage``."""
     if stage not in STAGES:
-        raise ValueError(f"Invalid stage: {stage}")
+        raise ValueError(f"stage {stage!r} is none of {STAGES}")
     cur = current_stages(events).where(F.col("stage") == stage)
     return cur.groupBy("model").agg(F.max("version").alias("version"))
 

@@ -19,7 +19,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols
-from pyspark.ml.regression import RandomForestRegressor
+from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
@@ -32,6 +32,8 @@ FEATURES = "features"
 # Tree training: per-pass node statistics budget (MB) and node-id caching,
 # so many trees grow per pass over the data instead of a few.
 TREE_MEMORY_MB = 512
+# Rows of one partition of a fit's input, whatever the cluster.
+ROWS_PER_PARTITION = 50_000
 
 
 class _HasFills(Params):
@@ -143,6 +145,12 @@ def tree_classifier(label: str, max_depth: int = 5, seed: int = 42) -> DecisionT
                                   maxMemoryInMB=TREE_MEMORY_MB, cacheNodeIds=True)
 
 
+def tree_regressor(label: str, max_depth: int = 5, max_bins: int = 64, seed: int = 42) -> DecisionTreeRegressor:
+    """One regression tree. A feature with at most ``max_bins`` different values is split at any of them."""
+    return DecisionTreeRegressor(labelCol=label, featuresCol=FEATURES, maxDepth=max_depth, maxBins=max_bins, seed=seed,
+                                 maxMemoryInMB=TREE_MEMORY_MB, cacheNodeIds=True)
+
+
 def index_label(df: DataFrame, label: str, out: str = "label_idx"):
     """String (or int) label -> double index, levels sorted; returns
     (indexed frame, fitted indexer)."""
@@ -151,20 +159,23 @@ def index_label(df: DataFrame, label: str, out: str = "label_idx"):
     return model.transform(df), model
 
 
-def stable_input(df: DataFrame, keys: Sequence[str], partitions: int = 64) -> DataFrame:
-    """``df`` as tree fits should read it: dealt by key to a fixed number of
-    partitions, sorted in each, and written to the shared folder.
+def stable_input(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """``df`` as tree fits should read it: dealt by key to a number of partitions that
+    follows from its rows (ROWS_PER_PARTITION each, 8 at least) or is given, sorted in each,
+    and written to the shared folder.
 
     Spark's forests draw their samples per partition and in row order, so the
     model depends on both; fixed like this it does not depend on the cluster."""
     from tidemark.session import shared_dir
     shared_dir(df.sparkSession)
+    if partitions is None:
+        partitions = max(8, -(-df.count() // ROWS_PER_PARTITION))
     return df.repartition(partitions, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
 
 
 def train_classifier(df: DataFrame, label: str, categorical: Sequence[str], numeric: Sequence[str],
                      estimator=None, test_fraction: float = 0.2, seed: int = 42, keys: Sequence[str] | None = None,
-                     partitions: int = 64):
+                     partitions: int | None = None):
     """Fit a classification pipeline on the train side of a stratified split and
     evaluate on the test side, with the split written once. Returns (model, label
     indexer, test predictions, metrics row: n, accuracy, auc_hard (one level
@@ -197,7 +208,7 @@ def feature_importances(model: PipelineModel, frame: DataFrame) -> DataFrame:
 
 def search_classifier(train: DataFrame, label: str, categorical: Sequence[str], numeric: Sequence[str],
                       keys: Sequence[str], max_trials: int = 30, folds: int = 3, parallelism: int = 4, seed: int = 42,
-                      time_limit: float | None = None, partitions: int = 64):
+                      time_limit: float | None = None, partitions: int | None = None):
     """Model search by F1 over a grid, k-fold cross validation (folds by key hash)
     with ``parallelism`` settings at a time. The whole grid is tried if ``max_trials`` allows; otherwise
     the settings with the smallest hashes, which spread over all its dimensions.
@@ -247,19 +258,24 @@ def search_classifier(train: DataFrame, label: str, categorical: Sequence[str],
 
 def train_run(df: DataFrame, target: str, categorical: Sequence[str], numeric: Sequence[str], keys: Sequence[str],
               run_id: str, num_trees: int = 500, max_depth: int = 5, test_fraction: float = 0.2, seed: int = 42,
-              partitions: int = 64):
+              partitions: int | None = None, estimator=None, store: str | None = None, experiment: str = "default", data_path: str | None = None,
+              data_version: int | None = None, period: str | None = None):
     """The monthly training job: profile the input, split by key hash, fit
-    the random-forest regression pipeline, evaluate on the test side.
+    the regression pipeline (a random forest, or ``estimator`` with label ``target``),
+    evaluate on the test side.
 
     Returns (model, stats, record) where ``stats`` is the long profile of the
     training input and ``record`` one row: run_id, n_rows, n_train, n_test,
-    mae, mse, rmse, r2_test."""
+    mae, mse, rmse, r2_test. With ``store`` all of it is published there as one run with
+    the data's path and version, the parameters and the signature (``registry``), and
+    stats and record are read back from it."""
     cols = list(dict.fromkeys([target, *categorical, *numeric, *keys]))
     data = df.select(*cols)
     profile = stats.profile(data.drop(*[k for k in keys if k not in (target, *categorical, *numeric)]),
                             [target, *numeric], categorical)
     s = stable_input(splits.hash_split(data, keys, test_fraction, seed), keys, partitions)
-    model = build_pipeline(categorical, numeric, rf_regressor(target, num_trees, max_depth, seed)).fit(s.where(F.col("split") == "train"))
+    est = estimator or rf_regressor(target, num_trees, max_depth, seed)
+    model = build_pipeline(categorical, numeric, est).fit(s.where(F.col("split") == "train"))
     pred = model.transform(s.where(F.col("split") == "test"))
     reg = metrics.regression_metrics(pred, target, "prediction")
     counts = splits.split_counts(s)
@@ -267,6 +283,15 @@ def train_run(df: DataFrame, target: str, categorical: Sequence[str], numeric: S
     record = reg.select(F.lit(run_id).alias("run_id"),
                         *[counts.select(c).scalar().alias(c) for c in ("n_rows", "n_train", "n_test")],
                         "mae", "mse", "rmse", F.col("r2").alias("r2_test"))
+    if store is not None:
+        from tidemark.plans import registry
+        used = {"target": target, "categorical": list(categorical), "numeric": list(numeric), "test_fraction": test_fraction, "seed": seed,
+                "estimator": type(est).__name__, **{p.name: v for p, v in est.extractParamMap().items() if isinstance(v, (int, float, str, bool))}}
+        kept = registry.publish_run(
+            store, run_id, model, profile, record, experiment=experiment, metrics=["mae", "mse", "rmse", "r2_test"], parameters=used,
+            signature=signature(df, [*categorical, *numeric], T.DoubleType()), data_path=data_path, data_version=data_version, period=period)
+        profile = registry.run_profile(df.sparkSession, store, run_id)
+        record = kept.select("run_id", "n_rows", "n_train", "n_test", *[F.col("metrics")[m].alias(m) for m in ("mae", "mse", "rmse", "r2_test")])
     return model, profile, record
 
 

@@ -11,10 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import drift, runs, stats
+from tidemark.plans import registry
 from tidemark.sources import io
 
 REPORT_COLUMNS = ["check", "feature", "statistic", "value", "p_value", "threshold", "flagged"]
@@ -64,6 +65,15 @@ def production_baseline(events: DataFrame, details_path: str, stats_path: str, m
     return run["run_id"], data, io.load_stats(spark, stats_path, run["run_id"])
 
 
+def baseline_of(spark: SparkSession, store: str, events_path: str, model: str, period_col: str | None = None) -> tuple[Row, DataFrame, DataFrame]:
+    """As ``production_baseline`` for runs kept in a ``registry`` store: (the run's record, its data
+    as of its version, its statistics)."""
+    run_id = registry.run_in_stage(registry.stage_log(spark, events_path), model, "Production")
+    run = registry.run_record(spark, store, run_id).first()  # one row
+    data = io.read_as_of(spark.read.parquet(run["data_path"]), run["data_version"], period_col)
+    return run, data, registry.run_profile(spark, store, run_id)
+
+
 def promote_if(gate: DataFrame, events_path: str, model: str, version: int,
                stage: str = "Production", allow=("PROCEED",), run_id: str | None = None) -> bool:
     """Append (model, version, stage, archive_existing=True, now) to the

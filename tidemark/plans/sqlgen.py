@@ -41,3 +41,32 @@ def numeric_profile_raw(source: str, columns: Sequence[str]) -> str:
         f"select feature, '{name}' as statistic, {expr} as value from long_ group by feature"
         for name, expr in stats)
     return f"(with long_ as ({m}) {sel})"
+
+
+def regression_tree(source: str, features: Sequence[str], target: str, train: str, depth: int, prefix: str = "t", needs: Sequence[str] = ()) -> str:
+    """CTEs of a regression tree grown to ``depth`` on the rows of ``source`` where ``train`` holds: at each
+    node the split (feature, midpoint of two neighbouring values) that lowers the variance most.
+    ``{prefix}_out`` is the source with ``node`` and ``prediction``, ``{prefix}_gain`` one row per split:
+    feature, gain (rows of the node times the variance taken away). ``needs`` are CTEs that go first."""
+    ctes = [*needs, f"{prefix}_r0 as (select *, 1::bigint as node, ({target})::double as _y, ({train}) as _fit from {source})"]
+    for k in range(depth):
+        long = "\n    union all ".join(f"select node, {i} as f, {c}::double as v, _y from {prefix}_r{k} where _fit" for i, c in enumerate(features))
+        value = "case b.f " + " ".join(f"when {i} then {c}" for i, c in enumerate(features)) + " end"
+        ctes += [
+            f"{prefix}_s{k} as (select node, f, v, count(*)::double as n, sum(_y) as s, sum(_y * _y) as q from ({long}) group by node, f, v)",
+            f"""{prefix}_c{k} as (
+  select node, f, v, (v + lead(v) over w) / 2 as cut, sum(n) over w as ln, sum(s) over w as ls, sum(q) over w as lq,
+         sum(n) over g as n, sum(s) over g as s, sum(q) over g as q
+  from {prefix}_s{k} window w as (partition by node, f order by v rows unbounded preceding), g as (partition by node, f))""",
+            f"""{prefix}_b{k} as (
+  select node, f, cut, gain from (
+    select *, row_number() over (partition by node order by gain desc, f, cut) as pick from (
+      select node, f, cut, (q - s * s / n) - (lq - ls * ls / ln) - ((q - lq) - (s - ls) * (s - ls) / (n - ln)) as gain
+      from {prefix}_c{k} where cut is not null)) where pick = 1)""",
+            f"{prefix}_r{k + 1} as (select r.* replace (r.node * 2 + (({value}) > b.cut)::int as node) from {prefix}_r{k} r join {prefix}_b{k} b using (node))"]
+    gains = " union all ".join(f"select f, gain from {prefix}_b{k}" for k in range(depth))
+    names = "case f " + " ".join(f"when {i} then '{c}'" for i, c in enumerate(features)) + " end"
+    ctes += [f"{prefix}_gain as (select {names} as feature, gain from ({gains}))",
+             f"{prefix}_leaf as (select node, avg(_y) as prediction from {prefix}_r{depth} where _fit group by node)",
+             f"{prefix}_out as (select r.*, leaf.prediction from {prefix}_r{depth} r join {prefix}_leaf leaf using (node))"]
+    return ",\n".join(ctes)
