@@ -117,3 +117,53 @@ def test_profile_shuffles_no_table(spark, sf_small):
     li = spark.read.parquet(f"{sf_small}/lineitem.parquet")
     moments, counts = stats.bracketed(li, ["l_extendedprice", "l_quantity"], {"m": 0.5})
     assert moments.count() == 2 and counts.groupBy("feature").count().where("count > 50").count() == 0
+
+
+def test_rows_with_one_order_value_spread_over_ranges(spark):
+    """Half of the rows share one order value, some have none, many are alike in all columns."""
+    df = spark.range(0, 12_000).select(F.when(F.col("id") % 2 == 0, 7).when(F.col("id") % 10 == 1, None).otherwise(F.col("id")).cast("long").alias("k"),
+                                       (F.col("id") % 5).alias("v"))
+    base = ranking.materialize(df.withColumn("_tm_tie", F.xxhash64("k", "v"))).withColumn("_tm_at", F.monotonically_increasing_id())
+    ranged = ranking.range_buckets(base, [], ["k", "_tm_tie", "_tm_at"], target_rows=1000)
+    sizes = [r["count"] for r in ranged.groupBy("_tm_bucket").count().collect()]
+    assert len(sizes) == 12 and max(sizes) < 2 * 1000
+    out = row_numbers(df, [], "k", buckets=8).collect()
+    assert sorted(r["row_number"] for r in out) == list(range(1, 12_001))
+    got = [(r["k"] is not None, r["k"]) for r in sorted(out, key=lambda r: r["row_number"])]
+    assert got == sorted(got, key=lambda x: (x[0], x[1] or 0))
+    again = row_numbers(df.repartition(5), [], "k", buckets=3).collect()
+    assert set(map(tuple, out)) == set(map(tuple, again)) and len(out) == len(again)
+
+
+def test_missed_brackets_are_widened(spark, monkeypatch):
+    from tidemark.operators import stats
+    widths, right = [], stats._ends
+
+    def wrong(probs, accuracy, widen):
+        widths.append(widen)
+        return [0.9, 0.91] * len(probs) if widen < 256 else right(probs, accuracy, widen)
+    monkeypatch.setattr(stats, "_ends", wrong)
+    v = _values(2000, seed=9)
+    row = stats.quantiles(spark.createDataFrame([(float(x),) for x in v], "x double"), ["x"], {"a": 0.25, "b": 0.5}).first()
+    assert widths[:3] == [1, 16, 256] and row["a"] == pytest.approx(np.quantile(v, 0.25)) and row["b"] == pytest.approx(np.quantile(v, 0.5))
+    monkeypatch.setattr(stats, "_ends", lambda probs, accuracy, widen: [0.9, 0.91] * len(probs))  # never right: all values counted
+    row = stats.quantiles(spark.createDataFrame([(float(x),) for x in v], "x double"), ["x"], {"a": 0.25}).first()
+    assert row["a"] == pytest.approx(np.quantile(v, 0.25))
+
+
+def test_large_integers_and_decimals_keep_their_digits(spark):
+    from decimal import Decimal
+
+    from tidemark.operators import drift, stats
+    top = 2**62
+    rows = [(top + i, Decimal(f"1000000000000000000000000.00000{i}"), i, float(i)) for i in range(9)] + [(None, None, None, None)]
+    df = spark.createDataFrame(rows, "a long, b decimal(38,6), c int, d double")
+    got = {(r.feature, r.statistic): r for r in stats.summary_stats(df, ["a", "b", "c", "d"], exact=True).collect()}
+    assert [got["a", s].exact for s in ("min", "25%", "median", "max", "mean")] == [str(top), str(top + 2), str(top + 4), str(top + 8), None]
+    assert got["b", "75%"].exact == "1000000000000000000000000.000006" and got["c", "max"].exact is None and got["d", "50%"].value == 4.0
+    even = spark.createDataFrame([(top + i,) for i in range(4)], "a long")
+    assert [r.exact for r in stats.summary_stats(even, ["a"], exact=True).where("statistic = 'median'").collect()] == [f"{top + 1}.5"]
+    a, b = (spark.createDataFrame([(top + i,) for i in r], "a long") for r in (range(0, 40), range(40, 80)))
+    assert drift.ks_statistics(a, b, ["a"]).first().d == 1.0
+    a, b = (spark.createDataFrame([(str(top + i),) for i in r], "a string").selectExpr("cast(a as decimal(38,3)) a") for r in (range(0, 40), range(40, 80)))
+    assert drift.ks_statistics(a, b, ["a"]).first().d == 1.0

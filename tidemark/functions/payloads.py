@@ -25,7 +25,7 @@ def _value_json(c: str) -> Column:
 
 def batches(df: DataFrame, order: str, batch_size: int) -> DataFrame:
     """Adds ``batch`` = (row number in ``order`` - 1) div batch_size and
-    ``_pos``, the row's number. ``order`` must be unique."""
+    ``_pos``, the row's number. Rows with the same ``order`` value follow the hash of their columns."""
     if batch_size < 1:
         raise ValueError("batch_size must be >= 1")
     rn = row_numbers(df, [], order, name="_pos")  # callers pass only the columns they need

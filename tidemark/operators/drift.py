@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.pvalues import chi2_sf_udf, f_sf_udf, ks_pvalue
 from tidemark.operators.ranking import materialize, quantile_aggs, row_numbers, running_totals
-from tidemark.operators.stats import categorical_stats, melt
+from tidemark.operators.stats import categorical_stats, melt, melt_exact, quantiles
 
 REF, NEW = 0, 1
 # Accepted alternatives of the KS test.
@@ -73,14 +73,16 @@ def summary_drift(new_stats: DataFrame, prod_stats: DataFrame, columns: Sequence
 # ---------------------------------------------------------------- shared numeric pass
 
 def side_counts(reference: DataFrame, new: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(feature, value, c_ref, c_new): one scan of each input grouped by
-    distinct value (null kept as a value so drops can be counted), written
-    once. Levene, KS and the medians are all computed from this table."""
-    return _side_counts(stack_datasets(reference, new, columns))
+    """(feature, value, exact, c_ref, c_new): one scan of each input grouped by
+    distinct value (null kept as a value so drops can be counted; bigint and decimal
+    values as they are, in ``exact``), written once. Levene, KS and the medians are all computed from this table."""
+    columns = list(columns)
+    sides = reference.select(*columns).withColumn("ds", F.lit(REF)), new.select(*columns).withColumn("ds", F.lit(NEW))
+    return _side_counts(melt_exact(sides[0].unionByName(sides[1]), columns, keep=["ds"]))
 
 
 def _side_counts(long: DataFrame) -> DataFrame:
-    return materialize(long.groupBy("feature", "value").agg(
+    return materialize(long.groupBy("feature", "value", "exact").agg(
         F.count_if(F.col("ds") == REF).alias("c_ref"), F.count_if(F.col("ds") == NEW).alias("c_new")))
 
 
@@ -90,7 +92,7 @@ def side_summary(counts: DataFrame) -> DataFrame:
     side. One ranking pass (range offsets) and one aggregate; the one-row-
     per-feature result is written once because several tests read it."""
     vals = counts.where(F.col("value").isNotNull())
-    ranked = running_totals(vals, ["feature"], "value", ["c_ref", "c_new"], materialized=True)
+    ranked = running_totals(vals, ["feature"], ["value", "exact"], ["c_ref", "c_new"], materialized=True)
     diff = F.try_divide(F.col("cum_c_ref"), F.col("total_c_ref")) - F.try_divide(F.col("cum_c_new"), F.col("total_c_new"))
     med_r, fin_r = quantile_aggs("value", "c_ref", {"med": 0.5}, "ref_")
     med_n, fin_n = quantile_aggs("value", "c_new", {"med": 0.5}, "new_")
@@ -107,6 +109,20 @@ def side_summary(counts: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- Levene
 
+def _levene_w(t: DataFrame, p_threshold: float) -> DataFrame:
+    """W, p-value and flag from n, sum z and sum z^2 of each side."""
+    nr, nn = F.col("n_ref").cast("double"), F.col("n_new").cast("double")
+    N = nr + nn
+    k = (nr > 0).cast("double") + (nn > 0).cast("double")
+    zbar = (F.col("s1r") + F.col("s1n")) / N
+    num = nr * F.pow(F.try_divide(F.col("s1r"), nr) - zbar, 2) + nn * F.pow(F.try_divide(F.col("s1n"), nn) - zbar, 2)
+    den = (F.col("s2r") - F.try_divide(F.col("s1r") * F.col("s1r"), nr)) + (F.col("s2n") - F.try_divide(F.col("s1n") * F.col("s1n"), nn))
+    w = F.when(k == 2, F.try_divide((N - k) * num, (k - F.lit(1.0)) * den))
+    out = t.select("feature", "n_ref", "n_new", "dropped", w.alias("statistic"), k.alias("k"), N.alias("N"))
+    out = out.withColumn("p_value", f_sf_udf(F.col("statistic"), F.col("k") - F.lit(1.0), F.col("N") - F.col("k")))
+    return _finish(out, "levene", p_threshold)
+
+
 def levene_from(counts: DataFrame, summary: DataFrame, p_threshold: float = 0.05) -> DataFrame:
     """Levene's W from the shared counts and medians: with z = |x - median|,
     one aggregate of sum z and sum z^2 per side (weighted by the counts)
@@ -120,24 +136,33 @@ def levene_from(counts: DataFrame, summary: DataFrame, p_threshold: float = 0.05
         F.sum(F.col("c_ref") * zr).alias("s1r"), F.sum(F.col("c_ref") * zr * zr).alias("s2r"),
         F.sum(F.col("c_new") * zn).alias("s1n"), F.sum(F.col("c_new") * zn * zn).alias("s2n"))
     t = summary.join(sums, "feature", "left")
-    nr, nn = F.col("n_ref").cast("double"), F.col("n_new").cast("double")
-    N = nr + nn
-    k = (nr > 0).cast("double") + (nn > 0).cast("double")
-    zbar = (F.col("s1r") + F.col("s1n")) / N
-    num = nr * F.pow(F.try_divide(F.col("s1r"), nr) - zbar, 2) + nn * F.pow(F.try_divide(F.col("s1n"), nn) - zbar, 2)
-    den = (F.col("s2r") - F.try_divide(F.col("s1r") * F.col("s1r"), nr)) + (F.col("s2n") - F.try_divide(F.col("s1n") * F.col("s1n"), nn))
-    w = F.when(k == 2, F.try_divide((N - k) * num, (k - F.lit(1.0)) * den))
-    out = t.select("feature", "n_ref", "n_new", "dropped", w.alias("statistic"), k.alias("k"), N.alias("N"))
-    out = out.withColumn("p_value", f_sf_udf(F.col("statistic"), F.col("k") - F.lit(1.0), F.col("N") - F.col("k")))
-    return _finish(out, "levene", p_threshold)
+    return _levene_w(t, p_threshold)
 
 
 def levene(reference: DataFrame, new: DataFrame, columns: Sequence[str], p_threshold: float = 0.05) -> DataFrame:
     """Brown-Forsythe / Levene test (center = median) per feature, flagged
-    when p <= p_threshold."""
+    when p <= p_threshold.
+
+    The medians of both periods come from brackets, and one more scan adds up |x - median|
+    and its square by side: three scans that combine map-side, no table is shuffled."""
     _check_p(p_threshold)
-    counts = side_counts(reference, new, columns)
-    return levene_from(counts, side_summary(counts), p_threshold)
+    columns = list(columns)
+    both = reference.select(*columns).withColumn("ds", F.lit(REF)).unionByName(new.select(*columns).withColumn("ds", F.lit(NEW)))
+    med = materialize(quantiles(both, columns, {"med": 0.5}, keep=["ds"]).select("ds", "feature", "count", "null_count", "med"))
+    v = F.col("value")
+    # One row per side and feature: bounded by the number of columns.
+    z = F.abs(v - F.col("med"))
+    sums = (melt(both, columns, keep=["ds"]).where(v.isNotNull()).join(F.broadcast(med.select("ds", "feature", "med")), ["ds", "feature"])
+            .groupBy("ds", "feature").agg(F.sum(z).alias("s1"), F.sum(z * z).alias("s2")))
+    both_sides = med.join(sums, ["ds", "feature"], "left")
+
+    def of(side, column):
+        return F.coalesce(F.max(F.when(F.col("ds") == side, F.col(column))), F.lit(0))
+
+    wide = both_sides.groupBy("feature").agg(
+        of(REF, "count").alias("n_ref"), of(NEW, "count").alias("n_new"), (of(REF, "null_count") + of(NEW, "null_count")).alias("dropped"),
+        *[of(side, c).alias(f"{c}{tag}") for side, tag in ((REF, "r"), (NEW, "n")) for c in ("s1", "s2")])
+    return _levene_w(wide, p_threshold)
 
 
 def _finish(df: DataFrame, test: str, alpha: float | Column) -> DataFrame:
@@ -191,12 +216,10 @@ def ks_by(reference: DataFrame, new: DataFrame, by: str, columns: Sequence[str],
     A group that only one period holds has no statistic; a null group is a group."""
     _check_p(p_threshold)
     columns = list(columns)
-    long = None
-    for ds, df in ((REF, reference), (NEW, new)):
-        part = melt(df.select(by, *columns), columns, keep=[by]).withColumn("ds", F.lit(ds))
-        long = part if long is None else long.unionByName(part)
+    sides = [df.select(by, *columns).withColumn("ds", F.lit(ds)) for ds, df in ((REF, reference), (NEW, new))]
+    long = melt_exact(sides[0].unionByName(sides[1]), columns, keep=[by, "ds"])
     label = F.to_json(F.struct(F.col(by).cast("string").alias("g"), F.col("feature").alias("f")))
-    counts = _side_counts(long.select(label.alias("feature"), "ds", "value"))
+    counts = _side_counts(long.select(label.alias("feature"), "ds", "value", "exact"))
     done = ks_from(side_summary(counts), columns, p_threshold, alternative, True, law)
     group = F.get_json_object("feature", "$.g").cast(reference.schema[by].dataType)
     return done.select(group.alias(by), F.get_json_object("feature", "$.f").alias("feature"), *done.columns[1:])
@@ -308,7 +331,8 @@ def chi2_paired(reference: DataFrame, new: DataFrame, columns: Sequence[str], or
     reference (by ``order``) is paired with row i of the new data, the pairs
     are cross-tabulated per feature and tested for independence. Rows beyond
     the shorter side are unpaired and left out, as in a crosstab on a shared
-    index. Row numbers come from range offsets, not one global window."""
+    index. Row numbers come from range offsets, not one global window; rows with the same
+    ``order`` value follow the hash of the compared columns."""
     _check_p(p_threshold)
     res = chi2_paired_table(reference, new, columns, order, yates)
     res = res.withColumn("n_ref", F.col("N")).withColumn("n_new", F.col("N"))

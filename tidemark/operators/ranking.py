@@ -64,15 +64,15 @@ def _n_buckets(df: DataFrame, buckets: int | None, target_rows: int | None = Non
     return int(max(1, for_size, for_tasks))
 
 
-def range_buckets(df: DataFrame, by: Sequence[str], order: str, buckets: int | None = None,
+def range_buckets(df: DataFrame, by: Sequence[str], order: str | Sequence[str], buckets: int | None = None,
                   target_rows: int | None = None) -> DataFrame:
-    """Add ``_tm_bucket``: the range of ``order`` within ``by`` that a row lies in.
+    """Add ``_tm_bucket``: the range of ``order`` (one column or several) within ``by`` that a row lies in.
 
     Ranges are the partitions of a range partitioning by (by, order), whose
     boundaries Spark samples from the values themselves, so they hold about the
     same number of rows for any type and distribution, long common prefixes of
-    strings included, and no row is compared with all boundaries. Equal values
-    share a range. Written once: everything that reads the ranges later sees the
+    strings included, and no row is compared with all boundaries. Rows equal in all
+    of ``order`` share a range. Written once: everything that reads the ranges later sees the
     stored ids."""
     by = list(by)
     n = _n_buckets(df, buckets, target_rows, by)
@@ -81,7 +81,8 @@ def range_buckets(df: DataFrame, by: Sequence[str], order: str, buckets: int | N
     if by:  # n is for the largest group; all groups together take as many of that size
         sizes = df.groupBy(*by).count().agg(F.sum("count").alias("t"), F.max("count").alias("m")).first()
         n = -(-n * int(sizes["t"]) // int(sizes["m"]))
-    return materialize(df.repartitionByRange(n, *by, order).withColumn(_BUCKET, F.spark_partition_id()))
+    columns = [order] if isinstance(order, str) else list(order)
+    return materialize(df.repartitionByRange(n, *by, *columns).withColumn(_BUCKET, F.spark_partition_id()))
 
 
 def running_totals(df: DataFrame, by: Sequence[str], order: str | Sequence[str], weights: Sequence[str],
@@ -91,8 +92,8 @@ def running_totals(df: DataFrame, by: Sequence[str], order: str | Sequence[str],
     """For every row add ``cum_<w>`` (sum of ``w`` over rows of the same group
     that sort at or before this row) and ``total_<w>`` (sum over the group).
 
-    ``order`` (a column, or several with the first one ranged) should be
-    unique within each group; group values first when it is not.
+    ``order`` (a column or several, all of them ranged) should be unique within
+    each group; group values first when it is not.
     ``bucket_col(n)`` may give an order-preserving range id in [0, n)
     directly (for uniformly spread keys such as hashes) and skips the
     boundary sketch. ``materialized=True`` says ``df`` is already a
@@ -103,7 +104,7 @@ def running_totals(df: DataFrame, by: Sequence[str], order: str | Sequence[str],
     order_cols = [order] if isinstance(order, str) else list(order)
     base = df if materialized else materialize(df)
     if bucket_col is None:
-        staged = range_buckets(base, by, order_cols[0], buckets, target_rows)
+        staged = range_buckets(base, by, order_cols, buckets, target_rows)
     else:
         staged = base.withColumn(_BUCKET, bucket_col(_n_buckets(base, buckets, target_rows, by)))
     keys = by + [_BUCKET]
@@ -175,8 +176,15 @@ def exact_quantiles(long_df: DataFrame, by: Sequence[str], probs: dict[str, floa
 
 
 def row_numbers(df: DataFrame, by: Sequence[str], order: str | Sequence[str], buckets: int | None = None,
-                name: str = "row_number") -> DataFrame:
-    """1-based row number per group by a unique ``order``, computed with
-    range offsets instead of one window over the group."""
-    out = running_totals(df.withColumn("_tm_one", F.lit(1)), by, order, ["_tm_one"], buckets=buckets)
-    return out.withColumnRenamed("cum__tm_one", name).drop("_tm_one", "total__tm_one")
+                name: str = "row_number", target_rows: int | None = None) -> DataFrame:
+    """1-based row number per group by ``order``, computed with range offsets
+    instead of one window over the group.
+
+    Rows with the same order value (nulls among them, which come first) follow the hash of
+    their columns, so the numbers depend on the rows alone; only rows alike in every column
+    may swap. However many share one value, they spread over ranges like any others."""
+    order_cols = [order] if isinstance(order, str) else list(order)
+    base = materialize(df.withColumn("_tm_one", F.lit(1)).withColumn("_tm_tie", F.xxhash64(*df.columns)))
+    base = base.withColumn("_tm_at", F.monotonically_increasing_id())  # of the written rows, so the same in every attempt
+    out = running_totals(base, by, [*order_cols, "_tm_tie", "_tm_at"], ["_tm_one"], buckets=buckets, materialized=True, target_rows=target_rows)
+    return out.withColumnRenamed("cum__tm_one", name).drop("_tm_one", "total__tm_one", "_tm_tie", "_tm_at")

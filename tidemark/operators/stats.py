@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import column_roles
-from tidemark.operators.ranking import materialize, quantile_aggs, running_totals
+from tidemark.operators.ranking import materialize, running_totals
 
 # Statistic labels of a numeric profile, in pandas ``describe``
 # order followed by the two extra rows the reference adds.
@@ -44,56 +44,135 @@ def melt(df: DataFrame, columns: Sequence[str], value_type: str = "double",
     return exploded.select(*keep, f"_tm_kv.{feature}", f"_tm_kv.{value}")
 
 
+def exact_type(df: DataFrame, columns: Sequence[str]) -> str | None:
+    """The type that holds the values of those columns that a double may not (bigint, decimal), if there are any."""
+    kinds = [df.schema[c].dataType for c in columns]
+    decimals = [k for k in kinds if isinstance(k, T.DecimalType)]
+    if decimals:
+        return f"decimal(38,{max(k.scale for k in decimals)})"
+    return "bigint" if any(isinstance(k, T.LongType) for k in kinds) else None
+
+
+def melt_exact(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """``melt`` with ``exact`` beside the double value: the value itself for bigint and decimal
+    columns, else null. (value, exact) sorts as the values do, and tells values apart that are one as doubles."""
+    kind = exact_type(df, columns) or "bigint"
+    items = []
+    for c in columns:
+        own = isinstance(df.schema[c].dataType, (T.LongType, T.DecimalType))
+        items.append(F.struct(F.lit(c).alias("feature"), _clean(df, c).alias("value"),
+                              (F.col(c).try_cast(kind) if own else F.lit(None).cast(kind)).alias("exact")))
+    exploded = df.select(*keep, F.explode(F.array(*items)).alias("_tm_kv"))
+    return exploded.select(*keep, "_tm_kv.feature", "_tm_kv.value", "_tm_kv.exact")
+
+
 # Rank error of the quantile sketch is below 1 / SKETCH_ACCURACY of the rows.
 SKETCH_ACCURACY = 10_000
 
 
+def _ends(probs: dict[str, float], accuracy: int, widen: int) -> list[float]:
+    """Both ends, as shares of the rows, of the bracket of each quantile: twice the sketch's rank
+    error to either side, times ``widen``."""
+    return [min(max(p + side * 2.0 * widen / accuracy, 0.0), 1.0) for p in probs.values() for side in (-1, 1)]
+
+
 def bracketed(df: DataFrame, columns: Sequence[str], probs: dict[str, float], keep: Sequence[str] = (),
-              accuracy: int | None = None) -> tuple[DataFrame, DataFrame]:
+              accuracy: int | None = None, widen: int = 1) -> tuple[DataFrame, DataFrame]:
     """(moments, counts) per (keep..., feature) of numeric columns, from two scans
     that combine map-side and shuffle no table.
 
     The first scan gives count, mean, std, min, max, null_count and, from a
-    mergeable sketch, a bracket of two values around each quantile that holds it for
-    certain (twice the sketch's rank error to both sides). The second counts rows by
-    place: every value inside a bracket for itself, all values between two brackets
-    together, with the smallest and the largest of them (a quantile may need the
-    neighbour of its bracket). The counts therefore have the exact ranks of the
-    few values that the quantiles need. Groups are few: one row each is broadcast."""
+    mergeable sketch, a bracket of two values around each quantile (``_ends``).
+    The second counts rows by place: every value inside a bracket for itself, all values
+    between two brackets together, with the smallest and the largest of them (a quantile may
+    need the neighbour of its bracket). ``_gap`` marks such a row of several values, of which
+    only the largest is known: a rank that falls before it was missed by its bracket.
+    bigint and decimal values are kept beside their doubles (``exact``). Groups are few:
+    one row each is broadcast."""
     by = [*keep, "feature"]
     accuracy = int(accuracy or SKETCH_ACCURACY)
-    long = melt(df, columns, keep=keep)
+    long = melt_exact(df, columns, keep=keep)
     v = F.col("value")
-    ends = [min(max(p + side * 2.0 / accuracy, 0.0), 1.0) for p in probs.values() for side in (-1, 1)]
+    pair = F.when(v.isNotNull(), F.struct("value", "exact"))
+    ends = _ends(probs, accuracy, widen)
     moments = materialize(long.groupBy(*by).agg(
-        F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"),
+        F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(pair).alias("_min"), F.max(pair).alias("_max"),
         F.count_if(v.isNull()).alias("null_count"), F.percentile_approx(v, ends, accuracy).alias("_cuts")))
     cuts = moments.select(*[F.col(c).alias(f"_tm_{c}") for c in by], "_cuts")
     same = None
     for c in by:
         same = long[c].eqNullSafe(cuts[f"_tm_{c}"]) if same is None else same & long[c].eqNullSafe(cuts[f"_tm_{c}"])
     placed = long.where(v.isNotNull()).join(F.broadcast(cuts), same)
-    inside = None
+    inside = F.lit(2.0 * widen >= accuracy)  # brackets as wide as the table: every value for itself
     for i in range(0, len(ends), 2):
-        one = v.between(F.col("_cuts")[i], F.col("_cuts")[i + 1])
-        inside = one if inside is None else inside | one
+        inside = inside | v.between(F.col("_cuts")[i], F.col("_cuts")[i + 1])
     below = sum(((F.col("_cuts")[i] < v).cast("int") for i in range(len(ends))), F.lit(0))
-    counts = (placed.groupBy(*by, below.alias("_place"), F.when(inside, v).alias("_at"))
-              .agg(F.count(F.lit(1)).alias("_n"), F.min(v).alias("_low"), F.max(v).alias("_top")))
-    one, rest = F.lit(1).cast("long"), F.col("_n") - 1
-    ends_of = F.array(F.struct(F.col("_low").alias("value"), one.alias("_cnt")), F.struct(F.col("_top").alias("value"), rest.alias("_cnt")))
-    whole = F.array(F.struct(F.col("_top").alias("value"), F.col("_n").alias("_cnt")))
-    counts = counts.select(*by, F.explode(F.when(F.col("_at").isNull() & (F.col("_n") > 1), ends_of).otherwise(whole)).alias("_e")).select(*by, "_e.*")
+    counts = (placed.groupBy(*by, below.alias("_place"), F.when(inside, pair).alias("_at"))
+              .agg(F.count(F.lit(1)).alias("_n"), F.min(pair).alias("_low"), F.max(pair).alias("_top")))
+
+    def entry(end, n, gap):
+        return F.struct(F.col(f"{end}.value").alias("value"), F.col(f"{end}.exact").alias("exact"), n.alias("_cnt"), gap.alias("_gap"))
+
+    no, n = F.lit(False), F.col("_n")
+    ends_of = F.array(entry("_low", F.lit(1).cast("long"), no), entry("_top", n - 1, n > 2))
+    counts = counts.select(*by, F.explode(F.when(F.col("_at").isNull() & (n > 1), ends_of).otherwise(F.array(entry("_top", n, no)))).alias("_e")).select(*by, "_e.*")
     return moments.drop("_cuts"), materialize(counts)
 
 
-def quantiles(df: DataFrame, columns: Sequence[str], probs: dict[str, float], keep: Sequence[str] = ()) -> DataFrame:
-    """keep..., feature, the moments and one column per exact quantile (linear interpolation)."""
+def _ranked(counts: DataFrame, by: Sequence[str], probs: dict[str, float]) -> DataFrame:
+    """by..., the neighbours ``_lo_<q>`` and ``_hi_<q>`` (value, exact) and the fraction ``_fr_<q>`` of each
+    quantile, and whether a rank was ``_missed``. One row per group, written once."""
+    first, last = F.col("cum__cnt") - F.col("_cnt"), F.col("cum__cnt") - 1
+    pair, aggs, missed = F.struct("value", "exact"), [], F.lit(False)
+    for name, p in probs.items():
+        h = (F.col("total__cnt") - 1) * F.lit(float(p))
+        for tag, rank in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+            here = (first <= rank) & (rank <= last)
+            aggs.append(F.max(F.when(here, pair)).alias(f"_{tag}_{name}"))
+            missed = missed | (here & F.col("_gap") & (rank < last))
+        aggs.append(F.max(h - F.floor(h)).alias(f"_fr_{name}"))
+    ranked = running_totals(counts, by, ["value", "exact"], ["_cnt"], materialized=True)
+    return materialize(ranked.groupBy(*by).agg(*aggs, F.max(missed).alias("_missed")))
+
+
+def _short(x: Column) -> Column:
+    """A number's digits without zeros at the end of its fraction."""
+    text = x.cast("string")
+    return F.when(text.contains("."), F.regexp_replace(text, r"\.?0+$", "")).otherwise(text)
+
+
+def _text(lo: Column, hi: Column, fraction: Column, kind: str) -> Column:
+    """The quantile between two exact neighbours, written out with two more places than they have (null if
+    that passes 38 digits)."""
+    wide = f"decimal(38,{2 if kind == 'bigint' else int(kind.split(',')[1][:-1]) + 2})"
+    between = lo.try_cast(wide) + ((hi - lo).try_cast(wide) * fraction.cast("decimal(3,2)")).try_cast(wide)
+    return F.when((lo == hi) | (fraction == 0), _short(lo)).otherwise(_short(between))
+
+
+def quantiles(df: DataFrame, columns: Sequence[str], probs: dict[str, float], keep: Sequence[str] = (), texts: bool = False) -> DataFrame:
+    """keep..., feature, the moments and one column per exact quantile (linear interpolation).
+
+    Every rank is checked against its bracket; if one was missed, the brackets are made
+    wider and the rows counted again, in the end with every value for itself. With ``texts``,
+    ``<name>__text`` of min, max and the quantiles (quarters) of bigint and decimal columns keeps all digits."""
     by = [*keep, "feature"]
-    moments, counts = bracketed(df, columns, probs, keep)
-    aggs, finals = quantile_aggs("value", "_cnt", probs)
-    found = running_totals(counts, by, "value", ["_cnt"], materialized=True).groupBy(*by).agg(*aggs)
-    found = found.select(*[F.col(c).alias(f"_tm_{c}") for c in by], *[e.alias(n) for n, e in finals.items()])
+    widen = 1
+    while True:
+        moments, counts = bracketed(df, columns, probs, keep, widen=widen)
+        found = _ranked(counts, by, probs)
+        if 2 * widen >= SKETCH_ACCURACY or not found.where("_missed").limit(1).count():
+            break
+        widen *= 16
+
+    def value(name):
+        lo, hi = F.col(f"_lo_{name}.value"), F.col(f"_hi_{name}.value")
+        return (lo + (hi - lo) * F.col(f"_fr_{name}")).alias(name)
+
+    kind = exact_type(df, columns) or "bigint"
+    written = [_text(F.col(f"_lo_{n}.exact"), F.col(f"_hi_{n}.exact"), F.col(f"_fr_{n}"), kind).alias(f"{n}__text") for n in probs] if texts else []
+    found = found.select(*[F.col(c).alias(f"_tm_{c}") for c in by], *[value(n) for n in probs], *written)
+    ends = [_short(F.col(f"_{n}.exact")).alias(f"{n}__text") for n in ("min", "max")] if texts else []
+    moments = moments.select(*by, "count", "mean", "std", F.col("_min.value").alias("min"), F.col("_max.value").alias("max"), "null_count", *ends)
     same = None
     for c in by:
         one = moments[c].eqNullSafe(found[f"_tm_{c}"])
@@ -106,20 +185,25 @@ _STAT_SOURCE = {"count": "count", "mean": "mean", "std": "std", "min": "min", "2
 
 
 def _stats_long(wide: DataFrame, keys: Sequence[str]) -> DataFrame:
-    items = [F.struct(F.lit(stat).alias("statistic"), F.col(f"`{col}`").cast("double").alias("value"))
-             for stat, col in _STAT_SOURCE.items()]
-    return wide.select(*keys, F.explode(F.array(*items)).alias("_r")).select(*keys, "_r.statistic", "_r.value")
+    texts = {c.removesuffix("__text") for c in wide.columns if c.endswith("__text")}
+    items = []
+    for stat, col in _STAT_SOURCE.items():
+        text = [(F.col(f"`{col}__text`") if col in texts else F.lit(None).cast("string")).alias("exact")] if texts else []
+        items.append(F.struct(F.lit(stat).alias("statistic"), F.col(f"`{col}`").cast("double").alias("value"), *text))
+    return wide.select(*keys, F.explode(F.array(*items)).alias("_r")).select(*keys, "_r.*")
 
 
-def summary_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def summary_stats(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = False) -> DataFrame:
     """Numeric profile: (feature, statistic, value) with the statistics in
-    ``NUMERIC_STATISTICS``. ``median`` equals ``50%`` (both exact)."""
+    ``NUMERIC_STATISTICS``. ``median`` equals ``50%`` (both exact). bigint and decimal values
+    are ranked as they are; with ``exact``, that column holds all digits of their min, max
+    and quantiles (a double has 15 to 17), null for other columns and statistics."""
     if columns is None:
         columns = column_roles(df)["numeric"]
     columns = list(columns)
     if not columns:
         raise ValueError("no numeric columns to profile")
-    return _stats_long(quantiles(df, columns, _QUANTILES), ["feature"])
+    return _stats_long(quantiles(df, columns, _QUANTILES, texts=exact), ["feature"])
 
 
 def paired_summary_stats(reference: DataFrame, new: DataFrame,
