@@ -126,3 +126,23 @@ def test_validate_model_reports_a_bad_schema(spark):
         row = scoring.validate_model(bad, model, want, T.DoubleType()).first()
         assert row["schema_ok"] is False and row["passed"] is False and row["n_rows"] is None
     assert scoring.validate_model(df.select("x"), model, want, T.DoubleType()).first()["passed"] is True
+
+
+def test_search_over_families_halves_and_grows(spark):
+    data, _ = ml.index_label(_data(spark, 600), "y")
+    best, trials = ml.search_models(data, "label_idx", ["c"], ["x", "z"], ["id"])
+    rows = trials.collect()
+    assert [sum(r["rung"] == k for r in rows) for k in range(3)] == [12, 6, 3] and {r["family"] for r in rows} == {"forest", "logistic", "boosted"}
+    assert len({r["n_rows"] for r in rows}) == 3 and max(r["f1"] for r in rows) > 0.95
+    for k in (0, 1):  # the kept ones are the better half and go on
+        here = [r for r in rows if r["rung"] == k]
+        worst = min(r["f1"] for r in here if r["kept"])
+        assert all(r["f1"] <= worst for r in here if not r["kept"])
+        assert {(r["family"], r["setting"]) for r in here if r["kept"]} == {(r["family"], r["setting"]) for r in rows if r["rung"] == k + 1}
+    scored = scoring.score(data, best, keep=["label_idx"])
+    assert scored.where("prediction = label_idx").count() > 570
+    _, one = ml.search_models(data, "label_idx", ["c"], ["x", "z"], ["id"], time_limit=0)
+    assert {r["rung"] for r in one.collect()} == {0}
+    three = data.withColumn("k", (F.col("x") % 3).cast("double"))
+    best, _ = ml.search_models(three, "k", [], ["x"], ["id"], families=ml.model_families("k", 3)[-1:], rungs=(1.0,))
+    assert scoring.score(three, best, keep=["k"]).where("prediction = k").count() > 550

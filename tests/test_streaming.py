@@ -34,3 +34,42 @@ def test_preview_and_stop_by_name(spark, sf_small):
     assert streams.find_stream(spark, "tm_other") is not None
     other.stop()
     assert not streams.stop_stream(spark, "tm_missing")
+
+
+def test_progress_of_every_batch_and_of_a_restart(spark, tmp_path):
+    src, out, ckpt, log = (str(tmp_path / n) for n in ("src", "out", "ckpt", "log"))
+    for k in range(5):
+        spark.range(k + 1).coalesce(1).write.mode("append").parquet(src)
+    progress = streams.Progress(spark, log)
+    progress.KEEP = 2
+    schema = spark.read.parquet(src).schema
+
+    def run(name):
+        s = streams.read_stream(spark, src, schema, max_files_per_trigger=1)
+        return streams.run_to_end(streams.write_stream(s, out, ckpt, name=name), timeout=300, progress=progress)
+    first = run("p1")
+    rows = [tuple(r) for r in progress.table().select("name", "batch", "n_rows").orderBy("batch").collect()]
+    assert rows == [("p1", k, k + 1) for k in range(5)]  # as many batches as files
+    spark.range(10).coalesce(1).write.mode("append").parquet(src)
+    second = run("p2")
+    assert first.id == second.id and first.runId != second.runId
+    assert [tuple(r) for r in progress.table().where("name = 'p2'").select("batch", "n_rows").collect()] == [(5, 10)]
+    assert spark.read.parquet(out).count() == 15 + 10 and progress.rows == []
+
+
+def test_await_list_and_stop(spark, tmp_path):
+    src = str(tmp_path / "src")
+    spark.range(4).coalesce(1).write.mode("append").parquet(src)
+    s = streams.read_stream(spark, src, spark.read.parquet(src).schema, max_files_per_trigger=1)
+    q = streams.preview_stream(s, "tm_listed")
+    progress = streams.Progress(spark)
+    assert streams.await_batches(q, progress, 1, timeout=60)
+    assert not streams.await_batches(q, progress, 2, timeout=0.5)
+    spark.range(3).coalesce(1).write.mode("append").parquet(src)
+    assert streams.await_batches(q, progress, 2, timeout=60)
+    row = streams.list_streams(spark).where("name = 'tm_listed'").first()
+    assert row.run_id == str(q.runId) and row.state
+    assert [r.n_rows for r in progress.table().orderBy("batch").collect()] == [4, 3]
+    assert streams.stop_stream(spark, "tm_listed") and not q.isActive
+    assert streams.list_streams(spark).where("name = 'tm_listed'").count() == 0
+    assert not streams.await_batches(q, progress, 3, timeout=60)  # ended: no need to wait

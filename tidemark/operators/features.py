@@ -1,26 +1,52 @@
-"""Keyed feature tables: lookup joins, upserts, one-hot columns, key checks."""
+"""Keyed feature tables: lookup joins, upserts, one-hot columns, key checks.
+
+A feature table may be a plain DataFrame or a named table in the catalog. A named one keeps
+its key and description as table properties and its rows as numbered snapshots (partitions);
+the property ``tidemark.snapshot`` says which one holds. A write adds a snapshot and moves
+the property last, so readers see the old rows or the new ones, and a write that dies leaves
+the table as it was."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.sources.io import _ident
+
+SNAPSHOT = "_tm_snapshot"
+# Properties of a named feature table.
+KEY_PROPERTY, SNAPSHOT_PROPERTY = "tidemark.primary_key", "tidemark.snapshot"
+
 
 @dataclass
 class FeatureLookup:
-    """Features of ``table`` joined on its primary key ``keys``; the spine
-    columns holding the key are ``lookup_key`` (same names when omitted).
-    ``features=None`` means every non-key column of the table."""
+    """Features of ``table`` (a DataFrame, or the name of a feature table) joined on its
+    primary key ``keys``; the spine columns holding the key are ``lookup_key`` (same names
+    when omitted). A named table knows its key. ``features=None`` means every non-key column
+    of the table."""
 
-    table: DataFrame
-    keys: Sequence[str]
+    table: DataFrame | str
+    keys: Sequence[str] | None = None
     lookup_key: Sequence[str] | None = None
     features: Sequence[str] | None = None
     rename: dict[str, str] = field(default_factory=dict)
 
+    def __post_init__(self):
+        if isinstance(self.table, str):
+            spark = SparkSession.getActiveSession()
+            if spark is None:
+                raise ValueError("no active session to find the table in")
+            own = primary_key(spark, self.table)
+            if self.keys is not None and set(self.keys) != set(own):
+                raise ValueError(f"the key of {self.table} is {own}, not {list(self.keys)}")
+            self.keys, self.table = list(self.keys or own), read_features(spark, self.table)
+        elif self.keys is None:
+            raise ValueError("a DataFrame's lookup needs its keys")
+
     def columns(self) -> list[str]:
         if self.features is not None:
             return list(self.features)
@@ -124,6 +150,83 @@ def write_features(df: DataFrame, path: str, keys: Sequence[str], mode: str = "o
         raise ValueError(f"unsupported mode {mode}")
 
 
+# ---------------------------------------------------------------- named feature tables
+
+def _properties(spark: SparkSession, name: str) -> dict[str, str]:
+    """A table's properties (a bounded list)."""
+    return {r["key"]: r["value"] for r in spark.sql(f"show tblproperties {_ident(name)}").collect()}
+
+
+def _held(spark: SparkSession, name: str) -> dict[str, str]:
+    found = _properties(spark, name)
+    if KEY_PROPERTY not in found:
+        raise ValueError(f"{name} is no feature table")
+    return found
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def primary_key(spark: SparkSession, name: str) -> list[str]:
+    return json.loads(_held(spark, name)[KEY_PROPERTY])
+
+
+def create_features(df: DataFrame, name: str, keys: Sequence[str], description: str = "") -> None:
+    """A new feature table ``name`` with its rows, primary key and description. The key is checked
+    first: it must be unique and without nulls. An existing table is an error."""
+    spark, keys = df.sparkSession, list(keys)
+    if spark.catalog.tableExists(_ident(name)):
+        raise ValueError(f"{name} exists")
+    if not keys or set(keys) - set(df.columns):
+        raise ValueError(f"key {keys} is not in the table")
+    if key_violations(df, keys).limit(1).count() > 0:
+        raise ValueError(f"primary key {keys} is not unique or has nulls")
+    df.withColumn(SNAPSHOT, F.lit(1)).write.format("parquet").partitionBy(SNAPSHOT).saveAsTable(name)
+    spark.sql(f"comment on table {name} is {_quoted(description)}")
+    spark.sql(f"alter table {name} set tblproperties ({_quoted(KEY_PROPERTY)} = {_quoted(json.dumps(keys))}, {_quoted(SNAPSHOT_PROPERTY)} = '1')")
+
+
+def read_features(spark: SparkSession, name: str) -> DataFrame:
+    """The rows of the snapshot that holds; the filter prunes the other partitions."""
+    held = _held(spark, name)
+    return spark.table(name).where(F.col(SNAPSHOT) == int(held[SNAPSHOT_PROPERTY])).drop(SNAPSHOT)
+
+
+def describe_features(spark: SparkSession, name: str) -> DataFrame:
+    """One row: table, primary_key (list), description, snapshot, features (list)."""
+    held = _held(spark, name)
+    keys = json.loads(held[KEY_PROPERTY])
+    own = [c for c in spark.table(name).columns if c not in (*keys, SNAPSHOT)]
+    row = (name, keys, spark.catalog.getTable(name).description or "", int(held[SNAPSHOT_PROPERTY]), own)
+    return spark.createDataFrame([row], "table string, primary_key array<string>, description string, snapshot int, features array<string>")
+
+
+def update_features(df: DataFrame, name: str, mode: str = "merge") -> int:
+    """Write ``df`` into a named feature table and return the new snapshot's number: "merge"
+    upserts by the table's key, "overwrite" replaces all rows. One writer at a time."""
+    spark, held = df.sparkSession, _held(df.sparkSession, name)
+    keys, now = json.loads(held[KEY_PROPERTY]), int(held[SNAPSHOT_PROPERTY])
+    current = read_features(spark, name)
+    if mode == "merge":
+        rows = merge_features(current, df, keys)
+    elif mode == "overwrite":
+        if set(df.columns) != set(current.columns):
+            raise ValueError(f"columns differ: {sorted(set(df.columns) ^ set(current.columns))}")
+        if key_violations(df, keys).limit(1).count() > 0:
+            raise ValueError(f"primary key {keys} is not unique or has nulls")
+        rows = df
+    else:
+        raise ValueError(f"unsupported mode {mode}")
+    # The snapshot's folder is written over: what a write that died left there must not be added to.
+    place = spark.sql(f"describe formatted {name}").where("col_name = 'Location'").first()["data_type"]
+    rows.select(*current.columns).write.mode("overwrite").parquet(f"{place}/{SNAPSHOT}={now + 1}")
+    spark.sql(f"alter table {name} add if not exists partition ({SNAPSHOT} = {now + 1})")
+    spark.catalog.refreshTable(name)
+    spark.sql(f"alter table {name} set tblproperties ({_quoted(SNAPSHOT_PROPERTY)} = '{now + 1}')")
+    return now + 1
+
+
 def discover_levels(df: DataFrame, columns: Sequence[str], max_levels: int) -> dict[str, list]:
     """Sorted distinct non-null levels of each column, found in one grouped job.
     A column with more than ``max_levels`` is an error, so that it can't explode

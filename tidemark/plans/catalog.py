@@ -1394,3 +1394,109 @@ def q_stream_events(spark, sf_dir):
     out, ckpt = scratch_path(spark, "events-out"), scratch_path(spark, "events-ckpt")
     streams.run_to_end(streams.write_stream(parsed, out, ckpt, name=None))
     return written_out(spark.read.parquet(out), out, ckpt)
+
+
+# ------------------------------------------------------------------ named feature tables, versions, progress, search
+
+def _database(spark) -> str:
+    """A database of this call's own, in the shared folder."""
+    location = scratch_path(spark, "warehouse")
+    name = "tidemark_" + location[-12:]
+    io.ensure_database(spark, name, location=location)
+    return name
+
+
+@query("feature_table", """
+with f as (select c_custkey, case when c_mktsegment = 'BUILDING' then c_acctbal + 100 else c_acctbal end as c_acctbal, c_mktsegment from customer)
+select o_orderkey, o_custkey, round(c_acctbal, 2) as c_acctbal, c_mktsegment, o_orderstatus, 'c_custkey' as primary_key, 'Customer''s balance' as description,
+  2 as snapshot from orders left join f on o_custkey = c_custkey""")
+def q_feature_table(spark, sf_dir):
+    """A feature table by name: created with key and description, updated by key, looked up from its name alone."""
+    db = _database(spark)
+    name = f"{db}.customer_features"
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    features.create_features(cust, name, ["c_custkey"], "Customer's balance")
+    features.update_features(cust.where("c_mktsegment = 'BUILDING'").withColumn("c_acctbal", F.col("c_acctbal") + 100), name)
+    spine = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    rows = features.training_set(spine, [features.FeatureLookup(name, lookup_key=["o_custkey"])], label="o_orderstatus")
+    about = ranking_materialize(features.describe_features(spark, name))
+    out = written_out(rows.withColumn("c_acctbal", F.round("c_acctbal", 2)).select(
+        "*", about.select(F.concat_ws(",", "primary_key")).scalar().alias("primary_key"), about.select("description").scalar().alias("description"),
+        about.select("snapshot").scalar().alias("snapshot")))
+    spark.sql(f"drop database {db} cascade")
+    return out
+
+
+@query("stored_versions", f"""
+select v as version, v = max(v) over () as latest from (select distinct ingest_version as v from {_VERSIONED_SQL})""")
+def q_stored_versions(spark, sf_dir):
+    """Versions of a written table from the catalog's partitions, and the same from its files' names."""
+    db = _database(spark)
+    name = f"{db}.orders"
+    io.save_table(_versioned_orders(spark, sf_dir), name, partition_by=[io.VERSION_COL])
+    listed = io.table_versions(spark, name)
+    place = spark.sql(f"describe formatted {name}").where("col_name = 'Location'").first()["data_type"]
+    named = io.path_versions(spark, place)
+    out = written_out(listed.join(named, "version").select("version", (F.col("version") == listed.agg(F.max("version")).scalar()).alias("latest")))
+    spark.sql(f"drop database {db} cascade")
+    return out
+
+
+@query("exact_stats", """
+with x as (select 4611686018427387904 + o_orderkey as v from orders),
+r as (select v, row_number() over (order by v) - 1 as k, count(*) over () as n from x),
+q as (select s, p, (max(n) - 1) * p as h, max(case when k = floor((n - 1) * p) then v end) as lo, max(case when k = ceil((n - 1) * p) then v end) as hi
+      from r, (values ('min', 0.0), ('25%', 0.25), ('50%', 0.5), ('75%', 0.75), ('median', 0.5), ('max', 1.0)) t(s, p) group by s, p)
+select s as statistic, case when lo = hi or h = floor(h) then lo::varchar
+  else regexp_replace((lo::decimal(38,2) + ((hi - lo)::decimal(18,2) * (h - floor(h))::decimal(3,2))::decimal(38,2))::varchar, '\\.?0+$', '') end as exact from q""")
+def q_exact_stats(spark, sf_dir):
+    """A profile of whole numbers above 2**53, digit by digit."""
+    big = table(spark, sf_dir, "orders").select((F.lit(4611686018427387904) + F.col("o_orderkey")).alias("v"))
+    return stats.summary_stats(big, ["v"], exact=True).where(F.col("exact").isNotNull()).select("statistic", "exact")
+
+
+def _dealt(spark, frames, path):
+    """One file per frame, in order."""
+    for df in frames:
+        df.coalesce(1).write.mode("append").parquet(path)
+
+
+@query("stream_progress", f"""
+select case when y < 1999 then 1 else 2 end as run, (y - {YEARS[0]})::bigint as batch, count(*) as n_rows
+from (select least(greatest(year(o_orderdate), {YEARS[0]}), {YEARS[-1]}) as y from orders) group by y""")
+def q_stream_progress(spark, sf_dir):
+    """Seven files, one per micro-batch: a stream reads four, stops, and goes on with the rest after a restart."""
+    src, out, ckpt = (scratch_path(spark, f"progress-{n}") for n in ("src", "out", "ckpt"))
+    years, progress = list(order_years(spark, sf_dir).values()), streams.Progress(spark)
+    parts = []
+    for run, some in ((1, years[:4]), (2, years[4:])):
+        _dealt(spark, some, src)
+        s = streams.read_stream(spark, src, years[0].schema, max_files_per_trigger=1)
+        q = streams.run_to_end(streams.write_stream(s, out, ckpt, name=f"progress-{run}"), progress=progress)
+        parts.append((run, str(q.runId)))
+    number = F.when(F.col("run_id") == parts[0][1], parts[0][0]).otherwise(parts[1][0])
+    return written_out(progress.table().select(number.alias("run"), "batch", "n_rows"), src, out, ckpt)
+
+
+@query("stream_stage", f"with {_TREE_SQL} select l_orderkey, l_linenumber, round(prediction, 6) as prediction from t_out")
+def q_stream_stage(spark, sf_dir):
+    """The stored model of the production stage over a stream of many files, two per micro-batch."""
+    src, out, ckpt = (scratch_path(spark, f"stage-{n}") for n in ("src", "out", "ckpt"))
+    li = table(spark, sf_dir, "lineitem").select(*LI_KEYS, *TREE_NUM)
+    li.repartition(6).write.parquet(src)
+    model = registry.load_stage(spark, *_tree_run(spark, sf_dir), "kept")
+    s = model.score(streams.read_stream(spark, src, li.schema, max_files_per_trigger=2), keep=LI_KEYS)
+    streams.run_to_end(streams.write_stream(s, out, ckpt))
+    return written_out(spark.read.parquet(out).withColumn("prediction", F.round("prediction", 6)), src, out, ckpt)
+
+
+@query("search_models", f"""
+with d as (select ({hash_sql(LI_KEYS)} - 0.2) / 0.8 as u from lineitem)
+select rung, n_settings, n_kept, (select count(*) from d where u >= 0 and u < part) as n_rows, true as best_above_nine_tenths
+from (values (0, 12::bigint, 6::bigint, 0.25), (1, 6, 3, 0.5), (2, 3, 2, 1.0)) r(rung, n_settings, n_kept, part)""")
+def q_search_models(spark, sf_dir):
+    """Successive halving over three families: rows and settings of each rung, and that the best one learned."""
+    data = tree_table(spark, sf_dir).select(*LI_KEYS, *TREE_NUM, (F.col("kept") > 22).cast("double").alias("large"))
+    _, trials = ml.search_models(data, "large", [], TREE_NUM, LI_KEYS)
+    return trials.groupBy("rung").agg(F.count(F.lit(1)).alias("n_settings"), F.count_if("kept").alias("n_kept"), F.first("n_rows").alias("n_rows"),
+                                      (F.max("f1") > 0.9).alias("best_above_nine_tenths"))

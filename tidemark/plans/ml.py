@@ -14,7 +14,7 @@ from collections.abc import Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
+from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -256,6 +256,63 @@ def search_classifier(train: DataFrame, label: str, categorical: Sequence[str],
     return best_model, train.sparkSession.createDataFrame(results, schema)
 
 
+def model_families(label: str, n_classes: int = 2, seed: int = 42) -> list[tuple[str, str, object]]:
+    """(family, setting, estimator) of the search over families: forests, logistic regressions and boosted
+    trees (one against the rest for more than two classes), four settings each."""
+    found: list[tuple[str, str, object]] = []
+    for trees, depth in ((20, 4), (20, 7), (50, 4), (50, 7)):
+        found.append(("forest", f"trees={trees},depth={depth}", rf_classifier(label, trees, depth, seed)))
+    for reg, mix in ((0.0, 0.0), (0.01, 0.0), (0.01, 1.0), (0.1, 0.5)):
+        found.append(("logistic", f"reg={reg},mix={mix}", LogisticRegression(labelCol=label, featuresCol=FEATURES, regParam=reg, elasticNetParam=mix, maxIter=50)))
+    for rounds, depth in ((5, 2), (5, 4), (15, 2), (15, 4)):
+        boosted = GBTClassifier(labelCol=label, featuresCol=FEATURES, maxIter=rounds, maxDepth=depth, seed=seed, maxMemoryInMB=TREE_MEMORY_MB, cacheNodeIds=True)
+        found.append(("boosted", f"rounds={rounds},depth={depth}",
+                      boosted if n_classes == 2 else OneVsRest(classifier=boosted, labelCol=label, featuresCol=FEATURES)))
+    return found
+
+
+def search_models(train: DataFrame, label: str, categorical: Sequence[str], numeric: Sequence[str], keys: Sequence[str], families=None,
+                  rungs: Sequence[float] = (0.25, 0.5, 1.0), test_fraction: float = 0.2, parallelism: int = 4, seed: int = 42,
+                  time_limit: float | None = None, partitions: int | None = None):
+    """Search over model families by successive halving, ranked by F1 on rows held out by key hash.
+
+    Every setting is fitted on a hash sample of the training rows (the first share of
+    ``rungs``), the better half on the next, larger sample, which holds the first, and so
+    on. Preprocessing is fitted once per rung, on its rows. With ``time_limit`` (seconds) no rung
+    starts once the time is spent. Equal scores go to the earlier setting. Returns (best
+    PipelineModel, trials: rung, family, setting, n_rows, f1, kept)."""
+    import time
+    from concurrent.futures import ThreadPoolExecutor
+
+    n_classes = train.select(label).distinct().count()
+    settings = list(families if families is not None else model_families(label, n_classes, seed))
+    ev = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction", metricName="f1")
+    share = splits.hash_unit(keys, seed)
+    # the held-out share lies at the low end; samples grow from there upwards
+    data = stable_input(train.withColumn("_at", (share - test_fraction) / (1 - test_fraction)), keys, partitions)
+    start, trials, best = time.monotonic(), [], None
+    for rung, part in enumerate(rungs):
+        if rung and time_limit is not None and time.monotonic() - start >= time_limit:
+            break
+        rows = data.where((F.col("_at") >= 0) & (F.col("_at") < part))
+        n_rows = rows.count()
+        steps = Pipeline(stages=preprocessing_stages(categorical, numeric)).fit(rows)
+        ready, test = (steps.transform(d).select(label, FEATURES).checkpoint(eager=True) for d in (rows, data.where(F.col("_at") < 0)))
+
+        def fitted(item, ready=ready, test=test):
+            model = item[2].fit(ready)
+            return model, float(ev.evaluate(model.transform(test)))
+
+        with ThreadPoolExecutor(max(1, parallelism)) as pool:  # each thread only submits Spark jobs
+            scored = list(pool.map(fitted, settings))
+        order = sorted(range(len(settings)), key=lambda i: -scored[i][1])
+        keep = order[:max(1, -(-len(order) // 2))]
+        trials += [(rung, settings[i][0], settings[i][1], n_rows, scored[i][1], i in keep) for i in range(len(settings))]
+        best = PipelineModel(stages=[*steps.stages, scored[order[0]][0]])
+        settings = [settings[i] for i in sorted(keep)]
+    return best, train.sparkSession.createDataFrame(trials, "rung int, family string, setting string, n_rows long, f1 double, kept boolean")
+
+
 def train_run(df: DataFrame, target: str, categorical: Sequence[str], numeric: Sequence[str], keys: Sequence[str],
               run_id: str, num_trees: int = 500, max_depth: int = 5, test_fraction: float = 0.2, seed: int = 42,
               partitions: int | None = None, estimator=None, store: str | None = None, experiment: str = "default", data_path: str | None = None,

@@ -103,6 +103,20 @@ def latest_version(df: DataFrame) -> DataFrame:
     return df.agg(F.max(VERSION_COL).alias("latest_version"))
 
 
+def table_versions(spark: SparkSession, name: str) -> DataFrame:
+    """(version) of a catalog table partitioned by ``ingest_version``, from the catalog's list of
+    partitions: no file is opened."""
+    found = spark.sql(f"show partitions {_ident(name)}")
+    return found.select(F.regexp_extract("partition", rf"(?:^|/){VERSION_COL}=(\d+)(?:/|$)", 1).cast("int").alias("version")).distinct()
+
+
+def path_versions(spark: SparkSession, path: str) -> DataFrame:
+    """(version) of a folder partitioned by ``ingest_version``, from the names of its files: they are
+    listed by Spark, and none is opened."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    return files.select(F.col(VERSION_COL).cast("int").alias("version")).distinct()
+
+
 def read_as_of(df: DataFrame, version: int, period_col: str | None = None) -> DataFrame:
     """The table as it was after ``version`` was written. With ``period_col`` each
     period shows its newest version up to then (a period written again replaces

@@ -2,7 +2,10 @@
 
 A stream over a table is a file source with a fixed schema (append-only, so
 there is nothing to ignore-changes). Sinks are Parquet with a checkpoint in
-the shared folder, which gives exactly-once output across restarts."""
+the shared folder, which gives exactly-once output across restarts.
+
+``Progress`` keeps one row for each micro-batch of the queries it is shown. It polls the
+queries' own reports; a listener would need a callback port into the driver."""
 
 from __future__ import annotations
 
@@ -10,6 +13,7 @@ import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -43,10 +47,80 @@ def write_stream(df: DataFrame, path: str, checkpoint: str, name: str | None = N
     return w.start(path)
 
 
-def run_to_end(query: StreamingQuery, timeout: float | None = None) -> StreamingQuery:
+PROGRESS = "name string, query_id string, run_id string, batch long, at string, n_rows long, rows_per_second double"
+
+
+class Progress:
+    """Micro-batches of streaming queries, as a table.
+
+    ``watch`` takes over what a query has reported since the last call; a query keeps its last
+    hundred reports, so call it more often than that many batches pass. With ``path``, rows are
+    appended there whenever KEEP of them are held, so the driver holds no more."""
+
+    KEEP = 1000
+
+    def __init__(self, spark: SparkSession, path: str | None = None):
+        self.spark, self.path = spark, path
+        self.rows: list[tuple] = []
+        self.seen: dict[str, int] = {}  # last batch of each run
+
+    def watch(self, query: StreamingQuery) -> int:
+        """Number of batches of this run that have been reported."""
+        run = str(query.runId)
+        for p in query.recentProgress:
+            if p["batchId"] > self.seen.get(run, -1) and p["numInputRows"] > 0:
+                self.seen[run] = p["batchId"]
+                self.rows.append((query.name, str(query.id), run, int(p["batchId"]), p["timestamp"], int(p["numInputRows"]), float(p["processedRowsPerSecond"])))
+        if self.path and len(self.rows) >= self.KEEP:
+            self.flush()
+        return sum(r[2] == run for r in self.rows) if not self.path else self.table().where(F.col("run_id") == run).count()
+
+    def flush(self) -> None:
+        if self.path and self.rows:
+            self.spark.createDataFrame(self.rows, PROGRESS).coalesce(1).write.mode("append").parquet(self.path)
+            self.rows = []
+
+    def table(self) -> DataFrame:
+        """One row per batch, in ``PROGRESS`` columns."""
+        self.flush()
+        if self.path and self.seen:
+            return self.spark.read.schema(PROGRESS).parquet(self.path)
+        return self.spark.createDataFrame(self.rows, PROGRESS)
+
+
+def await_batches(query: StreamingQuery, progress: Progress, n: int, timeout: float = 20.0, poll: float = 0.2) -> bool:
+    """Wait until a run has reported ``n`` batches; False if it ends or the time passes before."""
+    deadline = time.monotonic() + timeout
+    while True:
+        active = query.isActive
+        if progress.watch(query) >= n:
+            return True
+        if not active or time.monotonic() >= deadline:
+            return False
+        time.sleep(poll)
+
+
+def list_streams(spark: SparkSession) -> DataFrame:
+    """The active queries: name, query_id, run_id, state (the query's own message), last_batch, n_rows of it."""
+    rows = []
+    for q in spark.streams.active:  # few: one per running query
+        last = q.lastProgress
+        rows.append((q.name, str(q.id), str(q.runId), q.status["message"], int(last["batchId"]) if last else None, int(last["numInputRows"]) if last else None))
+    return spark.createDataFrame(rows, "name string, query_id string, run_id string, state string, last_batch long, n_rows long")
+
+
+def run_to_end(query: StreamingQuery, timeout: float | None = None, progress: Progress | None = None) -> StreamingQuery:
     """Wait for an ``availableNow`` query to finish. With ``timeout`` (seconds) it
     is stopped and an error raised if it takes longer; without, a healthy query
-    may take as long as it needs (a failed one raises at once)."""
+    may take as long as it needs (a failed one raises at once). Its batches go to ``progress``."""
+    if progress is not None:
+        end = None if timeout is None else time.monotonic() + timeout
+        while not query.awaitTermination(0.2):
+            progress.watch(query)
+            if end is not None and time.monotonic() >= end:
+                break
+        progress.watch(query)
+        timeout = None if timeout is None else max(0.0, end - time.monotonic())
     if timeout is None:
         query.awaitTermination()
     elif not query.awaitTermination(timeout):
