@@ -1290,7 +1290,8 @@ def q_forest_accuracy(spark, sf_dir):
     """A forest on a label that depends on its features must do better than the largest class."""
     size = F.when(F.col("kept") > 22, "large").otherwise("small")
     data = tree_table(spark, sf_dir).select(*LI_KEYS, *TREE_NUM, size.alias("size"))
-    _, _, predicted, row = ml.train_classifier(data, "size", [], TREE_NUM, ml.rf_classifier("label_idx", num_trees=20, max_depth=6), keys=LI_KEYS)
+    _, _, predicted, row = ml.train_classifier(data, "size", [], TREE_NUM, ml.rf_classifier("label_idx", num_trees=20, max_depth=6),
+                                                keys=[*LI_KEYS, *TREE_NUM])  # lines repeat their numbers
     share = predicted.groupBy("size").count().agg((F.max("count") / F.sum("count")).alias("s")).select("s").scalar()
     return row.select("n", F.round(share, 6).alias("majority_share"), (F.col("accuracy") > share + 0.1).alias("beats_majority"),
                       (F.col("f1_weighted") > 0.9).alias("f1_above_nine_tenths"))
@@ -1500,3 +1501,81 @@ def q_search_models(spark, sf_dir):
     _, trials = ml.search_models(data, "large", [], TREE_NUM, LI_KEYS)
     return trials.groupBy("rung").agg(F.count(F.lit(1)).alias("n_settings"), F.count_if("kept").alias("n_kept"), F.first("n_rows").alias("n_rows"),
                                       (F.max("f1") > 0.9).alias("best_above_nine_tenths"))
+
+
+# ------------------------------------------------------------------ values of learned models, previews, inferred schemas
+
+_KEYS_SOURCE = "(select o_orderkey, c_nationkey, o_orderpriority, c_nationkey * 100 + case when o_orderpriority = '1-URGENT' then 40 else 0 end as cost from orders join customer on o_custkey = c_custkey)"
+
+
+@query("score_keys", f"""
+with {S.regression_tree(_KEYS_SOURCE, ["c_nationkey"], "cost", f"{hash_sql(['o_orderkey'])} >= 0.2", 3)}
+select o_orderkey, round(prediction, 6) as prediction from t_out""")
+def q_score_keys(spark, sf_dir):
+    """Score orders from their keys: the model's feature is looked up in the customer table; values against SQL's own tree."""
+    cust = features.FeatureLookup(table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").cast("double").alias("c_nationkey")), ["c_custkey"], ["o_custkey"])
+    spine = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    cost = F.col("c_nationkey") * 100 + F.when(F.col("o_orderpriority") == "1-URGENT", 40).otherwise(0)
+    data = features.training_set(spine, [cust]).where(F.col("c_nationkey").isNotNull()).withColumn("cost", cost.cast("double"))
+    split = ml.stable_input(splits.hash_split(data, ["o_orderkey"], 0.2, 42), ["o_orderkey"])
+    model = ml.build_pipeline([], ["c_nationkey"], ml.tree_regressor("cost", max_depth=3)).fit(split.where("split = 'train'"))
+    known = spine.join(data.select("o_orderkey"), "o_orderkey", "left_semi")
+    return scoring.score_batch(known, [cust], model, keep=["o_orderkey"]).withColumn("prediction", F.round("prediction", 6))
+
+
+# For two classes the split that lowers the Gini impurity most is the one that lowers the variance of the 0/1 label
+# most. Two leaves of one node that name the same class are one leaf.
+@query("tree_proba", f"""
+with {S.regression_tree("lineitem", TREE_NUM, f"({KEPT} > 22)::int", _FIT_SQL, 2)},
+up as (select node // 2 as node, avg(_y) as mean from t_r2 where _fit group by node // 2),
+one as (select node // 2 as node, count(distinct prediction > 0.5) = 1 as merged from t_leaf group by node // 2),
+p as (select l_orderkey, l_linenumber, case when merged then mean else prediction end as p from t_out o join up on up.node = o.node // 2 join one on one.node = o.node // 2)
+select l_orderkey, l_linenumber, round(1 - p, 6) as prob_no, round(p, 6) as prob_yes, case when p > 0.5 then 'yes' else 'no' end as prediction from p""")
+def q_tree_proba(spark, sf_dir):
+    """Class probabilities and label of a classification tree for every row, value by value."""
+    data = tree_table(spark, sf_dir).withColumn("large", F.when(F.col("kept") > 22, "yes").otherwise("no"))
+    indexed, indexer = ml.index_label(data, "large")
+    split = ml.stable_input(splits.hash_split(indexed, LI_KEYS, 0.2, 42), LI_KEYS)
+    tree = ml.tree_classifier("label_idx", max_depth=2).setMaxBins(64)
+    model = ml.build_pipeline([], TREE_NUM, tree).fit(split.where("split = 'train'"))
+    out = scoring.score_proba(indexed, model, indexer.labels, keep=LI_KEYS)
+    return out.select(*LI_KEYS, F.round("prob_no", 6).alias("prob_no"), F.round("prob_yes", 6).alias("prob_yes"), "prediction")
+
+
+@query("forest_regression", f"""
+select count(*) as n_rows, count(*) filter (where not {_FIT_SQL}) as n_test, true as explains_nine_tenths, true as better_than_the_mean from lineitem""")
+def q_forest_regression(spark, sf_dir):
+    """A regression forest on a target that follows from its features: most of the variance, and errors far below those of the mean."""
+    data = tree_table(spark, sf_dir)
+    _, _, record = ml.train_run(data, "kept", [], TREE_NUM, LI_KEYS, "forest", num_trees=50, max_depth=6)
+    spread = data.agg(F.stddev_pop("kept").alias("s")).select("s").scalar()
+    return record.select("n_rows", "n_test", (F.col("r2_test") > 0.9).alias("explains_nine_tenths"), (F.col("rmse") < spread / 3).alias("better_than_the_mean"))
+
+
+@query("read_csv_inferred", "select c_custkey, c_name, c_nationkey, round(c_acctbal, 2) as c_acctbal, c_mktsegment, 'bigint,string,bigint,double,string' as types from customer")
+def q_read_csv_inferred(spark, sf_dir):
+    """A CSV file with a header whose column types Spark infers."""
+    path = scratch_path(spark, "csv")
+    io.write_csv(table(spark, sf_dir, "customer"), path)
+    df = io.read_csv(spark, path)
+    kinds = ["bigint" if t == "int" else t for _, t in df.dtypes]  # whole numbers by the size that the file needs
+    out = df.select(F.col("c_custkey").cast("long").alias("c_custkey"), "c_name", F.col("c_nationkey").cast("long").alias("c_nationkey"),
+                    F.round("c_acctbal", 2).alias("c_acctbal"), "c_mktsegment", F.lit(",".join(kinds)).alias("types"))
+    return written_out(out, path)
+
+
+@query("stream_preview", """
+select event_type, count(*) as n, round(sum(value), 4) as total, true as listed, true as stopped from events group by event_type""")
+def q_stream_preview(spark, sf_dir):
+    """A running total by event type kept in memory, awaited, listed, read as a table and stopped by name."""
+    name = "tidemark_preview_" + scratch_path(spark, "p")[-12:]
+    ev = table(spark, sf_dir, "events")
+    src = streams.read_stream(spark, f"{sf_dir}/events*.parquet", ev.schema, drop=["props"])
+    q = streams.preview_stream(src.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total")), name, mode="complete")
+    found = streams.await_stream(spark, name, timeout=60, poll=0.2)
+    q.processAllAvailable()
+    listed = streams.list_streams(spark).where(F.col("name") == name).count() == 1 and found is not None
+    rows = ranking_materialize(spark.table(name))
+    stopped = streams.stop_stream(spark, name) and streams.find_stream(spark, name) is None
+    spark.catalog.dropTempView(name)
+    return rows.select("event_type", "n", "total", F.lit(listed).alias("listed"), F.lit(stopped).alias("stopped"))

@@ -131,10 +131,11 @@ def run_to_end(query: StreamingQuery, timeout: float | None = None, progress: Pr
     return query
 
 
-def preview_stream(df: DataFrame, name: str) -> StreamingQuery:
-    """In-memory sink queryable as table ``name`` (tests and notebooks only:
-    the memory sink keeps everything on the driver)."""
-    return df.writeStream.format("memory").queryName(name).outputMode("append").start()
+def preview_stream(df: DataFrame, name: str, mode: str = "append") -> StreamingQuery:
+    """In-memory sink queryable as table ``name``. The memory sink keeps its rows on the
+    driver: append mode is for tests and notebooks; "complete" holds the present result of an
+    aggregate, as many rows as it has groups."""
+    return df.writeStream.format("memory").queryName(name).outputMode(mode).start()
 
 
 def find_stream(spark: SparkSession, name: str) -> StreamingQuery | None:
