@@ -1,3 +1,7 @@
+import re
+
+import numpy as np
+
 from tidemark.llm import paragraphs
 
 
@@ -110,3 +114,101 @@ def test_keys_of_similar_short_lines_meet(words):
             word = np.concatenate([one, two])
             line, key = paragraphs._keys(word, np.array([0, len(one)]), np.array([len(one), len(word)]), 18, 80)
             assert set(key[line == 0]) & set(key[line == 1])
+
+
+def test_needed_documents_against_plain_sets():
+    import random
+
+    import numpy as np
+    r = random.Random(4)
+    for _ in range(300):
+        runs = [(s, s + r.randint(1, 12), r.randint(0, 5)) for s in (r.randint(0, 40) for _ in range(r.randint(0, 12)))]
+        covered, want = [], 0
+        for low in sorted({x[2] for x in runs}):
+            # neighbouring spans that touch are one
+            merged = []
+            for s, e in sorted(covered):
+                if merged and s <= merged[-1][1]:
+                    merged[-1][1] = max(e, merged[-1][1])
+                else:
+                    merged.append([s, e])
+            mine = [(s, e) for s, e, w in runs if w == low]
+            want += any(not any(a <= s and e <= b for a, b in merged) for s, e in mine)
+            covered += mine
+        a = np.array(runs, np.int64).reshape(-1, 3)
+        assert paragraphs._needed(a[:, 0], a[:, 1], a[:, 2]) == want
+
+
+def plain(rows):
+    """Exact lines and shared runs of 50 words or more, by comparing every document with every smaller one."""
+    words = {i: [(m.start(), m.end(), m.group()) for m in re.finditer(r"[^ \t\n\r\f\v]+", t.lower())] for i, t in rows}
+    lines = {}
+    for i, t in rows:
+        at = 0
+        for line in t.split("\n"):
+            ws = [w for w in words[i] if at <= w[0] < at + len(line)]
+            if ws:
+                lines.setdefault(i, []).append((ws[0][0], ws[-1][1], tuple(w[2] for w in ws)))
+            at += len(line) + 1
+    out = {}
+    for i in words:
+        runs = []
+        for a, b, ws in lines.get(i, []):
+            low = min(j for j in lines if any(x[2] == ws for x in lines[j]))
+            if low < i:
+                runs.append((a, b, low))
+        for j in sorted(k for k in words if k < i):
+            mine, theirs = [w[2] for w in words[i]], [w[2] for w in words[j]]
+            before = [0] * (len(theirs) + 1)
+            for p, w in enumerate(mine):
+                now = [0] * (len(theirs) + 1)
+                for q, v in enumerate(theirs):
+                    if w == v:
+                        now[q + 1] = before[q] + 1
+                        last = p + 1 == len(mine) or q + 1 == len(theirs) or mine[p + 1] != theirs[q + 1]
+                        if last and now[q + 1] >= 50:
+                            runs.append((words[i][p - now[q + 1] + 1][0], words[i][p][1], j))
+                before = now
+        out[i] = runs
+    return out
+
+
+def test_equals_plain_version_for_any_partitions(documents, words, monkeypatch):
+    """Spans, links and classes of lines and passages, with several documents per passage and per line."""
+    passages = [words.text(n) for n in (50, 55, 70, 90)]
+    lines = [words.text(n) for n in (2, 6, 12, 30)]
+    rows = []
+    for i in range(40):
+        parts = []
+        for _ in range(words.random.randint(1, 4)):
+            kind = words.random.random()
+            if kind < 0.4:
+                parts.append(words.text(words.random.randint(5, 30)) + " " + words.random.choice(passages).upper() + " " + words.text(words.random.randint(5, 30)))
+            elif kind < 0.7:
+                parts.append(words.random.choice(lines))
+            else:
+                parts.append(words.text(words.random.randint(5, 40)))
+        rows.append((i, "\n".join(parts)))
+    want = {}
+    links, spans = {}, {}
+    for i, runs in plain(rows).items():
+        merged = []
+        for a, b, _ in sorted(runs):
+            if merged and a <= merged[-1][1]:
+                merged[-1][1] = max(b, merged[-1][1])
+            else:
+                merged.append([a, b])
+        want[i] = [tuple(m) for m in merged]
+        a = np.array(runs, np.int64).reshape(-1, 3)
+        links[i], spans[i] = paragraphs._needed(a[:, 0], a[:, 1], a[:, 2]), {x[2] for x in runs}
+    classes = {i: i for i in want}
+    for i in sorted(want):
+        for j in spans[i]:
+            old, new = max(classes[i], classes[j]), min(classes[i], classes[j])
+            classes = {k: new if c == old else c for k, c in classes.items()}
+    for n, size in ((1, 48 << 20), (7, 2000)):
+        monkeypatch.setattr(paragraphs, "PART_BYTES", size)
+        got = {r.doc_id: r for r in paragraphs.repeats(documents(rows).repartition(n)).collect()}
+        assert {i: [tuple(s) for s in r.spans] for i, r in got.items()} == want
+        assert {i: r.n_links for i, r in got.items()} == links
+        assert {i: r.component_id for i, r in got.items()} == classes

@@ -22,7 +22,9 @@ share that many words in a row share an anchor and a window at it.
    document shares with the window's smallest document. For this the smallest
    documents' texts are sent once to each part of the documents that repeat them.
 5. A document's repeats are merged into spans (bytes of the UTF-8 text), and
-   documents are classed by components over shared repeats.
+   documents are classed by components over shared repeats. An earlier document counts as a
+   link if it repeats something that still smaller documents' repeats do not cover, so the
+   number depends on what the texts share and not on which windows are anchored where.
 
 A paragraph that repeats only within one document stays. Cases: null and empty
 texts have no paragraph; a null id has none that count; rows with one id are one
@@ -31,6 +33,7 @@ document; an empty table gives an empty result; other columns are not read."""
 from __future__ import annotations
 
 import math
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -363,6 +366,31 @@ def extend(inner: np.ndarray, low: np.ndarray, texts: pa.Table) -> np.ndarray:
     return np.concatenate(out) if out else np.empty(0, _REPEAT)
 
 
+def _needed(start: np.ndarray, end: np.ndarray, low: np.ndarray) -> int:
+    """Number of documents, smallest first, with a repeat that those before do not cover whole."""
+    order = np.lexsort((end, start, low))
+    starts: list[int] = []  # what is covered so far: apart from each other, in order
+    ends: list[int] = []
+    count, i = 0, 0
+    while i < len(order):
+        to = i
+        new = []
+        while to < len(order) and low[order[to]] == low[order[i]]:
+            s, e = int(start[order[to]]), int(end[order[to]])
+            k = bisect_right(starts, s) - 1
+            if k < 0 or ends[k] < e:
+                new.append((s, e))
+            to += 1
+        count += bool(new)
+        for s, e in new:
+            a, b = bisect_left(ends, s), bisect_right(starts, e)
+            if a < b:
+                s, e = min(s, starts[a]), max(e, ends[b - 1])
+            starts[a:b], ends[a:b] = [s], [e]
+        i = to
+    return count
+
+
 def _spans(key: tuple[pa.Scalar, ...], texts: pa.Table, table: pa.Table) -> pa.Table:
     """Repeats of a range of documents, grown and merged per document, with the documents they repeat."""
     kind = table.column("kind").to_numpy()
@@ -384,15 +412,15 @@ def _spans(key: tuple[pa.Scalar, ...], texts: pa.Table, table: pa.Table) -> pa.T
                 spans[-1]["end"] = max(e, spans[-1]["end"])
             else:
                 spans.append({"start": s, "end": e})
-        out.append((int(own["doc"][a]), spans, np.unique(own["low"][a:b]).tolist()))
+        out.append((int(own["doc"][a]), spans, np.unique(own["low"][a:b]).tolist(), _needed(own["start"][a:b], own["end"][a:b], own["low"][a:b])))
     return pa.table({"doc": pa.array([x[0] for x in out], pa.int64()),
                      "spans": pa.array([x[1] for x in out], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                     "low": pa.array([x[2] for x in out], pa.list_(pa.int64()))})
+                     "low": pa.array([x[2] for x in out], pa.list_(pa.int64())), "links": pa.array([x[3] for x in out], pa.int64())})
 
 
 def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
     """(id, component_id, n_links, spans) of every document: the smallest id of its class, the number
-    of earlier documents it was matched with, and the byte spans that repeat them."""
+    of earlier documents that repeat what no smaller one does, and the byte spans that repeat them."""
     slim = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     total = slim.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     n = max(1, math.ceil(total / PART_BYTES))
@@ -455,11 +483,11 @@ def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: in
     need = named.filter("inner").select("part", F.col("low").alias("doc_id")).unionAll(exact.mapInArrow(holders, "part long, doc_id long")).distinct()
     texts = slim.join(need, "doc_id").select("part", "doc_id", "text")
     every = every.unionAll(named.select("id", "part", "low").mapInArrow(pack_low, _SCHEMA))
-    merged = cut(texts.groupBy("part").cogroup(every.groupBy("part")).applyInArrow(_spans, "doc long, spans array<struct<start:long,end:long>>, low array<long>"))
+    merged = cut(texts.groupBy("part").cogroup(every.groupBy("part")).applyInArrow(_spans, "doc long, spans array<struct<start:long,end:long>>, low array<long>, links long"))
     classes = components(merged.select(F.col("doc").alias("a"), F.explode("low").alias("b"))).withColumnRenamed("id", "of")
     none = F.array().cast("array<struct<start:long,end:long>>")
     return (slim.select("doc_id").join(merged, F.col("doc_id") == F.col("doc"), "left").join(classes, F.col("doc_id") == F.col("of"), "left")
-            .select(F.col("doc_id").alias(id), F.coalesce("component", "doc_id").alias("component_id"), F.coalesce(F.size("low"), F.lit(0)).cast("long").alias("n_links"),
+            .select(F.col("doc_id").alias(id), F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("links", F.lit(0).cast("long")).alias("n_links"),
                     F.coalesce("spans", none).alias("spans")))
 
 
