@@ -66,3 +66,23 @@ def test_components_of_chains_and_stars(spark, words):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 140)] + [(7, 7), (None, 3)]
     got = {r.id: r.component for r in shared.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 140)}
+
+
+def test_every_text_of_a_repeated_id_is_searched(documents, words):
+    """5 has two texts: one is a copy of 3's, the other is near 9's and equal to 7's."""
+    one, two = words.text(80), words.text(80)
+    rows = [(5, one), (5, two), (3, one), (9, words.edited(two, 1)), (7, two), (8, words.text(40))]
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(documents(rows)).collect()}
+    assert got == {3: 3, 5: 3, 7: 3, 9: 3, 8: 8}
+
+
+@pytest.mark.parametrize("few", [0, 10**6])
+def test_components_dealt_out_or_in_one_task(spark, words, monkeypatch, few):
+    monkeypatch.setattr(shared, "ONE_TASK", few)
+    links = [(words.random.randint(0, 300), words.random.randint(0, 300)) for _ in range(200)]
+    root = {i: i for p in links for i in p}
+    for a, b in links * 2:
+        lo, hi = sorted((root[a], root[b]))
+        root = {k: lo if v == hi else v for k, v in root.items()}
+    got = {r.id: r.component for r in shared.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {i: c for i, c in root.items() if i in {x for a, b in links if a != b for x in (a, b)}}

@@ -217,7 +217,8 @@ def links(docs: DataFrame, sketched: DataFrame, k: int, percent: int) -> DataFra
     own = sketched.filter("id is not null and n > 0")
     classes = own.groupBy("n", "d1", "d2").agg(F.min("id").alias("rep"))
     copies = cut(own.join(classes, ["n", "d1", "d2"]).filter("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct())
-    reps = own.join(copies.select(F.col("a").alias("id")).distinct(), "id", "left_anti").dropDuplicates(["id", "n", "d1", "d2"])
+    # The class goes on under its smallest id; another text of a copied id is a class of its own.
+    reps = own.join(classes.select("n", "d1", "d2", F.col("rep").alias("id")), ["n", "d1", "d2", "id"], "left_semi").dropDuplicates(["id", "n", "d1", "d2"])
     slim = cut(reps.select("id", "n", "d1", "d2", *SIGNATURE))
     rows = reps.select("id", F.explode("bands").alias("key"))
     shared = rows.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("far")).filter("far > lead").select("key", "lead")

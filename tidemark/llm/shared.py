@@ -18,13 +18,18 @@ def empty(spark: SparkSession, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+#: Links up to which a round is one task's work; more are dealt out by id.
+ONE_TASK = 200_000
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, component) of every id in ``links`` (a long, b long); component is the smallest id reachable.
 
     Alternating large-star and small-star rounds: each id keeps one link to the
     smallest id it knows. A round is two grouped minima, joined back; an id with
     very many links is one hot join key, which adaptive execution splits, and
-    its minimum is combined before the shuffle. The links never reach the driver."""
+    its minimum is combined before the shuffle. The links never reach the driver. A round over
+    few links is one task without any shuffle; the same steps, only not dealt out."""
     edges = cut(links.filter("a is not null and b is not null and a <> b")
                 .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = None
@@ -33,7 +38,9 @@ def components(links: DataFrame) -> DataFrame:
         if state["n"] == 0 or (state["n"], state["s"]) == before:
             break
         before = (state["n"], state["s"])
-        both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        if state["n"] <= ONE_TASK:
+            edges = edges.coalesce(1)
+        both = edges.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.*")
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
