@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import textbuf
-from tidemark.llm.shared import components, cut
+from tidemark.llm.shared import NARROW, components, cut
 
 PERMUTATIONS = 128
 BANDS = 32
@@ -42,6 +42,8 @@ SLACK = 5.0
 #: Documents whose sets one task compares, and candidate pairs up to which it takes them one by one.
 GROUP = 4096
 SINGLE_PAIRS = 20_000
+#: Sketches that one task reads.
+SKETCHES = 50_000
 U64 = np.uint64
 
 _PER_LONG = 64 // BITS
@@ -216,22 +218,23 @@ def links(docs: DataFrame, sketched: DataFrame, k: int, percent: int) -> DataFra
     """(a, b) links whose components are those of all pairs with the similarity."""
     own = sketched.filter("id is not null and n > 0")
     classes = own.groupBy("n", "d1", "d2").agg(F.min("id").alias("rep"))
-    copies = cut(own.join(classes, ["n", "d1", "d2"]).filter("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct())
+    copies = cut(own.join(classes, ["n", "d1", "d2"]).filter("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct(), NARROW)
     # The class goes on under its smallest id; another text of a copied id is a class of its own.
     reps = own.join(classes.select("n", "d1", "d2", F.col("rep").alias("id")), ["n", "d1", "d2", "id"], "left_semi").dropDuplicates(["id", "n", "d1", "d2"])
-    slim = cut(reps.select("id", "n", "d1", "d2", *SIGNATURE))
+    reps = cut(reps, SKETCHES)
+    slim = reps.select("id", "n", "d1", "d2", *SIGNATURE)
     rows = reps.select("id", F.explode("bands").alias("key"))
     shared = rows.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("far")).filter("far > lead").select("key", "lead")
-    members = cut(rows.join(shared, "key"))
+    members = cut(rows.join(shared, "key"), NARROW)
     body = cut(docs.join(members.select("id").distinct(), "id", "left_semi"))
     pairs = members.filter("id <> lead").select("id", "lead").distinct()
     tried = (pairs.join(slim, "id").alias("x").join(slim.alias("y"), F.col("x.lead") == F.col("y.id")).filter(_close(percent))
              .select(F.col("y.id").alias("a"), F.col("x.id").alias("b")).distinct())
-    found = cut(copies.unionAll(confirm(tried, body, k, percent)).distinct())
+    found = cut(copies.unionAll(confirm(tried, body, k, percent)).distinct(), NARROW)
     parts = components(found)
-    split = cut(members.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id")))
+    split = cut(members.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id")), NARROW)
     keys = split.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
-    groups = _groups(cut(split.join(keys, "key").select("key", "id", "lead")))
+    groups = _groups(cut(split.join(keys, "key").select("key", "id", "lead"), NARROW))
     labels = parts.withColumnRenamed("id", "of")
     full = (groups.join(body, "id").join(slim, "id").join(labels, F.col("id") == F.col("of"), "left").drop("of")
             .withColumn("component", F.coalesce("component", "id")))
@@ -247,7 +250,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
     """(id, n_shingles, component_id) of every row of ``docs``: documents that share
     ``percent`` of their shingles of ``words`` words are linked."""
     slim = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
-    sketched = cut(sketches(slim, words))
+    sketched = cut(sketches(slim, words), SKETCHES)
     parts = components(links(slim, sketched, words, percent))
     return (sketched.select("id", "n").join(parts, "id", "left")
             .select(F.col("id").alias(id), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")))

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import minhash, textbuf
-from tidemark.llm.shared import components, cut
+from tidemark.llm.shared import NARROW, components, cut
 
 PASSAGE_WORDS = 50
 GRAM_WORDS = 8
@@ -437,7 +437,7 @@ def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: in
               .groupBy("doc_id").agg(F.collect_list("id").alias("ids")))  # lines of one document
     lines = cut(slim.join(wanted, "doc_id").mapInArrow(_text, "id long, doc_id long, start long, end long, text string").dropDuplicates(["id", "doc_id", "start", "end"]))
     body = lines.select("id", "text").dropDuplicates(["id"])
-    parts = components(minhash.links(body, cut(minhash.sketches(body, SHINGLE_WORDS)), SHINGLE_WORDS, percent))
+    parts = components(minhash.links(body, cut(minhash.sketches(body, SHINGLE_WORDS), minhash.SKETCHES), SHINGLE_WORDS, percent))
     class_ = lines.join(parts, "id").select("component", "doc_id", "start", "end")
     low = class_.groupBy("component").agg(F.min("doc_id").alias("low"))
     near = class_.join(low, "component").filter("doc_id > low").select("doc_id", "start", "end", "low")
@@ -477,9 +477,9 @@ def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: in
 
     exact = settled.filter(F.col("kind") == REPEAT)
     asks = exact.mapInArrow(ask, "id long, part long, low long, inner boolean").groupBy("id", "part").agg(F.min("low").alias("low"), F.max("inner").alias("inner"))
-    asks = cut(asks)
+    asks = cut(asks, NARROW)
     least = asks.groupBy("id").agg(F.min("low").alias("low"))  # of all tasks
-    named = cut(asks.select("id", "part", "inner").join(least, "id"))
+    named = cut(asks.select("id", "part", "inner").join(least, "id"), NARROW)
     need = named.filter("inner").select("part", F.col("low").alias("doc_id")).unionAll(exact.mapInArrow(holders, "part long, doc_id long")).distinct()
     texts = slim.join(need, "doc_id").select("part", "doc_id", "text")
     every = every.unionAll(named.select("id", "part", "low").mapInArrow(pack_low, _SCHEMA))
