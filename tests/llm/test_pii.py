@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -73,3 +74,54 @@ def test_empty_table_and_columns(spark, documents):
     docs = documents([]) 
     assert pii.find_pii(docs).count() == 0
     assert pii.redact(docs).columns == docs.columns
+
+
+def redacted(text, spans):
+    out, pos = "", 0
+    for s in sorted(spans, key=lambda s: (s.start, s.end, s.kind)):
+        if s.start >= pos:
+            out += text[pos:s.start] + f"[{s.kind.upper()}]"
+        pos = max(pos, s.end)
+    return out + text[pos:]
+
+
+def mixed(words, n):
+    parts = ["a.b@c.de", "1.2.3.4", "4111 1111 1111 1111", "+1 415 555 0000", "ssn", "123-45-6789", "GB82 WEST 1234 5698 7654 32", "é😀", "call", "+4111111111111111",
+             "1.2.3.4@x.yz", "token=24be64439e3e49cf46b2", "mail"]
+    return " ".join(words.random.choice(parts) if words.random.random() < 0.7 else words.word() for _ in range(n))
+
+
+def test_blocks_change_nothing(documents, words, monkeypatch):
+    """Spans, scores and redaction with blocks of 2 matches, of 256, and by plain Python."""
+    texts = [mixed(words, n) for n in (1, 2, 3, 5, 8, 40, 300)] + ["x@y.z" * 3 + " ", "123-45-6789 " * 9]
+    seen = []
+    for size in (256, 2):
+        monkeypatch.setattr(pii, "BLOCK", size)
+        seen.append({r.doc_id: r.pii for r in pii.find_pii(documents(texts)).collect()})
+    assert seen[0] == seen[1]
+    for i, text in enumerate(texts):
+        for s in seen[0][i]:
+            near = text[max(0, s.start - pii.CONTEXT_CHARS):s.start].lower()
+            gain = pii.CONTEXT_GAIN if re.search(pii.CONTEXT[s.kind], near) else 0.0
+            assert s.score == pii.SCORES[s.kind] + gain
+    clean = {r.doc_id: r.text for r in pii.redact(documents(texts)).collect()}
+    assert clean == {i: redacted(t, seen[0][i]) for i, t in enumerate(texts)}
+
+
+def test_account_number_before_capitals(documents):
+    texts = ["ES91 2100 0418 4502 0005 1332 EUR", "GB82 WEST 1234 5698 7654 32 ABC 123", "GB82WEST12345698765432 EUR", "ES91 2100 0418 4502 0005 1333 EUR"]
+    rows = pii.find_pii(documents(texts)).orderBy("doc_id").collect()
+    assert [[t[s.start:s.end] for s in r.pii if s.kind == "iban"] for t, r in zip(texts, rows)] == [
+        ["ES91 2100 0418 4502 0005 1332"], ["GB82 WEST 1234 5698 7654 32"], ["GB82WEST12345698765432"], []]
+    assert pii.redact(documents(texts[:1])).first().text == "[IBAN] EUR"
+
+
+def test_time_grows_with_the_matches(documents):
+    """50,000 addresses in one text: found and redacted in seconds."""
+    text = "".join(f"name{i}@mail{i % 7}.org, " for i in range(50_000))
+    began = time.monotonic()
+    row = pii.find_pii(documents([text])).select(F.size("pii").alias("n"), F.element_at("pii", -1).alias("last")).first()
+    assert row.n == 50_000 and text[row["last"].start:row["last"].end] == "name49999@mail5.org" and row["last"].score == 0.9 + pii.CONTEXT_GAIN
+    clean = pii.redact(documents([text])).first().text
+    assert clean == "[EMAIL], " * 50_000
+    assert time.monotonic() - began < 60

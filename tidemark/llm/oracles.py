@@ -26,19 +26,24 @@ _CHECK = {
     "ip": "list_bool_and(list_transform(string_split(v, '.'), lambda q: length(ltrim(q, '0')) <= 3 and cast('0' || right(q, 3) as int) <= 255 ))",
     "card": f"length({_DIGITS}) between 16 and 19 and {_LUHN}",
     "phone": f"length({_DIGITS}) between 8 and 15",
-    "iban": f"length({_IBAN}) between 15 and 34 and {_MOD97}",
+    "iban": "v is not null",
     "ssn": "regexp_full_match(v, '[0-9]{3}-[0-9]{2}-[0-9]{4}') and regexp_matches(lower(before), 'ssn|social|security')",
     "secret": "true",
 }
 
 
+#: The longest part of a match, whole or up to a blank, that passes.
+_ACCOUNT = f"""list_filter(list_transform(range(len(string_split(v0, ' ')), 0, -1), lambda k: array_to_string(string_split(v0, ' ')[1:k], ' ')),
+      lambda v: length({_IBAN}) between 15 and 34 and regexp_full_match(v, '{_PLAIN["iban"]}') and {_MOD97})[1]"""
+
+
 def _pii() -> str:
     parts = []
     for k, (kind, pattern) in enumerate(_PLAIN.items()):
         p = "'" + pattern.replace("'", "''") + "'"
         parts.append(f"""
   select rn, {k} as o, '{kind}' as kind, s, e from (
-    select rn, m[i] as v,
+    select rn, m[i] as v0, {_ACCOUNT if kind == "iban" else "v0"} as v,
            cast(list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i-1], lambda x: length(x))), 0) as bigint) as s,
            s + length(m[i]) as e, text[greatest(1, s - 39):s] as before
     from (select rn, text, regexp_extract_all(text, {p}) as m, string_split_regex(text, {p}) as g from d), unnest(range(1, len(m) + 1)) as u(i))

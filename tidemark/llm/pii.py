@@ -8,7 +8,9 @@ A pattern is searched leftmost and without overlap per kind; a match that fails
 its check is dropped and its characters are not searched again. Positions are
 code points, end exclusive. They come from the pieces between the matches
 (``split`` with the same pattern), so one text costs two passes per kind that
-occurs in it.
+occurs in it. Running sums over the matches go by blocks: within a block, and over
+the blocks' totals. An account number may take in words of capitals that follow it;
+the longest part of the match up to a blank that passes its checks is the span.
 
 The plain definitions have open repeats such as ``[0-9]+`` or ``(x)+`` that cost
 quadratic time or deep recursion on very long runs. The patterns below find the
@@ -56,6 +58,21 @@ CONTEXT = {
 }
 
 
+#: Matches of one block of a running sum.
+BLOCK = 256
+
+
+def _let(value: Column, use) -> Column:
+    """use(value) with ``value`` computed once: inside lambdas an expression runs again for each element."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _blocks(items: Column, size) -> Column:
+    """An array in slices of ``size`` items; it must not be empty."""
+    last = F.floor((F.size(items) - 1) / size).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(items, (i * size + 1).cast("int"), F.lit(size) if isinstance(size, int) else size))
+
+
 def _mod97(value: Column) -> Column:
     """Remainder of an account number read as digits, its first four characters last."""
     s = F.regexp_replace(value, " ", "")
@@ -72,13 +89,19 @@ def _confirmed(kind: str, value: Column) -> Column:
         return F.call_function("luhn_check", F.regexp_replace(value, r"[\x20-]", ""))
     if kind == "phone":
         return F.length(F.regexp_replace(value, "[^0-9]", "")).between(8, 15)
-    if kind == "iban":
-        return F.length(F.regexp_replace(value, " ", "")).between(15, 34) & (_mod97(value) == 1)
     if kind == "ssn":
         return value.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$")
     return F.lit(True)
 
 
+def _account(value: Column) -> Column:
+    """The longest part of a match, whole or up to a blank, that is an account number, or null."""
+    tokens = F.split(value, " ")
+    parts = F.transform(F.sequence(F.size(tokens), F.lit(1)), lambda k: F.array_join(F.slice(tokens, F.lit(1), k), " "))
+    good = F.filter(parts, lambda v: F.length(F.regexp_replace(v, " ", "")).between(15, 34) & v.rlike(f"^{PATTERNS['iban']}$") & (_mod97(v) == 1))
+    return F.get(good, F.lit(0))
+
+
 _SPAN = "array<struct<kind:string,start:int,end:int,score:double>>"
 
 
@@ -87,22 +110,44 @@ def _spans(text: Column, kind: str) -> Column:
     pattern = F.lit(PATTERNS[kind])
     found = F.regexp_extract_all(text, pattern, F.lit(0))
     gaps = F.split(text, pattern, -1)
+    # of the text before a match its length and its end are needed
     pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found, lambda g, m: F.struct(
-        F.length(g).alias("gap"), m.alias("value")))
-    begin = F.struct(F.lit(0).alias("pos"), F.array().cast("array<struct<start:int,value:string>>").alias("out"))
-    placed = F.aggregate(pairs, begin, lambda acc, x: F.struct(
-        (acc.pos + x.gap + F.length(x.value)).alias("pos"),
-        F.concat(acc.out, F.array(F.struct((acc.pos + x.gap).alias("start"), x.value.alias("value")))).alias("out")),
-        lambda acc: acc.out)
+        F.length(g).alias("gap"), F.right(g, F.lit(CONTEXT_CHARS)).alias("tail"), m.alias("value")))
+
+    def last(*parts):
+        return F.right(F.concat(*parts), F.lit(CONTEXT_CHARS))
+
+    def totals(block):  # length of a block and its last characters
+        zero = F.struct(F.lit(0).alias("size"), F.lit("").alias("tail"))
+        return F.aggregate(block, zero, lambda acc, x: F.struct(
+            (acc.size + x.gap + F.length(x.value)).alias("size"), last(acc.tail, x.tail, x.value).alias("tail")))
+
+    def before_each(sums):  # where each block begins, and the characters before it
+        begin = F.struct(F.lit(0).alias("pos"), F.lit("").alias("tail"), F.array().cast("array<struct<pos:int,tail:string>>").alias("out"))
+        return F.aggregate(sums, begin, lambda acc, x: F.struct(
+            (acc.pos + x.size).alias("pos"), last(acc.tail, x.tail).alias("tail"),
+            F.concat(acc.out, F.array(F.struct(acc.pos.alias("pos"), acc.tail.alias("tail")))).alias("out")), lambda acc: acc.out)
+
+    def place(block, at):
+        begin = F.struct(at.pos.alias("pos"), at.tail.alias("tail"), F.array().cast("array<struct<start:int,value:string,before:string>>").alias("out"))
+        return F.aggregate(block, begin, lambda acc, x: F.struct(
+            (acc.pos + x.gap + F.length(x.value)).alias("pos"), last(acc.tail, x.tail, x.value).alias("tail"),
+            F.concat(acc.out, F.array(F.struct((acc.pos + x.gap).alias("start"), x.value.alias("value"), last(acc.tail, x.tail).alias("before")))).alias("out")),
+            lambda acc: acc.out)
+
+    placed = _let(pairs, lambda p: _let(_blocks(p, BLOCK), lambda bs: _let(
+        before_each(F.transform(bs, totals)), lambda at: F.flatten(F.transform(bs, lambda b, i: place(b, F.get(at, i)))))))
 
     def scored(x):
-        start = x["start"]
-        before = F.substring(text, F.greatest(F.lit(1), start - CONTEXT_CHARS + 1), F.least(F.lit(CONTEXT_CHARS), start))
-        gain = F.when(F.lower(before).rlike(CONTEXT[kind]), CONTEXT_GAIN).otherwise(0.0)
-        return F.struct(F.lit(kind).alias("kind"), start.alias("start"),
-                        (start + F.length(x["value"])).alias("end"), (F.lit(SCORES[kind]) + gain).alias("score"))
+        gain = F.when(F.lower(x["before"]).rlike(CONTEXT[kind]), CONTEXT_GAIN).otherwise(0.0)
+        return F.struct(F.lit(kind).alias("kind"), x["start"].alias("start"),
+                        (x["start"] + F.length(x["value"])).alias("end"), (F.lit(SCORES[kind]) + gain).alias("score"))
 
-    sure = F.filter(placed, lambda x: _confirmed(kind, x["value"]))
+    if kind == "iban":
+        own = F.transform(placed, lambda x: F.struct(x["start"].alias("start"), _account(x["value"]).alias("value"), x["before"].alias("before")))
+        sure = F.filter(own, lambda x: x["value"].isNotNull())
+    else:
+        sure = F.filter(placed, lambda x: _confirmed(kind, x["value"]))
     kept = F.filter(F.transform(sure, scored), lambda s: s.score >= KEEP_SCORE)
     some = F.size(found) > 0
     if kind in _NEEDS:
@@ -123,15 +168,24 @@ def redact(df: DataFrame, text: str = "text") -> DataFrame:
     spans = "__pii_spans"
     found = find_pii(df, text, spans)
     body = F.col(text)
-    begin = F.struct(F.lit(0).alias("pos"), F.lit("").alias("out"))
     order = F.array_sort(F.transform(F.col(spans), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s.kind.alias("kind"))))
+    size = F.ceil(F.sqrt(F.size(spans).cast("double"))).cast("int")  # text is cut from its start: once per block, then inside the block's part
+
+    def reach(blocks):  # how far the spans before each block, and all of them, reach
+        begin = F.array(F.lit(0))
+        return F.aggregate(blocks, begin, lambda acc, b: F.concat(acc, F.array(F.greatest(
+            F.element_at(acc, -1), F.array_max(F.transform(b, lambda s: s["end"]))))))
+
+    def cleaned(block, low, high):
+        def step(acc, s):
+            piece = F.concat(acc.out, F.substr(acc.part, acc.pos - low + 1, s["start"] - acc.pos), F.lit("["), F.upper(s.kind), F.lit("]"))
+            return F.struct(F.greatest(acc.pos, s["end"]).alias("pos"), acc.part.alias("part"), F.when(s["start"] >= acc.pos, piece).otherwise(acc.out).alias("out"))
 
-    def step(acc, s):
-        piece = F.concat(acc.out, F.substring(body, acc.pos + 1, s["start"] - acc.pos), F.lit("["), F.upper(s.kind), F.lit("]"))
-        return F.struct(F.greatest(acc.pos, s["end"]).alias("pos"),
-                        F.when(s["start"] >= acc.pos, piece).otherwise(acc.out).alias("out"))
+        begin = F.struct(low.alias("pos"), F.substr(body, low + 1, high - low).alias("part"), F.lit("").alias("out"))
+        return F.aggregate(block, begin, step, lambda acc: acc.out)
 
-    clean = F.aggregate(order, begin, step, lambda acc: F.concat(acc.out, F.substr(body, acc.pos + 1)))
+    clean = _let(order, lambda o: _let(_blocks(o, size), lambda bs: _let(reach(bs), lambda to: F.concat(
+        F.array_join(F.transform(bs, lambda b, i: cleaned(b, F.get(to, i), F.get(to, i + 1))), ""), F.substr(body, F.element_at(to, -1) + 1)))))
     return found.withColumn(text, F.when(F.size(spans) > 0, clean).otherwise(body)).drop(spans)
 
 
