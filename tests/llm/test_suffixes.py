@@ -87,3 +87,38 @@ def test_a_heavy_key_spreads_over_shards(words, monkeypatch):
     for b in range(n):
         got += suffixes._clean(docs[b], of(marks, "block", b)).to_pylist()
     assert sorted(tuple(r[c] for c in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept")) for r in got) == plain(rows)
+
+
+def steps(rows, n):
+    """The steps over ``n`` blocks of the rows: bytes per shard, heavy keys and the result."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    docs = [pa.table({"doc_id": pa.array([i for i, _ in rows[b::n]], pa.int64()), "text": [t for _, t in rows[b::n]]}) for b in range(n)]
+
+    def of(table, name, value):
+        return table.filter(pc.equal(table.column(name), value))
+
+    keys = pa.concat_tables([suffixes._block_keys(n)((pa.scalar(b),), docs[b]) for b in range(n)])
+    shared = pa.concat_tables([suffixes._merge_keys(of(keys, "part", p)) for p in range(n) if of(keys, "part", p).num_rows])
+    sent = pa.concat_tables([suffixes._block_runs(n * suffixes.SHARDS)((pa.scalar(b),), docs[b], of(shared, "block", b)) for b in range(n)])
+    size = sent.append_column("n", pc.binary_length(sent.column("body"))).group_by("shard").aggregate([("n", "sum")]).column("n_sum").to_pylist()
+    found = pa.concat_tables([suffixes._shard(of(sent, "shard", s)) for s in sent.column("shard").unique()])
+    found = found.append_column("heavy", pa.nulls(found.num_rows, pa.binary()))
+    marks = pa.concat_tables([found, shared.select(["block", "heavy"])], promote_options="default")
+    got = []
+    for b in range(n):
+        got += suffixes._clean(docs[b], of(marks, "block", b)).to_pylist()
+    heavy = {x for h in shared.column("heavy").to_pylist() for x in np.frombuffer(h, np.uint64).tolist()}
+    return size, heavy, sorted(tuple(r[c] for c in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept")) for r in got)
+
+
+def test_a_heavy_key_of_long_documents_is_counted(words, monkeypatch):
+    """One document in each block, each with the phrase among differing words many times; and two in each."""
+    monkeypatch.setattr(suffixes, "HEAVY", 64, raising=False)
+    phrase = words.text(14)[:60]
+    for count in (3, 6):
+        rows = [(i, " ".join(words.text(6) + phrase for _ in range(100))) for i in range(count)]
+        size, heavy, got = steps(rows, 3)
+        assert heavy and max(size) < sum(size) / 4
+        assert got == plain(rows)

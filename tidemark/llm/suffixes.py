@@ -105,9 +105,12 @@ def _pieces(table: pa.Table):
         yield np.asarray(part.column("doc_id")), data, off
 
 
+TWO = 128
+
+
 def _block_keys(n: int):
-    """Step 1: the keys of a block, sorted, per key range; 0 where one document of the block holds it,
-    else 1 and the bits of the number of runs, less one."""
+    """Step 1: the keys of a block, sorted, per key range, with a byte each: TWO if two documents of the block
+    hold it, and the power of two in its number of runs."""
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         parts = []
         for ids, data, off in _pieces(table):
@@ -121,7 +124,7 @@ def _block_keys(n: int):
         to = _route(keys, n)
         cut = np.flatnonzero(np.append(True, to[1:] != to[:-1])) if len(to) else np.zeros(0, np.int64)
         ends = np.append(cut[1:], len(to))
-        two = np.where(high > low, np.floor(np.log2(np.maximum(runs_of, 2))), 0).astype(np.uint8)
+        two = (np.where(high > low, TWO, 0) + np.floor(np.log2(np.maximum(runs_of, 1)))).astype(np.uint8)
         return pa.table({"part": pa.array(to[cut].astype(np.int64)), "block": pa.array(np.full(len(cut), key[0].as_py(), np.int64)),
                          "keys": pa.array([keys[a:b].tobytes() for a, b in zip(cut, ends)], pa.binary()),
                          "two": pa.array([two[a:b].tobytes() for a, b in zip(cut, ends)], pa.binary())})
@@ -136,11 +139,11 @@ def _merge_keys(table: pa.Table) -> pa.Table:
     found = every.copy()
     every.sort()
     again = every[1:][every[1:] == every[:-1]]
-    again = np.unique(np.concatenate([again, found[two > 0]]))
+    again = np.unique(np.concatenate([again, found[two >= TWO]]))
     at = np.searchsorted(again, found)
     at[at == len(again)] = 0
     held = again[at] == found if len(again) else np.zeros(len(found), bool)
-    heavy = np.bincount(at[held], 2.0 ** two[held], len(again)) >= HEAVY
+    heavy = np.bincount(at[held], 2.0 ** (two[held] % TWO), len(again)) >= HEAVY
     blocks, kept, split = [], [], []
     for block, keys in zip(table.column("block").to_pylist(), lists):
         at = np.searchsorted(keys, again)
