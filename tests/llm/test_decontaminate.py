@@ -67,3 +67,33 @@ def test_long_text(documents, benchmark, words):
     text = words.text(20_000) + " " + item + " " + words.text(20_000)
     rows = D.occurrences(documents([text]), benchmark([(7, item)])).collect()
     assert len(rows) == 1 and rows[0].edits == 0
+
+
+def test_every_length_gets_the_edits_of_the_rate():
+    for m in range(1, 400):
+        k, q = D.budget(m), D.gram(m)
+        assert k == m // 20 and (k == 0 or m + 1 - q * (k + 1) > 0)
+
+
+def test_items_of_twenty_characters_may_have_an_edit(documents, benchmark):
+    items = [(1, "abcdefghij klmnopqrs"), (2, "abcdefghij klmnopqrstu"), (3, "short item 12 chars")]
+    rows = [(1, "x abcdefghij klmnXpqrs y"), (2, "x abcdeghij klmnopqrstu y"), (3, "short itXm 12 chars"), (4, "abcXefghij klmnXpqrs"), (5, "a short item 12 chars b")]
+    found = {(r.doc_id, r.item_id): r.edits for r in D.occurrences(documents(rows), benchmark(items)).collect()}
+    assert found == {(1, 1): 1, (2, 2): 1, (2, 1): 1, (5, 3): 0}
+
+
+def test_common_q_grams_lose_nothing(documents, benchmark, words, monkeypatch):
+    """Items that share a long beginning, and some that are alike: the same result whatever is left out."""
+    head = words.text(12)
+    items = [(i, head + " " + words.text(8)) for i in range(40)] + [(100 + i, head) for i in range(5)] + [(200, words.text(30))]
+    rows = [(i, words.text(5) + " " + typos(words, items[i % len(items)][1], words.random.randint(0, 4)) + " " + words.text(5)) for i in range(60)]
+    seen = []
+    for common in (10**9, 32, 0):
+        monkeypatch.setattr(D, "COMMON", common)
+        seen.append(sorted(map(tuple, D.occurrences(documents(rows), benchmark(items)).collect())))
+        index = D.Index([(i, D.normalize(t)) for i, t in items])
+        assert (index.need >= 1).all()
+    assert seen[0] == seen[1] == seen[2] and seen[0]
+    monkeypatch.setattr(D, "COMMON", 32)
+    index = D.Index([(i, D.normalize(t)) for i, t in items])
+    assert len(index.hash) < sum(len(t) - D.Q + 1 for _, t in items) * 0.8

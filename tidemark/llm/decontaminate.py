@@ -11,9 +11,13 @@
 4. A kept region is verified by banded alignment: the item against the best
    substring of the region, only within the band's diagonals.
 
-The budget is ``RATE`` of the item's length and at least one edit; with q = 12
-the bound stays positive for items from 30 characters on. Shorter items have a
-budget of 0 and must occur as they are.
+The budget is ``RATE`` of the item's length, rounded down, so items under 20 characters
+must occur as they are. q is 12; for the shortest items with an edit, of 20 to 23
+characters, the bound would not be positive, and q is 8.
+
+Q-grams that more than ``COMMON`` places of the benchmark share are left out as long as the
+item's bound stays positive without them, the most frequent first, and the bound is lowered
+by their number: an occurrence keeps the rest of them all the same.
 
 The benchmark's index goes to the tasks with the job while it has at most
 ``BLOCK_CHARS`` characters. A larger benchmark is cut into blocks of about that
@@ -35,7 +39,9 @@ from tidemark.llm import textbuf
 from tidemark.llm.shared import empty
 
 Q = 12
+SMALL_Q = 8
 RATE = 0.05
+COMMON = 32
 BLOCK_CHARS = 4_000_000
 _BITS = 22
 U64 = np.uint64
@@ -49,8 +55,12 @@ def normalize(text: str | None) -> str:
 
 def budget(length: int) -> int:
     """Edits that an occurrence of an item may have."""
-    k = max(1, int(RATE * length))
-    return k if length + 1 - Q * (k + 1) > 0 else 0
+    return int(RATE * length)
+
+
+def gram(length: int) -> int:
+    """Length of an item's q-grams, such that an occurrence within the budget keeps at least one."""
+    return Q if length + 1 - Q * (budget(length) + 1) > 0 else SMALL_Q
 
 
 def align(item: np.ndarray, text: np.ndarray, low: int, high: int, limit: int) -> tuple[int, int, int] | None:
@@ -88,26 +98,43 @@ def align(item: np.ndarray, text: np.ndarray, low: int, high: int, limit: int) -
 class Index:
     """Sorted q-gram hashes of a block of items, with item and place of each."""
 
-    def __init__(self, items: list[tuple[int | None, str]]):
+    def __init__(self, items: list[tuple[int | None, str]], q: int = Q):
+        self.q = q
         self.ids = [i for i, _ in items]
         self.texts = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), "<u4") for _, t in items]
         self.plain = [t for _, t in items]
         self.budget = np.array([budget(len(t)) for t in self.texts], np.int64)
         self.length = np.array([len(t) for t in self.texts], np.int64)
-        hashes = [textbuf.window_hash(t, Q) for t in self.texts]
+        hashes = [textbuf.window_hash(t, q) for t in self.texts]
         item = np.repeat(np.arange(len(items)), [len(h) for h in hashes])
         place = np.concatenate([np.arange(len(h)) for h in hashes]) if hashes else np.zeros(0, np.int64)
         hashes = np.concatenate(hashes) if hashes else np.zeros(0, U64)
         order = np.argsort(hashes, kind="stable")
         self.hash, self.item, self.place = hashes[order], item[order], place[order]
+        self.need = np.maximum(self.length + 1 - q * (self.budget + 1), 1)
+        self._leave_out()
         self.bitmap = np.zeros(1 << _BITS, bool)
         self.bitmap[self.hash >> U64(64 - _BITS)] = True
-        self.short = [(j, t) for j, t in enumerate(self.plain) if 0 < len(t) < Q]
-        self.need = np.maximum(self.length + 1 - Q * (self.budget + 1), 1)
+        self.short = [(j, t) for j, t in enumerate(self.plain) if 0 < len(t) < q]
+
+    def _leave_out(self) -> None:
+        """Drop common q-grams, the most frequent of each item first, while its bound stays at one or more."""
+        if not len(self.hash):
+            return
+        first = np.flatnonzero(np.append(True, self.hash[1:] != self.hash[:-1]))
+        many = np.repeat(np.diff(np.append(first, len(self.hash))), np.diff(np.append(first, len(self.hash))))
+        order = np.lexsort((-many, self.item))
+        item = self.item[order]
+        begin = np.searchsorted(item, np.arange(len(self.need)))
+        out = (many[order] > COMMON) & (np.arange(len(order)) - begin[item] < self.need[item] - 1)
+        self.need = self.need - np.bincount(item[out], minlength=len(self.need))
+        keep = np.ones(len(order), bool)
+        keep[order[out]] = False
+        self.hash, self.item, self.place = self.hash[keep], self.item[keep], self.place[keep]
 
     def regions(self, codes: np.ndarray, off: np.ndarray):
         """(row, item, lowest diagonal) of bands with enough shared q-grams; codes of rows one after another."""
-        hashes = textbuf.window_hash(codes, Q)
+        hashes = textbuf.window_hash(codes, self.q)
         at = np.flatnonzero(self.bitmap[hashes >> U64(64 - _BITS)])
         if not len(at):
             return []
@@ -116,7 +143,7 @@ class Index:
         at = np.repeat(at, each)
         entry = np.repeat(lo - (np.cumsum(each) - each), each) + np.arange(each.sum())
         row = np.searchsorted(off, at, side="right") - 1
-        inside = at + Q <= off[row + 1]
+        inside = at + self.q <= off[row + 1]
         at, entry, row = at[inside], entry[inside], row[inside]
         item, place = self.item[entry], self.place[entry]
         diagonal = at - off[row] - place + (1 << 20)
@@ -136,6 +163,12 @@ class Index:
         return [(int(r), int(j), int(b * (self.budget[j] + 1) - (1 << 20))) for r, j, b in zip(row[keep], item[keep], band[keep])]
 
 
+def _indexes(items: list[tuple[int | None, str]]) -> list[Index]:
+    """One index for each length of q-grams that the items have."""
+    sizes = sorted({gram(len(t)) for _, t in items})
+    return [Index([x for x in items if gram(len(x[1])) == q], q) for q in sizes]
+
+
 def _matches(index: Index, texts: list[str]):
     """(row, item, start, end, edits) of verified occurrences, the best of each row, item and place."""
     codes = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), "<u4") for t in texts]
@@ -175,10 +208,11 @@ def _blocks(benchmark: DataFrame, item: str, item_text: str):
 
 def _scan(docs: DataFrame, items: list[tuple[int | None, str]]) -> DataFrame:
     def run(batches):
-        index = Index(items)
+        indexes = _indexes(items)
         for part in textbuf.chunks(batches):
             ids = part.column("doc_id").to_pylist()
-            rows = [(ids[r], index.ids[j], s, e, n) for r, j, s, e, n in _matches(index, [normalize(t) for t in part.column("text").to_pylist()])]
+            texts = [normalize(t) for t in part.column("text").to_pylist()]
+            rows = [(ids[r], index.ids[j], s, e, n) for index in indexes for r, j, s, e, n in _matches(index, texts)]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["doc_id", "item_id", "start", "end", "edits"])
 
@@ -200,11 +234,13 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text
     """Rows of ``docs`` in which no benchmark item occurs, with all their columns; no shuffle."""
     def clean(items):
         def run(batches):
-            index = Index(items)
+            indexes = _indexes(items)
             for part in textbuf.chunks(batches, text):
                 dirty = np.zeros(part.num_rows, bool)
-                for row, *_ in _matches(index, [normalize(t) for t in part.column(text).to_pylist()]):
-                    dirty[row] = True
+                texts = [normalize(t) for t in part.column(text).to_pylist()]
+                for index in indexes:
+                    for row, *_ in _matches(index, texts):
+                        dirty[row] = True
                 yield part.filter(pa.array(~dirty))
         return run
 
