@@ -51,3 +51,15 @@ def test_null_edits_and_empty_table(documents):
     assert sorted(r.n_tokens for r in tokencounts.apply_edits(tokencounts.build(docs)).collect()) == [0, 0, 2]
     empty = documents([]).select("doc_id", "text", F.lit(None).cast(tokencounts.EDITS).alias("edits"))
     assert tokencounts.apply_edits(tokencounts.build(empty)).count() == 0
+
+
+def test_rows_are_edited_in_slices_of_bounded_size(documents, words, monkeypatch):
+    import pyarrow as pa
+
+    from tidemark.llm import textbuf
+    monkeypatch.setattr(textbuf, "CHUNK_BYTES", 100)
+    leaves = pa.array([["a" * 60], [], None, ["b" * 30, "c" * 20], ["d" * 500], ["é"]], pa.list_(pa.string()))
+    batch = pa.RecordBatch.from_arrays([leaves, pa.array(range(6))], ["leaves", "n"])
+    assert [s.column("n").to_pylist() for s in tokencounts._slices([batch])] == [[0, 1, 2], [3], [4], [5]]
+    assert [s.column("n").to_pylist() for s in tokencounts._slices([batch.slice(3)])] == [[3], [4], [5]]
+    assert list(tokencounts._slices([batch.slice(0, 0)])) == []

@@ -190,6 +190,19 @@ def build(docs: DataFrame, text: str = "text", path: str = vocabulary.DEFAULT) -
     return docs.select(*keep, text).mapInArrow(run, _column(docs, keep) + STATE + ", n_tokens long")
 
 
+def _slices(batches):
+    """Slices of the batches with at most CHUNK_BYTES of leaves, or one row."""
+    for batch in batches:
+        leaves = batch.column("leaves")
+        size = np.append(0, np.cumsum(pc.fill_null(pc.binary_length(leaves.values), 0).to_numpy(zero_copy_only=False)))
+        ends = size[leaves.offsets.to_numpy()]
+        at = 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(ends, ends[at] + textbuf.CHUNK_BYTES, side="right")) - 1)
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def apply_edits(state: DataFrame, edits: str = "edits", path: str = vocabulary.DEFAULT) -> DataFrame:
     """``state`` after the edits of its array column (pos, remove, insert), with n_tokens and the
     number of characters that were encoded again."""
@@ -198,7 +211,7 @@ def apply_edits(state: DataFrame, edits: str = "edits", path: str = vocabulary.D
 
     def run(batches):
         count = _counter(path)
-        for batch in batches:
+        for batch in _slices(batches):
             out = {k: [] for k in ("leaves", "chars", "tokens", "n_tokens", "n_encoded")}
             for leaves, chars, tokens, own in zip(*(batch.column(c).to_pylist() for c in ("leaves", "chars", "tokens", edits))):
                 tree = Tree(leaves or [], count, (chars or [], tokens or []))
