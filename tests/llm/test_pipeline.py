@@ -75,7 +75,7 @@ def test_stages_equal_plain_python(spark, tables):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in catalog.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in catalog.QUERIES) == list(range(1, 14))
 
 
 def test_empty_documents(spark, tables, tmp_path):
