@@ -59,3 +59,20 @@ def test_unusable_vectors_take_no_part(spark):
 
 def test_empty_table(spark):
     assert search(spark, []) == {}
+
+
+def test_queries_meet_every_shard_however_tasks_are_dealt(spark, monkeypatch):
+    """Small partitions are merged into one by adaptive execution; kept apart, each pair of blocks must still meet."""
+    monkeypatch.setattr(neighbours, "SHARD_ROWS", 100)
+    monkeypatch.setattr(neighbours, "BLOCK_QUERIES", 2)
+    v = np.random.default_rng(5).standard_normal((700, 16))
+    rows = [(i, x.tolist()) for i, x in enumerate(v)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = search(spark, rows)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    want = exact(rows, 10)
+    assert set(got) == set(want)
+    hits = sum(len({i for _, i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    assert hits >= 0.9 * 10 * len(want)

@@ -109,9 +109,13 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, id: str = "vec_id"
     rows = rows.filter(F.col("dims") == (sizes[0]["dims"] if sizes else 0))
     shards, blocks = max(1, -(-n // SHARD_ROWS)), max(1, -(-asked // BLOCK_QUERIES))
     hashed = F.xxhash64("id")
+
+    def numbers(count):  # both sides' keys are longs: equal numbers of different types are dealt to different tasks
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long")))
+
     # a query block meets every shard: vectors go to each block, queries to each shard
-    held = rows.select(F.pmod(hashed, F.lit(shards)).alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "id", "v")
-    asking = rows.filter("asks").select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("at"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).alias("of"),
+    held = rows.select(F.pmod(hashed, F.lit(shards)).cast("long").alias("shard"), numbers(blocks).alias("block"), "id", "v")
+    asking = rows.filter("asks").select(numbers(shards).alias("at"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("long").alias("of"),
                                         F.col("id").alias("q"), F.col("v").alias("qv"))
 
     def matrix(column) -> np.ndarray:
