@@ -1,22 +1,29 @@
-"""Interpolated modified Kneser-Ney bigram model.
-
-Counting is Spark work: tasks count words and word pairs of their texts, merge
-equal keys before the shuffle, and one task per key range adds them up. Each
-range is stored as sorted arrays in the shared folder: 64-bit word hashes (the
-place of a hash is the word's id) with counts and continuation counts, and word
-pairs with counts. Scoring tasks memory-map these files and search them, so the
-model takes no heap and no driver memory.
-
-A context that alone fills a range (a very frequent word) is spread over all
-ranges; its totals are added up by word id afterwards like all others.
+"""Interpolated modified Kneser-Ney n-gram model of any order from 2 on.
+
+Counting is Spark work: tasks number the words and count the n-grams of the full
+order, merge equal ones before the shuffle, and one task per key range adds them
+up. A range hands on the n-grams without their first word; these are the n-grams
+of the next lower level, counted by how many different words stood before them,
+and so on down to single words. Each range of a level is stored as arrays in the
+shared folder: sorted 64-bit hashes of n-grams with counts, and sorted hashes of
+contexts with their totals and numbers of followers seen once, twice and more. Of
+words, sorted hashes (the place of a hash is the word's id), counts and
+continuation counts are stored. Scoring tasks memory-map these files and search
+them, so the model takes no heap and no driver memory.
+
+N-grams are dealt out by their context. One whose context has only very frequent
+words (so the context may alone fill a range) is dealt out by its own hash, and
+the parts of that context's totals are added up in one more grouping.
 
 If the shared folder is no mounted path, the files are shipped once to each
 executor with ``addFile`` and mapped there.
 
 Cases: null and empty texts are one end mark; a null id counts as training text;
-repeated rows count and score each; without training text every probability is
-that of the uniform distribution over the unknown word, log 0; an empty table
-gives an empty result; other columns are not read."""
+repeated rows count and score each; words before the first of a text are begin
+marks; without training text every probability is that of the uniform
+distribution over the unknown word, log 0; an empty table gives an empty result;
+other columns are not read. N-grams and contexts are identified by 64-bit
+hashes."""
 
 from __future__ import annotations
 
@@ -25,6 +32,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
@@ -38,34 +46,54 @@ U64 = np.uint64
 #: Tokens per key range, and keys that a task holds before it hands them on.
 RANGE_TOKENS = 6_000_000
 HELD_KEYS = 3_000_000
+#: Words of an n-gram, and the number of distinct words from which on ids take 64 bits.
+ORDER, WIDE_FROM = 2, 1 << 32
 #: Keys of the marks at the end of a text and before its first word (fixed values).
 END, BEGIN = U64(0x1F0E1D2C3B4A5968), U64(0x0123456789ABCDEF)
 
 
 class _Tally:
-    """Keys with counts, equal keys added up whenever many have come together."""
+    """Columns of n-grams with counts, equal ones added up whenever many have come together."""
 
     def __init__(self):
-        self.keys, self.counts, self.size = [], [], 0
+        self.held, self.size = [], 0
 
-    def add(self, keys, counts):
-        self.keys.append(keys)
-        self.counts.append(counts)
-        self.size += len(keys)
+    def add(self, columns, counts):
+        self.held.append((columns, counts))
+        self.size += len(counts)
 
     def take(self):
-        keys, counts = _add_up(np.concatenate(self.keys), np.concatenate(self.counts))
-        self.keys, self.counts, self.size = [], [], 0
-        return keys, counts
+        columns = [np.concatenate(c) for c in zip(*(h[0] for h in self.held))]
+        counts = np.concatenate([h[1] for h in self.held])
+        self.held, self.size = [], 0
+        return _add_up(columns, counts)
 
 
-def _add_up(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    if not len(keys):
-        return keys, counts
+def _hash(columns: list[np.ndarray]) -> np.ndarray:
+    """Hash of each n-gram, read from its first word on; that of its context is a step on the way."""
+    h = np.full(len(columns[0]), textbuf.BASE, U64)
+    for c in columns:
+        h = textbuf.mix(h ^ c.astype(U64))
+    return h
+
+
+def _key(columns: list[np.ndarray]) -> np.ndarray:
+    """A 64-bit number of each n-gram: exact where the columns fit in it, else a hash."""
+    if len(columns) == 1:
+        return columns[0]
+    if len(columns) == 2 and columns[0].dtype == columns[1].dtype == np.uint32:
+        return (columns[0].astype(U64) << U64(32)) | columns[1]
+    return _hash(columns)
+
+
+def _add_up(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    if not len(counts):
+        return columns, counts
+    keys = _key(columns)
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-    return keys[first], np.add.reduceat(counts[order], first)
+    return [c[order[first]] for c in columns], np.add.reduceat(counts[order], first)
 
 
 def _by_part(part: np.ndarray, n: int):
@@ -104,6 +132,11 @@ def _store(uri: str, name: str, values: np.ndarray) -> None:
     where.move(mine, f"{base}/{name}")
 
 
+def _store_counts(uri: str, name: str, values: np.ndarray) -> None:
+    """Counts in the narrowest type that holds them all; ``_load_counts`` tells it by the file's size."""
+    _store(uri, name, values.astype(np.min_scalar_type(int(values.max()) if values.size else 0)))
+
+
 def _load(uri: str, name: str, kind) -> np.ndarray:
     where, base = fs.FileSystem.from_uri(uri)
     path = f"{base}/{name}" if isinstance(where, fs.LocalFileSystem) else SparkFiles.get(name)
@@ -113,15 +146,29 @@ def _load(uri: str, name: str, kind) -> np.ndarray:
         return np.zeros(0, kind)
 
 
+def _load_counts(uri: str, name: str, rows: int) -> np.ndarray:
+    data = _load(uri, name, np.uint8)
+    return data.view(f"u{len(data) // rows}") if rows else data
+
+
+def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Place of each wanted key in sorted keys, -1 where it is missing."""
+    if not len(keys):
+        return np.full(len(wanted), -1, np.int64)
+    at = np.searchsorted(keys, wanted)
+    at[at == len(keys)] = 0
+    return np.where(keys[at] == wanted, at, -1)
+
+
 class _Words:
-    """The stored words: ids, counts and, later, continuation and follower counts."""
+    """The stored words: ids, counts and, later, continuation counts."""
 
     def __init__(self, uri: str, sizes: list[int], full: bool):
         self.n = len(sizes)
         self.base = np.append(0, np.cumsum(sizes))
         self.keys = [_load(uri, f"words-{p}", U64) for p in range(self.n)]
         self.counts = [_load(uri, f"counts-{p}", np.int64) for p in range(self.n)]
-        self.stats = [_load(uri, f"stats-{p}", np.int64).reshape(-1, 4) for p in range(self.n)] if full else []
+        self.before = [_load(uri, f"before-{p}", np.int64) for p in range(self.n)] if full else []
 
     def ids(self, keys: np.ndarray) -> np.ndarray:
         """Id of each key, -1 for unknown ones."""
@@ -129,38 +176,41 @@ class _Words:
         out = np.full(len(distinct), -1, np.int64)
         edge = np.searchsorted(_range_of(distinct, self.n), np.arange(self.n + 1))
         for p in range(self.n):
-            own = distinct[edge[p]:edge[p + 1]]
-            if len(own) and len(self.keys[p]):
-                at = np.searchsorted(self.keys[p], own)
-                at[at == len(self.keys[p])] = 0
-                out[edge[p]:edge[p + 1]] = np.where(self.keys[p][at] == own, at + self.base[p], -1)
+            place = _find(self.keys[p], distinct[edge[p]:edge[p + 1]])
+            out[edge[p]:edge[p + 1]] = np.where(place >= 0, place + self.base[p], -1)
         return out[back]
 
     def look(self, arrays: list, ids: np.ndarray) -> np.ndarray:
         """Rows of the arrays at known ids."""
-        shape = (len(ids),) + (arrays[0].shape[1:] if arrays else ())
-        out = np.zeros(shape, np.int64)
+        out = np.zeros(len(ids), np.int64)
         for p, at in _by_part(np.searchsorted(self.base, ids, side="right") - 1, self.n):
             out[at] = arrays[p][ids[at] - self.base[p]]
         return out
 
 
-def _pair_part(pair: np.ndarray, hot: np.ndarray, n: int) -> np.ndarray:
-    """Range of a pair: that of its context, or its own if the context is hot."""
-    context = pair >> U64(32)
-    if len(hot):
-        at = np.searchsorted(hot, context)
-        at[at == len(hot)] = 0
-        context = np.where(hot[at] == context, pair, context)
-    return _range_of(textbuf.mix(context ^ U64(textbuf.BASE)), n)
+def _deal(columns: list[np.ndarray], hot: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(range, context's hash, whether the context may be hot) of each n-gram.
 
+    The range is that of the context, or of the n-gram itself if all words of the context are hot."""
+    context = _hash(columns[:-1])
+    spread = np.full(len(context), len(hot) > 0)
+    for c in columns[:-1]:
+        spread[spread] = _find(hot, c[spread].astype(U64)) >= 0
+    by = context.copy()
+    by[spread] = textbuf.mix(context[spread] ^ columns[-1][spread].astype(U64))
+    return _range_of(by, n), context, spread
 
-def _pairs(ids: np.ndarray, off: np.ndarray, begin: int) -> np.ndarray:
-    """Context id (of the token before, or the begin mark) and id of each token; -1 stays visible."""
-    before = np.empty(len(ids), np.int64)
-    before[1:] = ids[:-1]
-    before[off[:-1]] = begin
-    return before
+
+def _ngrams(ids: np.ndarray, off: np.ndarray, begin: int, order: int) -> list[np.ndarray]:
+    """Columns of the n-gram that ends in each token, its first word first; -1 stays visible."""
+    place = np.arange(len(ids)) - np.repeat(off[:-1], np.diff(off))
+    columns = [ids]
+    for back in range(1, order):
+        before = np.full(len(ids), begin, np.int64)
+        inside = place >= back
+        before[inside] = ids[np.flatnonzero(inside) - back]
+        columns.insert(0, before)
+    return columns
 
 
 def discounts(n: list[int]) -> list[float]:
@@ -174,12 +224,14 @@ def discounts(n: list[int]) -> list[float]:
 
 
 class Model:
-    """A stored model: place, sizes of its ranges and a few totals."""
+    """A stored model: place, order, sizes of its ranges and a few totals.
+
+    ``discounts[j]`` are those of level j; ``parts`` is the number of ranges of every level,
+    ``hot`` the ids of very frequent words."""
 
-    def __init__(self, uri, sizes, pairs, hot, begin, tokens, distinct, pair_discount, word_discount, continuations, spread):
-        self.uri, self.sizes, self.pairs, self.hot, self.begin = uri, sizes, pairs, hot, begin
-        self.tokens, self.distinct = tokens, distinct
-        self.pair_discount, self.word_discount = pair_discount, word_discount
+    def __init__(self, uri, order, sizes, hot, begin, tokens, distinct, discounts, continuations, spread):
+        self.uri, self.order, self.sizes, self.parts, self.hot, self.begin = uri, order, sizes, len(sizes), hot, begin
+        self.tokens, self.distinct, self.discounts = tokens, distinct, discounts
         self.continuations, self.spread = continuations, spread
 
     def delete(self) -> None:
@@ -187,69 +239,157 @@ class Model:
         where.delete_dir(base)
 
 
+class _Level:
+    """The stored n-grams of one level: counts, and totals of their contexts."""
+
+    def __init__(self, model: Model, level: int):
+        def context(name):
+            keys = _load(model.uri, f"{name}-{level}-{p}", U64)
+            return keys, _load_counts(model.uri, f"{name}totals-{level}-{p}", 4 * len(keys)).reshape(-1, 4)
+
+        self.model, self.keys, self.counts, self.contexts, self.spread = model, [], [], [], []
+        for p in range(model.parts):
+            keys = _load(model.uri, f"ngrams-{level}-{p}", U64)
+            self.keys.append(keys)
+            self.counts.append(_load_counts(model.uri, f"ngramcounts-{level}-{p}", len(keys)))
+            self.contexts.append(context("contexts"))
+            self.spread.append(context("spread"))
+
+    def look(self, columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(count, context's total and followers by kind) of each n-gram, 0 where it is not stored."""
+        n = self.model.parts
+        part, context, hot = _deal(columns, self.model.hot, n)
+        whole = textbuf.mix(context ^ columns[-1].astype(U64))
+        distinct, first, back = np.unique(whole, return_index=True, return_inverse=True)
+        count = np.zeros(len(distinct), np.int64)
+        for p, at in _by_part(part[first], n):
+            place = _find(self.keys[p], distinct[at])
+            count[at[place >= 0]] = self.counts[p][place[place >= 0]]
+        distinct, first, again = np.unique(context, return_index=True, return_inverse=True)
+        total = np.zeros((len(distinct), 4), np.int64)
+        hot = hot[first]
+        for kind, stored in ((False, self.contexts), (True, self.spread)):
+            own = np.flatnonzero(hot == kind)
+            for p, at in _by_part(_range_of(distinct[own], n), n):
+                at = own[at]
+                place = _find(stored[p][0], distinct[at])
+                total[at[place >= 0]] = stored[p][1][place[place >= 0]]
+        return count[back], total[again]
+
+
 def _ship(spark: SparkSession, uri: str, names: list[str]) -> None:
     if not isinstance(fs.FileSystem.from_uri(uri)[0], fs.LocalFileSystem):
         for name in names:
             spark.sparkContext.addFile(f"{uri}/{name}")
 
 
-def _counted(batches, keys_of, parts: int, part_of):
-    """Rows (part, keys, counts) of what ``keys_of`` finds in the texts."""
+def _packed(columns: list[np.ndarray], counts: np.ndarray, at: np.ndarray) -> tuple[bytes, bytes]:
+    return b"".join(c[at].tobytes() for c in columns), counts[at].astype(np.int64).tobytes()
+
+
+def _rows(level: int, rows) -> pa.Table:
+    """Rows (part, level, keys, counts) of (part, keys, counts)."""
+    rows = list(rows)
+    return pa.table([pa.array([r[0] for r in rows], pa.int64()), pa.array([level] * len(rows), pa.int64()),
+                     *(pa.array([r[j] for r in rows], pa.binary()) for j in (1, 2))], ["part", "level", "keys", "counts"])
+
+
+_COUNTED = "part long, level long, keys binary, counts binary"
+
+
+def _counted(batches, columns_of, level: int, parts: int, part_of):
+    """Rows (part, level, keys, counts) of the n-grams that ``columns_of`` finds in the texts."""
     tally = _Tally()
 
     def hand_on():
-        keys, counts = tally.take()
-        rows = [(p, keys[at].tobytes(), counts[at].astype(np.int32).tobytes()) for p, at in _by_part(part_of(keys), parts)]
-        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), *(pa.array([r[j] for r in rows], pa.binary()) for j in (1, 2))],
-                                          ["part", "keys", "counts"])
+        columns, counts = tally.take()
+        if len(columns) > 2:  # neighbours that begin alike compress better
+            near = np.argsort(_key(columns[:2]), kind="stable")
+            columns, counts = [c[near] for c in columns], counts[near]
+        rows = _rows(level, ((p, *_packed(columns, counts, at)) for p, at in _by_part(part_of(columns), parts)))
+        return rows.combine_chunks().to_batches()
 
     for part in textbuf.chunks(batches):
-        for keys in keys_of(part):
-            keys.sort()
-            first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-            tally.add(keys[first], np.diff(np.append(first, len(keys))))
+        columns = columns_of(part)
+        tally.add(*_add_up(columns, np.ones(len(columns[0]), np.int64)))
         if tally.size > HELD_KEYS:
-            yield hand_on()
+            yield from hand_on()
     if tally.size:
-        yield hand_on()
+        yield from hand_on()
+
+
+def _merged(table: pa.Table, kinds: list) -> tuple[list[np.ndarray], np.ndarray]:
+    """Columns of the given types and counts of all rows, equal n-grams added up."""
+    held, width = _Tally(), sum(np.dtype(k).itemsize for k in kinds)
+    for data, counts in zip(table.column("keys").to_pylist(), table.column("counts").to_pylist()):
+        n, at, columns = len(data) // width, 0, []
+        for k in kinds:
+            columns.append(np.frombuffer(data, k, n, at))
+            at += n * np.dtype(k).itemsize
+        held.add(columns, np.frombuffer(counts, np.int64))
+    return held.take() if held.held else ([np.zeros(0, k) for k in kinds], np.zeros(0, np.int64))
+
+
+def _of_level(table: pa.Table, level: int) -> pa.Table:
+    return table.filter(pc.equal(table.column("level"), level))
+
+
+def _grouped(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and the sums of their rows of values."""
+    if not len(keys):
+        return keys, values
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[first], np.add.reduceat(values[order], first, axis=0)
+
+
+def _totals(counts: np.ndarray) -> np.ndarray:
+    """Rows (count, seen once, seen twice, seen more often)."""
+    return np.stack([counts] + [(np.minimum(counts, 3) == k).astype(np.int64) for k in (1, 2, 3)], axis=1)
 
 
-def _merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), U64)
-    return _add_up(keys, np.frombuffer(b"".join(table.column("counts").to_pylist()), np.int32).astype(np.int64))
+def _few(counts: np.ndarray) -> np.ndarray:
+    return np.bincount(np.minimum(counts, 5), minlength=6)[1:5].astype(np.int64)
 
 
-_COUNTED = "part long, keys binary, counts binary"
+#: Levels below 0 mark rows that go along: parts of hot contexts' totals, and numbers of counts 1 to 4.
+_SPREAD, _FEW = -1, -1000
+#: Names of a range's files.
+_STORED = ["ngrams", "ngramcounts", "contexts", "contextstotals"]
+_SPREAD_STORED = ["spread", "spreadtotals"]
 
 
-def train(docs: DataFrame, text: str = "text") -> Model:
-    """Count ``docs`` and store the model in the shared folder."""
+def train(docs: DataFrame, text: str = "text", order: int = ORDER) -> Model:
+    """Count ``docs`` and store the model of this order (2 or more) in the shared folder."""
+    if order < 2:
+        raise ValueError(f"a model of order {order} has no context; 2 is the least")
     spark = docs.sparkSession
     uri = f"{shared_dir(spark).rstrip('/')}/tidemark-lm-{uuid.uuid4().hex[:12]}"
     where, base = fs.FileSystem.from_uri(uri)
     where.create_dir(base)
     slim = docs.select(F.col(text).alias("text"))
-    size = slim.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    size = slim.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 6).alias("n")).first()["n"] or 0
     n = max(1, math.ceil(size / 6 / RANGE_TOKENS))
 
     def word_keys(part):
-        keys, off = _tokens(part)
+        keys, _ = _tokens(part)
         return [np.append(keys, np.full(part.num_rows, BEGIN, U64))]
 
     def store_words(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        keys, counts = _merged(table)
+        (keys,), counts = _merged(table, [U64])
         p = key[0].as_py()
         _store(uri, f"words-{p}", keys)
         _store(uri, f"counts-{p}", counts)
         begin = np.flatnonzero(keys == BEGIN)
+        top = np.flatnonzero(counts > RANGE_TOKENS // 10)
         return pa.table({"part": [p], "size": [len(keys)], "total": [int(counts.sum())],
                          "begin": pa.array([int(begin[0]) if len(begin) else None], pa.int64()),
-                         "texts": [int(counts[begin].sum())], "top": [np.sort(counts)[-1000:].tobytes()],
-                         "top_ids": [np.argsort(counts, kind="stable")[-1000:].astype(np.int64).tobytes()]})
+                         "texts": [int(counts[begin].sum())], "top": [top.astype(np.int64).tobytes()]})
 
-    counted = slim.mapInArrow(lambda b: _counted(b, word_keys, n, lambda k: _range_of(k, n)), _COUNTED)
+    counted = slim.mapInArrow(lambda b: _counted(b, word_keys, 1, n, lambda k: _range_of(k[0], n)), _COUNTED)
     stored = {r["part"]: r for r in counted.groupBy("part").applyInArrow(
-        store_words, "part long, size long, total long, begin long, texts long, top binary, top_ids binary").collect()}
+        store_words, "part long, size long, total long, begin long, texts long, top binary").collect()}
     for p in set(range(n)) - set(stored):
         for name in ("words", "counts"):
             _store(uri, f"{name}-{p}", np.zeros(0, np.int64))
@@ -259,78 +399,89 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     texts = sum(r["texts"] for r in stored.values())
     tokens = sum(r["total"] for r in stored.values()) - texts
     begin = next((int(bases[p]) + r["begin"] for p, r in stored.items() if r["begin"] is not None), 0)
-    parts = max(1, math.ceil(tokens / RANGE_TOKENS))
-    # contexts that alone would fill a tenth of a range: at most ten per range
-    hot = [bases[p] + np.frombuffer(r["top_ids"], np.int64)[np.frombuffer(r["top"], np.int64) > RANGE_TOKENS // 10] for p, r in stored.items()]
+    # words that alone would fill a tenth of a range: at most ten for each range of tokens
+    hot = [bases[p] + np.frombuffer(r["top"], np.int64) for p, r in stored.items()]
     hot = np.sort(np.concatenate(hot)).astype(U64) if hot else np.zeros(0, U64)
-    if bases[-1] >= 1 << 32:
-        raise ValueError("the model numbers words with 32 bits; this corpus has more distinct words")
+    kind = np.uint32 if bases[-1] < WIDE_FROM else U64
 
-    def pair_tasks(batches):
+    def tasks(batches):
         words = _Words(uri, sizes, False)
 
-        def pair_keys(part):
+        def columns(part):
             keys, off = _tokens(part)
-            ids = words.ids(keys)
-            return [(_pairs(ids, off, begin).astype(U64) << U64(32)) | ids.astype(U64)]
-
-        yield from _counted(batches, pair_keys, parts, lambda k: _pair_part(k, hot, parts))
-
-    def store_pairs(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        pair, count = _merged(table)
+            return [c.astype(kind) for c in _ngrams(words.ids(keys), off, begin, order)]
+
+        yield from _counted(batches, columns, order, n, lambda c: _deal(c, hot, n)[0])
+
+    def store_spread(table: pa.Table, level: int, p: int) -> None:
+        """Totals of the hot contexts of a level, from the parts that its ranges hold."""
+        own = _of_level(table, _SPREAD - level)
+        keys = np.frombuffer(b"".join(own.column("keys").to_pylist()), U64)
+        keys, totals = _grouped(keys, np.frombuffer(b"".join(own.column("counts").to_pylist()), np.int64).reshape(-1, 4))
+        _store(uri, f"spread-{level}-{p}", keys)
+        _store_counts(uri, f"spreadtotals-{level}-{p}", totals)
+
+    def going_on(table: pa.Table) -> pa.Table:
+        return table.filter(pc.less_equal(table.column("level"), _FEW))
+
+    def store_level(level: int):
+        def store(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+            p = key[0].as_py()
+            if level < order:
+                store_spread(table, level + 1, p)
+            along = going_on(table)
+            columns, counts = _merged(_of_level(table, level), [kind] * level)
+            _, context, spread = _deal(columns, hot, n)
+            whole = textbuf.mix(context ^ columns[-1].astype(U64))
+            by = np.argsort(whole)
+            _store(uri, f"ngrams-{level}-{p}", whole[by])
+            _store_counts(uri, f"ngramcounts-{level}-{p}", counts[by])
+            keys, totals = _grouped(context[~spread], _totals(counts[~spread]))
+            _store(uri, f"contexts-{level}-{p}", keys)
+            _store_counts(uri, f"contextstotals-{level}-{p}", totals)
+            keys, totals = _grouped(context[spread], _totals(counts[spread]))
+            few = _few(counts)
+            shorter, before = _add_up(columns[1:], np.ones(len(counts), np.int64))
+            if level > 2:
+                to = _deal(shorter, hot, n)[0]
+            else:
+                to = np.searchsorted(bases, shorter[0].astype(np.int64), side="right") - 1
+            return pa.concat_tables([
+                _rows(level - 1, ((q, *_packed(shorter, before, at)) for q, at in _by_part(to, n))),
+                _rows(_SPREAD - level, ((q, keys[at].tobytes(), totals[at].tobytes()) for q, at in _by_part(_range_of(keys, n), n))),
+                _rows(_FEW - level, [(p, None, few.tobytes())]), along])
+        return store
+
+    def store_before(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         p = key[0].as_py()
-        _store(uri, f"pairs-{p}", pair)
-        _store(uri, f"paircounts-{p}", count)
-        word, before = _add_up(pair & U64(0xFFFFFFFF), np.ones(len(pair), np.int64))
-        context = pair >> U64(32)
-        first = np.flatnonzero(np.append(True, context[1:] != context[:-1])) if len(context) else np.zeros(0, np.int64)
-        kinds = [np.add.reduceat((np.minimum(count, 3) == k).astype(np.int64), first) if len(first) else first for k in (1, 2, 3)]
-        ids = np.concatenate([word, context[first]]).astype(np.int64)
-        stats = np.zeros((len(ids), 4), np.int32)
-        stats[:len(word), 0] = before
-        for k in range(3):
-            stats[len(word):, k + 1] = kinds[k]
-        order = np.argsort(ids, kind="stable")
-        ids, stats = ids[order], stats[order]
-        rows = [(q, ids[at].astype(np.uint32).tobytes(), stats[at].tobytes()) for q, at in _by_part(np.searchsorted(bases, ids, side="right") - 1, n)]
-        few = np.bincount(np.minimum(count, 5), minlength=6)[1:5]
-        return pa.table({"part": pa.array([r[0] for r in rows], pa.int64()), "ids": pa.array([r[1] for r in rows], pa.binary()),
-                         "stats": pa.array([r[2] for r in rows], pa.binary()),
-                         "few": pa.array([few.tolist()] + [None] * (len(rows) - 1), pa.list_(pa.int64())), "own": pa.array([p] * len(rows), pa.int64())})
-
-    def store_stats(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        p = key[0].as_py()
-        total = np.zeros((sizes[p], 4), np.int64)
-        for ids, stats in zip(table.column("ids").to_pylist(), table.column("stats").to_pylist()):
-            at = np.frombuffer(ids, np.uint32).astype(np.int64) - bases[p]
-            np.add.at(total, at, np.frombuffer(stats, np.int32).reshape(-1, 4))
-        _store(uri, f"stats-{p}", total)
-        few = np.bincount(np.minimum(total[:, 0], 5), minlength=6)
-        return pa.table({"part": [p], "few": pa.array([few[1:5].tolist()], pa.list_(pa.int64())),
-                         "spread": [int(np.minimum(total[:, 0], 1).sum())], "all": [int(total[:, 0].sum())],
-                         "kinds": pa.array([[int((np.minimum(total[:, 0], 3) == k).sum()) for k in (1, 2, 3)]], pa.list_(pa.int64()))})
-
-    pairs = cut(slim.mapInArrow(pair_tasks, _COUNTED).groupBy("part").applyInArrow(
-        store_pairs, "part long, ids binary, stats binary, few array<long>, own long"))
-    there = pairs.filter("few is not null").select("own", "few").collect()
-    for p in set(range(parts)) - {r["own"] for r in there}:
-        for name in ("pairs", "paircounts"):
-            _store(uri, f"{name}-{p}", np.zeros(0, np.int64))
-    stats = pairs.select("part", "ids", "stats").groupBy("part").applyInArrow(
-        store_stats, "part long, few array<long>, spread long, all long, kinds array<long>").collect()
-    for p in set(range(n)) - {r["part"] for r in stats}:
-        _store(uri, f"stats-{p}", np.zeros(0, np.int64))
-    _ship(spark, uri, [f"{x}-{p}" for p in range(parts) for x in ("pairs", "paircounts")] + [f"stats-{p}" for p in range(n)])
-
-    def summed(rows, name):
-        return [sum(r[name][k] for r in rows) for k in range(len(rows[0][name]) if rows else 4)]
-
-    word_discount = discounts(summed(stats, "few")) if stats else [0.0] * 4
-    every = sum(r["all"] for r in stats)
-    kinds = summed(stats, "kinds") if stats else [0, 0, 0]
-    spread = sum(d * k for d, k in zip(word_discount[1:], kinds)) / every if every else 1.0
-    return Model(uri, sizes, parts, hot, begin, tokens, max(0, int(bases[-1]) - (1 if texts else 0)),
-                 discounts(summed(there, "few")) if there else [0.0] * 4, word_discount, every, spread)
+        store_spread(table, 2, p)
+        (ids,), before = _merged(_of_level(table, 1), [kind])
+        total = np.zeros(sizes[p], np.int64)
+        total[ids.astype(np.int64) - bases[p]] = before
+        _store(uri, f"before-{p}", total)
+        numbers = np.concatenate([_few(total), _totals(total).sum(axis=0)])
+        return pa.concat_tables([_rows(_FEW - 1, [(p, None, numbers.tobytes())]), going_on(table)])
+
+    grouped = slim.mapInArrow(tasks, _COUNTED)
+    for level in range(order, 1, -1):
+        grouped = grouped.groupBy("part").applyInArrow(store_level(level), _COUNTED)
+    few = {level: {} for level in range(1, order + 1)}
+    for r in grouped.groupBy("part").applyInArrow(store_before, _COUNTED).collect():
+        few[_FEW - r["level"]][r["part"]] = np.frombuffer(r["counts"], np.int64)
+    for p in range(n):
+        if p not in few[1]:
+            _store(uri, f"before-{p}", np.zeros(sizes[p], np.int64))
+        for level in range(2, order + 1):
+            names = [] if p in few[level] else [f"{x}-{level}-{p}" for x in _STORED]
+            for name in names + ([] if p in few[level - 1] else [f"{x}-{level}-{p}" for x in _SPREAD_STORED]):
+                _store(uri, name, np.zeros(0, np.int64))
+    _ship(spark, uri, [f"{x}-{level}-{p}" for x in _STORED + _SPREAD_STORED for level in range(2, order + 1) for p in range(n)]
+          + [f"before-{p}" for p in range(n)])
+    number = {level: sum(rows.values()) if rows else np.zeros(8, np.int64) for level, rows in few.items()}
+    cuts = {level: discounts(number[level][:4].tolist()) for level in few}
+    every, kinds = int(number[1][4]), number[1][5:]
+    spread = sum(d * int(k) for d, k in zip(cuts[1][1:], kinds)) / every if every else 1.0
+    return Model(uri, order, sizes, hot, begin, tokens, max(0, int(bases[-1]) - (1 if texts else 0)), cuts, every, spread)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -339,39 +490,27 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches):
         words = _Words(model.uri, model.sizes, True)
-        pair_keys = [_load(model.uri, f"pairs-{p}", U64) for p in range(model.pairs)]
-        pair_counts = [_load(model.uri, f"paircounts-{p}", np.int64) for p in range(model.pairs)]
-        cut_pair, cut_word = np.array(model.pair_discount), np.array(model.word_discount)
+        levels = {level: _Level(model, level) for level in range(2, model.order + 1)}
+        cuts = {level: np.array(d) for level, d in model.discounts.items()}
         floor = model.spread / (model.distinct + 1)
         for part in textbuf.chunks(batches):
             keys, off = _tokens(part)
             ids = words.ids(keys)
-            before = _pairs(ids, off, model.begin if model.tokens else -1)
+            columns = _ngrams(ids, off, model.begin if model.tokens else -1, model.order)
             known = ids >= 0
-            count, seen = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
+            seen, chance = np.zeros(len(ids), np.int64), np.full(len(ids), floor)
             seen[known] = words.look(words.counts, ids[known])
-            followed = np.zeros(len(ids))
             if model.continuations:
-                word, back = np.unique(ids[known], return_inverse=True)
-                c = words.look(words.stats, word)[:, 0]
-                followed[known] = (np.maximum(c - cut_word[np.minimum(c, 3)], 0) / model.continuations)[back]
-            lower = followed + floor
-            had = before >= 0
-            both = np.flatnonzero(known & had)
-            pair, back = np.unique((before[both].astype(U64) << U64(32)) | ids[both].astype(U64), return_inverse=True)
-            of_pair = np.zeros(len(pair), np.int64)
-            for p, at in _by_part(_pair_part(pair, model.hot, model.pairs), model.pairs):
-                if len(pair_keys[p]):
-                    place = np.searchsorted(pair_keys[p], pair[at])
-                    place[place == len(pair_keys[p])] = 0
-                    of_pair[at] = np.where(pair_keys[p][place] == pair[at], pair_counts[p][place], 0)
-            count[both] = of_pair[back]
-            total, rest = np.ones(len(ids)), np.ones(len(ids))
-            context, back = np.unique(before[had], return_inverse=True)
-            all_of = np.maximum(words.look(words.counts, context), 1)
-            left = words.look(words.stats, context)[:, 1:] @ cut_pair[1:] if len(context) else np.zeros(0)
-            total[had], rest[had] = all_of[back], (left / all_of)[back]
-            chance = np.maximum(count - cut_pair[np.minimum(count, 3)], 0) / total + rest * lower
+                c = words.look(words.before, ids[known])
+                chance[known] += np.maximum(c - cuts[1][np.minimum(c, 3)], 0) / model.continuations
+            for level, stored in levels.items():
+                own = columns[-level:]
+                at = np.flatnonzero(np.logical_and.reduce([c >= 0 for c in own[:-1]]))
+                count, total = stored.look([c[at] for c in own])
+                there = total[:, 0] > 0
+                at, count, total = at[there], count[there], total[there]
+                cut_off = cuts[level]
+                chance[at] = (np.maximum(count - cut_off[np.minimum(count, 3)], 0) + total[:, 1:] @ cut_off[1:] * chance[at]) / total[:, 0]
             base = np.log10((seen + 0.5) / (model.tokens + 0.5 * (model.distinct + 1)))
             first = off[:-1]
             out = {c: part.column(c) for c in keep} | {
@@ -388,10 +527,10 @@ def held_out(id: str, folds: int, fold: int):
     return F.coalesce(F.crc32(F.col(id).cast("string")) % folds == fold, F.lit(False))
 
 
-def score_held_out(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def score_held_out(docs: DataFrame, id: str = "doc_id", text: str = "text", order: int = ORDER) -> DataFrame:
     """Score every row by a model of those that are not held out (one in five by id)."""
     rows = docs.select(F.col(id), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("held_out", held_out(id, 5, 1))
-    model = train(rows.filter(~F.col("held_out")))
+    model = train(rows.filter(~F.col("held_out")), order=order)
     try:
         scored = cut(score(rows, model))
     finally:
