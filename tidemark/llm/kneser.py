@@ -43,7 +43,8 @@ from tidemark.llm.shared import cut
 from tidemark.session import shared_dir
 
 U64 = np.uint64
-#: Tokens per key range, and keys that a task holds before it hands them on.
+#: Tokens per key range (of word pairs; of longer n-grams fewer, by their words), and keys that a task holds
+#: before it hands them on.
 RANGE_TOKENS = 6_000_000
 HELD_KEYS = 3_000_000
 #: Words of an n-gram, and the number of distinct words from which on ids take 64 bits.
@@ -370,7 +371,7 @@ def train(docs: DataFrame, text: str = "text", order: int = ORDER) -> Model:
     where.create_dir(base)
     slim = docs.select(F.col(text).alias("text"))
     size = slim.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 6).alias("n")).first()["n"] or 0
-    n = max(1, math.ceil(size / 6 / RANGE_TOKENS))
+    n = max(1, math.ceil(size / 6 * order / 2 / RANGE_TOKENS))
 
     def word_keys(part):
         keys, _ = _tokens(part)
