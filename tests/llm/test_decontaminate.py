@@ -62,6 +62,21 @@ def test_short_items_and_empty_tables(documents, benchmark):
     assert D.remove_contaminated(docs, benchmark([])).count() == 3
 
 
+@pytest.mark.parametrize("held", [1, 2_000, 32 << 20])
+def test_a_benchmark_of_many_blocks_reads_the_documents_once(spark, documents, benchmark, words, monkeypatch, held):
+    items = [(i, words.text(words.random.randint(1, 20))) for i in range(50)] + [(None, words.text(9)), (0, words.text(9)), (99, "\t\n")]
+    rows = [(i, words.text(5) + " " + typos(words, items[i % 52][1], i % 3) + " " + words.text(5)) for i in range(150)] + [(None, ""), (7, None)]
+    want = sorted(map(tuple, D.occurrences(documents(rows), benchmark(items)).collect()), key=str)
+    clean = sorted(map(tuple, D.remove_contaminated(documents(rows), benchmark(items)).collect()), key=str)
+    monkeypatch.setattr(D, "BLOCK_CHARS", 300)
+    monkeypatch.setattr(D, "HELD_BYTES", held)
+    found = D.occurrences(documents(rows), benchmark(items))
+    kept = D.remove_contaminated(documents(rows), benchmark(items))
+    assert want and sorted(map(tuple, found.collect()), key=str) == want
+    assert sorted(map(tuple, kept.collect()), key=str) == clean
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+
+
 def test_long_text(documents, benchmark, words):
     item = words.text(40)
     text = words.text(20_000) + " " + item + " " + words.text(20_000)

@@ -19,9 +19,12 @@ Q-grams that more than ``COMMON`` places of the benchmark share are left out as
 item's bound stays positive without them, the most frequent first, and the bound is lowered
 by their number: an occurrence keeps the rest of them all the same.
 
-The benchmark's index goes to the tasks with the job while it has at most
-``BLOCK_CHARS`` characters. A larger benchmark is cut into blocks of about that
-size by a hash of its items, and each block has its own pass over the documents.
+The benchmark's items go to the tasks with the job while they have at most
+``BLOCK_CHARS`` characters together; this size is counted first. A larger benchmark
+is written by Spark in blocks of about that size, by a hash of its items, to the
+shared folder, where it stays as long as checkpoints do. Tasks hold up to
+``HELD_BYTES`` of documents and take these through block after block, so the
+documents are read once, a task holds one block's index and the driver no items.
 
 Cases: null and empty texts and items contain nothing and match nothing; a null
 item id or document id stays null in the result; repeated rows match each; an
@@ -30,19 +33,24 @@ result; other columns are not read."""
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import textbuf
-from tidemark.llm.shared import empty
+from tidemark.session import shared_dir
 
 Q = 12
 SMALL_Q = 8
 RATE = 0.05
 COMMON = 32
 BLOCK_CHARS = 4_000_000
+HELD_BYTES = 32 << 20
 _BITS = 22
 U64 = np.uint64
 SCHEMA = "doc_id long, item_id long, start long, end long, edits long"
@@ -194,56 +202,84 @@ def _matches(index: Index, texts: list[str]):
                 yield row, j, start, end, edits
 
 
-def _blocks(benchmark: DataFrame, item: str, item_text: str):
-    """The items, normalized, in blocks that fit a task."""
-    items = benchmark.select(F.col(item).cast("long").alias("item_id"), F.col(item_text).alias("text")).filter("length(trim(text)) > 0").distinct()
-    size = items.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
-    n = -(-size // BLOCK_CHARS)
-    for b in range(n):
-        block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b
-        own = [(r["item_id"], normalize(r["text"])) for r in items.filter(block).orderBy("item_id", "text").collect()]
-        if own:
-            yield own
-
-
-def _scan(docs: DataFrame, items: list[tuple[int | None, str]]) -> DataFrame:
-    def run(batches):
-        indexes = _indexes(items)
-        for part in textbuf.chunks(batches):
-            ids = part.column("doc_id").to_pylist()
-            texts = [normalize(t) for t in part.column("text").to_pylist()]
-            rows = [(ids[r], index.ids[j], s, e, n) for index in indexes for r, j, s, e, n in _matches(index, texts)]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["doc_id", "item_id", "start", "end", "edits"])
-
-    return docs.mapInArrow(run, SCHEMA)
+class _Blocks:
+    """The items of a benchmark, normalized, in blocks that fit a task: one that goes with the job,
+    or several in files of the shared folder."""
+
+    def __init__(self, benchmark: DataFrame, item: str, item_text: str):
+        items = benchmark.select(F.col(item).cast("long").alias("item_id"), F.col(item_text).alias("text")).filter("length(trim(text)) > 0").distinct()
+        size = items.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
+        self.n = -(-size // BLOCK_CHARS)
+        self.own = [tuple(r) for r in items.orderBy("item_id", "text").collect()] if self.n == 1 else None
+        self.held = HELD_BYTES if self.n > 1 else 0
+        if self.n > 1:
+            self.uri = f"{shared_dir(benchmark.sparkSession).rstrip('/')}/tidemark-items-{uuid.uuid4().hex[:12]}"
+            block = F.pmod(F.xxhash64("item_id", "text"), F.lit(self.n))
+            items.withColumn("block", block).repartition(F.col("block")).write.partitionBy("block").parquet(self.uri)
+
+    def _items(self, block: int) -> list[tuple[int | None, str]]:
+        if self.own is not None:
+            return self.own
+        where, base = fs.FileSystem.from_uri(self.uri)
+        folder = f"{base}/block={block}"
+        if where.get_file_info(folder).type == fs.FileType.NotFound:  # no item has this hash
+            return []
+        files = [f.path for f in where.get_file_info(fs.FileSelector(folder)) if f.path.endswith(".parquet")]
+        rows = [r for f in files for r in pq.ParquetFile(where.open_input_file(f)).read(["item_id", "text"]).to_pylist()]
+        return sorted(((r["item_id"], r["text"]) for r in rows), key=lambda r: (r[0] is not None, r))
+
+    def indexes(self, block: int) -> list[Index]:
+        return _indexes([(i, normalize(t)) for i, t in self._items(block)])
+
+    def matches(self, batches, column: str):
+        """(rows of documents, matches in them as (row, item id, start, end, edits)), in the order of the rows."""
+        ready = self.indexes(0) if self.n == 1 else None
+        for held in _held(batches, column, self.held):
+            texts = [[normalize(t) for t in part.column(column).to_pylist()] for part in held]
+            found = [[] for _ in held]
+            for block in range(self.n):
+                for index in ready or self.indexes(block):
+                    for own, of_part in zip(found, texts):
+                        own.extend((r, index.ids[j], *place) for r, j, *place in _matches(index, of_part))
+            yield from zip(held, found)
+
+
+def _held(batches, column: str, limit: int):
+    """Lists of chunks of rows with about ``limit`` bytes of text, one chunk at least."""
+    held, size = [], 0
+    for part in textbuf.chunks(batches, column):
+        held.append(part)
+        size += part.column(column).nbytes
+        if size >= limit:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 def occurrences(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", item: str = "item_id",
                 item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, start, end, edits) of each occurrence; places count characters of the normalized text."""
-    slim = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    out = None
-    for items in _blocks(benchmark, item, item_text):
-        found = _scan(slim, items)
-        out = found if out is None else out.unionAll(found)
-    return empty(docs.sparkSession, SCHEMA) if out is None else out
+    blocks = _Blocks(benchmark, item, item_text)
+
+    def run(batches):
+        for part, found in blocks.matches(batches, "text"):
+            if found:
+                ids = part.column("doc_id").to_pylist()
+                rows = [(ids[r], *rest) for r, *rest in found]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["doc_id", "item_id", "start", "end", "edits"])
+
+    return docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, SCHEMA)
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """Rows of ``docs`` in which no benchmark item occurs, with all their columns; no shuffle."""
-    def clean(items):
-        def run(batches):
-            indexes = _indexes(items)
-            for part in textbuf.chunks(batches, text):
-                dirty = np.zeros(part.num_rows, bool)
-                texts = [normalize(t) for t in part.column(text).to_pylist()]
-                for index in indexes:
-                    for row, *_ in _matches(index, texts):
-                        dirty[row] = True
-                yield part.filter(pa.array(~dirty))
-        return run
-
-    for items in _blocks(benchmark, item, item_text):
-        docs = docs.mapInArrow(clean(items), docs.schema)
-    return docs
+    blocks = _Blocks(benchmark, item, item_text)
+
+    def run(batches):
+        for part, found in blocks.matches(batches, text):
+            dirty = np.zeros(part.num_rows, bool)
+            dirty[[r for r, *_ in found]] = True
+            yield part.filter(pa.array(~dirty))
+
+    return docs.mapInArrow(run, docs.schema)
