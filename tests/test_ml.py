@@ -146,3 +146,22 @@ def test_search_over_families_halves_and_grows(spark):
     three = data.withColumn("k", (F.col("x") % 3).cast("double"))
     best, _ = ml.search_models(three, "k", [], ["x"], ["id"], families=ml.model_families("k", 3)[-1:], rungs=(1.0,))
     assert scoring.score(three, best, keep=["k"]).where("prediction = k").count() > 550
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_split_by_few_strata_moves_no_stratum_into_one_task(spark):
+    from tidemark.operators import splits
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for a table too large to be guessed small
+    try:
+        split = splits.stratified_split(_data(spark, 1000), ["id"], "y")
+        plan = _plan(split)
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        counts = {(r["y"], r["split"]): r["count"] for r in split.groupBy("y", "split").count().collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    sizes = {r["y"]: r["count"] for r in _data(spark, 1000).groupBy("y").count().collect()}
+    assert {y: counts[y, "test"] for y in sizes} == {y: round(n * 0.2) for y, n in sizes.items()}

@@ -67,12 +67,13 @@ def stratified_split(df: DataFrame, keys: Sequence[str], stratum: str, test_frac
     goal = F.bround(F.col("_tm_n") * F.lit(float(test_fraction)), 0)
     cut = (run.where((F.col("_tm_u") >= goal) & (F.col("_tm_u") - F.col("_tm_c") < goal))
            .select(F.col("_tm_s").alias("_tm_cs"), F.col("_tm_b").alias("_tm_cb"), (goal - F.col("_tm_u") + F.col("_tm_c")).alias("_tm_need")))
-    inside = slim.join(cut, slim["_tm_s"].eqNullSafe(F.col("_tm_cs")) & (top == F.col("_tm_cb")))
+    inside = slim.join(F.broadcast(cut), slim["_tm_s"].eqNullSafe(F.col("_tm_cs")) & (top == F.col("_tm_cb")))
     rank = F.row_number().over(Window.partitionBy("_tm_cs").orderBy("_tm_h"))
     last = (inside.withColumn("_tm_r", rank).where(F.col("_tm_r") == F.col("_tm_need"))
             .select("_tm_cs", F.col("_tm_h").alias("_tm_last")))
     staged = df.withColumn("_tm_h", h)
-    out = staged.join(last, staged[stratum].eqNullSafe(F.col("_tm_cs")), "left")  # one row per stratum
+    # One row per stratum. Dealt by stratum, a whole stratum would be one task.
+    out = staged.join(F.broadcast(last), staged[stratum].eqNullSafe(F.col("_tm_cs")), "left")
     test = F.coalesce(F.col("_tm_h") <= F.col("_tm_last"), F.lit(False))
     return out.withColumn(name, F.when(test, F.lit("test")).otherwise(F.lit("train"))).drop("_tm_h", "_tm_cs", "_tm_last")
 
