@@ -239,3 +239,29 @@ def test_versions_without_opening_files(spark, database, tmp_path):
     assert sorted(r.version for r in found.collect()) == [3, 11]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "binaryFile" in plan and "ReadSchema: struct<>" in plan  # names only, no content
+
+
+def test_reading_as_of_moves_no_period_into_one_task(spark):
+    from tidemark.sources import io
+    rows = spark.createDataFrame([(1, "a", 1), (2, "a", 2), (3, "b", 1), (4, None, 1), (5, "b", 3)], "id long, period string, ingest_version int")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = io.read_as_of(rows, 2, "period")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert {r["id"] for r in found.collect()} == {2, 3, 4}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_quantile_counts_sort_no_table(spark, monkeypatch):
+    from tidemark.operators import stats
+    seen, write = [], stats.materialize
+    monkeypatch.setattr(stats, "materialize", lambda df: seen.append(df) or write(df))
+    big = 2 ** 53
+    df = spark.range(2000).select((F.col("id") + big).alias("k"), (F.col("id") * 0.5).alias("x"))
+    got = {r["feature"]: r for r in stats.quantiles(df, ["k", "x"], {"50%": 0.5}, texts=True).collect()}
+    moments, counts = (d._jdf.queryExecution().executedPlan().toString() for d in seen[:2])  # those that read the table
+    assert "SortAggregate" not in moments + counts and "HashAggregate" in counts
+    assert got["k"]["50%__text"] == f"{big + 999}.5" and got["k"]["max__text"] == str(big + 1999) and got["x"]["50%"] == 499.75

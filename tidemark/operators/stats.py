@@ -107,11 +107,16 @@ def bracketed(df: DataFrame, columns: Sequence[str], probs: dict[str, float], ke
     for i in range(0, len(ends), 2):
         inside = inside | v.between(F.col("_cuts")[i], F.col("_cuts")[i + 1])
     below = sum(((F.col("_cuts")[i] < v).cast("int") for i in range(len(ends))), F.lit(0))
-    counts = (placed.groupBy(*by, below.alias("_place"), F.when(inside, pair).alias("_at"))
-              .agg(F.count(F.lit(1)).alias("_n"), F.min(pair).alias("_low"), F.max(pair).alias("_top")))
+    # Plain columns, no structs: Spark aggregates these in a hash table, but sorts whole partitions for the smallest struct.
+    # A value's own kind rises with its double, so the ends of both belong together (null where that kind cannot hold it).
+    x, no_x = F.col("exact"), F.col("exact").isNull()
+    low_x = F.when(~F.min_by(no_x, v), F.min(x))
+    top_x = F.when(~F.max_by(no_x, v), F.max(x))
+    counts = (placed.groupBy(*by, below.alias("_place"), F.when(inside, v).alias("_at"), F.when(inside, x).alias("_at_exact"))
+              .agg(F.count(F.lit(1)).alias("_n"), F.min(v).alias("_low_v"), low_x.alias("_low_x"), F.max(v).alias("_top_v"), top_x.alias("_top_x")))
 
     def entry(end, n, gap):
-        return F.struct(F.col(f"{end}.value").alias("value"), F.col(f"{end}.exact").alias("exact"), n.alias("_cnt"), gap.alias("_gap"))
+        return F.struct(F.col(f"{end}_v").alias("value"), F.col(f"{end}_x").alias("exact"), n.alias("_cnt"), gap.alias("_gap"))
 
     no, n = F.lit(False), F.col("_n")
     ends_of = F.array(entry("_low", F.lit(1).cast("long"), no), entry("_top", n - 1, n > 2))

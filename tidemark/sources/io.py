@@ -127,7 +127,7 @@ def read_as_of(df: DataFrame, version: int, period_col: str | None = None) -> Da
         return upto
     newest = upto.groupBy(F.col(period_col).alias("_tm_p")).agg(F.max(VERSION_COL).alias("_tm_v"))
     same = upto[period_col].eqNullSafe(newest["_tm_p"]) & (upto[VERSION_COL] == newest["_tm_v"])
-    return upto.join(newest, same, "left_semi")
+    return upto.join(F.broadcast(newest), same, "left_semi")  # dealt by period, a whole period would be one task
 
 
 def with_versions(df: DataFrame, version: "F.Column") -> DataFrame:
