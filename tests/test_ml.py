@@ -165,3 +165,39 @@ def test_a_split_by_few_strata_moves_no_stratum_into_one_task(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     sizes = {r["y"]: r["count"] for r in _data(spark, 1000).groupBy("y").count().collect()}
     assert {y: counts[y, "test"] for y in sizes} == {y: round(n * 0.2) for y, n in sizes.items()}
+
+
+def test_a_large_forest_grows_in_parts(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(ml, "TREES_PER_FIT", 4)
+    data, indexer = ml.index_label(_data(spark, 600).withColumn("target", F.col("x") * 2), "y")
+    model = ml.build_pipeline(["c"], ["x", "z"], ml.rf_regressor("target", num_trees=10, max_depth=4)).fit(data)
+    forests = [s for s in model.stages if hasattr(s, "featureImportances")]
+    assert [s.getNumTrees for s in forests] == [4, 3, 3] and len({s.trees[0].toDebugString for s in forests}) == 3
+    path = f"{tmp_path}/m"
+    model.write().save(path)
+    again = ml.PipelineModel.load(path)
+    # the mean of the ten trees, tree by tree
+    ready = data
+    for s in model.stages[:-len(forests) - 1]:
+        ready = s.transform(ready)
+    rows = ready.select("id", ml.FEATURES).limit(20).collect()
+    scored = {r["id"]: r["prediction"] for r in again.transform(data).select("id", "prediction").collect()}
+    for r in rows:
+        mean = sum(t.predict(r[ml.FEATURES]) for s in forests for t in s.trees) / 10
+        assert abs(scored[r["id"]] - mean) < 1e-9
+    assert again.transform(data).columns == [*ready.columns, "prediction"]
+    assert abs(sum(r["importance"] for r in ml.feature_importances(model, data).collect()) - 1) < 1e-9
+
+    vote = ml.build_pipeline(["c"], ["x", "z"], ml.rf_classifier("label_idx", num_trees=10, max_depth=4)).fit(data)
+    out = scoring.score_proba(data, vote, indexer.labels, keep=["id", "y"]).collect()
+    assert all(abs(r["prob_hi"] + r["prob_lo"] - 1) < 1e-9 for r in out)
+    assert all(r["prediction"] == max(("hi", "lo"), key=lambda k: r[f"prob_{k}"]) for r in out)
+    assert sum(r["y"] == r["prediction"] for r in out) > 590
+
+
+def test_only_deep_forests_keep_node_ids_of_rows():
+    for est in (ml.rf_regressor("y", 500, 5), ml.rf_classifier("y", 20, 6), ml.tree_regressor("y"), ml.tree_classifier("y")):
+        assert not any(s.getCacheNodeIds() for s in ml.forest_stages(est) if not isinstance(s, ml.ForestVote))
+    *parts, vote = ml.forest_stages(ml.rf_classifier("y", 120, 10))
+    assert all(s.getCacheNodeIds() and s.getCheckpointInterval() == -1 and s.getNumTrees() <= ml.TREES_PER_FIT for s in parts)
+    assert vote.getOrDefault("trees") == [40, 40, 40] and len({s.getSeed() for s in parts}) == 3
