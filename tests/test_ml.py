@@ -201,3 +201,73 @@ def test_only_deep_forests_keep_node_ids_of_rows():
     *parts, vote = ml.forest_stages(ml.rf_classifier("y", 120, 10))
     assert all(s.getCacheNodeIds() and s.getCheckpointInterval() == -1 and s.getNumTrees() <= ml.TREES_PER_FIT for s in parts)
     assert vote.getOrDefault("trees") == [40, 40, 40] and len({s.getSeed() for s in parts}) == 3
+
+
+def _labelled(spark, n):
+    """Real-valued numbers that do not repeat, a category with nulls and a label that follows from both."""
+    r = F.rand(3)
+    df = spark.range(n).select("id", (r * 1000).alias("x"), F.when(F.col("id") % 9 > 0, F.rand(4)).alias("z"),
+                               F.when(F.col("id") % 4 > 0, F.concat(F.lit("c"), (F.col("id") % 3).cast("string"))).alias("c"))
+    return df.withColumn("y", F.when(F.col("x") < 300, "a").when((F.col("c") == "c1") & (F.col("x") < 800), "b").otherwise("d")).localCheckpoint()
+
+
+def test_trees_are_fitted_on_row_groups_that_count_every_row(spark, monkeypatch, tmp_path):
+    df = _labelled(spark, 20_000)
+    data, indexer = ml.index_label(df, "y")
+    seen, fit_groups = [], ml.fit_groups
+    monkeypatch.setattr(ml, "fit_groups", lambda e, g: seen.append(g) or fit_groups(e, g))
+    model = ml.fit_classifier(data, "label_idx", ["c"], ["x", "z"], ml.rf_classifier("label_idx", num_trees=12, max_depth=6))
+    groups = seen[0].agg(F.count("*").alias("n"), F.sum(ml.WEIGHT).alias("w")).first()
+    assert groups["w"] == 20_000 and groups["n"] <= 20_000 // ml.ROWS_PER_GROUP
+    forest = model.stages[-1]
+    assert forest.getNumTrees == 12 and len({t.toDebugString for t in forest.trees}) > 1
+    scored = scoring.score_proba(data, model, indexer.labels, keep=["y"])
+    assert scored.where("prediction = y").count() > 19_000
+    path = f"{tmp_path}/m"
+    model.write().save(path)
+    again = ml.PipelineModel.load(path).transform(data).select("id", F.col("probability").alias("p"))
+    assert model.transform(data).join(again, "id").where("p = probability").count() == 20_000
+    slots = [r["feature"] for r in ml.feature_importances(model, data).collect()]
+    assert slots == ["x__imp", "z__imp", "c__ohe_c0", "c__ohe_c1", "c__ohe_c2"]
+
+
+def test_a_group_is_drawn_as_often_as_its_rows(spark):
+    groups = spark.range(400).select("id", F.lit(50.0).alias(ml.WEIGHT))
+    draws = [ml.bootstrap_weights(groups.repartition(n), ["id"], 2, 42).sort("id").collect() for n in (1, 3)]
+    assert draws[0] == draws[1]  # a group's draws do not depend on where it lies
+    drawn = [v for r in draws[0] for v in r["_tm_drawn"]]
+    mean = sum(drawn) / len(drawn)
+    assert len(drawn) == 400 * ml.TREES_PER_DRAW and abs(mean - 50) < 1
+    assert 40 < sum((v - mean) ** 2 for v in drawn) / len(drawn) < 60  # Poisson(50)
+
+
+def test_boosted_trees_on_groups_are_those_on_rows(spark):
+    df = _labelled(spark, 8000).withColumn("k", (F.col("y") == "b").cast("double"))
+    steps = ml.Pipeline(stages=ml.preprocessing_stages(["c"], ["x", "z"], ml.MAX_BINS)).fit(df)
+    ready, groups = steps.transform(df), ml.row_groups(df, steps, "k", ["c"], ["x", "z"], least=0)
+    boosted = ml.GBTClassifier(labelCol="k", featuresCol=ml.BINNED, maxIter=3, maxDepth=3, seed=1)
+    on_rows, on_groups = boosted.fit(ready), ml.fit_groups(boosted, groups)
+    same = on_rows.transform(ready).select("id", F.col("prediction").alias("p")).join(on_groups.transform(ready).select("id", "prediction"), "id")
+    assert same.where("p = prediction").count() == 8000
+
+
+def test_bins_hold_their_upper_end_and_keep_few_values_apart(spark):
+    df = spark.createDataFrame([(float(i % 2 if i < 20 else 0), float(i)) for i in range(2000)], "rare double, x double")
+    bins = ml.FeatureBins(inputCols=["rare", "x"], outputCols=["r", "b"], maxBins=4).fit(df)
+    out = bins.transform(df)
+    assert {(v["rare"], v["r"]) for v in out.select("rare", "r").distinct().collect()} == {(0.0, 0.0), (1.0, 1.0)}
+    ends = [v["e"] for v in out.groupBy("b").agg(F.max("x").alias("e")).sort("b").collect()]
+    assert len(ends) == 4 and all(abs(e - t) <= 2 for e, t in zip(ends, (499, 999, 1499, 1999)))
+
+
+def test_settings_that_differ_in_trees_share_them(spark, monkeypatch):
+    data, _ = ml.index_label(_labelled(spark, 20_000), "y")
+    grown, grow = [], ml.grow_trees
+    monkeypatch.setattr(ml, "grow_trees", lambda e, g, first, n: grown.append(max(n, 0)) or grow(e, g, first, n))
+    steps = ml.Pipeline(stages=ml.preprocessing_stages(["c"], ["x", "z"], ml.MAX_BINS)).fit(data)
+    shared = ml.SharedTrees(ml.row_groups(data, steps, "label_idx", ["c"], ["x", "z"]))
+    small, large = (shared.forest(ml.rf_classifier("label_idx", n, 3)) for n in (4, 6))
+    assert sum(grown) == 6
+    assert [t.toDebugString.split("\n", 1)[1] for t in small.trees] == [t.toDebugString.split("\n", 1)[1] for t in large.trees[:4]]
+    again = ml.grow_trees(ml.rf_classifier("label_idx", 6, 3), shared.groups, 0, 6)
+    assert [f.trees[0].toDebugString.split("\n", 1)[1] for f in again] == [t.toDebugString.split("\n", 1)[1] for t in large.trees]

@@ -10,26 +10,46 @@ reach the driver."""
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
-
+import math
+from collections import defaultdict
+from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
+
+import numpy as np
+import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression, OneVsRest,
+                                       RandomForestClassificationModel, RandomForestClassifier)
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Bucketizer, OneHotEncoder, OneHotEncoderModel, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.param.shared import HasInputCols
+from pyspark.ml.param.shared import HasInputCol, HasInputCols, HasOutputCol, HasOutputCols
 from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import impute, metrics, splits, stats
 
 FEATURES = "features"
+# The vector with the bins of the numbers in place of the numbers; its slots are those of FEATURES.
+BINNED = "features_binned"
+WEIGHT = "_tm_weight"
+# A classifier's trees look at bins, so rows with equal bins, levels and label can be one row with a
+# weight. Done where that leaves at most one row of so many; otherwise the rows themselves are fitted.
+ROWS_PER_GROUP = 4
+# Bins of a number: Spark's default for a tree.
+MAX_BINS = 32
+GROUPS_PER_PARTITION = 40_000
+# Trees of one forest that grow at the same time on row groups: each is a chain of small jobs.
+TREES_AT_ONCE = 8
+# Trees whose draws are written together: each tree's fit reads those of all of them.
+TREES_PER_DRAW = 10
 # Tree training: per-pass node statistics budget (MB), so many trees grow per pass over
 # the data instead of a few.
 TREE_MEMORY_MB = 512
@@ -112,14 +132,60 @@ class MedianImputer(Estimator, HasInputCols, DefaultParamsReadable, DefaultParam
         return MedianImputerModel(inputCols=cols, fills=json.dumps({r["feature"]: r["fill"] for r in rows}))
 
 
-def preprocessing_stages(categorical: Sequence[str], numeric: Sequence[str]) -> list:
+class FeatureBins(Estimator, HasInputCols, HasOutputCols, DefaultParamsReadable, DefaultParamsWritable):
+    """Bins of numeric columns for trees, found over all rows: one for each value of a column with at
+    most ``maxBins`` values, else between quantiles. Fits to Spark's ``Bucketizer``. A bin holds its
+    upper end, as a tree's split does."""
+
+    maxBins = Param(Params._dummy(), "maxBins", "most bins of a column", typeConverter=TypeConverters.toInt)
+
+    @keyword_only
+    def __init__(self, inputCols=None, outputCols=None, maxBins=MAX_BINS):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset: DataFrame) -> Bucketizer:
+        cols, bins = self.getInputCols(), self.getOrDefault(self.maxBins)
+        at = [i / bins for i in range(1, bins)]
+        found = dataset.agg(*[F.approx_count_distinct(c).alias(f"n{i}") for i, c in enumerate(cols)],
+                            *[F.percentile_approx(c, at, 10_000).alias(f"q{i}") for i, c in enumerate(cols)]).first()
+        splits_of = []
+        for i, c in enumerate(cols):
+            ends = found[f"q{i}"] or []
+            if found[f"n{i}"] <= 2 * bins:  # a bounded list: the estimate is a few percent off
+                values = sorted(r[0] for r in dataset.select(c).where(F.col(c).isNotNull()).distinct().collect())
+                ends = values[:-1] if len(values) <= bins else ends
+            # Bucketizer's bins hold their lower end: the next number after it is the first of the next bin
+            cuts = sorted({x for x in (math.nextafter(e, math.inf) for e in ends) if math.isfinite(x)})
+            splits_of.append([-math.inf, *(cuts or [0.0]), math.inf])
+        return Bucketizer(splitsArray=splits_of, inputCols=cols, outputCols=self.getOutputCols(), handleInvalid="keep")
+
+
+class PlainVector(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """A vector column as dense and without attributes. Trees then compare every slot with a number; for a
+    slot of zeros and ones that is the one split it also has as a category, found and followed faster."""
+
+    @keyword_only
+    def __init__(self, inputCol=None, outputCol=None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return dataset.withColumn(self.getOutputCol(), array_to_vector(vector_to_array(self.getInputCol())))
+
+
+def preprocessing_stages(categorical: Sequence[str], numeric: Sequence[str], max_bins: int | None = None) -> list:
     """Imputation + one-hot + assembly. A level that training did not see gets
-    the index after the last level, which the encoder drops: all zeros."""
+    the index after the last level, which the encoder drops: all zeros. With ``max_bins``
+    there is a second vector, BINNED, with the bins of the numbers."""
     stages: list = []
     categorical, numeric = list(categorical), list(numeric)
     if numeric:
         stages.append(MedianImputer(inputCols=numeric))
     vec_in = [f"{c}__imp" for c in numeric]
+    bins = [f"{c}__bin" for c in numeric]
+    if numeric and max_bins:
+        stages.append(FeatureBins(inputCols=vec_in, outputCols=bins, maxBins=max_bins))
     if categorical:
         stages.append(ModeImputer(inputCols=categorical))
         idx = [f"{c}__idx" for c in categorical]
@@ -128,6 +194,10 @@ def preprocessing_stages(categorical: Sequence[str], numeric: Sequence[str]) ->
                                     stringOrderType="alphabetAsc"))
         stages.append(OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True))
         vec_in += ohe
+        bins += ohe
+    if max_bins:
+        stages.append(VectorAssembler(inputCols=bins, outputCol=f"{BINNED}__parts", handleInvalid="keep"))
+        stages.append(PlainVector(inputCol=f"{BINNED}__parts", outputCol=BINNED))
     stages.append(VectorAssembler(inputCols=vec_in, outputCol=FEATURES, handleInvalid="keep"))
     return stages
 
@@ -183,6 +253,133 @@ def forest_stages(estimator) -> list:
     return [*parts, ForestVote(trees=trees, classes=classes, predictionCol=estimator.getPredictionCol())]
 
 
+def row_groups(df: DataFrame, steps: PipelineModel, label: str, categorical: Sequence[str], numeric: Sequence[str],
+               least: int = ROWS_PER_GROUP) -> DataFrame | None:
+    """The rows of ``df`` (as it was before ``steps``, which are fitted with bins) as one row for each label, bins and
+    levels that occur, with their number as WEIGHT and the vector BINNED, in a fixed order. None if that
+    leaves more than one row of ``least``."""
+    bins, levels = [f"{c}__bin" for c in numeric], [f"{c}__idx" for c in categorical]
+    # the sum drops the bucketizer's metadata: bins are numbers to a tree, not categories
+    same = steps.transform(df).select(label, *[(F.col(c) + 0.0).alias(c) for c in bins], *levels)
+    counts = same.groupBy(label, *bins, *levels).agg(F.count(F.lit(1)).cast("double").alias(WEIGHT)).checkpoint(eager=True)
+    n, rows = counts.agg(F.count(F.lit(1)), F.sum(WEIGHT)).first()
+    if n * least > (rows or 0):
+        return None
+    for step in steps.stages:
+        if isinstance(step, (OneHotEncoderModel, PlainVector)) or isinstance(step, VectorAssembler) and step.getOutputCol() != FEATURES:
+            counts = step.transform(counts)
+    keys = [label, *bins, *levels]
+    return stable_input(counts.select(*keys, BINNED, WEIGHT), keys, max(1, -(-n // GROUPS_PER_PARTITION)))
+
+
+def groups_alike(estimator) -> bool:
+    """Whether ``estimator`` gives the same model on row groups with weights as on their rows: boosted trees on
+    all rows, and forests whose trees draw as many rows as there are, with no more than one row asked of a leaf."""
+    if isinstance(estimator, OneVsRest):
+        return not estimator.isSet(estimator.weightCol) and groups_alike(estimator.getClassifier())
+    if not isinstance(estimator, (RandomForestClassifier, GBTClassifier)):
+        return False
+    whole = estimator.getSubsamplingRate() == 1.0 and estimator.getMinInstancesPerNode() == 1 and not estimator.isSet(estimator.weightCol)
+    return whole and estimator.getMaxBins() == MAX_BINS and (isinstance(estimator, GBTClassifier) or estimator.getBootstrap())
+
+
+def bootstrap_weights(groups: DataFrame, keys: Sequence[str], draw: int, seed: int) -> DataFrame:
+    """Adds ``_tm_drawn``: how often each tree of draw number ``draw`` (TREES_PER_DRAW trees) draws the rows of a
+    group. A bootstrap draws each row Poisson(1) times, so a group of ``w`` rows together Poisson(w) times."""
+    n = TREES_PER_DRAW
+
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def drawn(it: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for key, weight in it:
+            yield pd.Series([np.random.default_rng([seed % 2 ** 64, draw, int(k) % 2 ** 64]).poisson(w, n).astype(float)
+                             for k, w in zip(key, weight)], index=key.index, dtype=object)
+
+    return groups.withColumn("_tm_drawn", drawn(F.xxhash64(*keys), F.col(WEIGHT)))
+
+
+def grow_trees(estimator: RandomForestClassifier, groups: DataFrame, first: int, n: int) -> list[RandomForestClassificationModel]:
+    """Trees number ``first`` to ``first + n - 1`` of a forest on ``row_groups``, each on its own bootstrap, as forests of one."""
+    if n <= 0:
+        return []
+    features = estimator.getFeatureSubsetStrategy()
+    one = estimator.copy({estimator.numTrees: 1, estimator.bootstrap: False, estimator.weightCol: "_tm_w", estimator.featuresCol: BINNED,
+                          estimator.featureSubsetStrategy: "sqrt" if features == "auto" else features, estimator.cacheNodeIds: False})
+    keys = [c for c in groups.columns if c not in (BINNED, WEIGHT)]
+    draws = range(first // TREES_PER_DRAW, (first + n - 1) // TREES_PER_DRAW + 1)
+
+    def draw(k):
+        return bootstrap_weights(groups, keys, k, estimator.getSeed()).select(one.getLabelCol(), BINNED, "_tm_drawn").checkpoint(eager=True)
+
+    with ThreadPoolExecutor(TREES_AT_ONCE) as pool:  # each thread only submits Spark jobs
+        drawn = dict(zip(draws, pool.map(draw, draws)))
+
+        def grow(i):
+            own = drawn[i // TREES_PER_DRAW].select(one.getLabelCol(), BINNED, F.col("_tm_drawn")[i % TREES_PER_DRAW].alias("_tm_w"))
+            return one.copy({one.seed: estimator.getSeed() + i}).fit(own.where("_tm_w > 0"))
+
+        return list(pool.map(grow, range(first, first + n)))
+
+
+def join_trees(estimator: RandomForestClassifier, trees: Sequence[RandomForestClassificationModel]) -> RandomForestClassificationModel:
+    """One forest of the trees of ``grow_trees``."""
+    sc = SparkSession.active().sparkContext
+    of = sc._jvm.org.apache.spark.ml.classification
+    grown = sc._gateway.new_array(of.DecisionTreeClassificationModel, len(trees))
+    for i, t in enumerate(trees):
+        grown[i] = t._java_obj.trees()[0]
+    model = RandomForestClassificationModel(of.RandomForestClassificationModel(grown, trees[0].numFeatures, trees[0].numClasses))
+    for c in ("labelCol", "predictionCol", "probabilityCol", "rawPredictionCol", "maxDepth", "seed", "featureSubsetStrategy"):
+        model._set(**{c: estimator.getOrDefault(c)})
+    model._set(featuresCol=BINNED, numTrees=len(trees))
+    model._transfer_params_to_java()
+    return model
+
+
+def fit_groups(estimator, groups: DataFrame):
+    """``estimator`` fitted on ``row_groups`` (see ``groups_alike``)."""
+    if isinstance(estimator, RandomForestClassifier):
+        return join_trees(estimator, grow_trees(estimator, groups, 0, estimator.getNumTrees()))
+    more = {estimator.weightCol: WEIGHT, estimator.featuresCol: BINNED}
+    if isinstance(estimator, OneVsRest):
+        inner = estimator.getClassifier()
+        more[estimator.classifier] = inner.copy({inner.featuresCol: BINNED})
+    return estimator.copy(more).fit(groups)
+
+
+class SharedTrees:
+    """Forests on the same row groups that differ only in their number of trees: the smaller one is
+    the first trees of the larger one, and each tree is grown once. "sqrt" and "log2" that come to the same number of
+    features are one setting."""
+
+    def __init__(self, groups: DataFrame):
+        self.groups, self.grown, self.locks = groups, defaultdict(list), defaultdict(Lock)
+        self.slots = groups.select(BINNED).first()[0].size
+        self.opening = Lock()
+
+    def _features(self, strategy: str):
+        return {"sqrt": math.ceil(math.sqrt(self.slots)), "log2": max(1, math.ceil(math.log(self.slots) / math.log(2)))}.get(strategy, strategy)
+
+    def forest(self, estimator: RandomForestClassifier) -> RandomForestClassificationModel:
+        key, n = (estimator.getMaxDepth(), self._features(estimator.getFeatureSubsetStrategy())), estimator.getNumTrees()
+        with self.opening:
+            lock = self.locks[key]
+        with lock:
+            have = self.grown[key]
+            have += grow_trees(estimator, self.groups, len(have), n - len(have))
+        return join_trees(estimator, have[:n])
+
+
+def fit_classifier(df: DataFrame, label: str, categorical: Sequence[str], numeric: Sequence[str], estimator) -> PipelineModel:
+    """The pipeline of ``build_pipeline``, fitted on ``df``; a forest on row groups where those are few."""
+    if not groups_alike(estimator):
+        return build_pipeline(categorical, numeric, estimator).fit(df)
+    steps = Pipeline(stages=preprocessing_stages(categorical, numeric, MAX_BINS)).fit(df)
+    groups = row_groups(df, steps, label, categorical, numeric)
+    if groups is None:
+        return build_pipeline(categorical, numeric, estimator).fit(df)
+    return PipelineModel(stages=[*steps.stages, fit_groups(estimator, groups)])
+
+
 def build_pipeline(categorical: Sequence[str], numeric: Sequence[str], estimator) -> Pipeline:
     return Pipeline(stages=preprocessing_stages(categorical, numeric) + forest_stages(estimator))
 
@@ -250,7 +447,7 @@ def train_classifier(df: DataFrame, label: str, categorical: Sequence[str], nume
     s = stable_input(splits.stratified_split(indexed, keys, label, test_fraction, seed), keys, partitions)
     est = estimator or rf_classifier("label_idx", seed=seed)
     est.setLabelCol("label_idx")
-    model = build_pipeline(categorical, numeric, est).fit(s.where(F.col("split") == "train"))
+    model = fit_classifier(s.where(F.col("split") == "train"), "label_idx", categorical, numeric, est)
     pred = model.transform(s.where(F.col("split") == "test"))
     return model, indexer, pred, metrics.multiclass_metrics(pred, "label_idx", "prediction")
 
