@@ -477,11 +477,10 @@ def search_classifier(train: DataFrame, label: str, categorical: Sequence[str],
     the settings with the smallest hashes, which spread over all its dimensions.
     With ``time_limit`` (seconds) settings are tried in that order, in rounds of
     ``parallelism``, and no round starts once the time is spent; the best model
-    so far is returned. Returns (best PipelineModel, table of trial, numTrees,
-    maxDepth, featureSubsetStrategy, f1)."""
+    so far is returned. On row groups, settings that differ in the number of trees share their first trees.
+    Returns (best PipelineModel, table of trial, numTrees, maxDepth, featureSubsetStrategy, f1)."""
     import hashlib
     import time
-    from concurrent.futures import ThreadPoolExecutor
 
     rf = rf_classifier(label, seed=seed)
     grid = (ParamGridBuilder().addGrid(rf.numTrees, [20, 50, 100]).addGrid(rf.maxDepth, [3, 5, 7])
@@ -496,12 +495,22 @@ def search_classifier(train: DataFrame, label: str, categorical: Sequence[str],
     # Preprocessing does not depend on the setting: fitted and applied once per fold.
     sides = []
     for k in range(folds):
-        fitted = Pipeline(stages=preprocessing_stages(categorical, numeric)).fit(data.where(F.col("_fold") != k))
+        rows, held = data.where(F.col("_fold") != k), data.where(F.col("_fold") == k)
+        fitted = Pipeline(stages=preprocessing_stages(categorical, numeric, MAX_BINS)).fit(rows)
+        groups = row_groups(rows, fitted, label, categorical, numeric)
+        if groups is not None:
+            sides.append((SharedTrees(groups), row_groups(held, fitted, label, categorical, numeric, least=0)))
+            continue
         ready = fitted.transform(data).select(label, FEATURES, "_fold").checkpoint(eager=True)
         sides.append((ready.where(F.col("_fold") != k), ready.where(F.col("_fold") == k)))
 
+    def f1_of(pm, fit, test):
+        if isinstance(fit, SharedTrees):
+            return ev.copy({ev.weightCol: WEIGHT}).evaluate(fit.forest(rf.copy(pm)).transform(test))
+        return ev.evaluate(Pipeline(stages=forest_stages(rf.copy(pm))).fit(fit).transform(test))
+
     def mean_f1(pm):
-        return sum(ev.evaluate(Pipeline(stages=forest_stages(rf.copy(pm))).fit(fit).transform(test)) for fit, test in sides) / folds
+        return sum(f1_of(pm, fit, test) for fit, test in sides) / folds
 
     start = time.monotonic()
     results, best, best_f1 = [], None, float("-inf")
@@ -514,7 +523,7 @@ def search_classifier(train: DataFrame, label: str, categorical: Sequence[str],
                 results.append((i + j, *setting(pm), float(f1)))
                 if f1 > best_f1:
                     best, best_f1 = pm, f1
-    best_model = build_pipeline(categorical, numeric, rf.copy(best)).fit(data) if best is not None else None
+    best_model = fit_classifier(data, label, categorical, numeric, rf.copy(best)) if best is not None else None
     schema = "trial int, numTrees int, maxDepth int, featureSubsetStrategy string, f1 double"
     return best_model, train.sparkSession.createDataFrame(results, schema)
 
