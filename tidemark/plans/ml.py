@@ -554,7 +554,6 @@ def search_models(train: DataFrame, label: str, categorical: Sequence[str], nume
     starts once the time is spent. Equal scores go to the earlier setting. Returns (best
     PipelineModel, trials: rung, family, setting, n_rows, f1, kept)."""
     import time
-    from concurrent.futures import ThreadPoolExecutor
 
     n_classes = train.select(label).distinct().count()
     settings = list(families if families is not None else model_families(label, n_classes, seed))
@@ -568,10 +567,16 @@ def search_models(train: DataFrame, label: str, categorical: Sequence[str], nume
             break
         rows = data.where((F.col("_at") >= 0) & (F.col("_at") < part))
         n_rows = rows.count()
-        steps = Pipeline(stages=preprocessing_stages(categorical, numeric)).fit(rows)
-        ready, test = (steps.transform(d).select(label, FEATURES).checkpoint(eager=True) for d in (rows, data.where(F.col("_at") < 0)))
-
-        def fitted(item, ready=ready, test=test):
+        held = data.where(F.col("_at") < 0)
+        steps = Pipeline(stages=preprocessing_stages(categorical, numeric, MAX_BINS)).fit(rows)
+        ready, test = (steps.transform(d).select(label, FEATURES).checkpoint(eager=True) for d in (rows, held))
+        groups = row_groups(rows, steps, label, categorical, numeric) if any(groups_alike(e) for _, _, e in settings) else None
+        held_groups = row_groups(held, steps, label, categorical, numeric, least=0) if groups is not None else None
+
+        def fitted(item, ready=ready, test=test, groups=groups, held_groups=held_groups):
+            if groups is not None and groups_alike(item[2]):  # trees look at bins: the same fit on one row per group
+                model = fit_groups(item[2], groups)
+                return model, float(ev.copy({ev.weightCol: WEIGHT}).evaluate(model.transform(held_groups)))
             model = item[2].fit(ready)
             return model, float(ev.evaluate(model.transform(test)))
 
