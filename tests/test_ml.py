@@ -273,3 +273,77 @@ def test_settings_that_differ_in_trees_share_them(spark, monkeypatch):
     assert [t.toDebugString.split("\n", 1)[1] for t in small.trees] == [t.toDebugString.split("\n", 1)[1] for t in large.trees[:4]]
     again = ml.grow_trees(ml.rf_classifier("label_idx", 6, 3), shared.groups, 0, 6)
     assert [f.trees[0].toDebugString.split("\n", 1)[1] for f in again] == [t.toDebugString.split("\n", 1)[1] for t in large.trees]
+
+
+def _priced(spark, n):
+    """Numbers that do not repeat, with nulls, a category, and a target that follows from them up to noise; one cell of many rows."""
+    df = _labelled(spark, n)
+    return df.select("id", F.when(F.col("id") % 3 > 0, F.col("x")).otherwise(7.0).alias("x"), F.when(F.col("id") % 3 > 0, F.col("z")).otherwise(0.5).alias("z"),
+                     F.when(F.col("id") % 3 > 0, F.col("c")).otherwise("c0").alias("c")).withColumn("y", F.col("x") * 3 + F.when(F.col("c") == "c1", 500).otherwise(0) + F.rand(9)).localCheckpoint()
+
+
+def _lists(spark, n, monkeypatch, most=1000):
+    monkeypatch.setattr(ml, "TARGETS_PER_ROW", most)
+    df = _priced(spark, n)
+    steps = ml.Pipeline(stages=ml.preprocessing_stages(["c"], ["x", "z"], ml.MAX_BINS)).fit(df)
+    return df, steps, ml.target_lists(df, steps, "y", ["c"], ["x", "z"], least=0)
+
+
+def test_lists_hold_every_target_and_a_large_cell_is_dealt_out(spark, monkeypatch):
+    df, _, lists = _lists(spark, 12_000, monkeypatch)
+    kept = lists.select(F.explode(ml.TARGETS).alias("y")).agg(F.count("y").alias("n"), F.sum("y").alias("s")).first()
+    assert kept["n"] == 12_000 and abs(kept["s"] - df.agg(F.sum("y")).first()[0]) < 1e-3
+    cells = lists.groupBy(*lists.columns[:3]).agg(F.count("*").alias("rows"), F.sum(F.size(ml.TARGETS)).alias("n")).collect()
+    assert max(r["n"] for r in cells) >= 4000 and all(r["rows"] == 1 for r in cells if r["n"] <= 1000)
+    assert max(r["rows"] for r in cells) >= 4 and lists.agg(F.max(F.size(ml.TARGETS))).first()[0] < 1500
+    steps = ml.Pipeline(stages=ml.preprocessing_stages(["c"], ["x", "z"], ml.MAX_BINS)).fit(df)
+    assert ml.target_lists(df.withColumn("y", F.when(F.col("id") > 0, F.col("y"))), steps, "y", ["c"], ["x", "z"], least=0) is None  # a missing target
+
+
+def test_a_tree_on_lists_knows_number_sum_and_squares_of_its_draws(spark, monkeypatch):
+    import numpy as np
+    _, _, lists = _lists(spark, 6000, monkeypatch)
+    keys = [c for c in lists.columns if c not in (ml.BINNED, ml.TARGETS)]
+    n, seen = ml.TREES_PER_DRAW, [[], [], []]
+    for r in ml.draw_targets(lists, [*keys], 3, 42).select(F.xxhash64(*keys).alias("k"), ml.TARGETS, "_tm_drawn").collect():
+        y, got = np.array(r[ml.TARGETS]), np.array(r["_tm_drawn"]).reshape(3, n)
+        times = np.random.default_rng([42, 3, r["k"] % 2 ** 64]).poisson(1.0, (n, len(y)))
+        assert np.allclose(got[0], times.sum(axis=1))
+        drawn = got[0] > 0
+        assert np.allclose((got[0] * got[1])[drawn], (times @ y)[drawn]) and np.allclose((got[0] * (got[1] ** 2 + got[2] ** 2))[drawn], (times @ y ** 2)[drawn])
+        seen[0].append(times.sum()), seen[1].append(len(y) * n)
+    assert abs(sum(seen[0]) / sum(seen[1]) - 1) < 0.02  # as many draws as rows
+
+
+def test_a_regression_forest_on_lists_is_as_good_as_on_rows(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(ml, "GROUPS_FROM_ROWS", 10_000)
+    df = _priced(spark, 20_000)
+    rows = ml.build_pipeline(["c"], ["x", "z"], ml.rf_regressor("y", 12, 5)).fit(df)
+    fits, fit_groups = [], ml.fit_groups
+    monkeypatch.setattr(ml, "fit_groups", lambda e, g: fits.append(g) or fit_groups(e, g))
+    model, _, record = ml.train_run(df, "y", ["c"], ["x", "z"], ["id"], "r", num_trees=12, max_depth=5, store=f"{tmp_path}/store")
+    forest = model.stages[-1]
+    assert len(fits) == 1 and forest.getNumTrees == 12 and len({t.toDebugString for t in forest.trees}) == 12
+    root = [t._java_obj.rootNode().prediction() for t in forest.trees]
+    assert len(set(root)) == 12 and abs(sum(root) / 12 - df.agg(F.avg("y")).first()[0]) < 20  # each on draws of its own
+    r = record.first()
+    own = ml.metrics.regression_metrics(rows.transform(df), "y", "prediction").first()
+    assert r["n_rows"] == 20_000 and abs(r["r2_test"] - own["r2"]) < 0.03 and r["r2_test"] > 0.9
+    from tidemark.plans import registry
+    again = registry.load_run(spark, f"{tmp_path}/store", "r")
+    both = model.transform(df).select("id", F.col("prediction").alias("p")).join(again.score(df, keep=["id"]), "id")
+    assert both.where("p = prediction").count() == 20_000
+
+
+def test_a_forest_followed_once_per_cell_gives_the_same_predictions(spark, monkeypatch):
+    monkeypatch.setattr(ml, "CELLS_KEPT", 50)  # and begins anew
+    df, steps, lists = _lists(spark, 12_000, monkeypatch)
+    model = ml.PipelineModel(stages=[*steps.stages, ml.fit_groups(ml.rf_regressor("y", 12, 5), lists)])
+    new = df.unionByName(spark.createDataFrame([(-1, None, float("nan"), "never"), (-2, 1e9, -5.0, None)], "id long, x double, z double, c string").withColumn("y", F.lit(0.0)))
+    fast = ml.predict(model, new.repartition(3))
+    assert "follow" in _plan(fast) and fast.columns == model.transform(new).columns
+    both = fast.select("id", "prediction").join(model.transform(new).select("id", F.col("prediction").alias("p")), "id")
+    assert both.where("p = prediction").count() == 12_002 and both.select("p").distinct().count() > 100
+    assert scoring.score(new, model, keep=["id"]).where("prediction is null").count() == 0
+    plain = ml.build_pipeline(["c"], ["x", "z"], ml.rf_regressor("y", 3, 3)).fit(df)  # splits at categories
+    assert "follow" not in _plan(ml.predict(plain, df))

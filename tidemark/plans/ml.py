@@ -18,6 +18,7 @@ from threading import Lock
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression, OneVsRest,
@@ -27,7 +28,7 @@ from pyspark.ml.feature import Bucketizer, OneHotEncoder, OneHotEncoderModel, St
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasInputCols, HasOutputCol, HasOutputCols
-from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
+from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +41,7 @@ FEATURES = "features"
 # The vector with the bins of the numbers in place of the numbers; its slots are those of FEATURES.
 BINNED = "features_binned"
 WEIGHT = "_tm_weight"
+TARGETS = "_tm_targets"
 # A classifier's trees look at bins, so rows with equal bins, levels and label can be one row with a
 # weight. Done where that leaves at most one row of so many; otherwise the rows themselves are fitted.
 ROWS_PER_GROUP = 4
@@ -52,6 +54,12 @@ GROUPS_PER_PARTITION = 40_000
 TREES_AT_ONCE = 8
 # Trees whose draws are written together: each tree's fit reads those of all of them.
 TREES_PER_DRAW = 10
+# Such draws that are there at the same time.
+DRAWS_AT_ONCE = 4
+# Targets of one bin cell in one row; a cell with more has several rows.
+TARGETS_PER_ROW = 100_000
+# Cells of a forest whose predictions a task keeps; with more it begins anew.
+CELLS_KEPT = 1_000_000
 # Tree training: per-pass node statistics budget (MB), so many trees grow per pass over
 # the data instead of a few.
 TREE_MEMORY_MB = 512
@@ -260,18 +268,53 @@ def row_groups(df: DataFrame, steps: PipelineModel, label: str, categorical: Seq
     """The rows of ``df`` (as it was before ``steps``, which are fitted with bins) as one row for each label, bins and
     levels that occur, with their number as WEIGHT and the vector BINNED, in a fixed order. None if that
     leaves more than one row of ``least``, or there are fewer rows than GROUPS_FROM_ROWS (``least`` 0: never)."""
-    bins, levels = [f"{c}__bin" for c in numeric], [f"{c}__idx" for c in categorical]
-    # the sum drops the bucketizer's metadata: bins are numbers to a tree, not categories
-    same = steps.transform(df).select(label, *[(F.col(c) + 0.0).alias(c) for c in bins], *levels)
-    counts = same.groupBy(label, *bins, *levels).agg(F.count(F.lit(1)).cast("double").alias(WEIGHT)).checkpoint(eager=True)
+    same, cell = cells(df, steps, label, categorical, numeric)
+    keys = [label, *cell]
+    counts = same.groupBy(*keys).agg(F.count(F.lit(1)).cast("double").alias(WEIGHT)).checkpoint(eager=True)
     n, rows = counts.agg(F.count(F.lit(1)), F.sum(WEIGHT)).first()
     if least and (n * least > (rows or 0) or (rows or 0) < GROUPS_FROM_ROWS):
         return None
+    return stable_input(binned_vector(counts, steps).select(*keys, BINNED, WEIGHT), keys, max(1, -(-n // GROUPS_PER_PARTITION)))
+
+
+def cells(df: DataFrame, steps: PipelineModel, label: str, categorical: Sequence[str], numeric: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """The label, bins and levels of every row of ``df``, and the names of the bins and levels."""
+    bins, levels = [f"{c}__bin" for c in numeric], [f"{c}__idx" for c in categorical]
+    # the sum drops the bucketizer's metadata: bins are numbers to a tree, not categories
+    return steps.transform(df).select(label, *[(F.col(c) + 0.0).alias(c) for c in bins], *levels), [*bins, *levels]
+
+
+def binned_vector(df: DataFrame, steps: PipelineModel) -> DataFrame:
+    """Adds the vector BINNED to rows with bins and levels."""
     for step in steps.stages:
         if isinstance(step, (OneHotEncoderModel, PlainVector)) or isinstance(step, VectorAssembler) and step.getOutputCol() != FEATURES:
-            counts = step.transform(counts)
-    keys = [label, *bins, *levels]
-    return stable_input(counts.select(*keys, BINNED, WEIGHT), keys, max(1, -(-n // GROUPS_PER_PARTITION)))
+            df = step.transform(df)
+    return df
+
+
+def target_lists(df: DataFrame, steps: PipelineModel, label: str, categorical: Sequence[str], numeric: Sequence[str],
+                 least: int = ROWS_PER_GROUP) -> DataFrame | None:
+    """The rows of ``df`` (as in ``row_groups``) as one row for each bins and levels that occur, with the targets of
+    all its rows, sorted, as TARGETS and the vector BINNED; a cell with more than TARGETS_PER_ROW has several
+    rows. None if cells are more than one row of ``least``, there are fewer rows than GROUPS_FROM_ROWS, or a
+    target is no finite number (``least`` 0: for that alone)."""
+    same, keys = cells(df, steps, label, categorical, numeric)
+    y = F.col(label).cast("double")
+    bad = F.count_if(y.isNull() | F.isnan(y) | (F.abs(y) == math.inf))
+    counts = same.groupBy(*keys).agg(F.count(F.lit(1)).alias("_tm_n"), bad.alias("_tm_bad")).checkpoint(eager=True)
+    n, rows, most, wrong = counts.agg(F.count(F.lit(1)), F.sum("_tm_n"), F.max("_tm_n"), F.sum("_tm_bad")).first()
+    if not n or wrong or least and (n * least > rows or rows < GROUPS_FROM_ROWS):
+        return None
+    dealt = same.select(*keys, y.alias("_tm_y"), F.monotonically_increasing_id().alias("_tm_row"))
+    part = F.lit(0).cast("long")
+    if most > TARGETS_PER_ROW:  # few cells: one of so many rows at most
+        large = counts.where(F.col("_tm_n") > TARGETS_PER_ROW).select(*[F.col(c).alias(f"_tm_{c}") for c in keys], F.ceil(F.col("_tm_n") / TARGETS_PER_ROW).alias("_tm_parts"))
+        dealt = dealt.join(F.broadcast(large), [F.col(c).eqNullSafe(F.col(f"_tm_{c}")) for c in keys], "left")
+        part = F.when(F.col("_tm_parts").isNotNull(), F.pmod(F.xxhash64("_tm_row"), F.col("_tm_parts"))).otherwise(part)
+    own = [*keys, "_tm_part"]
+    lists = (dealt.select(*keys, part.alias("_tm_part"), "_tm_y").repartition(max(8, -(-rows // ROWS_PER_PARTITION)), *own)
+             .groupBy(*own).agg(F.sort_array(F.collect_list("_tm_y")).alias(TARGETS)))
+    return binned_vector(lists, steps).select(*own, BINNED, TARGETS).sortWithinPartitions(*own).checkpoint(eager=True)
 
 
 def groups_alike(estimator) -> bool:
@@ -279,7 +322,7 @@ def groups_alike(estimator) -> bool:
     all rows, and forests whose trees draw as many rows as there are, with no more than one row asked of a leaf."""
     if isinstance(estimator, OneVsRest):
         return not estimator.isSet(estimator.weightCol) and groups_alike(estimator.getClassifier())
-    if not isinstance(estimator, (RandomForestClassifier, GBTClassifier)):
+    if not isinstance(estimator, (RandomForestClassifier, RandomForestRegressor, GBTClassifier)):
         return False
     whole = estimator.getSubsamplingRate() == 1.0 and estimator.getMinInstancesPerNode() == 1 and not estimator.isSet(estimator.weightCol)
     return whole and estimator.getMaxBins() == MAX_BINS and (isinstance(estimator, GBTClassifier) or estimator.getBootstrap())
@@ -299,38 +342,82 @@ def bootstrap_weights(groups: DataFrame, keys: Sequence[str], draw: int, seed: i
     return groups.withColumn("_tm_drawn", drawn(F.xxhash64(*keys), F.col(WEIGHT)))
 
 
-def grow_trees(estimator: RandomForestClassifier, groups: DataFrame, first: int, n: int) -> list[RandomForestClassificationModel]:
-    """Trees number ``first`` to ``first + n - 1`` of a forest on ``row_groups``, each on its own bootstrap, as forests of one."""
+def draw_targets(lists: DataFrame, keys: Sequence[str], draw: int, seed: int) -> DataFrame:
+    """Adds ``_tm_drawn`` to ``target_lists``: for each tree of draw number ``draw`` (TREES_PER_DRAW trees) how often it
+    draws the rows of a list, then for each tree the mean of the targets it draws, then their standard
+    deviation. Every row is drawn Poisson(1) times on its own."""
+    n = TREES_PER_DRAW
+
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def drawn(it: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for key, targets in it:
+            out = []
+            for k, y in zip(key, targets):
+                middle = y.mean()
+                off = y - middle
+                times = np.random.default_rng([seed % 2 ** 64, draw, int(k) % 2 ** 64]).poisson(1.0, (n, len(y))).astype(float)
+                total = times.sum(axis=1)
+                first, second = (times @ np.stack([off, off * off], axis=1)).T / np.maximum(total, 1)
+                out.append(np.concatenate([total, middle + first, np.sqrt(np.maximum(second - first * first, 0))]))
+            yield pd.Series(out, index=key.index, dtype=object)
+
+    return lists.withColumn("_tm_drawn", drawn(F.xxhash64(*keys), F.col(TARGETS)))
+
+
+def grow_trees(estimator, groups: DataFrame, first: int, n: int) -> list:
+    """Trees number ``first`` to ``first + n - 1`` of a forest on ``row_groups``, or of a regression forest on
+    ``target_lists``, each on its own bootstrap, as forests of one."""
     if n <= 0:
         return []
+    numbers, label, seed = isinstance(estimator, RandomForestRegressor), estimator.getLabelCol(), estimator.getSeed()
     features = estimator.getFeatureSubsetStrategy()
-    one = estimator.copy({estimator.numTrees: 1, estimator.bootstrap: False, estimator.weightCol: "_tm_w", estimator.featuresCol: BINNED,
-                          estimator.featureSubsetStrategy: "sqrt" if features == "auto" else features, estimator.cacheNodeIds: False})
-    keys = [c for c in groups.columns if c not in (BINNED, WEIGHT)]
+    one = estimator.copy({estimator.numTrees: 1, estimator.bootstrap: False, estimator.weightCol: "_tm_w", estimator.featuresCol: BINNED, estimator.cacheNodeIds: False,
+                          estimator.featureSubsetStrategy: ("onethird" if numbers else "sqrt") if features == "auto" else features})
+    keys = [c for c in groups.columns if c not in (BINNED, WEIGHT, TARGETS)]
     draws = range(first // TREES_PER_DRAW, (first + n - 1) // TREES_PER_DRAW + 1)
+    partitions = max(1, -(-groups.count() // GROUPS_PER_PARTITION)) if numbers else None
 
     def draw(k):
-        return bootstrap_weights(groups, keys, k, estimator.getSeed()).select(one.getLabelCol(), BINNED, "_tm_drawn").checkpoint(eager=True)
+        if numbers:
+            return stable_input(draw_targets(groups, keys, k, seed).select(*keys, BINNED, "_tm_drawn"), keys, partitions)
+        return bootstrap_weights(groups, keys, k, seed).select(label, BINNED, "_tm_drawn").checkpoint(eager=True)
+
+    def rows_of(drawn, j):
+        times, mean, spread = (F.col("_tm_drawn")[part * TREES_PER_DRAW + j] for part in range(3))
+        if numbers:  # two rows with the number, sum and sum of squares of the targets drawn, all a tree knows of them
+            return drawn.where(times > 0).select(F.explode(F.array(mean - spread, mean + spread)).alias(label), BINNED, (times / 2).alias("_tm_w"))
+        return drawn.where(times > 0).select(label, BINNED, times.alias("_tm_w"))
 
+    trees = []
     with ThreadPoolExecutor(TREES_AT_ONCE) as pool:  # each thread only submits Spark jobs
-        drawn = dict(zip(draws, pool.map(draw, draws)))
+        for i in range(0, len(draws), DRAWS_AT_ONCE):
+            now = draws[i:i + DRAWS_AT_ONCE]
+            drawn = dict(zip(now, pool.map(draw, now)))
 
-        def grow(i):
-            own = drawn[i // TREES_PER_DRAW].select(one.getLabelCol(), BINNED, F.col("_tm_drawn")[i % TREES_PER_DRAW].alias("_tm_w"))
-            return one.copy({one.seed: estimator.getSeed() + i}).fit(own.where("_tm_w > 0"))
+            def grow(t, drawn=drawn):
+                return one.copy({one.seed: seed + t}).fit(rows_of(drawn[t // TREES_PER_DRAW], t % TREES_PER_DRAW))
 
-        return list(pool.map(grow, range(first, first + n)))
+            trees += pool.map(grow, range(max(first, now[0] * TREES_PER_DRAW), min(first + n, (now[-1] + 1) * TREES_PER_DRAW)))
+    return trees
 
 
-def join_trees(estimator: RandomForestClassifier, trees: Sequence[RandomForestClassificationModel]) -> RandomForestClassificationModel:
+def join_trees(estimator, trees: Sequence):
     """One forest of the trees of ``grow_trees``."""
     sc = SparkSession.active().sparkContext
-    of = sc._jvm.org.apache.spark.ml.classification
-    grown = sc._gateway.new_array(of.DecisionTreeClassificationModel, len(trees))
+    shared = ["labelCol", "predictionCol", "maxDepth", "seed", "featureSubsetStrategy"]
+    if isinstance(estimator, RandomForestRegressor):
+        of, kind = sc._jvm.org.apache.spark.ml.regression, "Regression"
+    else:
+        of, kind = sc._jvm.org.apache.spark.ml.classification, "Classification"
+        shared += ["probabilityCol", "rawPredictionCol"]
+    grown = sc._gateway.new_array(getattr(of, f"DecisionTree{kind}Model"), len(trees))
     for i, t in enumerate(trees):
         grown[i] = t._java_obj.trees()[0]
-    model = RandomForestClassificationModel(of.RandomForestClassificationModel(grown, trees[0].numFeatures, trees[0].numClasses))
-    for c in ("labelCol", "predictionCol", "probabilityCol", "rawPredictionCol", "maxDepth", "seed", "featureSubsetStrategy"):
+    if kind == "Regression":
+        model = RandomForestRegressionModel(of.RandomForestRegressionModel(grown, trees[0].numFeatures))
+    else:
+        model = RandomForestClassificationModel(of.RandomForestClassificationModel(grown, trees[0].numFeatures, trees[0].numClasses))
+    for c in shared:
         model._set(**{c: estimator.getOrDefault(c)})
     model._set(featuresCol=BINNED, numTrees=len(trees))
     model._transfer_params_to_java()
@@ -338,8 +425,8 @@ def join_trees(estimator: RandomForestClassifier, trees: Sequence[RandomForestCl
 
 
 def fit_groups(estimator, groups: DataFrame):
-    """``estimator`` fitted on ``row_groups`` (see ``groups_alike``)."""
-    if isinstance(estimator, RandomForestClassifier):
+    """``estimator`` fitted on ``row_groups`` (see ``groups_alike``), a regression forest on ``target_lists``."""
+    if isinstance(estimator, (RandomForestClassifier, RandomForestRegressor)):
         return join_trees(estimator, grow_trees(estimator, groups, 0, estimator.getNumTrees()))
     more = {estimator.weightCol: WEIGHT, estimator.featuresCol: BINNED}
     if isinstance(estimator, OneVsRest):
@@ -375,8 +462,19 @@ def fit_classifier(df: DataFrame, label: str, categorical: Sequence[str], numeri
     """The pipeline of ``build_pipeline``, fitted on ``df``; a forest on row groups where those are few."""
     if not groups_alike(estimator):
         return build_pipeline(categorical, numeric, estimator).fit(df)
+    return _fit_grouped(df, label, categorical, numeric, estimator, row_groups)
+
+
+def fit_regressor(df: DataFrame, label: str, categorical: Sequence[str], numeric: Sequence[str], estimator) -> PipelineModel:
+    """The pipeline of ``build_pipeline``, fitted on ``df``; a forest on lists of targets where those are few."""
+    if not (isinstance(estimator, RandomForestRegressor) and groups_alike(estimator)) or df.count() < GROUPS_FROM_ROWS:
+        return build_pipeline(categorical, numeric, estimator).fit(df)
+    return _fit_grouped(df, label, categorical, numeric, estimator, target_lists)
+
+
+def _fit_grouped(df, label, categorical, numeric, estimator, grouped) -> PipelineModel:
     steps = Pipeline(stages=preprocessing_stages(categorical, numeric, MAX_BINS)).fit(df)
-    groups = row_groups(df, steps, label, categorical, numeric)
+    groups = grouped(df, steps, label, categorical, numeric)
     if groups is None:
         return build_pipeline(categorical, numeric, estimator).fit(df)
     return PipelineModel(stages=[*steps.stages, fit_groups(estimator, groups)])
@@ -454,6 +552,89 @@ def train_classifier(df: DataFrame, label: str, categorical: Sequence[str], nume
     return model, indexer, pred, metrics.multiclass_metrics(pred, "label_idx", "prediction")
 
 
+def _rules(forest: RandomForestRegressionModel) -> list[np.ndarray] | None:
+    """The trees of a forest one after the other, node by node: feature, threshold, left and right node, value (a leaf
+    is followed by itself), and the roots. None if a split is not at a number."""
+    feature, threshold, left, right, value, roots, waiting = [], [], [], [], [], [], []
+    for line in forest.toDebugString.splitlines()[1:]:
+        words = line.split()
+        if not words:
+            continue
+        if words[0] == "Tree":
+            roots.append(len(value))
+        elif words[0] == "Else":  # the next node stands right of the node of that If
+            right[waiting[-1]] = len(value)
+            waiting.pop()
+        elif words[0] == "Predict:":
+            feature.append(0), threshold.append(math.inf), left.append(len(value)), right.append(len(value)), value.append(float(words[1]))
+        elif words[0] == "If" and words[3] == "<=":
+            waiting.append(len(value))
+            feature.append(int(words[2])), threshold.append(float(words[4].rstrip(")"))), left.append(len(value) + 1), right.append(-1), value.append(0.0)
+        else:
+            return None
+    return [np.array(x) for x in (feature, threshold, left, right, value, roots)]
+
+
+def forest_depth(left: np.ndarray, right: np.ndarray, roots: np.ndarray) -> int:
+    """Steps from a root to the deepest leaf."""
+    depth, now = 0, roots
+    while True:
+        now = now[left[now] != now]  # leaves are followed by themselves
+        if not len(now):
+            return depth
+        depth, now = depth + 1, np.concatenate([left[now], right[now]])
+
+
+def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """``model.transform(df)``. A regression forest on bins is followed once in a task for all vectors that lie alike to
+    every threshold of its trees, and each row gets that prediction."""
+    *steps, forest = model.stages
+    rules = _rules(forest) if isinstance(forest, RandomForestRegressionModel) and forest.getFeaturesCol() == BINNED else None
+    if rules is None:
+        return model.transform(df)
+    feature, threshold, left, right, value, roots = rules
+    inner, known_at_most = left != np.arange(len(left)), CELLS_KEPT
+    ends = [np.unique(threshold[inner & (feature == f)]) for f in range(forest.numFeatures)]
+    if math.prod(len(e) + 1 for e in ends) >= 2 ** 62:
+        return model.transform(df)
+    place = np.zeros(len(feature), dtype=np.int64)  # of a node's threshold among those of its feature
+    for f, e in enumerate(ends):
+        own = inner & (feature == f)
+        place[own] = np.searchsorted(e, threshold[own])
+    steps_down = forest_depth(left, right, roots)
+
+    @F.arrow_udf(T.DoubleType())
+    def follow(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known, found = np.empty(0, dtype=np.int64), np.empty(0)
+        for vectors in it:
+            x = vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), len(ends))
+            at = np.stack([np.searchsorted(e, x[:, f]) for f, e in enumerate(ends)], axis=1)  # x <= the threshold of place p: at <= p
+            code = np.zeros(len(x), dtype=np.int64)
+            for f, e in enumerate(ends):
+                code = code * (len(e) + 1) + at[:, f]
+            if len(known) > known_at_most:
+                known, found = known[:0], found[:0]
+            new, first = np.unique(code, return_index=True)
+            i = np.searchsorted(known, new)
+            fresh = np.ones(len(new), dtype=bool)
+            inside = i < len(known)
+            fresh[inside] = known[i[inside]] != new[inside]
+            new, first = new[fresh], first[fresh]
+            if len(new):
+                cell, rows, total = at[first], np.arange(len(new)), np.zeros(len(new))
+                for root in roots:
+                    node = np.full(len(new), root)
+                    for _ in range(steps_down):
+                        node = np.where(cell[rows, feature[node]] <= place[node], left[node], right[node])
+                    total += value[node]
+                known, found = np.concatenate([known, new]), np.concatenate([found, total / len(roots)])
+                order = np.argsort(known, kind="stable")
+                known, found = known[order], found[order]
+            yield pa.array(found[np.searchsorted(known, code)])
+
+    return PipelineModel(stages=steps).transform(df).withColumn(forest.getPredictionCol(), follow(vector_to_array(BINNED)))
+
+
 def feature_importances(model: PipelineModel, frame: DataFrame) -> DataFrame:
     """(feature, importance) of the pipeline's tree model, the mean over the trees of a forest in
     parts, names taken from the assembled vector's attribute metadata (one row per vector slot)."""
@@ -611,8 +792,9 @@ def train_run(df: DataFrame, target: str, categorical: Sequence[str], numeric: S
                             [target, *numeric], categorical)
     s = stable_input(splits.hash_split(data, keys, test_fraction, seed), keys, partitions)
     est = estimator or rf_regressor(target, num_trees, max_depth, seed)
-    model = build_pipeline(categorical, numeric, est).fit(s.where(F.col("split") == "train"))
-    pred = model.transform(s.where(F.col("split") == "test"))
+    model = fit_regressor(s.where(F.col("split") == "train"), target, categorical, numeric, est)
+    # few tasks: each follows the forest once for every cell it meets
+    pred = predict(model, s.where(F.col("split") == "test").coalesce(df.sparkSession.sparkContext.defaultParallelism))
     reg = metrics.regression_metrics(pred, target, "prediction")
     counts = splits.split_counts(s)
     # Split counts ride along as scalar subqueries of the one-row metrics.
