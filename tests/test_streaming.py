@@ -73,3 +73,27 @@ def test_await_list_and_stop(spark, tmp_path):
     assert streams.stop_stream(spark, "tm_listed") and not q.isActive
     assert streams.list_streams(spark).where("name = 'tm_listed'").count() == 0
     assert not streams.await_batches(q, progress, 3, timeout=60)  # ended: no need to wait
+
+
+def test_a_forest_on_bins_scores_a_stream_as_a_batch(spark, monkeypatch, tmp_path):
+    from pyspark.sql import types as T
+
+    from tidemark.plans import ml, scoring
+    monkeypatch.setattr(ml, "GROUPS_FROM_ROWS", 1000)
+    df = spark.range(6000).select("id", (F.col("id") % 97).cast("double").alias("x"), F.when(F.col("id") % 5 > 0, F.concat(F.lit("c"), F.col("id") % 2)).alias("c"))
+    df = df.withColumn("y", F.col("x") * 2 + F.when(F.col("c") == "c1", 50).otherwise(0))
+    model = ml.fit_regressor(df, "y", ["c"], ["x"], ml.rf_regressor("y", 8, 4))
+    src, out, ckpt = (str(tmp_path / n) for n in ("src", "out", "ckpt"))
+    df.repartition(3).write.parquet(src)
+    s = scoring.score(streams.read_stream(spark, src, df.schema, max_files_per_trigger=2), model, keep=["id"], partitions=4)
+    streams.run_to_end(streams.write_stream(s, out, ckpt), timeout=300)
+    both = spark.read.parquet(out).join(model.transform(df).select("id", F.col("prediction").alias("p")), "id")
+    assert both.where("p = prediction").count() == 6000 and both.select("p").distinct().count() > 10
+    wanted = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("c", T.StringType())])
+    row = scoring.validate_model(df.select("x", "c"), model, wanted, T.DoubleType(), partitions=4).first()
+    ends = model.transform(df).agg(F.min("prediction"), F.max("prediction")).first()
+    assert row["passed"] and row["n_rows"] == 6000 and (row["min_prediction"], row["max_prediction"]) == tuple(ends)
+    whole = scoring.validate_model(df.select("x", "c"), model, wanted, T.IntegerType()).first()
+    assert not whole["passed"] and whole["n_not_castable"] > 0
+    plan = scoring.score(df, model)._jdf.queryExecution().executedPlan().toString()
+    assert "follow" in plan  # once per cell, not once per row

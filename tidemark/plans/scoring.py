@@ -1,8 +1,8 @@
 """Batch and streaming scoring with one function.
 
-``score`` is a plain ``transform`` of a fitted ``PipelineModel``: JVM-side,
+``score`` is the ``transform`` of a fitted ``PipelineModel``,
 partition-parallel, and the same call works on a batch or a streaming
-DataFrame. ``score_with_python`` covers arbitrary Python models through an
+DataFrame; regression forests on bins are followed once per cell (``ml.predict``). ``score_with_python`` covers arbitrary Python models through an
 iterator pandas UDF that loads the model once per task, and
 ``score_with_python_struct`` those that give several outputs."""
 
@@ -19,14 +19,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.features import FeatureLookup, lookup_missing
-from tidemark.plans.ml import schema_matches
+from tidemark.plans.ml import predict, schema_matches
 
 
 def score(df: DataFrame, model: PipelineModel, keep: Sequence[str] | None = None,
           prediction: str = "prediction", partitions: int | None = None) -> DataFrame:
     """Adds ``prediction``; keeps the input columns (or ``keep``). With ``partitions`` the rows are
     dealt out first: a costly model over few input splits then uses all cores."""
-    out = model.transform(df.repartition(partitions) if partitions else df)
+    out = predict(model, df.repartition(partitions) if partitions else df)
     cols = list(keep) if keep is not None else list(df.columns)
     return out.select(*cols, F.col("prediction").alias(prediction))
 
