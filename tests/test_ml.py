@@ -347,3 +347,31 @@ def test_a_forest_followed_once_per_cell_gives_the_same_predictions(spark, monke
     assert scoring.score(new, model, keep=["id"]).where("prediction is null").count() == 0
     plain = ml.build_pipeline(["c"], ["x", "z"], ml.rf_regressor("y", 3, 3)).fit(df)  # splits at categories
     assert "follow" not in _plan(ml.predict(plain, df))
+
+
+def test_a_search_on_groups_writes_no_vectors_of_rows_and_keeps_nothing(spark, monkeypatch):
+    monkeypatch.setattr(ml, "GROUPS_FROM_ROWS", 1000)
+    data, _ = ml.index_label(_data(spark, 6000), "y")
+    families = [f for f in ml.model_families("label_idx") if f[:2] in (("logistic", "reg=0.0,mix=0.0"), ("boosted", "rounds=5,depth=2"))]
+    written, kind = [], type(data)
+    old = kind.checkpoint
+    monkeypatch.setattr(kind, "checkpoint", lambda self, *a, **b: written.append(self.columns) or old(self, *a, **b))
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+    best, trials = ml.search_models(data, "label_idx", ["c"], ["x", "z"], ["id"], families=families, rungs=(0.5, 1.0))
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == held
+    assert not any(ml.FEATURES in c for c in written)
+    rows = trials.collect()
+    assert [r["rung"] for r in rows] == [0, 0, 1] and max(r["f1"] for r in rows) > 0.9
+    assert scoring.score(data, best, keep=["label_idx"]).where("prediction = label_idx").count() > 5400
+
+
+def test_bins_of_few_values_are_found_in_one_scan(spark):
+    df = spark.range(3000).select((F.col("id") % 5).cast("double").alias("a"), F.when(F.col("id") % 2 > 0, (F.col("id") % 7).cast("double")).alias("b"), F.col("id").cast("double").alias("c"))
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("bins", "")
+    try:
+        bins = ml.FeatureBins(inputCols=["a", "b", "c"], outputCols=["x", "y", "z"], maxBins=ml.MAX_BINS).fit(df.coalesce(1))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs.getJobIdsForGroup("bins")) <= 4  # two aggregates, of a stage or two each
+    assert [len(s) - 1 for s in bins.getSplitsArray()[:2]] == [5, 7] and len(bins.getSplitsArray()[2]) == ml.MAX_BINS + 1

@@ -19,7 +19,7 @@ from threading import Lock
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import keyword_only
+from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression, OneVsRest,
                                        RandomForestClassificationModel, RandomForestClassifier)
@@ -160,10 +160,12 @@ class FeatureBins(Estimator, HasInputCols, HasOutputCols, DefaultParamsReadable,
         found = dataset.agg(*[F.approx_count_distinct(c).alias(f"n{i}") for i, c in enumerate(cols)],
                             *[F.percentile_approx(c, at, 10_000).alias(f"q{i}") for i, c in enumerate(cols)]).first()
         splits_of = []
-        for i, c in enumerate(cols):
+        few = {i: c for i, c in enumerate(cols) if found[f"n{i}"] <= 2 * bins}  # bounded lists: the estimate is a few percent off
+        listed = dataset.agg(*[F.collect_set(c).alias(f"v{i}") for i, c in few.items()]).first() if few else None  # one scan for all
+        for i in range(len(cols)):
             ends = found[f"q{i}"] or []
-            if found[f"n{i}"] <= 2 * bins:  # a bounded list: the estimate is a few percent off
-                values = sorted(r[0] for r in dataset.select(c).where(F.col(c).isNotNull()).distinct().collect())
+            if i in few:
+                values = sorted(listed[f"v{i}"])
                 ends = values[:-1] if len(values) <= bins else ends
             # Bucketizer's bins hold their lower end: the next number after it is the first of the next bin
             cuts = sorted({x for x in (math.nextafter(e, math.inf) for e in ends) if math.isfinite(x)})
@@ -744,6 +746,8 @@ def search_models(train: DataFrame, label: str, categorical: Sequence[str], nume
     share = splits.hash_unit(keys, seed)
     # the held-out share lies at the low end; samples grow from there upwards
     data = stable_input(train.withColumn("_at", (share - test_fraction) / (1 - test_fraction)), keys, partitions)
+    # by column: every rung scans some of them a dozen times; the partitions and their order stay
+    data = data.select(*dict.fromkeys([label, *categorical, *numeric, "_at"])).persist(StorageLevel.DISK_ONLY)
     start, trials, best = time.monotonic(), [], None
     for rung, part in enumerate(rungs):
         if rung and time_limit is not None and time.monotonic() - start >= time_limit:
@@ -752,9 +756,12 @@ def search_models(train: DataFrame, label: str, categorical: Sequence[str], nume
         n_rows = rows.count()
         held = data.where(F.col("_at") < 0)
         steps = Pipeline(stages=preprocessing_stages(categorical, numeric, MAX_BINS)).fit(rows)
-        ready, test = (steps.transform(d).select(label, FEATURES).checkpoint(eager=True) for d in (rows, held))
         groups = row_groups(rows, steps, label, categorical, numeric) if any(groups_alike(e) for _, _, e in settings) else None
         held_groups = row_groups(held, steps, label, categorical, numeric, least=0) if groups is not None else None
+        ready, test = (steps.transform(d).select(label, FEATURES) for d in (rows, held))
+        # trees on rows read them often; a logistic regression reads them three times, which costs less than to write them
+        if any(not isinstance(e, LogisticRegression) and (groups is None or not groups_alike(e)) for _, _, e in settings):
+            ready, test = (d.checkpoint(eager=True) for d in (ready, test))
 
         def fitted(item, ready=ready, test=test, groups=groups, held_groups=held_groups):
             if groups is not None and groups_alike(item[2]):  # trees look at bins: the same fit on one row per group
@@ -770,6 +777,7 @@ def search_models(train: DataFrame, label: str, categorical: Sequence[str], nume
         trials += [(rung, settings[i][0], settings[i][1], n_rows, scored[i][1], i in keep) for i in range(len(settings))]
         best = PipelineModel(stages=[*steps.stages, scored[order[0]][0]])
         settings = [settings[i] for i in sorted(keep)]
+    data.unpersist()
     return best, train.sparkSession.createDataFrame(trials, "rung int, family string, setting string, n_rows long, f1 double, kept boolean")
 
 
