@@ -375,3 +375,14 @@ def test_bins_of_few_values_are_found_in_one_scan(spark):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert len(jobs.getJobIdsForGroup("bins")) <= 4  # two aggregates, of a stage or two each
     assert [len(s) - 1 for s in bins.getSplitsArray()[:2]] == [5, 7] and len(bins.getSplitsArray()[2]) == ml.MAX_BINS + 1
+
+
+def test_sketches_of_many_partitions_are_joined_from_few(spark):
+    df = spark.range(40_000).select(F.col("id").cast("double").alias("x")).repartition(300)
+    assert ml.in_few_parts(df.checkpoint()).rdd.getNumPartitions() == ml.SKETCH_PARTITIONS and ml.in_few_parts(df.coalesce(9).checkpoint()).rdd.getNumPartitions() == 9
+    few = ml.in_few_parts(df)
+    assert few.count() == 40_000 and few.agg(F.sum("x")).first() == df.agg(F.sum("x")).first()
+    model = ml.Pipeline(stages=ml.preprocessing_stages([], ["x"], ml.MAX_BINS)).fit(df)
+    assert json.loads(model.stages[0].getOrDefault("fills")) == {"x": 19999.5}
+    sizes = [r["count"] for r in model.transform(df).groupBy("x__bin").count().collect()]
+    assert len(sizes) == ml.MAX_BINS and max(sizes) - min(sizes) < 40

@@ -45,6 +45,8 @@ TARGETS = "_tm_targets"
 # A classifier's trees look at bins, so rows with equal bins, levels and label can be one row with a
 # weight. Done where that leaves at most one row of so many; otherwise the rows themselves are fitted.
 ROWS_PER_GROUP = 4
+# Partitions up to which sketches of quantiles are joined as they are.
+SKETCH_PARTITIONS = 24
 # Rows from which a fit on groups, a chain of small jobs for each tree, is the faster one.
 GROUPS_FROM_ROWS = 500_000
 # Bins of a number: Spark's default for a tree.
@@ -128,6 +130,13 @@ class MedianImputerModel(Model, HasInputCols, _HasFills, DefaultParamsReadable,
         return dataset
 
 
+def in_few_parts(df: DataFrame) -> DataFrame:
+    """``df`` in fewer partitions, for quantile sketches: one task joins those of all partitions, so a number that grows
+    as the root of the partitions' keeps that step as short as the making of the sketches."""
+    n = df.rdd.getNumPartitions()
+    return df.coalesce(max(SKETCH_PARTITIONS, math.ceil(math.sqrt(1.5 * n)))) if n > SKETCH_PARTITIONS else df
+
+
 class MedianImputer(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
     """Exact median imputation (``impute.fit_median``) as a pipeline stage."""
 
@@ -138,7 +147,7 @@ class MedianImputer(Estimator, HasInputCols, DefaultParamsReadable, DefaultParam
 
     def _fit(self, dataset: DataFrame) -> MedianImputerModel:
         cols = self.getInputCols()
-        rows = impute.fit_median(dataset, cols).collect()  # one row per column
+        rows = impute.fit_median(in_few_parts(dataset), cols).collect()  # one row per column
         return MedianImputerModel(inputCols=cols, fills=json.dumps({r["feature"]: r["fill"] for r in rows}))
 
 
@@ -156,7 +165,7 @@ class FeatureBins(Estimator, HasInputCols, HasOutputCols, DefaultParamsReadable,
 
     def _fit(self, dataset: DataFrame) -> Bucketizer:
         cols, bins = self.getInputCols(), self.getOrDefault(self.maxBins)
-        at = [i / bins for i in range(1, bins)]
+        at, dataset = [i / bins for i in range(1, bins)], in_few_parts(dataset)
         found = dataset.agg(*[F.approx_count_distinct(c).alias(f"n{i}") for i, c in enumerate(cols)],
                             *[F.percentile_approx(c, at, 10_000).alias(f"q{i}") for i, c in enumerate(cols)]).first()
         splits_of = []
